@@ -34,7 +34,7 @@ from settlekit.functions.fraud import fraud_flag
 from settlekit.functions.money import minor_to_major
 from settlekit.functions.periods import ReportWindow
 from settlekit.operators.payments import GROUP4, major_amount
-from settlekit.operators.profile import ProfileSpec, date_offset_profile
+from settlekit.operators.profile import ProfileSpec, attach_date_profile
 from settlekit.sources.scans import advice_in_window
 
 # Fixed values (must equal the reference): exact day buckets 0..21 after the advice.
@@ -199,14 +199,16 @@ def advice_blocks(advice: DataFrame, dep: DataFrame, w: ReportWindow) -> DataFra
               .agg(F.count(F.lit(1)).alias("m")))
     d = (dep.where(F.col("complete_date").isNotNull() & F.col("txn_reference_number").isNotNull())
          .select(*GROUP4, "payment_id", "amount", "txn_reference_number", major_amount().alias("dep")))
-    return d.join(groups, d["txn_reference_number"] == groups["acquirer_ref_number"]).drop(
-        "acquirer_ref_number", "txn_reference_number")
+    pairs = d.join(groups, d["txn_reference_number"] == groups["acquirer_ref_number"])
+    # identical blocks add up: every block contribution is linear in m
+    return (pairs.groupBy(*GROUP4, "payment_id", "amount", "dep", "adv_date", "adv_day")
+            .agg(F.sum("m").alias("m")))
 
 
-def chargeback_profile(cbk: DataFrame, blocks: DataFrame) -> DataFrame:
+def _chargeback_events(cbk: DataFrame) -> DataFrame:
     fraud = fraud_flag("method_of_payment_code", "reason_code")
     amt = F.col("chargeback_amount")
-    events = cbk.select(
+    return cbk.select(
         F.col("deposit_id").alias("payment_id"),
         F.col("issuing_bank_day").alias("c_date"),
         F.to_date("issuing_bank_day_ts").alias("c_day"),
@@ -217,15 +219,11 @@ def chargeback_profile(cbk: DataFrame, blocks: DataFrame) -> DataFrame:
         amt.isNotNull().cast("bigint").alias("nn"),
         ((fraud == 1) & amt.isNotNull()).cast("bigint").alias("nnf"),
     )
-    specs = [ProfileSpec("ccls", "c_date", "adv_date", ("n", "f", "s", "sf", "nn", "nnf")),
-             ProfileSpec("cday", "c_day", "adv_day", ("n", "s", "nn"), DAY_OFFSETS)]
-    return date_offset_profile(events, blocks, ["payment_id"], specs, totals=["n"]).withColumnRenamed(
-        "rows_n", "c_rows")
 
 
-def refund_profile(ref: DataFrame, blocks: DataFrame) -> DataFrame:
+def _refund_events(ref: DataFrame) -> DataFrame:
     amt = major_amount()
-    events = ref.select(
+    return ref.select(
         F.col("parent_id").alias("payment_id"),
         F.col("amount"),
         F.col("ot_start_ts").alias("r_date"),
@@ -234,101 +232,101 @@ def refund_profile(ref: DataFrame, blocks: DataFrame) -> DataFrame:
         F.coalesce(amt, F.lit(0).cast("decimal(28,6)")).alias("s"),
         amt.isNotNull().cast("bigint").alias("nn"),
     )
-    specs = [ProfileSpec("fcls", "r_date", "adv_date", ("n",)),
-             ProfileSpec("fday", "r_day", "adv_day", ("n", "s", "nn"), DAY_OFFSETS)]
-    return date_offset_profile(events, blocks, ["payment_id", "amount"], specs, totals=["n"]).withColumnRenamed(
-        "rows_n", "f_rows")
-
-
-def _z(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0))
-
-
-class _Block:
-    """Per-block factor columns, by predicate name."""
-
-    def __init__(self) -> None:
-        c_rows, f_rows = _z(F.col("c_rows")), _z(F.col("f_rows"))
-        self.n_c = F.greatest(c_rows, F.lit(1))       # |C'|
-        self.n_f = F.greatest(f_rows, F.lit(1))       # |F'|
-        self.c_empty = c_rows == 0
-        self.f_empty = f_rows == 0
-
-    @staticmethod
-    def _c(v: str, pred: str) -> Column:
-        if pred.startswith("day"):
-            b = pred[3:]
-            suffix = {"prior": "lt", "above_21": "gt"}.get(b, f"eq{b}")
-            return _z(F.col(f"cday_{v}_{suffix}"))
-        fraud = pred.endswith("f")
-        base = pred[:-1] if fraud else pred
-        fv = {"n": "f", "s": "sf", "nn": "nnf"}[v] if fraud else v
-        lt = _z(F.col(f"ccls_{fv}_lt"))
-        ge = _z(F.col(f"ccls_{fv}_ge"))
-        return {"lt": lt, "ge": ge, "nn": lt + ge}[base]
-
-    def count_c(self, pred: str) -> Column:
-        return self.n_c if pred == "all" else self._c("n", pred)
-
-    def count_f(self, pred: str) -> Column:
-        if pred == "all":
-            return self.n_f
-        if pred.startswith("day"):
-            b = pred[3:]
-            suffix = {"prior": "lt", "above_21": "gt"}.get(b, f"eq{b}")
-            return _z(F.col(f"fday_n_{suffix}"))
-        lt, ge = _z(F.col("fcls_n_lt")), _z(F.col("fcls_n_ge"))
-        if pred == "lt":
-            return lt
-        if pred == "ge":
-            return ge
-        # r IS NULL: refunds without a date, or the NULL row when there is none
-        return _z(F.col("f_rows")) - lt - ge + F.when(self.f_empty, F.lit(1)).otherwise(F.lit(0))
-
-    def sum_c(self, pred: str) -> tuple[Column, Column]:
-        return self._c("s", pred), self._c("nn", pred)
-
-    def sum_f(self, pred: str) -> tuple[Column, Column]:
-        b = pred[3:]
-        suffix = {"prior": "lt", "above_21": "gt"}.get(b, f"eq{b}")
-        return _z(F.col(f"fday_s_{suffix}")), _z(F.col(f"fday_nn_{suffix}"))
-
-    def value(self, m: Measure) -> Column:
-        mult = F.col("m")
-        p, q = self.count_c(m.p), self.count_f(m.q)
-        if m.kind == "count":
-            base = F.col("payment_id").isNotNull().cast("bigint") if m.name == "cnt_all_total" else F.lit(m.weight)
-            return mult * base * p * q
-        all_rows = (p == self.n_c) & (q == self.n_f)
-        if m.kind == "dep":
-            dep = F.col("dep")
-            return F.when(dep.isNull() & ~all_rows, F.lit(0)).otherwise(mult * p * q * dep)
-        if m.kind == "cbk":
-            s, nn = self.sum_c(m.p)
-            return F.when((nn == 0) & all_rows, F.lit(None)).otherwise(mult * s * q)
-        s, nn = self.sum_f(m.q)
-        return F.when((nn == 0) & all_rows, F.lit(None)).otherwise(mult * s * p)
+
+
+LAST_DAY = DAY_OFFSETS[-1]
+
+CHARGEBACK_SPECS = [
+    ProfileSpec("ccls", "c_date", "adv_date", ("n", "f", "s", "sf", "nn", "nnf")),
+    ProfileSpec("cday", "c_day", "adv_day", ("n", "s", "nn"), horizon=LAST_DAY, exact=True),
+]
+REFUND_SPECS = [
+    ProfileSpec("fcls", "r_date", "adv_date", ("n",)),
+    ProfileSpec("fday", "r_day", "adv_day", ("n", "s", "nn"), horizon=LAST_DAY, exact=True),
+]
+
+
+def _z(c: str) -> str:
+    return f"COALESCE({c}, 0)"
+
+
+# Factor columns of a block (see the module doc), computed once per block.
+_DAY_PARTS = ("lt", "gt") + tuple(f"eq{k}" for k in DAY_OFFSETS)
+FACTOR_COLUMNS = {
+    "nc": "GREATEST(c_rows, 1)",
+    "nf": "GREATEST(f_rows, 1)",
+    **{f"c_{v}_{r}": f"ccls_{v}_{r}" for v in ("n", "f", "s", "sf", "nn", "nnf") for r in ("lt", "ge")},
+    **{f"cd_{v}_{r}": f"cday_{v}_{r}" for v in ("n", "s", "nn") for r in _DAY_PARTS},
+    "f_n_lt": "fcls_n_lt",
+    "f_n_ge": "fcls_n_ge",
+    "f_n_null": "f_rows - fcls_n_lt - fcls_n_ge + CASE WHEN f_rows = 0 THEN 1 ELSE 0 END",
+    **{f"fd_{v}_{r}": f"fday_{v}_{r}" for v in ("n", "s", "nn") for r in _DAY_PARTS},
+}
+_FRAUD = {"n": "f", "s": "sf", "nn": "nnf"}
+
+
+def _day_part(bucket: str) -> str:
+    return {"prior": "lt", "above_21": "gt"}.get(bucket, f"eq{bucket}")
+
+
+def _c_factor(v: str, pred: str) -> str:
+    """Count (v='n'), amount sum (v='s') or non-null count (v='nn') of the
+    chargebacks satisfying ``pred``."""
+    if pred.startswith("day"):
+        return f"cd_{v}_{_day_part(pred[3:])}"
+    base, fv = (pred[:-1], _FRAUD[v]) if pred.endswith("f") else (pred, v)
+    if base == "nn":
+        return f"(c_{fv}_lt + c_{fv}_ge)"
+    return f"c_{fv}_{base}"
+
+
+def _f_count(pred: str) -> str:
+    if pred == "all":
+        return "nf"
+    if pred.startswith("day"):
+        return f"fd_n_{_day_part(pred[3:])}"
+    return f"f_n_{pred}"
+
+
+def block_value(m: Measure) -> str:
+    """SQL for the measure's contribution of one block (factor columns in scope)."""
+    p = "nc" if m.p == "all" else _c_factor("n", m.p)
+    q = _f_count(m.q)
+    if m.kind == "count":
+        base = "CAST(payment_id IS NOT NULL AS BIGINT)" if m.name == "cnt_all_total" else str(m.weight)
+        return f"m * {base} * {p} * {q}"
+    all_rows = f"({p} = nc AND {q} = nf)"
+    if m.kind == "dep":
+        return f"CASE WHEN dep IS NULL AND NOT {all_rows} THEN 0 ELSE m * {p} * {q} * dep END"
+    if m.kind == "cbk":
+        return f"CASE WHEN {_c_factor('nn', m.p)} = 0 AND {all_rows} THEN NULL ELSE m * {_c_factor('s', m.p)} * {q} END"
+    part = _day_part(m.q[3:])
+    return f"CASE WHEN fd_nn_{part} = 0 AND {all_rows} THEN NULL ELSE m * fd_s_{part} * {p} END"
+
+
+BLOCK_ID = GROUP4 + ["payment_id", "amount", "dep", "adv_date", "adv_day"]
 
 
 def advice_block_factors(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFrame,
                          w: ReportWindow) -> DataFrame:
-    """Blocks with their chargeback and full-refund factors attached."""
+    """Blocks with their chargeback and full-refund factor columns.
+
+    The chargeback pass (keyed by deposit) and the full-refund pass (keyed by
+    deposit and amount) each see only the narrow block rows; their results
+    meet on the block identity, which is unique after block pre-aggregation."""
     blocks = advice_blocks(advice, dep, w)
-    cp = chargeback_profile(cbk, blocks)
-    fp = refund_profile(ref, blocks)
-    b = blocks.alias("b")
-    with_c = b.join(cp.alias("cp"), (F.col("b.payment_id") == F.col("cp.payment_id"))
-                    & F.col("b.adv_date").eqNullSafe(F.col("cp.adv_date"))
-                    & F.col("b.adv_day").eqNullSafe(F.col("cp.adv_day")), "left")
-    with_c = with_c.select("b.*", *[F.col(f"cp.{c}") for c in cp.columns
-                                    if c not in ("payment_id", "adv_date", "adv_day")])
-    x = with_c.alias("x")
-    joined = x.join(fp.alias("fp"), (F.col("x.payment_id") == F.col("fp.payment_id"))
-                    & (F.col("x.amount") == F.col("fp.amount"))
-                    & F.col("x.adv_date").eqNullSafe(F.col("fp.adv_date"))
-                    & F.col("x.adv_day").eqNullSafe(F.col("fp.adv_day")), "left")
-    return joined.select("x.*", *[F.col(f"fp.{c}") for c in fp.columns
-                                  if c not in ("payment_id", "amount", "adv_date", "adv_day")])
+    with_c = attach_date_profile(blocks, _chargeback_events(cbk), ["payment_id"], CHARGEBACK_SPECS,
+                                 totals={"n": "c_rows"})
+    with_f = attach_date_profile(blocks.select(*BLOCK_ID), _refund_events(ref), ["payment_id", "amount"],
+                                 REFUND_SPECS, totals={"n": "f_rows"})
+    c, f = with_c.alias("c"), with_f.alias("f")
+    cond = None
+    for k in BLOCK_ID:
+        term = F.col(f"c.{k}").eqNullSafe(F.col(f"f.{k}"))
+        cond = term if cond is None else cond & term
+    both = c.join(f, cond).select("c.*", *[F.col(f"f.{x}") for x in with_f.columns if x not in BLOCK_ID])
+    return both.selectExpr(*GROUP4, "payment_id", "amount", "adv_date", "adv_day", "m", "dep",
+                           *[f"{expr} AS {name}" for name, expr in FACTOR_COLUMNS.items()])
 
 
 def advice_metrics(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFrame, w: ReportWindow,
@@ -336,9 +334,8 @@ def advice_metrics(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataF
     """Fraud-advice measures per merchant, currency code and description, and
     method -- equal to ``advice_metrics_from_detail(advice_detail(...))``."""
     factors = advice_block_factors(advice, dep, ref, cbk, w)
-    blk = _Block()
     aggs = []
     for m in select_measures(families, row_counts):
-        total = F.sum(blk.value(m))
-        aggs.append((total.cast("bigint") if m.kind == "count" else total).alias(m.name))
+        total = f"SUM({block_value(m)})"
+        aggs.append(F.expr(f"CAST({total} AS BIGINT) AS {m.name}" if m.kind == "count" else f"{total} AS {m.name}"))
     return factors.groupBy(*GROUP4).agg(*aggs)

@@ -1,29 +1,33 @@
-"""Date-offset profile: per (key, query date), sums of event values before,
-at each day offset from, and after the query date -- without pairing queries
-with events.
-
-For a key with many events and many query dates, joining the two and testing
-dates pair by pair costs (#queries x #events). Instead events are
-pre-aggregated to one row per (key, event date) -- so a key's row count is
-bounded by the number of distinct dates, not by its share of the data -- and
-query points are merged into the same ordered stream. One running sum per
-ordering then gives, at each point, the sum of every event on or before it:
-
-* ``lt``      events dated before q           = cum(q - 1)
-* ``eq{k}``   events dated exactly q + k      = cum(q + k) - cum(q + k - 1)
-* ``gt``      events dated after q + max(k)   = all - cum(q + max(k))
-* ``ge``      events dated on or after q      = all - cum(q - 1)
-
-Several specs (different event-date / query-date columns) share one shuffle:
-they differ only in the window ordering.
+"""Date profiles: for each query row, sums of its key's event values dated
+before the query date, on or after it, exactly k days after it, and after a
+horizon -- without pairing queries with events.
+
+Joining queries to events and testing dates pair by pair costs
+(#queries x #events) per key. Instead events are pre-aggregated to one row
+per (key, event date), so a key's event rows are bounded by its number of
+distinct dates, not by its share of the data. Query rows and event rows then
+form one stream, partitioned by key and ordered by day number, and RANGE
+window frames read the sums off directly:
+
+* ``cum(k)``  UNBOUNDED PRECEDING .. k FOLLOWING   events up to q + k
+* ``lt``      cum(-1)                              events before q
+* ``ge``      whole partition - cum(-1)            events on or after q
+* ``eq{k}``   cum(k) - cum(k - 1)                  events on q + k
+* ``gt``      whole partition - cum(h)             events after q + h
+
+Frames bounded only above are accumulated in one pass without buffering
+rows per frame.
+
+One shuffle per call; several specs (date pairs) differ only in ordering.
+Expressions are SQL text, so a wide profile costs one parse per column.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,112 +36,84 @@ class ProfileSpec:
     name: str
     event_date: str                   # date column of the events
     query_date: str                   # date column of the queries
-    values: tuple[str, ...]           # non-null numeric event columns to sum
-    offsets: tuple[int, ...] = field(default_factory=tuple)  # exact day offsets (ascending, contiguous)
+    values: tuple[str, ...]           # numeric event columns to sum
+    horizon: int | None = None        # adds ``gt`` (after q + horizon)
+    exact: bool = False               # adds ``eq0`` .. ``eq{horizon}``
 
 
-def date_offset_profile(events: DataFrame, queries: DataFrame, keys: Sequence[str],
-                        specs: Sequence[ProfileSpec], totals: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct (keys, query dates of all specs) in ``queries``.
+def _q(name: str) -> str:
+    return f"`{name}`"
 
-    Output columns per spec ``s`` and value ``v``: ``s_v_lt``, ``s_v_ge`` and,
-    when offsets are given, ``s_v_eq{k}`` and ``s_v_gt``; per total ``t``:
-    ``rows_t`` (sum over all events of the key, whatever their dates). A query
-    whose key has no events gets zeros; a NULL query date gets NULLs for that
-    spec. Rows with a NULL key are ignored on both sides.
-    """
+
+def attach_date_profile(queries: DataFrame, events: DataFrame, keys: Sequence[str], specs: Sequence[ProfileSpec],
+                        totals: Mapping[str, str] | None = None) -> DataFrame:
+    """``queries`` with, per spec ``s`` and value ``v``, columns ``s_v_lt``,
+    ``s_v_ge`` and, with a horizon, ``s_v_gt`` and (``exact``) ``s_v_eq{k}``;
+    plus, per ``totals`` entry ``v -> name``, the sum of ``v`` over all the
+    key's events whatever their dates. All results are non-NULL (0 when no
+    event qualifies); a NULL query date gives 0 for its spec. Events with a
+    NULL key are ignored, and queries with a NULL key see none."""
     keys = list(keys)
-    qcols = list(dict.fromkeys(s.query_date for s in specs))
+    totals = dict(totals or {})
+    kcols = ", ".join(_q(k) for k in keys)
     ecols = list(dict.fromkeys(s.event_date for s in specs))
-    all_values = list(dict.fromkeys([v for s in specs for v in s.values] + list(totals)))
-    not_null_keys = [F.col(k).isNotNull() for k in keys]
-    key_filter = not_null_keys[0]
-    for c in not_null_keys[1:]:
-        key_filter = key_filter & c
+    values = list(dict.fromkeys([v for s in specs for v in s.values] + list(totals)))
+    key_filter = " AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)
 
-    # 1. events: one row per (key, event dates), partial-aggregated map-side
+    # only events of keys that have queries; AQE broadcasts the key list when small
+    wanted = queries.where(key_filter).select(*keys).distinct()
     ev = (events.where(key_filter)
+          .join(wanted, keys, "left_semi")
           .groupBy(*keys, *ecols)
-          .agg(*[F.sum(v).alias(v) for v in all_values]))
-
-    # 2. query points: (key, query identity, spec, offset, point date)
-    q = queries.where(key_filter).select(*keys, *qcols).distinct()
-    point_frames = []
-    for i, s in enumerate(specs):
-        ks = [-1] + list(s.offsets)
-        pts = (q.where(F.col(s.query_date).isNotNull())
-               .withColumn("__k", F.explode(F.array(*[F.lit(k) for k in ks])))
-               .withColumn("__spec", F.lit(i))
-               .withColumn("__d", F.date_add(F.col(s.query_date), F.col("__k"))))
-        point_frames.append(pts)
-    points = point_frames[0]
-    for p in point_frames[1:]:
-        points = points.unionByName(p)
-
-    # 3. one stream: events (tag 0) before points (tag 1) at equal dates
-    def spec_val(i: int, v: str) -> str:
-        return f"__v{i}_{v}"
-
-    ev_rows = ev.select(
-        *keys,
-        F.lit(0).alias("__tag"),
-        *[F.lit(None).cast("date").alias(c) for c in qcols],
-        F.lit(None).cast("int").alias("__spec"),
-        F.lit(None).cast("int").alias("__k"),
-        *[F.col(s.event_date).alias(f"__d{i}") for i, s in enumerate(specs)],
-        *[F.when(F.col(s.event_date).isNotNull(), F.col(v)).otherwise(F.lit(0)).alias(spec_val(i, v))
+          .agg(*[F.expr(f"SUM({_q(v)}) AS {_q(v)}") for v in values]))
+    ev_rows = ev.selectExpr(
+        *[_q(k) for k in keys], "false AS __query",
+        *[f"unix_date({_q(s.event_date)}) AS __o{i}" for i, s in enumerate(specs)],
+        *[f"CASE WHEN {_q(s.event_date)} IS NOT NULL THEN {_q(v)} ELSE 0 END AS __v{i}_{v}"
           for i, s in enumerate(specs) for v in s.values],
-        *[F.col(t).alias(f"__t_{t}") for t in totals],
-    )
-    pt_rows = points.select(
-        *keys,
-        F.lit(1).alias("__tag"),
-        *[F.col(c) for c in qcols],
-        F.col("__spec"),
-        F.col("__k"),
-        *[F.when(F.col("__spec") == i, F.col("__d")).alias(f"__d{i}") for i, _ in enumerate(specs)],
-        *[F.lit(0).alias(spec_val(i, v)) for i, s in enumerate(specs) for v in s.values],
-        *[F.lit(0).alias(f"__t_{t}") for t in totals],
-    )
-    stream = ev_rows.unionByName(pt_rows, allowMissingColumns=False)
-
-    whole = Window.partitionBy(*keys)
-    cums = []
-    for i, s in enumerate(specs):
-        running = (Window.partitionBy(*keys)
-                   .orderBy(F.col(f"__d{i}").asc_nulls_first(), F.col("__tag").asc())
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        for v in s.values:
-            cums.append(F.sum(spec_val(i, v)).over(running).alias(f"__c{i}_{v}"))
-            cums.append(F.sum(spec_val(i, v)).over(whole).alias(f"__a{i}_{v}"))
-    tot = [F.sum(f"__t_{t}").over(whole).alias(f"rows_{t}") for t in totals]
-    swept = stream.select(*keys, *qcols, "__tag", "__spec", "__k", *cums, *tot).where(F.col("__tag") == 1)
-
-    # 4. back to one row per query: pick each point's running sum
-    aggs: list[Column] = []
-    for i, s in enumerate(specs):
-        here = F.col("__spec") == i
-        for v in s.values:
-            aggs.append(F.max(F.when(here, F.col(f"__a{i}_{v}"))).alias(f"__a{i}_{v}"))
-            for k in [-1] + list(s.offsets):
-                aggs.append(F.max(F.when(here & (F.col("__k") == k), F.col(f"__c{i}_{v}")))
-                            .alias(f"__c{i}_{v}_{k}".replace("-", "m")))
-    aggs += [F.max(f"rows_{t}").alias(f"rows_{t}") for t in totals]
-    wide = swept.groupBy(*keys, *qcols).agg(*aggs)
-
-    out = [F.col(k) for k in keys] + [F.col(c) for c in qcols]
+        *[f"{_q(t)} AS __t_{t}" for t in totals])
+    q_rows = queries.selectExpr(
+        "*", "true AS __query",
+        *[f"unix_date({_q(s.query_date)}) AS __o{i}" for i, s in enumerate(specs)],
+        *[f"0 AS __v{i}_{v}" for i, s in enumerate(specs) for v in s.values],
+        *[f"0 AS __t_{t}" for t in totals])
+    stream = q_rows.unionByName(ev_rows, allowMissingColumns=True)
+
+    out, sweeps, drop = [], [], []
+    whole = f"PARTITION BY {kcols}"
     for i, s in enumerate(specs):
+        order = f"PARTITION BY {kcols} ORDER BY __o{i}"
+        missing = f"__o{i} IS NULL"
         for v in s.values:
-            def cum(k: int, _i=i, _v=v) -> Column:
-                return F.col(f"__c{_i}_{_v}_{k}".replace("-", "m"))
-            total = F.col(f"__a{i}_{v}")
-            out.append(cum(-1).alias(f"{s.name}_{v}_lt"))
-            out.append((total - cum(-1)).alias(f"{s.name}_{v}_ge"))
-            if s.offsets:
-                prev = -1
-                for k in s.offsets:
-                    out.append((cum(k) - cum(prev)).alias(f"{s.name}_{v}_eq{k}"))
-                    prev = k
-                out.append((total - cum(s.offsets[-1])).alias(f"{s.name}_{v}_gt"))
-    out += [F.col(f"rows_{t}") for t in totals]
-    return wide.select(*out)
+            col = f"__v{i}_{v}"
+
+            def cum(k: int, _col=col, _order=order) -> str:
+                bound = f"{-k} PRECEDING" if k < 0 else ("CURRENT ROW" if k == 0 else f"{k} FOLLOWING")
+                return f"COALESCE(SUM({_col}) OVER ({_order} RANGE BETWEEN UNBOUNDED PRECEDING AND {bound}), 0)"
+
+            def alias(k: int, _i=i, _v=v) -> str:
+                return f"__c{_i}_{_v}_{'m' if k < 0 else ''}{abs(k)}"
+
+            total = f"__a{i}_{v}"
+            ks = [-1]
+            if s.horizon is not None:
+                ks += list(range(s.horizon + 1)) if s.exact else [s.horizon]
+            sweeps.append(f"COALESCE(SUM({col}) OVER ({whole}), 0) AS {total}")
+            sweeps += [f"{cum(k)} AS {alias(k)}" for k in ks]
+            out.append(f"CASE WHEN {missing} THEN 0 ELSE {alias(-1)} END AS {s.name}_{v}_lt")
+            out.append(f"CASE WHEN {missing} THEN 0 ELSE {total} - {alias(-1)} END AS {s.name}_{v}_ge")
+            if s.horizon is not None:
+                out.append(f"CASE WHEN {missing} THEN 0 ELSE {total} - {alias(s.horizon)} END AS {s.name}_{v}_gt")
+                if s.exact:
+                    out += [f"CASE WHEN {missing} THEN 0 ELSE {alias(k)} - {alias(k - 1)} END AS {s.name}_{v}_eq{k}"
+                            for k in range(s.horizon + 1)]
+        drop += [f"__a{i}_{v}" for v in s.values]
+        drop += [c for c in [f"__c{i}_{v}_{'m' if k < 0 else ''}{abs(k)}" for v in s.values
+                             for k in [-1] + list(range((s.horizon or 0) + 1))]]
+    sweeps += [f"COALESCE(SUM(__t_{t}) OVER ({whole}), 0) AS {_q(name)}" for t, name in totals.items()]
+    swept = stream.selectExpr("*", *sweeps).where("__query")
+    return (swept.selectExpr("*", *out)
+            .drop(*[c for c in drop if c in swept.columns])
+            .drop("__query", *[f"__o{i}" for i in range(len(specs))],
+                  *[f"__v{i}_{v}" for i, s in enumerate(specs) for v in s.values],
+                  *[f"__t_{t}" for t in totals]))

@@ -84,9 +84,9 @@ def monthly_exception_report(payments: DataFrame, chargebacks: DataFrame, advice
 
 def finish_report(report: DataFrame, w: ReportWindow, row_counts: bool = False) -> DataFrame:
     measures = HEADLINE + [m.name for m in select_measures(row_counts=row_counts)]
-    cols = [F.col(src).alias(alias) for src, alias in REPORT_KEYS]
-    cols.append(F.lit(f"{w.month}-01 00:00:00").cast("timestamp_ntz").alias("reporting_month_day"))
+    cols = [f"`{src}` AS `{alias}`" for src, alias in REPORT_KEYS]
+    cols.append(f"CAST('{w.month}-01 00:00:00' AS TIMESTAMP_NTZ) AS reporting_month_day")
     for name in measures:
-        kind = "bigint" if is_count(name) else REPORT_AMOUNT
-        cols.append(F.coalesce(F.col(name).cast(kind), F.lit(0).cast(kind)).alias(name))
-    return report.select(*cols)
+        kind = "BIGINT" if is_count(name) else REPORT_AMOUNT
+        cols.append(f"COALESCE(CAST({name} AS {kind}), CAST(0 AS {kind})) AS {name}")
+    return report.selectExpr(*cols)
