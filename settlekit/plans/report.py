@@ -15,6 +15,7 @@ from settlekit.operators.advice import advice_metrics, select_measures
 from settlekit.operators.payments import deposits, refunds
 from settlekit.operators.summaries import deposit_summaries, refund_match_summary
 from settlekit.sources.scans import chargebacks_in_window, payments_in_range
+from settlekit.sources.sinks import write_report
 
 # Fixed values (must equal the reference): report key columns as the report names them.
 REPORT_KEYS = [
@@ -74,9 +75,13 @@ def monthly_exception_report(payments: DataFrame, chargebacks: DataFrame, advice
         rng = rng.persist(StorageLevel.MEMORY_AND_DISK)
     dep, ref = deposits(rng), refunds(rng)
     cbk = chargebacks_in_window(chargebacks, w)
+    return _report(dep, ref, cbk, advice, w, row_counts)
+
+
+def _report(dep: DataFrame, ref: DataFrame, cbk: DataFrame, advice: DataFrame, w: ReportWindow,
+            row_counts: bool = False) -> DataFrame:
     sums = deposit_summaries(dep, ref, cbk)
-    report = sums.volume_refunds
-    report = _assemble(report, sums.chargebacks, "c_")
+    report = _assemble(sums.volume_refunds, sums.chargebacks, "c_")
     report = _assemble(report, refund_match_summary(ref), "m_")
     report = _assemble(report, advice_metrics(advice, dep, ref, cbk, w, row_counts=row_counts), "a_")
     return finish_report(report, w, row_counts)
@@ -90,3 +95,21 @@ def finish_report(report: DataFrame, w: ReportWindow, row_counts: bool = False)
         kind = "BIGINT" if is_count(name) else REPORT_AMOUNT
         cols.append(f"COALESCE(CAST({name} AS {kind}), CAST(0 AS {kind})) AS {name}")
     return report.selectExpr(*cols)
+
+
+def publish_monthly_report(payments: DataFrame, chargebacks: DataFrame, advice: DataFrame, run_date, period: int,
+                           base: str, persist_payments: bool = True) -> ReportWindow:
+    """Build the report and overwrite its (month, period) partition under
+    ``base``. The filtered payments are cached for the duration of the write
+    (five branches read them); lost cache blocks are recomputed from the scan."""
+    w = report_window(run_date, period)
+    rng = payments_in_range(payments, w)
+    if persist_payments:
+        rng = rng.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        report = _report(deposits(rng), refunds(rng), chargebacks_in_window(chargebacks, w), advice, w)
+        write_report(report, base, w.month, period)
+    finally:
+        if persist_payments:
+            rng.unpersist()
+    return w

@@ -1,0 +1,8 @@
+"""Streaming operators.
+
+The settlement jobs are batch jobs over daily and monthly windows: they read
+no stream, keep no state between runs and use no watermark or event-time
+window, so this package holds no operators. Reruns are made safe by the sinks
+instead (idempotent partition overwrite for the report, append per run date for
+reconciliation results).
+"""
