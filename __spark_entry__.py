@@ -28,6 +28,7 @@ from settlekit.operators.payments import deposit_volume, deposits, refunds  # no
 from settlekit.operators.summaries import (  # noqa: E402
     chargeback_summary, deposit_refund_summary, refund_match_summary, refunds_by_deposit,
 )
+from settlekit.plans.reconciliation import run_reconciliation  # noqa: E402
 from settlekit.plans.report import monthly_exception_report  # noqa: E402
 from settlekit.sources.fixtures import settlement_inputs  # noqa: E402
 from settlekit.sources.scans import chargebacks_in_window, payments_in_range  # noqa: E402
@@ -216,6 +217,15 @@ def q_results_append_roundtrip(spark, sf_dir):
     return spark.read.parquet(base)
 
 
+def q_reconciliation_job(spark, sf_dir):
+    """The daily job: today's counts, replay of unmatched days, append; read back."""
+    inp, tables = _recon_inputs(spark, sf_dir)
+    base = scratch_path(spark, "recon-job")
+    run_reconciliation(spark, inp.control, inp.audit, inp.history, RUN_DATE, AS_OF, REPLAY_DAYS, base, tables,
+                       inserted_at=INSERTED_AT, app_id=APP_ID)
+    return spark.read.parquet(base)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "report_window": q_report_window,
@@ -247,6 +257,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replay_counts": q_replay_counts,
         "select_control": q_select_control,
         "results_append_roundtrip": q_results_append_roundtrip,
+        "reconciliation_job": q_reconciliation_job,
     }
 
 
@@ -344,4 +355,6 @@ SELECT * FROM fx_control c WHERE count_ind = 'Y' AND table_type = 'DIM'
   AND EXISTS (SELECT 1 FROM fx_audit a WHERE a.table_name = c.table_name AND a.extract_date = DATE '{RUN_DATE}')""",
         "results_append_roundtrip": f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({recon}) r\nUNION ALL\n"
                                     f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({recon}) r",
+        "reconciliation_job": f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({recon}) r\nUNION ALL\n"
+                              f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({O.replay_counts_sql()}) p",
     }

@@ -334,8 +334,8 @@ def advice_metrics(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataF
     """Fraud-advice measures per merchant, currency code and description, and
     method -- equal to ``advice_metrics_from_detail(advice_detail(...))``."""
     factors = advice_block_factors(advice, dep, ref, cbk, w)
-    aggs = []
-    for m in select_measures(families, row_counts):
-        total = f"SUM({block_value(m)})"
-        aggs.append(F.expr(f"CAST({total} AS BIGINT) AS {m.name}" if m.kind == "count" else f"{total} AS {m.name}"))
-    return factors.groupBy(*GROUP4).agg(*aggs)
+    measures = select_measures(families, row_counts)
+    values = factors.selectExpr(*GROUP4, *[f"{block_value(m)} AS {m.name}" for m in measures])
+    aggs = [F.expr(f"CAST(SUM({m.name}) AS BIGINT) AS {m.name}" if m.kind == "count" else f"SUM({m.name}) AS {m.name}")
+            for m in measures]
+    return values.groupBy(*GROUP4).agg(*aggs)
