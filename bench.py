@@ -85,10 +85,30 @@ def main():
     def refund_match():
         return refund_match_summary(branches()[2])
 
+    def advice_reference_form():
+        w, dep, ref, cbk = branches()
+        return A.advice_metrics_from_detail(A.advice_detail(t["advice"], dep, ref, cbk, w))
+
+    def advice_maxfields():
+        spark.conf.set("spark.sql.codegen.maxFields", "400")
+        return advice_metrics()
+
     def reconcile():
         reqs = reconciliation_requests(t["control"], t["history"], RUN_DATE, REPLAY_DAYS)
         return R.reconcile(spark, reqs, t["audit"], AS_OF, tables, inserted_at="bench", app_id="bench")
 
+    def reconcile_per_request():
+        """Baseline shape of the reference: one count job and one audit job per request."""
+        reqs = reconciliation_requests(t["control"], t["history"], RUN_DATE, REPLAY_DAYS)
+        rows = []
+        for i, req in enumerate(reqs):
+            counts, failed = R.own_counts(spark, [req], tables)
+            own = 0 if failed or counts is None else (counts.collect() or [(0, 0)])[0][1]
+            pair = spark.createDataFrame([(req.table_name, req.count_date)], "table_name string, count_date date")
+            vap = R.latest_audit(t["audit"], pair, AS_OF).collect()
+            rows.append((i, own, vap[0]["vap_count"] if vap else 0))
+        return spark.createDataFrame(rows, "request_id int, bda_count bigint, vap_count bigint")
+
     suite = {
         "report_p12": report(12),
         "report_p3": report(3),
@@ -98,6 +118,9 @@ def main():
         "chargeback_summary": chargebacks,
         "refund_match_summary": refund_match,
         "reconciliation": reconcile,
+        "advice_metrics_126_reference_form": advice_reference_form,
+        "advice_metrics_126_maxfields400": advice_maxfields,
+        "reconciliation_per_request_jobs": reconcile_per_request,
     }
     only = os.environ.get("BENCH_ONLY")
     if only:
@@ -111,6 +134,7 @@ def main():
             run_noop(build())
             if i:
                 times.append(time.time() - s)
+        spark.conf.unset("spark.sql.codegen.maxFields")
         results[name] = round(statistics.median(times), 3)
     headline = [k for k in ("report_p12", "report_p3", "advice_metrics_126", "reconciliation") if k in results]
     print(json.dumps({
