@@ -35,6 +35,7 @@ from settlekit.functions.money import minor_to_major
 from settlekit.functions.periods import ReportWindow
 from settlekit.operators.payments import GROUP4, major_amount
 from settlekit.operators.profile import ProfileSpec, attach_date_profile
+from settlekit.session import shared_dir
 from settlekit.sources.scans import advice_in_window
 
 # Fixed values (must equal the reference): exact day buckets 0..21 after the advice.
@@ -313,8 +314,12 @@ def advice_block_factors(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk:
 
     The chargeback pass (keyed by deposit) and the full-refund pass (keyed by
     deposit and amount) each see only the narrow block rows; their results
-    meet on the block identity, which is unique after block pre-aggregation."""
-    blocks = advice_blocks(advice, dep, w)
+    meet on the block identity, which is unique after block pre-aggregation.
+    The blocks feed four consumers (two passes, two key lists), so they are
+    computed once and checkpointed to the shared checkpoint folder (reliable:
+    survives executor loss) instead of rescanning deposits for each."""
+    shared_dir(dep.sparkSession)
+    blocks = advice_blocks(advice, dep, w).checkpoint(eager=True)
     with_c = attach_date_profile(blocks, _chargeback_events(cbk), ["payment_id"], CHARGEBACK_SPECS,
                                  totals={"n": "c_rows"})
     with_f = attach_date_profile(blocks.select(*BLOCK_ID), _refund_events(ref), ["payment_id", "amount"],
