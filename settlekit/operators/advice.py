@@ -16,8 +16,9 @@ with P depending only on the chargeback (and the advice dates) and Q only on
 the refund, so per block it equals ``m * |P| * |Q| * value`` (value from the
 deposit) or ``m * sum_P(value) * |Q|`` (value from the chargeback), and
 symmetrically for refund values. ``|P|`` and ``sum_P`` relative to the advice
-dates come from ``date_offset_profile``: a sweep over events pre-aggregated by
-(deposit, date), so no key ever pairs its events with its advice rows.
+dates come from ``attach_date_profile``: window frames over events
+pre-aggregated by (deposit, date), so no key ever pairs its events with its
+advice rows.
 
 A block value is NULL exactly when every detail row of the block satisfies
 the predicate and carries a NULL value, which keeps SUM's NULL semantics.
@@ -192,7 +193,12 @@ def advice_metrics_from_detail(detail: DataFrame, families=("all", "class", "day
 # ---------------------------------------------------------------- factorized metrics
 
 def advice_blocks(advice: DataFrame, dep: DataFrame, w: ReportWindow) -> DataFrame:
-    """(advice group, completed deposit) blocks joined on the reference number."""
+    """(advice group, completed deposit) blocks joined on the reference number.
+
+    Advice rows are first collapsed per (reference, advice date, advice day),
+    so a reference shared by many deposits is paired with at most its distinct
+    advice dates inside the window -- a bound set by the calendar, not by
+    the number of advice rows. Identical blocks are then collapsed again."""
     groups = (advice_in_window(advice, w)
               .where(F.col("acquirer_ref_number").isNotNull())
               .groupBy("acquirer_ref_number", F.col("create_date").alias("adv_date"),
@@ -247,10 +253,6 @@ REFUND_SPECS = [
 ]
 
 
-def _z(c: str) -> str:
-    return f"COALESCE({c}, 0)"
-
-
 # Factor columns of a block (see the module doc), computed once per block.
 _DAY_PARTS = ("lt", "gt") + tuple(f"eq{k}" for k in DAY_OFFSETS)
 FACTOR_COLUMNS = {
