@@ -34,3 +34,19 @@ def test_publish_report_round_trip(spark):
     direct = monthly_exception_report(inp.payments, inp.chargebacks, inp.advice, "1998-10-05", 12)
     assert back.count() == direct.count() and back.exceptAll(direct.select(*back.columns)).count() == 0
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_append_registers_partition_in_catalog(spark):
+    base = scratch_path(spark, "test-catalog")
+    df = spark.createDataFrame([(1, "x")], "id bigint, v string")
+    spark.sql("DROP TABLE IF EXISTS settlekit_recon_results")
+    spark.sql(f"CREATE TABLE settlekit_recon_results (id bigint, v string, extract_date date) USING parquet "
+              f"PARTITIONED BY (extract_date) LOCATION '{base}'")
+    try:
+        append_results(df, base, "2019-10-06", table="settlekit_recon_results")
+        append_results(df, base, "2019-10-07", table="settlekit_recon_results")
+        parts = sorted(r[0] for r in spark.sql("SHOW PARTITIONS settlekit_recon_results").collect())
+        assert parts == ["extract_date=2019-10-06", "extract_date=2019-10-07"]
+        assert spark.table("settlekit_recon_results").count() == 2
+    finally:
+        spark.sql("DROP TABLE IF EXISTS settlekit_recon_results")
