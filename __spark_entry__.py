@@ -304,28 +304,28 @@ FROM m"""
         "minor_to_major": f"WITH {O.FIXTURE_CTES}\nSELECT payment_id, action_type, settlement_amount, "
                           f"settlement_rpt_precision, CAST({O.major('settlement_amount', 'settlement_rpt_precision')} "
                           f"AS DECIMAL(38,18)) AS major_amount FROM fx_payments",
-        "payments_in_range": _summary("tmp_rxp_in_range", range_cols),
-        "deposits": _summary("tmp_fe_deposit", "*"),
-        "refunds_completed": _summary("tmp_fe_refund", "*"),
+        "payments_in_range": _summary("pay_win", range_cols),
+        "deposits": _summary("dep_win", "*"),
+        "refunds_completed": _summary("ref_win", "*"),
         "chargebacks_in_window": _summary(
-            "tmp_cbk_cases", "deposit_id, " + amt("chargeback_amount")
+            "cbk_win", "deposit_id, " + amt("chargeback_amount")
             + ", method_of_payment_code, reason_code, issuing_bank_day, issuing_bank_day_ts"),
-        "deposit_volume": _summary("tmp_fe_deposit_groupby", f"{keys7}, {cnt('vol_deposit_count')}, "
+        "deposit_volume": _summary("dep_volume", f"{keys7}, {cnt('vol_deposit_count')}, "
                                    f"{amt('vol_deposit_settlement_amount')}"),
-        "refunds_by_deposit": _summary("deposit_refund_0", "merchant_id, settlement_currency_code, "
+        "refunds_by_deposit": _summary("dep_refund_totals", "merchant_id, settlement_currency_code, "
                                        f"method_of_payment_code, {cnt('excptn_refund_count')}, "
                                        f"{amt('excptn_refund_settlement_amount')}"),
-        "deposit_refund_summary": _summary("deposit_refund", f"{keys7}, {cnt('vol_deposit_count')}, "
+        "deposit_refund_summary": _summary("volume_with_refunds", f"{keys7}, {cnt('vol_deposit_count')}, "
                                            f"{amt('vol_deposit_settlement_amount')}, {cnt('excptn_refund_count')}, "
                                            f"{amt('excptn_refund_settlement_amount')}"),
-        "chargeback_summary": _summary("deposit_cbk", f"{keys4}, {cnt('excptn_cbks_count')}, "
+        "chargeback_summary": _summary("cbk_totals", f"{keys4}, {cnt('excptn_cbks_count')}, "
                                        f"{amt('excptn_cbks_amount')}, {cnt('excptn_fraud_cbks_count')}, "
                                        f"{amt('excptn_fraud_cbks_amount')}"),
-        "refund_match_summary": _summary("deposit_refund_match", f"{keys4}, {cnt('excptn_refund_mtch_count')}, "
+        "refund_match_summary": _summary("refund_matching", f"{keys4}, {cnt('excptn_refund_mtch_count')}, "
                                          f"{cnt('excptn_refund_mtch_count_mtchd')}, "
                                          f"{amt('excptn_refund_mtch_amount')}, "
                                          f"{amt('excptn_refund_mtch_amount_mtchd')}"),
-        "advice_detail": _summary("deposit_fraud_advice", detail_cols),
+        "advice_detail": _summary("advice_rows", detail_cols),
         "advice_timing_classes": O.advice_metrics_sql(12, O.all_measures() + O.class_measures()),
         "advice_day_buckets": O.advice_metrics_sql(12, O.day_measures()),
         "advice_day_buckets_row_counts": O.advice_metrics_sql(12, O.day_measures(row_counts=True)),
