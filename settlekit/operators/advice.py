@@ -307,31 +307,36 @@ def block_value(m: Measure) -> str:
     return f"CASE WHEN fd_nn_{part} = 0 AND {all_rows} THEN NULL ELSE m * fd_s_{part} * {p} END"
 
 
-BLOCK_ID = GROUP4 + ["payment_id", "amount", "dep", "adv_date", "adv_day"]
+def _attach(blocks: DataFrame, prof: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    """Left-join a profile to the blocks on null-safe ``keys``."""
+    b, p = blocks.alias("b"), prof.alias(prefix)
+    cond = None
+    for k in keys:
+        term = F.col(f"b.{k}").eqNullSafe(F.col(f"{prefix}.{k}"))
+        cond = term if cond is None else cond & term
+    return b.join(p, cond, "left").select("b.*", *[F.col(f"{prefix}.{c}") for c in prof.columns if c not in keys])
 
 
 def advice_block_factors(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFrame,
                          w: ReportWindow) -> DataFrame:
     """Blocks with their chargeback and full-refund factor columns.
 
-    The chargeback pass (keyed by deposit) and the full-refund pass (keyed by
-    deposit and amount) each see only the narrow block rows; their results
-    meet on the block identity, which is unique after block pre-aggregation.
-    The blocks feed four consumers (two passes, two key lists), so they are
+    Chargeback factors depend only on (deposit, advice dates) and full-refund
+    factors on (deposit, amount, advice dates), so each profile is computed
+    for those distinct query keys -- a window partition then holds at most one
+    query row per advice date pair, however many blocks share a deposit -- and
+    joined back to the blocks. The blocks feed several consumers, so they are
     computed once and checkpointed to the shared checkpoint folder (reliable:
     survives executor loss) instead of rescanning deposits for each."""
     shared_dir(dep.sparkSession)
     blocks = advice_blocks(advice, dep, w).checkpoint(eager=True)
-    with_c = attach_date_profile(blocks, _chargeback_events(cbk), ["payment_id"], CHARGEBACK_SPECS,
-                                 totals={"n": "c_rows"})
-    with_f = attach_date_profile(blocks.select(*BLOCK_ID), _refund_events(ref), ["payment_id", "amount"],
-                                 REFUND_SPECS, totals={"n": "f_rows"})
-    c, f = with_c.alias("c"), with_f.alias("f")
-    cond = None
-    for k in BLOCK_ID:
-        term = F.col(f"c.{k}").eqNullSafe(F.col(f"f.{k}"))
-        cond = term if cond is None else cond & term
-    both = c.join(f, cond).select("c.*", *[F.col(f"f.{x}") for x in with_f.columns if x not in BLOCK_ID])
+    c_keys = ["payment_id", "adv_date", "adv_day"]
+    f_keys = ["payment_id", "amount", "adv_date", "adv_day"]
+    cprof = attach_date_profile(blocks.select(*c_keys).distinct(), _chargeback_events(cbk), ["payment_id"],
+                                CHARGEBACK_SPECS, totals={"n": "c_rows"})
+    fprof = attach_date_profile(blocks.select(*f_keys).distinct(), _refund_events(ref), ["payment_id", "amount"],
+                                REFUND_SPECS, totals={"n": "f_rows"})
+    both = _attach(_attach(blocks, cprof, c_keys, "cp"), fprof, f_keys, "fp")
     return both.selectExpr(*GROUP4, "payment_id", "amount", "adv_date", "adv_day", "m", "dep",
                            *[f"{expr} AS {name}" for name, expr in FACTOR_COLUMNS.items()])
 
