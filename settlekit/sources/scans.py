@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from settlekit.functions.periods import ReportWindow
 
@@ -31,15 +32,21 @@ CHARGEBACK_COLUMNS = [
 ]
 
 
-def _between(col: str, lo, hi):
-    return F.col(col).between(F.lit(lo), F.lit(hi))
+def _between(df: DataFrame, col: str, lo, hi):
+    """Inclusive day window. DATE columns compare directly (and reach the scan
+    as pushed filters); timestamps or date-time strings are compared by their
+    calendar day, so the last day of the window is kept whole."""
+    c = F.col(col)
+    if not isinstance(df.schema[col].dataType, T.DateType):
+        c = F.to_date(c)
+    return c.between(F.lit(lo), F.lit(hi))
 
 
 def payments_in_range(payments: DataFrame, w: ReportWindow) -> DataFrame:
     """Settled card payments created and posted inside the window (17 columns)."""
     return (payments
-            .where(_between("created_date", w.from_created, w.to)
-                   & _between("batch_post_day", w.from_post, w.to)
+            .where(_between(payments, "created_date", w.from_created, w.to)
+                   & _between(payments, "batch_post_day", w.from_post, w.to)
                    & (F.col("transaction_status") == SETTLED_STATUS)
                    & F.col("method_of_payment_code").isin(*CARD_METHODS))
             .select(*RANGE_COLUMNS))
@@ -48,7 +55,7 @@ def payments_in_range(payments: DataFrame, w: ReportWindow) -> DataFrame:
 def chargebacks_in_window(chargebacks: DataFrame, w: ReportWindow) -> DataFrame:
     """First chargebacks and representments of deposits opened in the window."""
     return (chargebacks
-            .where(_between("open_date", w.from_post, w.to)
+            .where(_between(chargebacks, "open_date", w.from_post, w.to)
                    & (F.col("type") == CHARGEBACK_TYPE)
                    & F.col("current_cycle").isin(*CHARGEBACK_CYCLES))
             .select(*CHARGEBACK_COLUMNS))
@@ -56,5 +63,5 @@ def chargebacks_in_window(chargebacks: DataFrame, w: ReportWindow) -> DataFrame:
 
 def advice_in_window(advice: DataFrame, w: ReportWindow) -> DataFrame:
     """Fraud advice created in the window."""
-    return (advice.where(_between("create_date", w.from_post, w.to))
+    return (advice.where(_between(advice, "create_date", w.from_post, w.to))
             .select("acquirer_ref_number", "create_date", "create_date_ts"))

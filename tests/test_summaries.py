@@ -62,3 +62,17 @@ def test_fused_summaries_equal_separate(spark):
     assert _sorted(a, b.columns) == _sorted(b, b.columns)
     a, b = fused.chargebacks, chargeback_summary(dep, cbk)
     assert _sorted(a, b.columns) == _sorted(b, b.columns)
+
+
+def test_q9_timestamp_window_keeps_last_day(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    pays = frame(spark, [deposit(1, D(2019, 9, 30)), deposit(2, D(2019, 10, 1))], PAYMENT_SCHEMA)
+    as_ts = pays.withColumn("created_date", F.col("created_date").cast("timestamp_ntz") + F.expr("INTERVAL 13 HOURS"))
+    got = sorted(r.payment_id for r in payments_in_range(as_ts, W).collect())
+    assert got == [1]
+    # C13: last day kept; created day 14 of the month before the window dropped, day 15 kept
+    rows = [deposit(3, D(2019, 9, 30)), deposit(4, D(2018, 8, 14), batch_post_day=D(2018, 9, 3)),
+            deposit(5, D(2018, 8, 15), batch_post_day=D(2018, 9, 3))]
+    got = sorted(r.payment_id for r in payments_in_range(frame(spark, rows, PAYMENT_SCHEMA), W).collect())
+    assert got == [3, 5]
