@@ -65,7 +65,6 @@ def test_fused_summaries_equal_separate(spark):
 
 
 def test_q9_timestamp_window_keeps_last_day(spark):
-    import datetime as dt
     from pyspark.sql import functions as F
     pays = frame(spark, [deposit(1, D(2019, 9, 30)), deposit(2, D(2019, 10, 1))], PAYMENT_SCHEMA)
     as_ts = pays.withColumn("created_date", F.col("created_date").cast("timestamp_ntz") + F.expr("INTERVAL 13 HOURS"))
