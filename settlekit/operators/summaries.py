@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from settlekit.functions.fraud import fraud_flag
 from settlekit.functions.keys import null_as_empty_join
 from settlekit.operators.payments import GROUP3, GROUP4, GROUP7, deposit_volume, major_amount
+from settlekit.session import shared_dir
 
 
 def refund_totals_by_parent(ref: DataFrame) -> DataFrame:
@@ -87,7 +88,7 @@ class DepositSummaries:
     chargebacks: DataFrame      # 4 keys + chargeback measures
 
 
-def deposit_summaries(dep: DataFrame, ref: DataFrame, cbk: DataFrame) -> DepositSummaries:
+def deposit_summaries(dep: DataFrame, ref: DataFrame, cbk: DataFrame, materialize: bool = False) -> DepositSummaries:
     """Volume, refund and chargeback summaries from one pass over the deposits.
 
     Deposits meet refund and chargeback totals in two left joins on the same
@@ -95,6 +96,12 @@ def deposit_summaries(dep: DataFrame, ref: DataFrame, cbk: DataFrame) -> Deposit
     and the 3-key refund and 4-key chargeback totals are rolled up from that
     small aggregate. Equal to ``deposit_refund_summary`` and
     ``chargeback_summary`` row for row.
+
+    Each consumer of the aggregate is optimized on its own, and Spark prunes
+    the join whose columns that consumer does not need, so three consumers
+    would re-read and re-shuffle the deposits. With ``materialize`` the
+    aggregate (one row per merchant key group) is checkpointed once to the
+    shared checkpoint folder and every consumer reads that.
     """
     per_parent = refund_totals_by_parent(ref)
     per_deposit = chargeback_totals_by_deposit(cbk)
@@ -111,6 +118,9 @@ def deposit_summaries(dep: DataFrame, ref: DataFrame, cbk: DataFrame) -> Deposit
                  F.sum("cbk_s").alias("cbk_s"),
                  F.sum("cbk_fn").alias("cbk_fn"),
                  F.sum("cbk_fs").alias("cbk_fs")))
+    if materialize:
+        shared_dir(dep.sparkSession)
+        agg7 = agg7.checkpoint(eager=True)
     with_completed = agg7.where(F.col("n_completed") > 0)
     volume = with_completed.select(*GROUP7, "vol_deposit_count", "vol_deposit_settlement_amount")
     refunds3 = (with_completed.groupBy(*GROUP3)

@@ -80,7 +80,7 @@ def monthly_exception_report(payments: DataFrame, chargebacks: DataFrame, advice
 
 def _report(dep: DataFrame, ref: DataFrame, cbk: DataFrame, advice: DataFrame, w: ReportWindow,
             row_counts: bool = False) -> DataFrame:
-    sums = deposit_summaries(dep, ref, cbk)
+    sums = deposit_summaries(dep, ref, cbk, materialize=True)
     report = _assemble(sums.volume_refunds, sums.chargebacks, "c_")
     report = _assemble(report, refund_match_summary(ref), "m_")
     report = _assemble(report, advice_metrics(advice, dep, ref, cbk, w, row_counts=row_counts), "a_")
