@@ -6,7 +6,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from settlekit.functions.periods import as_date
 from settlekit.operators.recon import (
     CountRequest, count_branches, reconcile, replay_candidates, requests_from_candidates,
     requests_from_control,
@@ -27,14 +29,18 @@ def reconciliation_requests(control: DataFrame, history: DataFrame, run_date, re
 def run_reconciliation(spark: SparkSession, control: DataFrame, audit: DataFrame, history: DataFrame, run_date,
                        as_of, replay_days: int, base: str, tables: Mapping[str, DataFrame] | None = None,
                        table: str | None = None, inserted_at: str | None = None,
-                       app_id: str | None = None) -> DataFrame:
+                       app_id: str | None = None, show: bool = False) -> DataFrame:
     """Count, compare and append. All counts run as one job; if that job fails
     at run time (a bad cast in one stored query, say), each branch is run on
-    its own and only the failing ones are marked ``F``. Returns the rows written."""
+    its own and only the failing ones are marked ``F``. With ``show`` the rows
+    are also printed untruncated (one row per request). Returns the rows written."""
     requests = reconciliation_requests(control, history, run_date, replay_days)
     results = reconcile(spark, requests, audit, as_of, tables, inserted_at=inserted_at, app_id=app_id)
     try:
         append_results(results, base, run_date, table)
+        if show:
+            spark.read.parquet(base).where(F.col("extract_date") == F.lit(as_date(run_date))).show(
+                len(requests) * 2 + 20, truncate=False)
         return results
     except Exception:  # run-time failure inside one branch: isolate it
         pass
