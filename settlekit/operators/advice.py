@@ -302,9 +302,10 @@ def block_value(m: Measure) -> str:
     if m.kind == "dep":
         return f"CASE WHEN dep IS NULL AND NOT {all_rows} THEN 0 ELSE m * {p} * {q} * dep END"
     if m.kind == "cbk":
-        return f"CASE WHEN {_c_factor('nn', m.p)} = 0 AND {all_rows} THEN NULL ELSE m * {_c_factor('s', m.p)} * {q} END"
+        # integer factors first: one decimal multiplication per block value
+        return f"CASE WHEN {_c_factor('nn', m.p)} = 0 AND {all_rows} THEN NULL ELSE m * {q} * {_c_factor('s', m.p)} END"
     part = _day_part(m.q[3:])
-    return f"CASE WHEN fd_nn_{part} = 0 AND {all_rows} THEN NULL ELSE m * fd_s_{part} * {p} END"
+    return f"CASE WHEN fd_nn_{part} = 0 AND {all_rows} THEN NULL ELSE m * {p} * fd_s_{part} END"
 
 
 def _attach(blocks: DataFrame, prof: DataFrame, keys: list[str], prefix: str) -> DataFrame:
