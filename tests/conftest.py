@@ -16,7 +16,9 @@ from settlekit.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("*", shuffle_partitions=8)
+    import tempfile
+    s = local_session("*", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="settlekit-warehouse-")})
     yield s
 
 
