@@ -41,12 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir`` (or a checkpoint folder already set on
     the context); on a cluster that points at shared storage and is only read
-    here. Only when neither is set (local tests) is a fresh local folder
-    created and set as the checkpoint folder.
+    here. Only in local mode (tests, the bench) is a fresh local folder
+    created and set when neither is configured; on a cluster a missing
+    setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder (e.g. on HDFS or object storage)")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="settlekit-ckpt-"))
         configured = sc.getCheckpointDir()
     return configured.rstrip("/")

@@ -48,3 +48,10 @@ def test_null_as_empty_is_not_null_safe_equality(spark):
                      F.col("l").eqNullSafe(F.col("r")).alias("ns")).collect()
     assert [r.eq for r in rows] == [True, True, True, False]
     assert [r.ns for r in rows] == [False, True, True, False]
+
+
+def test_shared_dir_is_set_in_local_mode(spark):
+    from settlekit.session import shared_dir
+    path = shared_dir(spark)
+    assert path and spark.sparkContext.getCheckpointDir()
+    assert shared_dir(spark) == path           # stable: read, not re-created
