@@ -123,3 +123,14 @@ def test_one_job_for_all_counts(spark, tables):
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") >= 1
     assert sorted(tuple(r) for r in counts.collect()) == [(0, 10), (1, 3), (2, 1)]
+
+
+def test_control_from_parquet_and_show(spark, tables, capsys):
+    ctl_path = scratch_path(spark, "test-control")
+    control(spark, [(1, "t1", "d", 0, None), (2, "ts", "ts", 0, None)]).write.parquet(ctl_path)
+    ctl = spark.read.parquet(ctl_path)
+    base = scratch_path(spark, "test-recon-show")
+    out = run_reconciliation(spark, ctl, spark.createDataFrame([], AUDIT), spark.createDataFrame([], HISTORY),
+                             "2019-10-05", "2019-10-31", 10, base, tables, inserted_at="x", app_id="app", show=True)
+    assert sorted((r["id"], r["bda_count"]) for r in out.collect()) == [(1, 10), (2, 1)]
+    assert "runtime_sql" in capsys.readouterr().out
