@@ -55,3 +55,21 @@ def test_shared_dir_is_set_in_local_mode(spark):
     path = shared_dir(spark)
     assert path and spark.sparkContext.getCheckpointDir()
     assert shared_dir(spark) == path           # stable: read, not re-created
+
+
+def test_minor_to_major_matches_decimal_arithmetic(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rows = []
+
+    @settings(max_examples=200, deadline=None, derandomize=True)
+    @given(st.integers(min_value=-(2 ** 63), max_value=2 ** 63 - 1), st.integers(min_value=-1, max_value=8))
+    def collect(amount, precision):
+        rows.append((amount, precision))
+
+    collect()
+    df = spark.createDataFrame(rows, "a bigint, p int")
+    got = [r[0] for r in df.select(minor_to_major("a", "p")).collect()]
+    want = [Decimal(a).scaleb(-p) if 0 <= p <= 6 else None for a, p in rows]
+    assert got == want
