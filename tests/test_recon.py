@@ -134,3 +134,17 @@ def test_control_from_parquet_and_show(spark, tables, capsys):
                              "2019-10-05", "2019-10-31", 10, base, tables, inserted_at="x", app_id="app", show=True)
     assert sorted((r["id"], r["bda_count"]) for r in out.collect()) == [(1, 10), (2, 1)]
     assert "runtime_sql" in capsys.readouterr().out
+
+
+def test_one_scan_per_table_for_all_days(spark):
+    base = scratch_path(spark, "test-one-scan")
+    spark.createDataFrame([(dt.datetime(2019, 10, d, 12),) for d in range(1, 6) for _ in range(d)],
+                          "ts timestamp_ntz").write.parquet(base)
+    tables = {"EVENTS": spark.read.parquet(base)}
+    ctl = control(spark, [(1, "events", "ts", 0, None), (2, "events", "ts", 2, None), (3, "events", "ts", 4, None)])
+    reqs = R.requests_from_control(ctl, "2019-10-05")
+    counts, failed = R.own_counts(spark, reqs, tables)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert "GreaterThanOrEqual(ts,2019-10-01T00:00)" in plan and "LessThan(ts,2019-10-06T00:00)" in plan
+    assert sorted(tuple(r) for r in counts.collect()) == [(0, 5), (1, 3), (2, 1)]
