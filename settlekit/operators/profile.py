@@ -100,6 +100,7 @@ def attach_date_profile(queries: DataFrame, events: DataFrame, keys: Sequence[st
                 ks += list(range(s.horizon + 1)) if s.exact else [s.horizon]
             sweeps.append(f"COALESCE(SUM({col}) OVER ({whole}), 0) AS {total}")
             sweeps += [f"{cum(k)} AS {alias(k)}" for k in ks]
+            drop += [total] + [alias(k) for k in ks]
             out.append(f"CASE WHEN {missing} THEN 0 ELSE {alias(-1)} END AS {s.name}_{v}_lt")
             out.append(f"CASE WHEN {missing} THEN 0 ELSE {total} - {alias(-1)} END AS {s.name}_{v}_ge")
             if s.horizon is not None:
@@ -107,13 +108,10 @@ def attach_date_profile(queries: DataFrame, events: DataFrame, keys: Sequence[st
                 if s.exact:
                     out += [f"CASE WHEN {missing} THEN 0 ELSE {alias(k)} - {alias(k - 1)} END AS {s.name}_{v}_eq{k}"
                             for k in range(s.horizon + 1)]
-        drop += [f"__a{i}_{v}" for v in s.values]
-        drop += [c for c in [f"__c{i}_{v}_{'m' if k < 0 else ''}{abs(k)}" for v in s.values
-                             for k in [-1] + list(range((s.horizon or 0) + 1))]]
     sweeps += [f"COALESCE(SUM(__t_{t}) OVER ({whole}), 0) AS {_q(name)}" for t, name in totals.items()]
     swept = stream.selectExpr("*", *sweeps).where("__query")
     return (swept.selectExpr("*", *out)
-            .drop(*[c for c in drop if c in swept.columns])
+            .drop(*drop)
             .drop("__query", *[f"__o{i}" for i in range(len(specs))],
                   *[f"__v{i}_{v}" for i, s in enumerate(specs) for v in s.values],
                   *[f"__t_{t}" for t in totals]))
