@@ -34,6 +34,15 @@ from settlekit.sources.fixtures import settlement_inputs  # noqa: E402
 from settlekit.sources.scans import chargebacks_in_window, payments_in_range  # noqa: E402
 from settlekit.sources.sinks import append_results, scratch_path, write_report  # noqa: E402
 
+try:
+    from settlekit.llm import queries as training_data
+except ImportError:
+    training_data = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 RUN_DATE, AS_OF, REPLAY_DAYS = O.RUN_DATE, O.AS_OF, O.REPLAY_DAYS
 INSERTED_AT, APP_ID = O.INSERTED_AT, O.APP_ID
 
@@ -258,6 +267,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "select_control": q_select_control,
         "results_append_roundtrip": q_results_append_roundtrip,
         "reconciliation_job": q_reconciliation_job,
+        **(training_data.queries() if training_data else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
@@ -357,4 +368,5 @@ SELECT * FROM fx_control c WHERE count_ind = 'Y' AND table_type = 'DIM'
                                     f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({recon}) r",
         "reconciliation_job": f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({recon}) r\nUNION ALL\n"
                               f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({O.replay_counts_sql()}) p",
+        **(training_data.oracle_sql() if training_data else {}),
     }
