@@ -37,7 +37,7 @@ NEAR_DEDUP_SQL = f"""WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 shingles AS (
   SELECT doc_id, unnest(list_distinct(CASE
-    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))
+    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
   FROM words),
 sizes AS (
