@@ -10,8 +10,8 @@ How it runs
    Documents with equal sets form a class; one of each goes on (copies are never
    expanded into pairs).
 2. Classes are posted under their tokens. Pairs above the similarity agree in
-   at least ``matches`` coordinates but for a chance below 3e-9 (Chernoff bound at
-   85 %: 48 coordinates, 22 matches). So, with tokens ordered by rarity, such a
+   at least ``matches`` coordinates but for a chance below ``missed`` (Chernoff
+   bound; 22 of 48 at 85 %, 19 of 48 at 80 %). With tokens ordered by rarity, such a
    pair shares one of the first coordinates - matches + 1 of each side; tokens
    nobody shares come first and cost nothing, and a class with that many
    unshared tokens has no partner.
@@ -34,6 +34,7 @@ output column are replaced by it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,7 @@ from settlekit.llm import blocks as B
 from settlekit.llm.components import connected_components
 
 WIDTH, PERCENT = 5, 80
-COORDINATES, MATCHES = 48, 22
+COORDINATES, MISSED = 48, 1e-8
 PIVOTS, TRIES = 4, 2     # members of a list that the others meet (first the most central); how many are confirmed
 PIVOT_ROUNDS = 6
 WORTH = 50               # a round that confirms under one pair in so many is the last
@@ -81,6 +82,16 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
     return rows[keep], h[keep]
 
 
+def matches_for(percent: int, coordinates: int, missed: float) -> int:
+    """The most matches t such that a pair at the similarity has fewer with a chance below ``missed``."""
+    j = min(percent / 100, 1 - 1e-9)
+    for t in range(int(j * coordinates), 0, -1):
+        p = t / coordinates
+        if p < j and coordinates * (p * math.log(p / j) + (1 - p) * math.log((1 - p) / (1 - j))) > -math.log(missed):
+            return t
+    return 1
+
+
 def _signatures(batches: Iterator[pa.RecordBatch], width: int, coordinates: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n_rows = batch.num_rows
@@ -156,12 +167,9 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int, step: int = 256) -> Ite
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                           percent: int = PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
-    """``(id, n_shingles, component_id, kept)``, one row per input row.
-
-    ``matches`` must suit ``percent``; the default pair is safe for 80 % and more
-    (a link at 80 % is missed with a chance below 3e-7).
-    """
+                           percent: int = PERCENT, coordinates: int = COORDINATES, missed: float = MISSED) -> DataFrame:
+    """``(id, n_shingles, component_id, kept)``, one row per input row."""
+    matches = matches_for(percent, coordinates, missed)
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     sig = B.shared_table(spark, texts.mapInArrow(

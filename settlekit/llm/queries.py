@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from settlekit.llm.blocks import ship
+from settlekit.llm.blocks import crc_mod, ship
+from settlekit.llm.decontaminate import benchmark_hits
+from settlekit.llm.language_id import fit_language_model, identify
 from settlekit.llm.near_dedup import near_duplicate_classes
+from settlekit.llm.piece_model import PieceModel
+from settlekit.llm.pieces import encode
 from settlekit.llm.suffix_dedup import suffix_dedup
+from settlekit.llm.token_counts import count_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,6 +20,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def piece_model(name: str = "piece_bpe_32k.model") -> PieceModel:
+    import public_tokenizers
+    return PieceModel.read(public_tokenizers.path(name))
+
+
+def q_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_language_model(docs.where(crc_mod("doc_id", 3) != 1).select("doc_id", "text", "lang"))
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def q_near_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicate_classes(docs, width=3, percent=85)
@@ -24,10 +42,27 @@ def q_suffix_dedup(spark, sf_dir):
     return suffix_dedup(docs, length=50, with_text=False)
 
 
+def q_token_counts(spark, sf_dir):
+    return count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), limit=4096)
+
+
+def q_sentencepiece(spark, sf_dir):
+    return encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), check=True)
+
+
+def q_decontaminate(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return benchmark_hits(docs, _table(spark, sf_dir, "benchmark"), window=13, coverage=20)
+
+
 def queries():
     return {
+        "op1_language_id": q_language_id,
         "op2_minhash_near_dedup": q_near_dedup,
         "op5_suffix_array_dedup": q_suffix_dedup,
+        "op7_token_counts": q_token_counts,
+        "op8_sentencepiece": q_sentencepiece,
+        "op10_decontamination": q_decontaminate,
     }
 
 
@@ -77,8 +112,37 @@ SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(c.re
 FROM d LEFT JOIN cut c ON c.doc_id = d.doc_id"""
 
 
+DECONTAMINATION_SQL = """WITH item_words AS (
+  SELECT item_id, regexp_extract_all(LOWERED, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT item_id, least(len(w), 13) AS n,
+         unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2),
+                               lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS s
+  FROM item_words WHERE len(w) > 0),
+doc_words AS (
+  SELECT doc_id, regexp_extract_all(LOWERED, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM doc_words JOIN sizes ON len(w) >= n),
+hits AS (
+  SELECT DISTINCT p.doc_id, p.i, p.n, x.item_id
+  FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s FROM places) p
+  JOIN windows x ON x.n = p.n AND x.s = p.s),
+hit_words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (
+  SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(i.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM doc_words d LEFT JOIN hit_words h ON h.doc_id = d.doc_id LEFT JOIN hit_items i ON i.doc_id = d.doc_id""".replace(
+    "LOWERED", _LOWER)
+
+
 def oracle_sql():
     return {
+        "op10_decontamination": DECONTAMINATION_SQL,
         "op2_minhash_near_dedup": NEAR_DEDUP_SQL,
         "op5_suffix_array_dedup": SUFFIX_DEDUP_SQL,
     }
