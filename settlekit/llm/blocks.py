@@ -172,3 +172,19 @@ def ship(spark: SparkSession) -> None:
         zipped = shutil.make_archive(f"{tempfile.mkdtemp(prefix='settlekit-ship-')}/settlekit", "zip", root, "settlekit")
         sc.addPyFile(zipped)
         _shipped.add(sc.applicationId)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_label: dict, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """``(text, label, key)`` of at most ``per_label[label]`` labelled ids per label, the
+    least by a hash of the id. Only the chosen ids are broadcast, so their number is
+    bounded, and the documents are not shuffled."""
+    key = F.xxhash64(F.col(id_col).cast("string"))
+    chosen = None
+    for label, n in per_label.items():
+        some = labels.where(F.col(label_col) == label).select(F.col(id_col).alias("__id"), F.lit(label).alias("label"),
+                                                              key.alias("key")).where("__id IS NOT NULL")
+        some = some.orderBy("key", "__id").limit(n)
+        chosen = some if chosen is None else chosen.unionByName(some)
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
+    return texts.join(F.broadcast(chosen), "__id").select("text", "label", "key")

@@ -160,16 +160,16 @@ def fit_language_model(labelled: DataFrame, id_col: str = "doc_id", text_col: st
                        per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES,
                        max_bytes: int = MAX_BYTES, **options) -> LanguageModel:
     """Trains on at most ``per_language`` texts of each of the ``max_languages`` most
-    frequent languages, none longer than ``max_bytes`` (at most
-    per_language * max_languages * max_bytes reach the driver)."""
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-                          & (F.octet_length(text_col) <= max_bytes)).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
-        F.xxhash64(F.col(id_col).cast("string")).alias("key"))
+    frequent languages, without those over ``max_bytes`` (so at most per_language *
+    max_languages ids are broadcast, and as many such texts reach the driver)."""
+    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"))
     frequent = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
-    per = Window.partitionBy("lang").orderBy("key", "text")
-    chosen = rows.where(F.col("lang").isin(frequent)).withColumn("rank", F.row_number().over(per)).where(
-        F.col("rank") <= per_language).select("text", "lang").collect()
+    per = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
+    ids = rows.where(F.col("lang").isin(frequent)).withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= per_language)
+    texts = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
+                            F.col(text_col).cast("string").alias("text")).where(F.octet_length("text") <= max_bytes)
+    chosen = texts.join(F.broadcast(ids.select("id", "lang")), ["id", "lang"]).select("text", "lang").collect()
     if not chosen:
         raise ValueError("no labelled text to learn from")
     return train([r[0] for r in chosen], [r[1] for r in chosen], **options)

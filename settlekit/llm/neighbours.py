@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from settlekit.llm import blocks as B
 
 DEGREE, SAMPLE = 32, 48         # neighbours kept; neighbours and reverse neighbours compared per round
-GROUPINGS, GROUP = 8, 2048
-ROUNDS, BEAM, WIDTH, HOPS = 4, 100, 25, 8
+GROUPINGS, GROUP = 14, 2048
+ROUNDS, BEAM, WIDTH, HOPS = 4, 160, 40, 8
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:

@@ -9,10 +9,13 @@ from settlekit.llm.blocks import crc_mod, ship
 from settlekit.llm.decontaminate import benchmark_hits
 from settlekit.llm.language_id import fit_language_model, identify
 from settlekit.llm.near_dedup import near_duplicate_classes
+from settlekit.llm.neighbours import nearest
 from settlekit.llm.piece_model import PieceModel
 from settlekit.llm.pieces import encode
+from settlekit.llm.quality import fit_quality_model, score_quality
 from settlekit.llm.suffix_dedup import suffix_dedup
 from settlekit.llm.token_counts import count_tokens
+from settlekit.llm.toxicity import fit_toxicity_model, score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +32,7 @@ def q_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = fit_language_model(docs.where(crc_mod("doc_id", 3) != 1).select("doc_id", "text", "lang"))
     return identify(docs.select("doc_id", "text"), model).select(
-        "doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
+        "doc_id", _held_out(3, 1), "lang_pred", "score", "accepted")
 
 
 def q_near_dedup(spark, sf_dir):
@@ -37,6 +40,24 @@ def q_near_dedup(spark, sf_dir):
     return near_duplicate_classes(docs, width=3, percent=85)
 
 
+def _held_out(m: int, remainder: int):
+    return F.coalesce(crc_mod("doc_id", m) == remainder, F.lit(False)).alias("held_out")
+
+
+def q_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0)
+    scored = score_toxicity(docs, fit_toxicity_model(docs, labels))
+    return scored.select("doc_id", _held_out(5, 0), "score", "predicted")
+
+
+def q_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0)
+    scored = score_quality(docs, fit_quality_model(docs, labels))
+    return scored.select("doc_id", _held_out(5, 0), "score", "predicted")
+
+
 def q_suffix_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup(docs, length=50, with_text=False)
@@ -50,6 +71,11 @@ def q_sentencepiece(spark, sf_dir):
     return encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), check=True)
 
 
+def q_neighbours(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(rows, rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("id")), k=20)
+
+
 def q_decontaminate(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return benchmark_hits(docs, _table(spark, sf_dir, "benchmark"), window=13, coverage=20)
@@ -59,9 +85,12 @@ def queries():
     return {
         "op1_language_id": q_language_id,
         "op2_minhash_near_dedup": q_near_dedup,
+        "op3_toxicity": q_toxicity,
+        "op4_quality": q_quality,
         "op5_suffix_array_dedup": q_suffix_dedup,
         "op7_token_counts": q_token_counts,
         "op8_sentencepiece": q_sentencepiece,
+        "op9_nearest_neighbours": q_neighbours,
         "op10_decontamination": q_decontaminate,
     }
 
