@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from settlekit.llm.blocks import crc_mod, ship
 from settlekit.llm.decontaminate import benchmark_hits
 from settlekit.llm.language_id import fit_language_model, identify
+from settlekit.llm.license_scan import TEMPLATES, scan_licenses
 from settlekit.llm.near_dedup import near_duplicate_classes
 from settlekit.llm.neighbours import nearest
 from settlekit.llm.piece_model import PieceModel
@@ -63,6 +64,10 @@ def q_suffix_dedup(spark, sf_dir):
     return suffix_dedup(docs, length=50, with_text=False)
 
 
+def q_license_scan(spark, sf_dir):
+    return scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def q_token_counts(spark, sf_dir):
     return count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), limit=4096)
 
@@ -88,6 +93,7 @@ def queries():
         "op3_toxicity": q_toxicity,
         "op4_quality": q_quality,
         "op5_suffix_array_dedup": q_suffix_dedup,
+        "op6_license_scan": q_license_scan,
         "op7_token_counts": q_token_counts,
         "op8_sentencepiece": q_sentencepiece,
         "op9_nearest_neighbours": q_neighbours,
@@ -169,8 +175,34 @@ FROM doc_words d LEFT JOIN hit_words h ON h.doc_id = d.doc_id LEFT JOIN hit_item
     "LOWERED", _LOWER)
 
 
+_WORDS = "regexp_extract_all({0}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+LICENSE_SQL = f"""WITH templates(license, text) AS (VALUES
+  {", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in TEMPLATES.items())}),
+t AS (SELECT license, w, least(len(w), 5) AS k, len(w) - least(len(w), 5) + 1 AS places
+      FROM (SELECT license, {_WORDS.format(_LOWER)} AS w FROM templates) WHERE len(w) > 0),
+t_shingles AS (SELECT DISTINCT license, k, places, array_to_string(w[i:i + k - 1], ' ') AS s
+               FROM (SELECT *, unnest(range(1, places + 1)) AS i FROM t)),
+t_sizes AS (SELECT license, count(*) AS n FROM t_shingles GROUP BY license),
+d AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+hits AS (
+  SELECT x.doc_id, s.license, x.i, x.n_places, s.places, s.s
+  FROM (SELECT doc_id, k, i, len(w) - k + 1 AS n_places, array_to_string(w[i:i + k - 1], ' ') AS s
+        FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+              FROM d, (SELECT DISTINCT k FROM t) WHERE len(w) >= k)) x
+  JOIN t_shingles s ON s.k = x.k AND s.s = x.s),
+windows AS (
+  SELECT doc_id, license, p, count(DISTINCT s) AS shared
+  FROM (SELECT *, unnest(range(greatest(1, i - places + 1), least(i, n_places - places + 1) + 1)) AS p FROM hits)
+  GROUP BY doc_id, license, p)
+SELECT w.doc_id, w.license, count(*) AS n_windows, max(w.shared) / CAST(max(z.n) AS DOUBLE) AS containment,
+       min(w.p) - 1 AS first_word
+FROM windows w JOIN t_sizes z ON z.license = w.license WHERE 100 * w.shared >= 80 * z.n
+GROUP BY w.doc_id, w.license"""
+
+
 def oracle_sql():
     return {
+        "op6_license_scan": LICENSE_SQL,
         "op10_decontamination": DECONTAMINATION_SQL,
         "op2_minhash_near_dedup": NEAR_DEDUP_SQL,
         "op5_suffix_array_dedup": SUFFIX_DEDUP_SQL,
