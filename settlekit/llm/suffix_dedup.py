@@ -392,6 +392,8 @@ def _pack_texts(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.Re
 def _slot_spans(blobs: pa.Table, columns: int) -> dict[tuple[int, int], tuple[np.ndarray, ...]]:
     """Spans by (document, fingerprint)."""
     got = _unpack_all(blobs["blob"].to_pylist(), columns)
+    if not len(got[0]):
+        return {}
     order = np.lexsort((got[2], got[1], got[0]))
     got = [g[order].astype(np.int64) for g in got]
     first = B.group_starts(got[0], got[1])
