@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: Row separators of the word rules: space and \t \n \v \f \r.
 SPACES = (0x20, *range(0x09, 0x0E))
 

@@ -43,8 +43,8 @@ from settlekit.llm import blocks as B
 
 LENGTH = 50
 SEED = 20
-BLOCK_BYTES = 24 << 20      # text per locally settled block
-BUCKET_BYTES = 180 << 20    # text per minimizer bucket (about 12 MB packed)
+BLOCK_BYTES = 6 << 20      # text per locally settled block
+BUCKET_BYTES = 5 << 20      # text per minimizer bucket (about 4 MB packed)
 SLOT_BYTES = 16 << 20       # text per document slot
 OUTPUTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -489,7 +489,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     others = [c for c in docs.columns if c not in (id_col, text_col, *made) and not c.startswith("__")]
     pair = docs.select(F.col(id_col).cast("bigint").alias("__id"), F.col(text_col).cast("string").alias("__text"))
     _, volume = B.text_volume(pair, "__text")
-    buckets = 1 << max(3, (volume // BUCKET_BYTES * 12).bit_length())
+    buckets = 1 << max(3, (volume // BUCKET_BYTES).bit_length())
     slots = max(8, volume // SLOT_BYTES)
     packed = pair.mapInArrow(lambda it: _pack_runs(it, length, seed, buckets), "bucket int, blob binary")
     judged = B.shared_table(spark, packed.groupBy("bucket").applyInArrow(
