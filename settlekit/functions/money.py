@@ -1,9 +1,13 @@
 """Money in minor units to exact major units.
 
-A stored amount of 1234 with a reporting precision of 2 is 12.34. The amount
-becomes ``decimal(20,0)`` and is multiplied by an exact power-of-ten literal, so
-the product is ``decimal(28,6)`` and its sum ``decimal(38,6)``: exact, and
-independent of row order. Precisions outside 0..6 give NULL.
+A stored amount of 1234 with a reporting precision of 2 is 12.34. Amounts are
+carried as whole numbers of 10^-18 (``decimal(38,0)``): sums, differences and
+products with counts are then exact and independent of row order, whatever the
+precision of a row. They become ``decimal(38,18)`` once, at the end.
+
+A precision that 10^-18 cannot hold, or an amount with digits beyond it, is an
+error that names both; nothing is rounded and no row drops out. A NULL amount or
+precision gives NULL.
 """
 
 from __future__ import annotations
@@ -13,27 +17,46 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_PRECISION = 6
-SCALED = "decimal(20,0)"
-FACTOR = f"decimal({MAX_PRECISION + 1},{MAX_PRECISION})"
+UNIT_DIGITS = 18
+UNITS = "decimal(38,0)"
 REPORT_AMOUNT = "decimal(38,18)"
+PRECISIONS = range(UNIT_DIGITS - 37, UNIT_DIGITS + 1)     # 10^(18 - p) has at most 38 digits
 
 
-def _factor(precision: Column) -> Column:
-    expr = None
-    for p in range(MAX_PRECISION + 1):
-        value = F.lit(Decimal(1).scaleb(-p)).cast(FACTOR)
-        expr = F.when(precision == p, value) if expr is None else expr.when(precision == p, value)
-    return expr
+def _column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def minor_to_major(amount: Column | str, precision: Column | str) -> Column:
-    """``amount * 10^-precision`` as ``decimal(28,6)``."""
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    precision = F.col(precision) if isinstance(precision, str) else precision
-    return amount.cast(SCALED) * _factor(precision)
+def minor_units(amount: Column | str, precision: Column | str) -> Column:
+    """``amount * 10^-precision`` in units of 10^-18."""
+    amount, precision = _column(amount), _column(precision)
+    whole = amount.cast("decimal(20,0)")
+    factor = F.when(precision == UNIT_DIGITS, F.lit(Decimal(1)).cast(UNITS))
+    for p in PRECISIONS[:-1]:
+        factor = factor.when(precision == p, F.lit(Decimal(10) ** (UNIT_DIGITS - p)).cast(UNITS))
+    # fractional amounts go through their decimal text, where the exponent is exact
+    digits = F.length(F.regexp_extract(amount.cast("string"), r"\.(\d*?)0*$", 1))
+    text = F.concat(amount.cast("string"), F.lit("E"), (F.lit(UNIT_DIGITS) - precision).cast("string"))
+    unfit = F.raise_error(F.concat(F.lit("amount "), amount.cast("string"), F.lit(" with precision "), precision.cast("string"),
+                                   F.lit(f" has no exact value in units of 10^-{UNIT_DIGITS}"))).cast(UNITS)
+    return (F.when(amount.isNull() | precision.isNull(), F.lit(None).cast(UNITS))
+            .when(amount == 0, F.lit(0).cast(UNITS))
+            .when(~precision.between(PRECISIONS[0], PRECISIONS[-1]), unfit)
+            .when(whole == amount, (whole * factor).cast(UNITS))
+            .when(digits + precision > UNIT_DIGITS, unfit)
+            .otherwise(text.cast(UNITS)))
+
+
+def units(amount: Column | str) -> Column:
+    """A major amount in units of 10^-18."""
+    return F.concat(_column(amount).cast(REPORT_AMOUNT).cast("string"), F.lit(f"E{UNIT_DIGITS}")).cast(UNITS)
 
 
-def zero_amount() -> Column:
-    """A zero of the major-amount type, for ``otherwise`` branches."""
-    return F.lit(0).cast("decimal(28,6)")
+def from_units(value: Column | str) -> Column:
+    """Units of 10^-18 as ``decimal(38,18)``."""
+    return F.concat(_column(value).cast("string"), F.lit(f"E-{UNIT_DIGITS}")).cast(REPORT_AMOUNT)
+
+
+def minor_to_major(amount: Column | str, precision: Column | str) -> Column:
+    """``amount * 10^-precision`` as ``decimal(38,18)``."""
+    return from_units(minor_units(amount, precision))

@@ -32,9 +32,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settlekit.functions.fraud import fraud_flag
-from settlekit.functions.money import minor_to_major
+from settlekit.functions.money import from_units, minor_to_major, units
 from settlekit.functions.periods import ReportWindow
-from settlekit.operators.payments import GROUP4, major_amount
+from settlekit.operators.payments import GROUP4, amount_units
 from settlekit.operators.profile import ProfileSpec, attach_date_profile
 from settlekit.session import shared_dir
 from settlekit.sources.scans import advice_in_window
@@ -113,7 +113,7 @@ def select_measures(families=("all", "class", "day"), row_counts: bool = False)
 
 def advice_detail(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFrame, w: ReportWindow) -> DataFrame:
     """One row per advice x completed deposit x full refund x chargeback (the
-    reference's detail view). Output-sized: use for drill-down, not for totals."""
+    reference's detail view), dates as calendar days. Output-sized: use for drill-down, not for totals."""
     a = advice_in_window(advice, w).alias("a")
     d = dep.where(F.col("complete_date").isNotNull()).alias("d")
     r = ref.alias("r")
@@ -126,10 +126,10 @@ def advice_detail(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFr
         F.col("d.merchant_id"), F.col("d.payment_id"), F.col("d.settlement_currency_code"),
         F.col("d.settlement_currency_desc"), F.col("d.method_of_payment_code"),
         minor_to_major("d.settlement_amount", "d.settlement_rpt_precision").alias("frd_deposit_settlement_amount"),
-        F.col("a.create_date").alias("frd_advice_date"),
-        F.col("r.ot_start_ts").alias("frd_refund_date"),
+        F.to_date("a.create_date").alias("frd_advice_date"),
+        F.to_date("r.ot_start_ts").alias("frd_refund_date"),
         minor_to_major("r.settlement_amount", "r.settlement_rpt_precision").alias("frd_refund_settlement_amount"),
-        F.col("c.issuing_bank_day").alias("frd_cbk_date"),
+        F.to_date("c.issuing_bank_day").alias("frd_cbk_date"),
         F.col("c.chargeback_amount").alias("frd_cbk_amount"),
         fraud_flag("c.method_of_payment_code", "c.reason_code").alias("is_fraud_cbk"),
         F.datediff(F.to_date("c.issuing_bank_day_ts"), adv_day).alias("cbk_days_after_cps_reported"),
@@ -201,11 +201,11 @@ def advice_blocks(advice: DataFrame, dep: DataFrame, w: ReportWindow) -> DataFra
     the number of advice rows. Identical blocks are then collapsed again."""
     groups = (advice_in_window(advice, w)
               .where(F.col("acquirer_ref_number").isNotNull())
-              .groupBy("acquirer_ref_number", F.col("create_date").alias("adv_date"),
+              .groupBy("acquirer_ref_number", F.to_date("create_date").alias("adv_date"),
                        F.to_date("create_date_ts").alias("adv_day"))
               .agg(F.count(F.lit(1)).alias("m")))
     d = (dep.where(F.col("complete_date").isNotNull() & F.col("txn_reference_number").isNotNull())
-         .select(*GROUP4, "payment_id", "amount", "txn_reference_number", major_amount().alias("dep")))
+         .select(*GROUP4, "payment_id", "amount", "txn_reference_number", amount_units().alias("dep")))
     pairs = d.join(groups, d["txn_reference_number"] == groups["acquirer_ref_number"])
     # identical blocks add up: every block contribution is linear in m
     return (pairs.groupBy(*GROUP4, "payment_id", "amount", "dep", "adv_date", "adv_day")
@@ -214,10 +214,10 @@ def advice_blocks(advice: DataFrame, dep: DataFrame, w: ReportWindow) -> DataFra
 
 def _chargeback_events(cbk: DataFrame) -> DataFrame:
     fraud = fraud_flag("method_of_payment_code", "reason_code")
-    amt = F.col("chargeback_amount")
+    amt = units("chargeback_amount")
     return cbk.select(
         F.col("deposit_id").alias("payment_id"),
-        F.col("issuing_bank_day").alias("c_date"),
+        F.to_date("issuing_bank_day").alias("c_date"),
         F.to_date("issuing_bank_day_ts").alias("c_day"),
         F.lit(1).cast("bigint").alias("n"),
         fraud.cast("bigint").alias("f"),
@@ -229,14 +229,14 @@ def _chargeback_events(cbk: DataFrame) -> DataFrame:
 
 
 def _refund_events(ref: DataFrame) -> DataFrame:
-    amt = major_amount()
+    amt = amount_units()
     return ref.select(
         F.col("parent_id").alias("payment_id"),
         F.col("amount"),
-        F.col("ot_start_ts").alias("r_date"),
+        F.to_date("ot_start_ts").alias("r_date"),
         F.to_date("ot_start_ts_ts").alias("r_day"),
         F.lit(1).cast("bigint").alias("n"),
-        F.coalesce(amt, F.lit(0).cast("decimal(28,6)")).alias("s"),
+        F.coalesce(amt, F.lit(0)).alias("s"),
         amt.isNotNull().cast("bigint").alias("nn"),
     )
 
@@ -349,6 +349,6 @@ def advice_metrics(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataF
     factors = advice_block_factors(advice, dep, ref, cbk, w)
     measures = select_measures(families, row_counts)
     values = factors.selectExpr(*GROUP4, *[f"{block_value(m)} AS {m.name}" for m in measures])
-    aggs = [F.expr(f"CAST(SUM({m.name}) AS BIGINT) AS {m.name}" if m.kind == "count" else f"SUM({m.name}) AS {m.name}")
+    aggs = [(F.sum(m.name).cast("bigint") if m.kind == "count" else from_units(F.sum(m.name))).alias(m.name)
             for m in measures]
     return values.groupBy(*GROUP4).agg(*aggs)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settlekit.functions.money import minor_to_major
+from settlekit.functions.money import from_units, minor_units
 
 # Fixed values (must equal the reference): action types.
 DEPOSIT_ACTIONS = ("D", "S")
@@ -27,8 +27,13 @@ def refunds(in_range: DataFrame) -> DataFrame:
     return in_range.where(F.col("action_type").isin(*REFUND_ACTIONS) & F.col("complete_date").isNotNull())
 
 
-def major_amount() -> "F.Column":
-    return minor_to_major("settlement_amount", "settlement_rpt_precision")
+def amount_units() -> "F.Column":
+    return minor_units("settlement_amount", "settlement_rpt_precision")
+
+
+def major_sum(units: "F.Column") -> "F.Column":
+    """Exact total of an amount in units, as a major amount."""
+    return from_units(F.sum(units))
 
 
 def deposit_volume(dep: DataFrame) -> DataFrame:
@@ -37,4 +42,4 @@ def deposit_volume(dep: DataFrame) -> DataFrame:
     return (dep.where(F.col("complete_date").isNotNull())
             .groupBy(*GROUP7)
             .agg(F.count("payment_id").alias("vol_deposit_count"),
-                 F.sum(major_amount()).alias("vol_deposit_settlement_amount")))
+                 major_sum(amount_units()).alias("vol_deposit_settlement_amount")))

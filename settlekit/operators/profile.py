@@ -68,13 +68,13 @@ def attach_date_profile(queries: DataFrame, events: DataFrame, keys: Sequence[st
           .agg(*[F.expr(f"SUM({_q(v)}) AS {_q(v)}") for v in values]))
     ev_rows = ev.selectExpr(
         *[_q(k) for k in keys], "false AS __query",
-        *[f"unix_date({_q(s.event_date)}) AS __o{i}" for i, s in enumerate(specs)],
+        *[f"unix_date(CAST({_q(s.event_date)} AS DATE)) AS __o{i}" for i, s in enumerate(specs)],
         *[f"CASE WHEN {_q(s.event_date)} IS NOT NULL THEN {_q(v)} ELSE 0 END AS __v{i}_{v}"
           for i, s in enumerate(specs) for v in s.values],
         *[f"{_q(t)} AS __t_{t}" for t in totals])
     q_rows = queries.selectExpr(
         "*", "true AS __query",
-        *[f"unix_date({_q(s.query_date)}) AS __o{i}" for i, s in enumerate(specs)],
+        *[f"unix_date(CAST({_q(s.query_date)} AS DATE)) AS __o{i}" for i, s in enumerate(specs)],
         *[f"0 AS __v{i}_{v}" for i, s in enumerate(specs) for v in s.values],
         *[f"0 AS __t_{t}" for t in totals])
     stream = q_rows.unionByName(ev_rows, allowMissingColumns=True)

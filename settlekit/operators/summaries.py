@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from settlekit.functions.fraud import fraud_flag
 from settlekit.functions.keys import null_as_empty_join
-from settlekit.operators.payments import GROUP3, GROUP4, GROUP7, deposit_volume, major_amount
+from settlekit.operators.payments import GROUP3, GROUP4, GROUP7, amount_units, deposit_volume, major_sum
 from settlekit.session import shared_dir
 
 
@@ -25,7 +25,7 @@ def refund_totals_by_parent(ref: DataFrame) -> DataFrame:
     """(ref_parent_id, ref_n, ref_s): refunds counted and summed per parent deposit."""
     return (ref.where(F.col("parent_id").isNotNull())
             .groupBy(F.col("parent_id").alias("ref_parent_id"))
-            .agg(F.count("payment_id").alias("ref_n"), F.sum(major_amount()).alias("ref_s")))
+            .agg(F.count("payment_id").alias("ref_n"), F.sum(amount_units()).alias("ref_s")))
 
 
 def chargeback_totals_by_deposit(cbk: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def refunds_by_deposit(dep: DataFrame, ref: DataFrame) -> DataFrame:
               .join(per_parent, F.col("payment_id") == F.col("ref_parent_id"), "left"))
     return (joined.groupBy(*GROUP3)
             .agg(F.coalesce(F.sum("ref_n"), F.lit(0)).cast("bigint").alias("excptn_refund_count"),
-                 F.sum("ref_s").alias("excptn_refund_settlement_amount")))
+                 major_sum(F.col("ref_s")).alias("excptn_refund_settlement_amount")))
 
 
 def deposit_refund_summary(dep: DataFrame, ref: DataFrame) -> DataFrame:
@@ -72,14 +72,14 @@ def chargeback_summary(dep: DataFrame, cbk: DataFrame) -> DataFrame:
 def refund_match_summary(ref: DataFrame) -> DataFrame:
     """Completed refunds per merchant, currency and method: all, and those
     matched to a deposit (``parent_id > 0``)."""
-    major = major_amount()
+    major = amount_units()
     matched = F.col("parent_id") > 0
     return (ref.groupBy(*GROUP4)
             .agg(F.count(F.lit(1)).alias("excptn_refund_mtch_count"),
                  F.sum(F.when(matched, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
                  .alias("excptn_refund_mtch_count_mtchd"),
-                 F.sum(major).alias("excptn_refund_mtch_amount"),
-                 F.sum(F.when(matched, major).otherwise(F.lit(0))).alias("excptn_refund_mtch_amount_mtchd")))
+                 major_sum(major).alias("excptn_refund_mtch_amount"),
+                 major_sum(F.when(matched, major).otherwise(F.lit(0))).alias("excptn_refund_mtch_amount_mtchd")))
 
 
 @dataclass
@@ -111,7 +111,7 @@ def deposit_summaries(dep: DataFrame, ref: DataFrame, cbk: DataFrame, materializ
     agg7 = (act.groupBy(*GROUP7)
             .agg(F.count(F.when(completed, F.lit(1))).alias("n_completed"),
                  F.count(F.when(completed, F.col("payment_id"))).alias("vol_deposit_count"),
-                 F.sum(F.when(completed, major_amount())).alias("vol_deposit_settlement_amount"),
+                 major_sum(F.when(completed, amount_units())).alias("vol_deposit_settlement_amount"),
                  F.sum(F.when(completed, F.col("ref_n"))).alias("ref_n"),
                  F.sum(F.when(completed, F.col("ref_s"))).alias("ref_s"),
                  F.sum("cbk_n").alias("cbk_n"),
@@ -125,7 +125,7 @@ def deposit_summaries(dep: DataFrame, ref: DataFrame, cbk: DataFrame, materializ
     volume = with_completed.select(*GROUP7, "vol_deposit_count", "vol_deposit_settlement_amount")
     refunds3 = (with_completed.groupBy(*GROUP3)
                 .agg(F.coalesce(F.sum("ref_n"), F.lit(0)).cast("bigint").alias("excptn_refund_count"),
-                     F.sum("ref_s").alias("excptn_refund_settlement_amount")))
+                     major_sum(F.col("ref_s")).alias("excptn_refund_settlement_amount")))
     volume_refunds = null_as_empty_join(volume, refunds3, ["merchant_id", "method_of_payment_code"],
                                         ["settlement_currency_code"])
     chargebacks = (agg7.where(F.col("cbk_n") > 0).groupBy(*GROUP4)

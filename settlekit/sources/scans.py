@@ -7,10 +7,13 @@ partitioned by those columns); only the named columns are read.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from settlekit.functions.money import REPORT_AMOUNT
 from settlekit.functions.periods import ReportWindow
 
 # Fixed values (must equal the reference): scan filters.
@@ -34,10 +37,13 @@ CHARGEBACK_COLUMNS = [
 
 def _between(df: DataFrame, col: str, lo, hi):
     """Inclusive day window. DATE columns compare directly (and reach the scan
-    as pushed filters); timestamps or date-time strings are compared by their
-    calendar day, so the last day of the window is kept whole."""
-    c = F.col(col)
-    if not isinstance(df.schema[col].dataType, T.DateType):
+    as pushed filters), timestamps as a half-open range that keeps the last day
+    whole (pushed too), date-time strings by their calendar day."""
+    c, kind = F.col(col), df.schema[col].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        after = hi + dt.timedelta(days=1)
+        return (c >= F.lit(lo.isoformat()).cast(kind)) & (c < F.lit(after.isoformat()).cast(kind))
+    if not isinstance(kind, T.DateType):
         c = F.to_date(c)
     return c.between(F.lit(lo), F.lit(hi))
 
@@ -58,7 +64,14 @@ def chargebacks_in_window(chargebacks: DataFrame, w: ReportWindow) -> DataFrame:
             .where(_between(chargebacks, "open_date", w.from_post, w.to)
                    & (F.col("type") == CHARGEBACK_TYPE)
                    & F.col("current_cycle").isin(*CHARGEBACK_CYCLES))
-            .select(*CHARGEBACK_COLUMNS))
+            .select(*[_exact(chargebacks, c) for c in CHARGEBACK_COLUMNS]))
+
+
+def _exact(df: DataFrame, col: str):
+    """Binary floating-point amounts become decimals at the scan; other columns stay."""
+    if isinstance(df.schema[col].dataType, (T.FloatType, T.DoubleType)):
+        return F.col(col).cast(REPORT_AMOUNT).alias(col)
+    return F.col(col)
 
 
 def advice_in_window(advice: DataFrame, w: ReportWindow) -> DataFrame:
