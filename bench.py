@@ -64,8 +64,10 @@ def main():
     tables = inp.countable_tables()
 
     def report(period, persist=False):
-        return lambda: monthly_exception_report(t["payments"], t["chargebacks"], t["advice"], RUN_DATE, period,
-                                                persist_payments=persist)
+        def run():
+            payments = t["payments"].persist() if persist else t["payments"]
+            return monthly_exception_report(payments, t["chargebacks"], t["advice"], RUN_DATE, period)
+        return run
 
     def branches(period=12):
         w = report_window(RUN_DATE, period)

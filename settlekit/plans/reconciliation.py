@@ -3,17 +3,21 @@ unmatched days (Part II), publication."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from settlekit.functions.periods import as_date
 from settlekit.operators.recon import (
-    CountRequest, count_branches, reconcile, replay_candidates, requests_from_candidates,
-    requests_from_control,
+    FAILED, CountBranch, CountRequest, count_branches, counts_by_request, reconcile, replay_candidates,
+    requests_from_candidates, requests_from_control,
 )
-from settlekit.sources.sinks import append_results
+from settlekit.sources.sinks import append_results, register_partition
+
+GROUP = 200     # branches counted by one job
 
 
 def reconciliation_requests(control: DataFrame, history: DataFrame, run_date, replay_days: int,
@@ -26,34 +30,53 @@ def reconciliation_requests(control: DataFrame, history: DataFrame, run_date, re
     return part1 + part2
 
 
+def _counted(branches: list[CountBranch], failed: dict[int, str]) -> list[tuple]:
+    """(branch, day, n) rows of the branches, at most one per request. A group that
+    fails at run time is halved until the failing branches stand alone."""
+    if not branches:
+        return []
+    try:
+        return [tuple(r) for r in reduce(DataFrame.unionByName, [b.frame for b in branches]).collect()]
+    except Exception as exc:
+        if len(branches) > 1:
+            half = len(branches) // 2
+            return _counted(branches[:half], failed) + _counted(branches[half:], failed)
+        text = str(exc).splitlines()[0] if str(exc) else type(exc).__name__
+        failed.update(dict.fromkeys(branches[0].request_ids, text))
+        return []
+
+
 def run_reconciliation(spark: SparkSession, control: DataFrame, audit: DataFrame, history: DataFrame, run_date,
                        as_of, replay_days: int, base: str, tables: Mapping[str, DataFrame] | None = None,
                        table: str | None = None, inserted_at: str | None = None,
-                       app_id: str | None = None, show: bool = False) -> DataFrame:
-    """Count, compare and append. All counts run as one job; if that job fails
-    at run time (a bad cast in one stored query, say), each branch is run on
-    its own and only the failing ones are marked ``F``. With ``show`` the rows
-    are also printed untruncated (one row per request). Returns the rows written."""
-    requests = reconciliation_requests(control, history, run_date, replay_days)
-    results = reconcile(spark, requests, audit, as_of, tables, inserted_at=inserted_at, app_id=app_id)
-    try:
-        append_results(results, base, run_date, table)
-        if show:
-            spark.read.parquet(base).where(F.col("extract_date") == F.lit(as_date(run_date))).show(
-                len(requests) * 2 + 20, truncate=False)
-        return results
-    except Exception:  # run-time failure inside one branch: isolate it
-        pass
-    branches, failed = count_branches(spark, requests, tables)
-    rows = []
-    for b in branches:
-        try:
-            rows.extend(tuple(r) for r in b.frame.collect())     # at most one row per requested day
-        except Exception as exc:
-            for i in b.request_ids:
-                failed[i] = str(exc).splitlines()[0] if str(exc) else type(exc).__name__
-    counts = spark.createDataFrame(rows, "request_id int, bda_count bigint")
-    results = reconcile(spark, requests, audit, as_of, tables, inserted_at=inserted_at, app_id=app_id,
-                        counts_override=counts, extra_failed=failed)
-    append_results(results, base, run_date, table)
+                       app_id: str | None = None, show: bool = False, only_failed: bool = True,
+                       keep_null_audit: bool = False, count_column: int | str | None = None,
+                       failed_status: str = FAILED) -> DataFrame:
+    """Count, compare, and append once. Counts are taken first, a group of tables
+    per job; a request whose query fails is marked ``failed_status`` and the rest
+    goes on. Stored queries give their count in the second column, replayed history
+    queries (``only_failed=False``) in the first, unless ``count_column`` says
+    otherwise. Nothing after the append writes again: a failing catalog step or print
+    raises with the rows in place. Returns the rows of this run as a frame over
+    its counted values (one row per request)."""
+    requests = reconciliation_requests(control, history, run_date, replay_days, only_failed)
+    if count_column is None:
+        count_column = 1 if only_failed else 0
+    branches, failed = count_branches(spark, requests, tables, count_column)
+    rows: list[tuple] = []
+    for lo in range(0, len(branches), GROUP):
+        rows += _counted(branches[lo:lo + GROUP], failed)
+    counted = spark.createDataFrame(rows, "branch string, day date, n bigint")
+    ids = [i for b in branches for i in b.request_ids if i not in failed]
+    stamp = inserted_at if inserted_at is not None else dt.datetime.now().isoformat(sep=" ", timespec="milliseconds")
+    results = reconcile(spark, requests, audit, as_of, tables, inserted_at=stamp, app_id=app_id,
+                        keep_null_audit=keep_null_audit, failed_status=failed_status,
+                        counts_override=counts_by_request(spark, requests, ids, counted), extra_failed=failed)
+    # one row per request: fixed here, so what is returned and printed is what is written
+    results = spark.createDataFrame(results.collect(), results.schema)
+    append_results(results, base, run_date)
+    if table is not None:
+        register_partition(spark, table, run_date)
+    if show:
+        results.withColumn("extract_date", F.lit(as_date(run_date))).show(max(1, len(requests)), truncate=False)
     return results

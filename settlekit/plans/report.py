@@ -59,23 +59,16 @@ def _assemble(dep: DataFrame, right: DataFrame, prefix: str) -> DataFrame:
 
 
 def monthly_exception_report(payments: DataFrame, chargebacks: DataFrame, advice: DataFrame, run_date,
-                             period: int, row_counts: bool = False, persist_payments: bool = False) -> DataFrame:
+                             period: int, row_counts: bool = False) -> DataFrame:
     """The report for the month before ``run_date`` (146 columns).
 
     Row multiplication of the reference is kept: several currency
     descriptions or NULL and '' currency codes under one key fan out, exactly
     as the reference's joins do. Amounts are exact decimals.
-    ``persist_payments`` keeps the filtered 17-column payments in memory and
-    disk for the five branches that read them (off by default: each branch
-    then scans only its own columns with its own pushed filters).
     """
     w = report_window(run_date, period)
     rng = payments_in_range(payments, w)
-    if persist_payments:
-        rng = rng.persist(StorageLevel.MEMORY_AND_DISK)
-    dep, ref = deposits(rng), refunds(rng)
-    cbk = chargebacks_in_window(chargebacks, w)
-    return _report(dep, ref, cbk, advice, w, row_counts)
+    return _report(deposits(rng), refunds(rng), chargebacks_in_window(chargebacks, w), advice, w, row_counts)
 
 
 def _report(dep: DataFrame, ref: DataFrame, cbk: DataFrame, advice: DataFrame, w: ReportWindow,

@@ -1,8 +1,8 @@
 """Publication of results as partitioned Parquet.
 
-The report replaces exactly its own (month, period) partition: dynamic
-partition overwrite leaves every other partition as it is, so a rerun is
-idempotent. Reconciliation results are appended under the run's
+The report is written to the folder of its own (month, period) partition and
+replaces it, also by an empty result; every other partition stays as it is, so a
+rerun is idempotent. Reconciliation results are appended under the run's
 ``extract_date``; they are one row per request, so one file per run.
 """
 
@@ -19,18 +19,12 @@ from settlekit.session import shared_dir
 
 def write_report(report: DataFrame, base: str, month: str, period: int) -> None:
     """Overwrite ``base/reporting_month=<month>/reporting_period=<period>``."""
-    (report.withColumn("reporting_month", F.lit(month))
-     .withColumn("reporting_period", F.lit(int(period)))
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("reporting_month", "reporting_period")
-     .parquet(base))
+    report.write.mode("overwrite").parquet(f"{base}/reporting_month={month}/reporting_period={int(period)}")
 
 
 def append_results(results: DataFrame, base: str, run_date, table: str | None = None) -> None:
     """Append results under ``base/extract_date=<run date>``; when ``table``
-    names a catalog table over ``base``, register the partition and refresh
-    the table's cached metadata."""
+    names a catalog table over ``base``, register the partition too."""
     day = as_date(run_date)
     (results.withColumn("extract_date", F.lit(day))
      .repartition(1)          # a handful of rows: one file, without collapsing the counting stages
@@ -38,9 +32,13 @@ def append_results(results: DataFrame, base: str, run_date, table: str | None =
      .partitionBy("extract_date")
      .parquet(base))
     if table is not None:
-        spark = results.sparkSession
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (extract_date='{day.isoformat()}')")
-        spark.catalog.refreshTable(table)
+        register_partition(results.sparkSession, table, day)
+
+
+def register_partition(spark: SparkSession, table: str, run_date) -> None:
+    """Add the run date's partition to a catalog table and refresh its cached metadata."""
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (extract_date='{as_date(run_date).isoformat()}')")
+    spark.catalog.refreshTable(table)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
