@@ -61,20 +61,19 @@ REQUEST_SCHEMA = T.StructType([
     T.StructField("runtime_sql", T.StringType()),
 ])
 
-# Audit rows are joined to the requests by broadcast only up to this many
-# requests; the request count is known exactly (collected control data).
-BROADCAST_REQUESTS = 100_000
-
 
 @dataclass(frozen=True)
 class CountRequest:
     """One (table, day) to count. ``sql`` is a stored count query holding
-    ``{var1}`` for the day, or None to count ``table_name`` by ``date_column``."""
-    table_id: int
-    table_name: str
+    ``{var1}`` for the day, or None to count ``table_name`` by ``date_column``.
+    ``error`` says why a control or candidate row could not become a request; its
+    result is ``F`` and the other requests go on."""
+    table_id: int | None
+    table_name: str | None
     date_column: str | None
-    count_date: dt.date
+    count_date: dt.date | None
     sql: str | None = None
+    error: str | None = None
 
 
 def count_sql(table: str, date_column: str | None, day: dt.date) -> str:
@@ -82,7 +81,13 @@ def count_sql(table: str, date_column: str | None, day: dt.date) -> str:
     return f"SELECT COUNT(*) FROM {table.lower()} WHERE CAST({date_column} AS DATE) = '{day.isoformat()}'"
 
 
+def _message(exc: Exception) -> str:
+    return str(exc).splitlines()[0] if str(exc) else type(exc).__name__
+
+
 def runtime_text(req: CountRequest) -> str:
+    if req.error is not None:
+        return req.error
     if req.sql is not None:
         return req.sql.replace(TEMPLATE_MARKER, f"'{req.count_date.isoformat()}'")
     return count_sql(req.table_name, req.date_column, req.count_date)
@@ -97,31 +102,29 @@ def requests_from_control(control: DataFrame, run_date) -> list[CountRequest]:
     """Part I: one request per control row with ``count_ind = 'Y'``."""
     cols = set(control.columns)
     rows = control.where(F.col("count_ind") == "Y").collect()
-    out = []
-    for r in rows:
-        out.append(CountRequest(
-            table_id=int(r["table_id"]),
-            table_name=str(r["table_name"]).upper(),
-            date_column=r["date_column_name"],
-            count_date=count_date_for(run_date, r["num_days"] if "num_days" in cols else None),
-            sql=r["sql"] if "sql" in cols else None,
-        ))
-    return out
+    return [_request(r, lambda r: count_date_for(run_date, r["num_days"] if "num_days" in cols else None),
+                     str.upper, lambda r: r["sql"] if "sql" in cols else None) for r in rows]
+
+
+def _request(row, day, name, sql) -> CountRequest:
+    """A row as a request; what is wrong with a row is kept in its ``error``."""
+    got: dict = {"table_id": None, "table_name": row["table_name"], "date_column": row["date_column_name"], "count_date": None}
+    try:
+        for key in ("table_id", "table_name"):
+            if row[key] is None:
+                raise ValueError(f"{key} is NULL")
+        got["table_id"] = int(row["table_id"])
+        got["table_name"] = name(str(row["table_name"]))
+        got["count_date"] = day(row)
+        return CountRequest(**got, sql=sql(row))
+    except (ValueError, TypeError, OverflowError) as exc:
+        return CountRequest(**got, error=_message(exc))
 
 
 def requests_from_candidates(candidates: DataFrame, use_history_sql: bool = False) -> list[CountRequest]:
     """Part II: one request per replay candidate row."""
-    out = []
-    for r in candidates.collect():
-        sql = r["runtime_sql"] if use_history_sql else r["sql"]
-        out.append(CountRequest(
-            table_id=int(r["table_id"]),
-            table_name=str(r["table_name"]),
-            date_column=r["date_column_name"],
-            count_date=as_date(r["count_date"]),
-            sql=sql,
-        ))
-    return out
+    return [_request(r, lambda r: as_date(r["count_date"]), str, lambda r: r["runtime_sql"] if use_history_sql else r["sql"])
+            for r in candidates.collect()]
 
 
 # ---------------------------------------------------------------- own counts
@@ -130,8 +133,8 @@ def _day_filter(col: Column, dtype: T.DataType, days: Sequence[dt.date]) -> tupl
     """(row filter, day expression) for a date column of any common type.
 
     Dates compare directly; timestamps get a range filter (pushed to the scan)
-    refined by their calendar day; other types are compared as text, as the
-    stored queries compare them with a quoted date."""
+    refined by their calendar day; other types are read as dates, as the recorded
+    query does, and values that are no date count for no day."""
     if isinstance(dtype, T.DateType):
         return col.isin(*days), col
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -140,8 +143,8 @@ def _day_filter(col: Column, dtype: T.DataType, days: Sequence[dt.date]) -> tupl
         rng = (col >= F.lit(lo.isoformat()).cast(lit_type)) & (col < F.lit(hi.isoformat()).cast(lit_type))
         day = F.to_date(col)
         return rng & day.isin(*days), day
-    text = [d.isoformat() for d in days]
-    return col.cast("string").isin(*text), F.to_date(col.cast("string"))
+    day = col.cast("string").try_cast("date")
+    return day.isin(*days), day
 
 
 class CountSourceError(LookupError):
@@ -157,32 +160,33 @@ def _resolve_table(spark: SparkSession, tables: Mapping[str, DataFrame] | None,
     return spark.table(name)
 
 
-def _table_branch(spark, tables, table_name: str, date_column: str, ids_days: list[tuple[int, dt.date]]) -> DataFrame:
-    """Counts of one table for the requested days: (request_id, bda_count)."""
+def _table_branch(spark, tables, key: str, table_name: str, date_column: str, days: Sequence[dt.date]) -> DataFrame:
+    """Counts of one table for the requested days: (branch, day, n), days without rows absent."""
     df = _resolve_table(spark, tables, table_name)
     dtype = df.schema[date_column].dataType          # raises for an unknown column
-    days = sorted({d for _, d in ids_days})
     cond, day = _day_filter(F.col(date_column), dtype, days)
-    per_day = df.where(cond).groupBy(day.alias("__day")).agg(F.count(F.lit(1)).alias("__n"))
-    wanted = spark.createDataFrame([(i, d) for i, d in ids_days], "request_id int, __day date")
-    return (wanted.join(F.broadcast(per_day), "__day", "left")
-            .select("request_id", F.coalesce(F.col("__n"), F.lit(0)).cast("bigint").alias("bda_count")))
+    return df.where(cond).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(key).alias("branch"), "day", "n")
 
 
-def _sql_branch(spark: SparkSession, request_id: int, req: CountRequest, count_column: int | str) -> DataFrame:
-    """The stored query with the day bound as a parameter; the first row's
-    count column (by position, default the second, or by name)."""
+def _sql_branch(spark: SparkSession, key: str, req: CountRequest, count_column: int | str) -> DataFrame:
+    """The stored query with the day bound as a parameter; the count column by
+    name or position (default the second) of its first row. Which row of a result
+    of several is first is up to the query."""
     text = req.sql.replace(TEMPLATE_MARKER, ":var1")
     df = spark.sql(text, args={"var1": req.count_date.isoformat()})
     col = df.columns[count_column] if isinstance(count_column, int) else count_column
-    value = df.select(F.col(col).cast("bigint").alias("bda_count")).limit(1)   # raises if absent
-    return value.select(F.lit(request_id).alias("request_id"), F.coalesce("bda_count", F.lit(0)).alias("bda_count"))
+    value = df.select(F.col(col).cast("bigint").alias("n")).limit(1)   # raises if absent
+    return value.select(F.lit(key).alias("branch"), F.lit(req.count_date).alias("day"), "n")
 
 
 @dataclass
 class CountBranch:
     request_ids: list[int]
-    frame: DataFrame          # (request_id, bda_count)
+    frame: DataFrame          # (branch, day, n)
+
+
+def _branch_key(i: int, req: CountRequest) -> str:
+    return f"query {i}" if req.sql is not None else f"table {req.table_name} by {req.date_column}"
 
 
 def count_branches(spark: SparkSession, requests: Sequence[CountRequest], tables: Mapping[str, DataFrame] | None = None,
@@ -191,46 +195,61 @@ def count_branches(spark: SparkSession, requests: Sequence[CountRequest], tables
     {request_id: error} for requests whose query failed to build."""
     failed: dict[int, str] = {}
     branches: list[CountBranch] = []
-    by_table: dict[tuple[str, str], list[tuple[int, dt.date]]] = {}
+    by_table: dict[str, list[int]] = {}
     for i, req in enumerate(requests):
-        if req.sql is None:
-            by_table.setdefault((req.table_name, req.date_column), []).append((i, req.count_date))
-            continue
-        try:
-            branches.append(CountBranch([i], _sql_branch(spark, i, req, count_column)))
-        except Exception as exc:  # analysis errors: unknown table, column, syntax
-            failed[i] = str(exc).splitlines()[0] if str(exc) else type(exc).__name__
-    for (table, column), ids_days in by_table.items():
+        if req.error is not None:
+            failed[i] = req.error
+        elif req.sql is None:
+            by_table.setdefault(_branch_key(i, req), []).append(i)
+        else:
+            try:
+                branches.append(CountBranch([i], _sql_branch(spark, _branch_key(i, req), req, count_column)))
+            except Exception as exc:  # analysis errors: unknown table, column, syntax
+                failed[i] = _message(exc)
+    for key, ids in by_table.items():
+        req = requests[ids[0]]
         try:
-            if column is None:
+            if req.date_column is None:
                 raise CountSourceError("no date column")
-            branches.append(CountBranch([i for i, _ in ids_days],
-                                        _table_branch(spark, tables, table, column, ids_days)))
+            days = sorted({requests[i].count_date for i in ids})
+            branches.append(CountBranch(ids, _table_branch(spark, tables, key, req.table_name, req.date_column, days)))
         except Exception as exc:
-            for i, _ in ids_days:
-                failed[i] = str(exc).splitlines()[0] if str(exc) else type(exc).__name__
+            failed.update(dict.fromkeys(ids, _message(exc)))
     return branches, failed
 
 
+def counts_by_request(spark: SparkSession, requests: Sequence[CountRequest], ids: Sequence[int], counted: DataFrame) -> DataFrame:
+    """(request_id, bda_count) for the requests ``ids`` from (branch, day, n); 0 where nothing was counted."""
+    wanted = spark.createDataFrame([(i, _branch_key(i, requests[i]), requests[i].count_date) for i in ids],
+                                   "request_id int, branch string, day date")
+    return wanted.join(counted, ["branch", "day"], "left").select(
+        "request_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("bda_count"))
+
+
 def own_counts(spark: SparkSession, requests: Sequence[CountRequest], tables: Mapping[str, DataFrame] | None = None,
                count_column: int | str = 1) -> tuple[DataFrame | None, dict[int, str]]:
     """One plan counting every request: ((request_id, bda_count) or None,
     {request_id: error} for requests whose query failed to build)."""
     branches, failed = count_branches(spark, requests, tables, count_column)
-    counts = reduce(DataFrame.unionByName, [b.frame for b in branches]) if branches else None
-    return counts, failed
+    if not branches:
+        return None, failed
+    counted = reduce(DataFrame.unionByName, [b.frame for b in branches])
+    return counts_by_request(spark, requests, [i for b in branches for i in b.request_ids], counted), failed
 
 
 # ---------------------------------------------------------------- audit side
 
-def latest_audit(audit: DataFrame, pairs: DataFrame, as_of, bounded_rows: int | None = None) -> DataFrame:
+def latest_audit(audit: DataFrame, pairs: DataFrame, as_of, requests: Sequence[CountRequest] = ()) -> DataFrame:
     """Latest audit count per requested (table_name, count_date): audit rows of
     that table and target day extracted between the day and ``as_of``, newest
-    extract date then newest insert time first."""
+    extract date then newest insert time first. The requested days and tables
+    reach the scan as filters, so only their partitions are read."""
     a = audit.where(F.col("extract_date") <= F.lit(as_date(as_of)))
+    if requests:
+        days = sorted({r.count_date for r in requests})
+        a = a.where((F.col("extract_date") >= F.lit(days[0])) & F.col("target_date").isin(*days)
+                    & F.col("table_name").isin(*sorted({r.table_name for r in requests})))
     p = pairs.select("table_name", "count_date").distinct()
-    if bounded_rows is not None and bounded_rows <= BROADCAST_REQUESTS:
-        p = F.broadcast(p)
     j = a.join(p, (a["table_name"] == p["table_name"]) & (a["target_date"] == p["count_date"])
                & (a["extract_date"] >= p["count_date"]), "left_semi")
     latest = latest_per_key(j, ["table_name", "target_date"], ["extract_date", "inserted_date"])
@@ -240,14 +259,14 @@ def latest_audit(audit: DataFrame, pairs: DataFrame, as_of, bounded_rows: int |
 
 # ---------------------------------------------------------------- verdict
 
-def verdict(bda: Column, vap: Column, keep_null_audit: bool = False) -> tuple[Column, Column, Column]:
+def verdict(own: Column, audit: Column, keep_null_audit: bool = False) -> tuple[Column, Column, Column]:
     """(vap_count, matched, count_diff). An absent audit count is 0, so an
     empty day with no audit row matches; with ``keep_null_audit`` the audit
     count stays NULL and only the comparison treats it as 0."""
-    vap0 = F.coalesce(vap, F.lit(0).cast("bigint"))
-    bda0 = F.coalesce(bda, F.lit(0).cast("bigint"))
-    matched = F.when(bda0 == vap0, F.lit(MATCHED)).otherwise(F.lit(UNMATCHED))
-    return (vap if keep_null_audit else vap0), matched, (bda0 - vap0)
+    other = F.coalesce(audit, F.lit(0).cast("bigint"))
+    counted = F.coalesce(own, F.lit(0).cast("bigint"))
+    matched = F.when(counted == other, F.lit(MATCHED)).otherwise(F.lit(UNMATCHED))
+    return (audit if keep_null_audit else other), matched, (counted - other)
 
 
 def _constants() -> list[Column]:
@@ -276,15 +295,15 @@ def reconcile(spark: SparkSession, requests: Sequence[CountRequest], audit: Data
     ok_ids = [i for i in range(len(requests)) if i not in failed]
     if ok_ids and counts is not None:
         ok = req.where(F.col("request_id").isin(*ok_ids))
-        audit_latest = latest_audit(audit, ok, as_of, bounded_rows=len(ok_ids))
+        audit_latest = latest_audit(audit, ok, as_of, [requests[i] for i in ok_ids])
         j = (ok.join(counts, "request_id", "left")
              .join(audit_latest, ["table_name", "count_date"], "left"))
-        bda = F.coalesce(F.col("bda_count"), F.lit(0).cast("bigint"))
-        vap, matched, diff = verdict(bda, F.col("vap_count"), keep_null_audit)
+        own = F.coalesce(F.col("bda_count"), F.lit(0).cast("bigint"))
+        other, matched, diff = verdict(own, F.col("vap_count"), keep_null_audit)
         parts.append(j.select(
             *_constants(), F.col("table_id").alias("id"), "table_name",
-            F.col("count_date").cast("string").alias("count_date"), bda.alias("bda_count"),
-            vap.alias("vap_count"), matched.alias("matched"), diff.alias("count_diff"),
+            F.col("count_date").cast("string").alias("count_date"), own.alias("bda_count"),
+            other.alias("vap_count"), matched.alias("matched"), diff.alias("count_diff"),
             "date_column_name", inserted.alias("inserted_date"), "runtime_sql"))
     if failed:
         bad = req.where(F.col("request_id").isin(*failed.keys()))
@@ -326,9 +345,10 @@ def replay_candidates(history: DataFrame, control: DataFrame, run_date, days: in
 
 def select_control(control: DataFrame, audit: DataFrame, run_date) -> DataFrame:
     """Control rows to count: every TRAN table, and DIM tables with an audit
-    row extracted on the run date (EXISTS, so a control row is listed once)."""
+    row extracted on the run date (EXISTS, so a control row is listed once; names
+    compare without regard to case, as requests do)."""
     live = control.where(F.col("count_ind") == "Y")
     tran = live.where(F.col("table_type") == "TRAN")
-    todays = audit.where(F.col("extract_date") == F.lit(as_date(run_date))).select("table_name")
-    dim = live.where(F.col("table_type") == "DIM").join(todays, "table_name", "left_semi")
+    todays = audit.where(F.col("extract_date") == F.lit(as_date(run_date))).select(F.upper("table_name").alias("__name"))
+    dim = live.where(F.col("table_type") == "DIM").join(todays, F.upper(live["table_name"]) == F.col("__name"), "left_semi")
     return tran.unionByName(dim)
