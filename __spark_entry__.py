@@ -34,14 +34,14 @@ from settlekit.sources.fixtures import settlement_inputs  # noqa: E402
 from settlekit.sources.scans import chargebacks_in_window, payments_in_range  # noqa: E402
 from settlekit.sources.sinks import append_results, scratch_path, write_report  # noqa: E402
 
+# The training-data subpackage and its pipeline may be absent; their own import errors are not hidden.
+training_data = corpus_pipeline = None
 try:
     from settlekit.llm import queries as training_data
-except ImportError:
-    training_data = None
-try:
     import corpus_pipeline
-except ImportError:
-    corpus_pipeline = None
+except ModuleNotFoundError as missing:
+    if missing.name not in ("settlekit.llm", "corpus_pipeline"):
+        raise
 
 RUN_DATE, AS_OF, REPLAY_DAYS = O.RUN_DATE, O.AS_OF, O.REPLAY_DAYS
 INSERTED_AT, APP_ID = O.INSERTED_AT, O.APP_ID
@@ -157,6 +157,8 @@ def q_report_roundtrip(spark, sf_dir):
         w = report_window(RUN_DATE, period)
         rep = monthly_exception_report(inp.payments, inp.chargebacks, inp.advice, RUN_DATE, period)
         write_report(rep, base, w.month, period)
+        write_report(rep, base, "1998-08", period)
+        write_report(rep.limit(0), base, "1998-08", period)     # an empty rerun clears its partition
     return spark.read.parquet(base)
 
 
@@ -212,6 +214,31 @@ def q_replay_counts(spark, sf_dir):
     return R.reconcile(spark, reqs, inp.audit, AS_OF, tables, inserted_at=INSERTED_AT, app_id=APP_ID)
 
 
+def q_reconcile_stored_sql(spark, sf_dir):
+    """Control rows read from Parquet, counted by their stored queries; a bad query and a NULL id end as F."""
+    inp, tables = _recon_inputs(spark, sf_dir)
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"counted_{name.lower()}")
+    path = scratch_path(spark, "control")
+    spark.createDataFrame([(*r[:4], "Y", r[4]) for r in O.STORED],
+                          "table_id int, table_name string, date_column_name string, num_days int, count_ind string, sql string"
+                          ).write.parquet(path)
+    reqs = R.requests_from_control(spark.read.parquet(path), RUN_DATE)
+    return R.reconcile(spark, reqs, inp.audit, AS_OF, tables, inserted_at=INSERTED_AT, app_id=APP_ID)
+
+
+def q_replay_counts_history_sql(spark, sf_dir):
+    """Replay of every latest day of the library's own history through its recorded queries (first column)."""
+    inp, tables = _recon_inputs(spark, sf_dir)
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name.lower())
+    cands = R.replay_candidates(inp.history, inp.control, RUN_DATE, REPLAY_DAYS, only_failed=True).withColumn(
+        "runtime_sql", F.expr("concat('SELECT COUNT(*) FROM ', lower(table_name), ' WHERE CAST(', date_column_name, "
+                              "' AS DATE) = \\'', count_date, '\\'')"))
+    reqs = R.requests_from_candidates(cands, use_history_sql=True)
+    return R.reconcile(spark, reqs, inp.audit, AS_OF, tables, inserted_at=INSERTED_AT, app_id=APP_ID, count_column=0)
+
+
 def q_select_control(spark, sf_dir):
     inp = settlement_inputs(spark, sf_dir)
     return R.select_control(inp.control, inp.audit, RUN_DATE)
@@ -264,6 +291,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replay_candidates": _replay_candidates(),
         "replay_candidates_all": _replay_candidates(only_failed=False),
         "replay_counts": q_replay_counts,
+        "reconcile_counts_stored_sql": q_reconcile_stored_sql,
+        "replay_counts_history_sql": q_replay_counts_history_sql,
         "select_control": q_select_control,
         "results_append_roundtrip": q_results_append_roundtrip,
         "reconciliation_job": q_reconciliation_job,
@@ -359,6 +388,8 @@ SELECT table_name, target_date, record_count, extract_date, inserted_date FROM (
         "replay_candidates": O.replay_candidates_sql(True),
         "replay_candidates_all": O.replay_candidates_sql(False),
         "replay_counts": O.replay_counts_sql(),
+        "reconcile_counts_stored_sql": O.stored_sql(),
+        "replay_counts_history_sql": O.replay_counts_sql(),
         "select_control": f"""{lo_h}
 SELECT * FROM fx_control WHERE count_ind = 'Y' AND table_type = 'TRAN'
 UNION ALL

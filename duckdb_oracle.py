@@ -1,10 +1,10 @@
-"""Independent DuckDB SQL for every registered query.
+"""DuckDB SQL for every registered query, as an independent derivation.
 
-Written from the reference's SQL, not from the Spark code: the fraud-advice
-measures are the reference's CASE expressions over the reference's
-advice x deposit x refund x chargeback join, so the factorized Spark
-implementation is checked against the plain formulation. Inputs are derived
-from the driver's tables by the rules of FIXTURES.md section B.
+Totals are built bottom-up: amounts get their major value once, refunds and
+chargebacks are first summed per deposit, every advice row gets one timing class
+and one day bucket per side, and measures are filtered aggregates over those
+labels. Windows, requests and latest rows are computed in SQL. Inputs follow the
+rules of FIXTURES.md section B.
 """
 
 from __future__ import annotations
@@ -17,12 +17,6 @@ REPLAY_DAYS = 35
 INSERTED_AT = "1998-10-05 00:00:00"
 APP_ID = "settlekit"
 
-# (from_post, from_created, to, month) per period for RUN_DATE
-WINDOWS = {
-    12: ("1997-09-01", "1997-08-15", "1998-09-30", "1998-09"),
-    3: ("1998-07-01", "1998-06-15", "1998-09-30", "1998-09"),
-}
-
 FIXTURE_CTES = """
 fx_deposit AS (
   SELECT o.o_custkey % 20 AS merchant_id,
@@ -117,10 +111,17 @@ fx_control AS (
 """
 
 
+# Schemes with their fraud reason codes.
+FRAUD_CODES = {"VI": ("0057", "0075", "0081", "0083"), "MC": ("4837", "4840", "4847", "4862", "4863")}
+MONTHS = {12: 13, 3: 3}         # months a period reaches back from the run's month
+DAYS = [str(k) for k in range(22)]
+CLASSES = ("cbk_prior", "ref_full_prior", "ref_full_after", "not_ref_full")
+
+
 def major(amount: str, precision: str) -> str:
-    """Exact minor-to-major scaling (the reference's amount * exp(-ln(10) * p))."""
-    whens = " ".join(f"WHEN {p} THEN CAST({10 ** -p:.6f} AS DECIMAL(7,6))" for p in range(7))
-    return f"(CAST({amount} AS DECIMAL(20,0)) * (CASE {precision} {whens} END))"
+    """The amount in major units, by a list of the powers of ten."""
+    powers = ", ".join(f"{10 ** -p:.6f}" for p in range(7))
+    return f"(CAST({amount} AS DECIMAL(20,0)) * (CAST([{powers}] AS DECIMAL(7,6)[]))[{precision} + 1])"
 
 
 def amt(expr: str) -> str:
@@ -131,148 +132,126 @@ def cnt(expr: str) -> str:
     return f"CAST({expr} AS BIGINT)"
 
 
+def _bucket(days: str) -> str:
+    return f"CASE WHEN {days} < 0 THEN 'prior' WHEN {days} > {DAYS[-1]} THEN 'above_21' ELSE CAST({days} AS VARCHAR) END"
+
+
 def with_views(period: int) -> str:
-    fp, fc, to, _ = WINDOWS[period]
+    codes = ", ".join(f"('{scheme}', '{c}')" for scheme, some in FRAUD_CODES.items() for c in some)
+    usd = major("settlement_amount", "settlement_rpt_precision")
     return f"""WITH {FIXTURE_CTES},
+span AS (
+  SELECT CAST(m - INTERVAL '{MONTHS[period]}' MONTH AS DATE) AS first_post, CAST(m - INTERVAL '1' DAY AS DATE) AS last_day,
+         CAST(m - INTERVAL '{MONTHS[period] + 1}' MONTH + INTERVAL '14' DAY AS DATE) AS first_created
+  FROM (SELECT date_trunc('month', DATE '{RUN_DATE}') AS m)),
+fraud_codes(scheme, code) AS (VALUES {codes}),
 pay_win AS (
-  SELECT merchant_id, merchant_name, organization_id, organization_name, method_of_payment_code,
-         settlement_currency_code, settlement_currency_desc, payment_id, settlement_amount,
-         settlement_rpt_precision, parent_id, complete_date, action_type, ot_start_ts, ot_start_ts_ts,
-         amount, txn_reference_number
-  FROM fx_payments
-  WHERE created_date BETWEEN DATE '{fc}' AND DATE '{to}'
-    AND batch_post_day BETWEEN DATE '{fp}' AND DATE '{to}'
-    AND transaction_status = '1'
-    AND method_of_payment_code IN ('VI','MC')),
-dep_win AS (SELECT * FROM pay_win WHERE action_type IN ('D','S')),
-ref_win AS (SELECT * FROM pay_win WHERE action_type IN ('T','R') AND complete_date IS NOT NULL),
+  SELECT p.* EXCLUDE (created_date, batch_post_day, transaction_status) FROM fx_payments p, span
+  WHERE list_contains(['VI', 'MC'], p.method_of_payment_code) AND p.transaction_status = '1'
+    AND p.batch_post_day >= first_post AND p.created_date >= first_created
+    AND greatest(p.batch_post_day, p.created_date) <= last_day),
+dep_win AS (SELECT * FROM pay_win WHERE list_contains(['D', 'S'], action_type)),
+ref_win AS (SELECT * FROM pay_win WHERE list_contains(['T', 'R'], action_type) AND complete_date IS NOT NULL),
+cbk_win AS (
+  SELECT c.* EXCLUDE (open_date, type, current_cycle) FROM fx_chargeback c, span
+  WHERE c.open_date >= first_post AND c.open_date <= last_day AND c.type = 'D' AND c.current_cycle <> 'ARBITRATION'),
+dep AS (SELECT *, {usd} AS usd FROM dep_win),
+ref AS (SELECT *, {usd} AS usd FROM ref_win),
+cbk AS (
+  SELECT c.*, f.code IS NOT NULL AS fraud FROM cbk_win c
+  LEFT JOIN fraud_codes f ON f.scheme = c.method_of_payment_code AND f.code = c.reason_code),
+parent_refunds AS (SELECT parent_id, count(*) AS n, sum(usd) AS s FROM ref GROUP BY ALL),
+deposit_cbks AS (
+  SELECT deposit_id, count(*) AS n, sum(chargeback_amount) AS s, count(*) FILTER (WHERE fraud) AS fn,
+         coalesce(sum(chargeback_amount) FILTER (WHERE fraud), 0) AS fs
+  FROM cbk GROUP BY ALL),
 dep_volume AS (
   SELECT merchant_id, merchant_name, organization_id, organization_name, settlement_currency_code,
-         settlement_currency_desc, method_of_payment_code,
-         COUNT(payment_id) AS vol_deposit_count,
-         SUM({major('settlement_amount', 'settlement_rpt_precision')}) AS vol_deposit_settlement_amount
-  FROM dep_win WHERE complete_date IS NOT NULL
-  GROUP BY merchant_id, merchant_name, organization_id, organization_name, settlement_currency_code,
-           settlement_currency_desc, method_of_payment_code),
+         settlement_currency_desc, method_of_payment_code, count(*) AS vol_deposit_count,
+         sum(usd) AS vol_deposit_settlement_amount
+  FROM dep WHERE complete_date IS NOT NULL GROUP BY ALL),
 dep_refund_totals AS (
-  SELECT d.merchant_id, d.settlement_currency_code, d.method_of_payment_code,
-         COUNT(r.payment_id) AS excptn_refund_count,
-         SUM({major('r.settlement_amount', 'r.settlement_rpt_precision')}) AS excptn_refund_settlement_amount
-  FROM dep_win d LEFT JOIN ref_win r ON r.parent_id = d.payment_id
-  WHERE d.complete_date IS NOT NULL
-  GROUP BY d.merchant_id, d.method_of_payment_code, d.settlement_currency_code),
+  SELECT merchant_id, settlement_currency_code, method_of_payment_code,
+         coalesce(sum(p.n), 0) AS excptn_refund_count, sum(p.s) AS excptn_refund_settlement_amount
+  FROM dep LEFT JOIN parent_refunds p ON p.parent_id = dep.payment_id
+  WHERE dep.complete_date IS NOT NULL GROUP BY ALL),
 volume_with_refunds AS (
-  SELECT v.*, rt.excptn_refund_count, rt.excptn_refund_settlement_amount
-  FROM dep_volume v JOIN dep_refund_totals rt
-    ON v.merchant_id = rt.merchant_id AND v.method_of_payment_code = rt.method_of_payment_code
-   AND COALESCE(v.settlement_currency_code, '') = COALESCE(rt.settlement_currency_code, '')),
-cbk_win AS (
-  SELECT deposit_id, chargeback_amount, method_of_payment_code, reason_code, issuing_bank_day, issuing_bank_day_ts
-  FROM fx_chargeback
-  WHERE open_date BETWEEN DATE '{fp}' AND DATE '{to}' AND type = 'D'
-    AND current_cycle IN ('FIRST_CHARGEBACK', 'REPRESENTMENT')),
+  SELECT v.* EXCLUDE cur, t.excptn_refund_count, t.excptn_refund_settlement_amount
+  FROM (SELECT *, coalesce(settlement_currency_code, '') AS cur FROM dep_volume) v
+  JOIN (SELECT * EXCLUDE settlement_currency_code, coalesce(settlement_currency_code, '') AS cur FROM dep_refund_totals) t
+  USING (merchant_id, method_of_payment_code, cur)),
 cbk_totals AS (
-  SELECT d.merchant_id, d.settlement_currency_code, d.settlement_currency_desc,
-         d.method_of_payment_code,
-         COUNT(c.deposit_id) AS excptn_cbks_count,
-         SUM(c.chargeback_amount) AS excptn_cbks_amount,
-         SUM(CASE WHEN (c.method_of_payment_code = 'VI' AND c.reason_code IN ('0057','0075','0081','0083'))
-                    OR (c.method_of_payment_code = 'MC' AND c.reason_code IN ('4837','4840','4847','4862','4863'))
-                  THEN 1 ELSE 0 END) AS excptn_fraud_cbks_count,
-         SUM(CASE WHEN (c.method_of_payment_code = 'VI' AND c.reason_code IN ('0057','0075','0081','0083'))
-                    OR (c.method_of_payment_code = 'MC' AND c.reason_code IN ('4837','4840','4847','4862','4863'))
-                  THEN c.chargeback_amount ELSE 0 END) AS excptn_fraud_cbks_amount
-  FROM dep_win d JOIN cbk_win c ON c.deposit_id = d.payment_id
-  GROUP BY d.merchant_id, d.method_of_payment_code, d.settlement_currency_code,
-           d.settlement_currency_desc),
+  SELECT merchant_id, settlement_currency_code, settlement_currency_desc, dep.method_of_payment_code,
+         sum(k.n) AS excptn_cbks_count, sum(k.s) AS excptn_cbks_amount,
+         sum(k.fn) AS excptn_fraud_cbks_count, sum(k.fs) AS excptn_fraud_cbks_amount
+  FROM dep JOIN deposit_cbks k ON k.deposit_id = dep.payment_id GROUP BY ALL),
 refund_matching AS (
   SELECT merchant_id, settlement_currency_code, settlement_currency_desc, method_of_payment_code,
-         COUNT(1) AS excptn_refund_mtch_count,
-         SUM(CASE WHEN parent_id > 0 THEN 1 ELSE 0 END) AS excptn_refund_mtch_count_mtchd,
-         SUM({major('settlement_amount', 'settlement_rpt_precision')}) AS excptn_refund_mtch_amount,
-         SUM(CASE WHEN parent_id > 0 THEN {major('settlement_amount', 'settlement_rpt_precision')} ELSE 0 END)
-           AS excptn_refund_mtch_amount_mtchd
-  FROM ref_win
-  GROUP BY merchant_id, method_of_payment_code, settlement_currency_code, settlement_currency_desc),
+         count(*) AS excptn_refund_mtch_count, count(*) FILTER (WHERE parent_id > 0) AS excptn_refund_mtch_count_mtchd,
+         sum(usd) AS excptn_refund_mtch_amount,
+         coalesce(sum(usd) FILTER (WHERE parent_id > 0), 0) AS excptn_refund_mtch_amount_mtchd
+  FROM ref GROUP BY ALL),
+told AS (
+  SELECT a.acquirer_ref_number, a.create_date, CAST(a.create_date_ts AS DATE) AS told_on
+  FROM fx_advice a, span WHERE a.create_date >= first_post AND a.create_date <= last_day),
 advice_rows AS (
-  SELECT d.merchant_id, d.payment_id, d.settlement_currency_code,
-         d.settlement_currency_desc, d.method_of_payment_code,
-         {major('d.settlement_amount', 'd.settlement_rpt_precision')} AS frd_deposit_settlement_amount,
-         a.create_date AS frd_advice_date,
-         r.ot_start_ts AS frd_refund_date,
-         {major('r.settlement_amount', 'r.settlement_rpt_precision')} AS frd_refund_settlement_amount,
-         c.issuing_bank_day AS frd_cbk_date,
-         c.chargeback_amount AS frd_cbk_amount,
-         CASE WHEN c.method_of_payment_code = 'VI' AND c.reason_code IN ('0057','0075','0081','0083')
-                OR c.method_of_payment_code = 'MC' AND c.reason_code IN ('4837','4840','4847','4862','4863')
-              THEN 1 ELSE 0 END AS is_fraud_cbk,
-         CAST(date_diff('day', CAST(a.create_date_ts AS DATE), CAST(c.issuing_bank_day_ts AS DATE)) AS INT)
-           AS cbk_days_after_cps_reported,
-         CAST(date_diff('day', CAST(a.create_date_ts AS DATE), CAST(r.ot_start_ts_ts AS DATE)) AS INT)
-           AS ref_days_after_cps_reported,
-         CAST(c.issuing_bank_day_ts AS DATE) < CAST(a.create_date_ts AS DATE) AS frd_cbk_prior,
-         CAST(r.ot_start_ts_ts AS DATE) < CAST(a.create_date_ts AS DATE) AS frd_refund_prior
-  FROM fx_advice a
-  JOIN dep_win d
-    ON a.create_date BETWEEN DATE '{fp}' AND DATE '{to}'
-   AND d.txn_reference_number = a.acquirer_ref_number
-  LEFT JOIN ref_win r
-    ON r.parent_id = d.payment_id AND r.amount = d.amount
-  LEFT JOIN cbk_win c ON c.deposit_id = d.payment_id
-  WHERE d.complete_date IS NOT NULL)"""
-
-
-# ---------------------------------------------------------------- fraud-advice measures, as the reference writes them
-
-NN = "NOT(frd_cbk_date IS NULL)"
-FRAUD = "is_fraud_cbk = 1"
-CLASS_PREDICATES = [
-    ("cbk_prior", "frd_cbk_date < frd_advice_date"),
-    ("ref_full_prior", "NOT(frd_cbk_date < frd_advice_date) AND frd_refund_date < frd_advice_date"),
-    ("ref_full_after", "NOT(frd_cbk_date < frd_advice_date) AND frd_refund_date >= frd_advice_date"),
-    ("not_ref_full", "NOT(frd_cbk_date < frd_advice_date) AND frd_refund_date IS NULL"),
-]
+  SELECT merchant_id, payment_id, settlement_currency_code, settlement_currency_desc, method_of_payment_code,
+         usd AS frd_deposit_settlement_amount, create_date AS frd_advice_date,
+         refunded_on AS frd_refund_date, refunded AS frd_refund_settlement_amount,
+         charged_on AS frd_cbk_date, charged AS frd_cbk_amount, CAST(coalesce(fraud, false) AS INT) AS is_fraud_cbk,
+         CAST(charged_day - told_on AS INT) AS cbk_days_after_cps_reported,
+         CAST(refund_day - told_on AS INT) AS ref_days_after_cps_reported,
+         charged_day - told_on < 0 AS frd_cbk_prior, refund_day - told_on < 0 AS frd_refund_prior
+  FROM (SELECT * FROM dep WHERE complete_date IS NOT NULL) d
+  JOIN told ON told.acquirer_ref_number = d.txn_reference_number
+  LEFT JOIN (SELECT deposit_id, issuing_bank_day AS charged_on, chargeback_amount AS charged, fraud,
+                    CAST(issuing_bank_day_ts AS DATE) AS charged_day FROM cbk) c ON c.deposit_id = d.payment_id
+  LEFT JOIN (SELECT parent_id AS of_deposit, amount AS full_amount, ot_start_ts AS refunded_on, usd AS refunded,
+                    CAST(ot_start_ts_ts AS DATE) AS refund_day FROM ref) r
+    ON r.of_deposit = d.payment_id AND r.full_amount = d.amount),
+labelled AS (
+  SELECT *, is_fraud_cbk = 1 AS fraud,
+         CASE WHEN frd_cbk_date IS NULL THEN NULL WHEN frd_cbk_date < frd_advice_date THEN 'cbk_prior'
+              WHEN frd_refund_date IS NULL THEN 'not_ref_full' WHEN frd_refund_date < frd_advice_date THEN 'ref_full_prior'
+              ELSE 'ref_full_after' END AS timing,
+         {_bucket("cbk_days_after_cps_reported")} AS cbk_bucket, {_bucket("ref_days_after_cps_reported")} AS ref_bucket
+  FROM advice_rows)"""
+
+
+# ---------------------------------------------------------------- fraud-advice measures over the labels
+
+def _total(value: str, rows: str) -> str:
+    return f"coalesce(sum({value}) FILTER (WHERE {rows}), 0)"
+
+
+def _six(name: str, rows: str, whole: tuple[str, str]) -> list[tuple[str, str]]:
+    """Count and amount of deposits, of chargebacks and of fraudulent chargebacks."""
+    charged = f"{rows} AND frd_cbk_date IS NOT NULL"
+    return [(f"cnt_{name}_total", whole[0]), (f"cnt_{name}_cbks", f"count(*) FILTER (WHERE {charged})"),
+            (f"cnt_{name}_frd_cbks", f"count(*) FILTER (WHERE {charged} AND fraud)"), (f"amnt_{name}_total", whole[1]),
+            (f"amnt_{name}_cbks", _total("frd_cbk_amount", charged)),
+            (f"amnt_{name}_frd_cbks", _total("frd_cbk_amount", f"{charged} AND fraud"))]
 
 
 def all_measures() -> list[tuple[str, str]]:
-    return [
-        ("cnt_all_total", "COUNT(payment_id)"),
-        ("cnt_all_cbks", f"SUM(CASE WHEN ({NN}) THEN 1 ELSE 0 END)"),
-        ("cnt_all_frd_cbks", f"SUM(CASE WHEN ({NN} AND {FRAUD}) THEN 1 ELSE 0 END)"),
-        ("amnt_all_total", "SUM(frd_deposit_settlement_amount)"),
-        ("amnt_all_cbks", f"SUM(CASE WHEN ({NN}) THEN frd_cbk_amount ELSE 0 END)"),
-        ("amnt_all_frd_cbks", f"SUM(CASE WHEN ({NN} AND {FRAUD}) THEN frd_cbk_amount ELSE 0 END)"),
-    ]
+    return _six("all", "true", ("count(payment_id)", "sum(frd_deposit_settlement_amount)"))
 
 
 def class_measures() -> list[tuple[str, str]]:
-    out = []
-    for name, pred in CLASS_PREDICATES:
-        out += [
-            (f"cnt_{name}_total", f"SUM(CASE WHEN ({pred}) THEN 1 ELSE 0 END)"),
-            (f"cnt_{name}_cbks", f"SUM(CASE WHEN ({NN} AND {pred}) THEN 1 ELSE 0 END)"),
-            (f"cnt_{name}_frd_cbks", f"SUM(CASE WHEN ({NN} AND {pred} AND {FRAUD}) THEN 1 ELSE 0 END)"),
-            (f"amnt_{name}_total", f"SUM(CASE WHEN ({pred}) THEN frd_deposit_settlement_amount ELSE 0 END)"),
-            (f"amnt_{name}_cbks", f"SUM(CASE WHEN ({NN} AND {pred}) THEN frd_cbk_amount ELSE 0 END)"),
-            (f"amnt_{name}_frd_cbks", f"SUM(CASE WHEN ({NN} AND {pred} AND {FRAUD}) THEN frd_cbk_amount ELSE 0 END)"),
-        ]
-    return out
+    return [m for c in CLASSES for m in _six(c, f"timing = '{c}'", (
+        f"count(*) FILTER (WHERE timing = '{c}')", _total("frd_deposit_settlement_amount", f"timing = '{c}'")))]
 
 
 def day_measures(row_counts: bool = False) -> list[tuple[str, str]]:
-    buckets = [("prior", "<= -1", 1), ("0", "= 0", 1), ("1", "= 1", 1)]
-    buckets += [(str(k), f"= {k}", 1 if row_counts else k) for k in range(2, 22)]
-    buckets += [("above_21", "> 21", 1)]
+    """Per bucket; counts of days 2..21 are weighted by the day unless ``row_counts``."""
     out = []
-    for name, test, add in buckets:
-        out += [
-            (f"excptn_cnt_{name}_cbks", f"SUM(CASE WHEN (cbk_days_after_cps_reported {test}) THEN {add} ELSE 0 END)"),
-            (f"excptn_cnt_{name}_refunds", f"SUM(CASE WHEN (ref_days_after_cps_reported {test}) THEN {add} ELSE 0 END)"),
-            (f"excptn_amnt_{name}_cbks",
-             f"SUM(CASE WHEN (cbk_days_after_cps_reported {test}) THEN frd_cbk_amount ELSE 0 END)"),
-            (f"excptn_amnt_{name}_refunds",
-             f"SUM(CASE WHEN (ref_days_after_cps_reported {test}) THEN frd_refund_settlement_amount ELSE 0 END)"),
-        ]
+    for b in ("prior", *DAYS, "above_21"):
+        weight = int(b) if b.isdigit() and int(b) > 1 and not row_counts else 1
+        for what, value in (("cnt", None), ("amnt", ("frd_cbk_amount", "frd_refund_settlement_amount"))):
+            for side, name in enumerate(("cbks", "refunds")):
+                rows = f"{('cbk', 'ref')[side]}_bucket = '{b}'"
+                expr = f"{weight} * count(*) FILTER (WHERE {rows})" if value is None else _total(value[side], rows)
+                out.append((f"excptn_{what}_{b}_{name}", expr))
     return out
 
 
@@ -281,153 +260,148 @@ def typed(name: str, expr: str) -> str:
     return f"{kind(expr)} AS {name}"
 
 
-def advice_metrics_sql(period: int, measures: list[tuple[str, str]]) -> str:
+def _measured(measures: list[tuple[str, str]]) -> str:
     body = ",\n  ".join(typed(n, e) for n, e in measures)
-    return f"""{with_views(period)}
-SELECT merchant_id, settlement_currency_code, settlement_currency_desc, method_of_payment_code,
+    return f"""SELECT merchant_id, settlement_currency_code, settlement_currency_desc, method_of_payment_code,
   {body}
-FROM advice_rows
-GROUP BY merchant_id, method_of_payment_code, settlement_currency_code, settlement_currency_desc"""
+FROM labelled GROUP BY 1, 2, 3, 4"""
 
 
-HEADLINE = [
-    ("vol_deposit_count", "vr"), ("excptn_refund_count", "vr"), ("vol_deposit_settlement_amount", "vr"),
-    ("excptn_refund_settlement_amount", "vr"), ("excptn_cbks_count", "cs"), ("excptn_cbks_amount", "cs"),
-    ("excptn_fraud_cbks_count", "cs"), ("excptn_fraud_cbks_amount", "cs"), ("excptn_refund_mtch_count", "ms"),
-    ("excptn_refund_mtch_amount", "ms"), ("excptn_refund_mtch_count_mtchd", "ms"),
-    ("excptn_refund_mtch_amount_mtchd", "ms"),
-]
+def advice_metrics_sql(period: int, measures: list[tuple[str, str]]) -> str:
+    return f"{with_views(period)}\n{_measured(measures)}"
 
 
 def report_select(period: int, extra: str = "") -> str:
-    month = WINDOWS[period][3]
-    measures = [n for n, _ in all_measures() + class_measures() + day_measures()]
-    cols = [f"CAST(COALESCE({src}.{n}, 0) AS {'BIGINT' if 'count' in n else 'DECIMAL(38,18)'}) AS {n}"
-            for n, src in HEADLINE]
-    cols += [f"CAST(COALESCE(am.{n}, 0) AS {'BIGINT' if 'cnt_' in n else 'DECIMAL(38,18)'}) AS {n}"
-             for n in measures]
-    metrics = ",\n  ".join(typed(n, e) for n, e in all_measures() + class_measures() + day_measures())
+    """The driving rows joined to the three totals on merchant, method and the currency with '' for NULL."""
+    measures = all_measures() + class_measures() + day_measures()
+    keys = ("merchant_id", "merchant_name", "organization_id", "organization_name", "method_of_payment_code",
+            "settlement_currency_code", "settlement_currency_desc")
+    numbers = ["vol_deposit_count", "excptn_refund_count", "vol_deposit_settlement_amount", "excptn_refund_settlement_amount",
+               "excptn_cbks_count", "excptn_cbks_amount", "excptn_fraud_cbks_count", "excptn_fraud_cbks_amount",
+               "excptn_refund_mtch_count", "excptn_refund_mtch_amount", "excptn_refund_mtch_count_mtchd",
+               "excptn_refund_mtch_amount_mtchd", *[n for n, _ in measures]]
+    side = "(SELECT * EXCLUDE (settlement_currency_code, settlement_currency_desc), coalesce(settlement_currency_code, '') AS cur FROM {0})"
+    joined = "\n".join(f"LEFT JOIN {side.format(t)} USING (merchant_id, method_of_payment_code, cur)"
+                       for t in ("cbk_totals", "refund_matching", "advice_measures"))
     return f"""{with_views(period)},
-advice_measures AS (
-  SELECT merchant_id, settlement_currency_code, settlement_currency_desc, method_of_payment_code,
-  {metrics}
-  FROM advice_rows
-  GROUP BY merchant_id, method_of_payment_code, settlement_currency_code, settlement_currency_desc)
-SELECT vr.merchant_id AS MERCHANT_ID, vr.merchant_name AS MERCHANT_NAME, vr.organization_id AS ORGANIZATION_ID,
-  vr.organization_name AS ORGANIZATION_NAME, vr.method_of_payment_code AS METHOD_OF_PAYMENT_CODE,
-  vr.settlement_currency_code AS SETTLEMENT_CURRENCY_CODE, vr.settlement_currency_desc AS SETTLEMENT_CURRENCY_DESC,
-  CAST('{month}-01 00:00:00' AS TIMESTAMP) AS reporting_month_day,
-  {(","+chr(10)+"  ").join(cols)}{extra}
-FROM volume_with_refunds vr
-LEFT JOIN cbk_totals cs ON vr.merchant_id = cs.merchant_id
-  AND vr.method_of_payment_code = cs.method_of_payment_code
-  AND COALESCE(vr.settlement_currency_code, '') = COALESCE(cs.settlement_currency_code, '')
-LEFT JOIN refund_matching ms ON vr.merchant_id = ms.merchant_id
-  AND vr.method_of_payment_code = ms.method_of_payment_code
-  AND COALESCE(vr.settlement_currency_code, '') = COALESCE(ms.settlement_currency_code, '')
-LEFT JOIN advice_measures am ON vr.merchant_id = am.merchant_id
-  AND vr.method_of_payment_code = am.method_of_payment_code
-  AND COALESCE(vr.settlement_currency_code, '') = COALESCE(am.settlement_currency_code, '')"""
+advice_measures AS ({_measured(measures)})
+SELECT {", ".join(f"{k} AS {k.upper()}" for k in keys)},
+  CAST(strftime((SELECT last_day FROM span), '%Y-%m-01') AS TIMESTAMP) AS reporting_month_day,
+  {", ".join(typed(n, f"coalesce({n}, 0)") for n in numbers)}{extra}
+FROM (SELECT *, coalesce(settlement_currency_code, '') AS cur FROM volume_with_refunds)
+{joined}"""
 
 
 # ---------------------------------------------------------------- reconciliation
 
-def _count_text(table: str, col: str, day: str) -> str:
-    return f"SELECT COUNT(*) FROM {table} WHERE CAST({col} AS DATE) = ''{day}''"
+CONSTANTS = ("CAST(1 AS BIGINT) AS gdg_position, CAST(1 AS BIGINT) AS gdg_txoppos, '1' AS gdg_txind, "
+             "'1' AS gdg_opcode, '1' AS gdg_timestamp, '1' AS gdg_schema, '1' AS gdg_table")
+_QUERY = "concat('SELECT COUNT(*) FROM ', lower(name), ' WHERE CAST(', date_column_name, ' AS DATE) = ''', day, '''')"
+
+#: Day counts of every table that exists, and the requests of the control rows.
+_COUNTED = """per_day AS (
+  SELECT t, d, n FROM fx_daily UNION ALL SELECT 'EVENTS', CAST(ts AS DATE), count(*) FROM events GROUP BY ALL),
+existing AS (SELECT DISTINCT t FROM per_day)"""
+_PART1 = f"""asked AS (
+  SELECT table_id, upper(table_name) AS name, date_column_name, DATE '{RUN_DATE}' - coalesce(num_days, 0) AS day
+  FROM fx_control WHERE count_ind = 'Y')"""
+
+
+def _verdicts(keep_null_audit: bool = False) -> str:
+    other = "v.told" if keep_null_audit else "coalesce(v.told, 0)"
+    return f"""SELECT {CONSTANTS}, CAST(table_id AS BIGINT) AS id, name AS table_name, CAST(day AS VARCHAR) AS count_date,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS bda_count,
+  CAST(CASE WHEN known THEN {other} ELSE 0 END AS BIGINT) AS vap_count,
+  CASE WHEN NOT known THEN 'F' WHEN coalesce(c.n, 0) = coalesce(v.told, 0) THEN 'Y' ELSE 'N' END AS matched,
+  CAST(CASE WHEN known THEN coalesce(c.n, 0) - coalesce(v.told, 0) ELSE 0 END AS BIGINT) AS count_diff,
+  date_column_name, '{INSERTED_AT}' AS inserted_date,
+  {_QUERY} || CASE WHEN known THEN '' ELSE ' has failed in {APP_ID}' END AS runtime_sql
+FROM (SELECT *, name IN (SELECT t FROM existing) AS known FROM asked) q
+LEFT JOIN per_day c ON c.t = name AND c.d = day
+LEFT JOIN (
+  SELECT table_name AS whose, target_date, arg_max(record_count, struct_pack(e := extract_date, i := inserted_date)) AS told
+  FROM fx_audit WHERE extract_date BETWEEN target_date AND DATE '{AS_OF}' GROUP BY ALL) v
+  ON v.whose = name AND v.target_date = day"""
 
 
-# Part I requests of the fixed control rows for RUN_DATE: (id, TABLE, column, count date, counted?)
-PART1 = [
-    (1, "ORDERS", "o_orderdate", "1998-10-04", "orders"),
-    (2, "LINEITEM", "l_shipdate", "1998-10-05", "lineitem"),
-    (3, "EVENTS", "ts", "1998-10-03", "events"),
-    (5, "NO_SUCH_TABLE", "d", "1998-10-05", None),
-]
+def reconcile_sql(keep_null_audit: bool = False) -> str:
+    return f"WITH {FIXTURE_CTES},\n{_COUNTED},\n{_PART1}\n{_verdicts(keep_null_audit)}"
 
-CONSTANTS = ("CAST(1 AS BIGINT) AS gdg_position, CAST(1 AS BIGINT) AS gdg_txoppos, '1' AS gdg_txind, "
-             "'1' AS gdg_opcode, '1' AS gdg_timestamp, '1' AS gdg_schema, '1' AS gdg_table")
 
+def stored_query(table: str, column: str) -> str:
+    """A stored count query of two columns, as control tables hold it."""
+    return f"SELECT '{table.upper()}' AS t, COUNT(*) AS n FROM counted_{table} WHERE CAST({column} AS DATE) = {{var1}}"
 
-def latest_audit_cte(pairs: str) -> str:
-    return f"""audit_latest AS (
-  SELECT table_name, target_date, record_count FROM (
-    SELECT a.table_name, a.target_date, a.record_count,
-           ROW_NUMBER() OVER (PARTITION BY a.table_name, a.target_date ORDER BY a.extract_date DESC, a.inserted_date DESC) AS rn
-    FROM fx_audit a
-    WHERE a.extract_date <= DATE '{AS_OF}'
-      AND EXISTS (SELECT 1 FROM {pairs} p WHERE p.table_name = a.table_name AND p.count_date = a.target_date
-                  AND a.extract_date >= p.count_date)) x
-  WHERE rn = 1)"""
 
+#: Control rows with stored queries: id, table, column, days back (may be NULL), query.
+STORED = [
+    (1, "orders", "o_orderdate", 1, stored_query("orders", "o_orderdate")),
+    (2, "lineitem", "l_shipdate", None, stored_query("lineitem", "l_shipdate")),
+    (3, "events", "ts", 2, stored_query("events", "ts")),
+    (4, "orders", "o_orderdate", 10, stored_query("orders", "o_orderdate")),
+    (6, "lineitem", "l_shipdate", 3, "SELECT 'LINEITEM' AS t, no_such_column AS n FROM counted_lineitem WHERE l_shipdate = {var1}"),
+    (None, "lineitem", "l_shipdate", 4, None),
+]
 
-def reconcile_sql(keep_null_audit: bool = False) -> str:
-    ok = [r for r in PART1 if r[4]]
-    req_rows = ",\n    ".join(
-        f"({i}, '{t}', '{c}', DATE '{d}', '{_count_text(tb, c, d)}')" for i, t, c, d, tb in ok)
-    own = "\n  UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, COUNT(*) AS n FROM {tb} WHERE CAST({c} AS DATE) = DATE '{d}'"
-        for i, t, c, d, tb in ok)
-    vap_col = "v.record_count" if keep_null_audit else "COALESCE(v.record_count, 0)"
-    bad = [r for r in PART1 if not r[4]]
-    failed = "\nUNION ALL\n".join(
-        f"SELECT {CONSTANTS}, CAST({i} AS BIGINT) AS id, '{t}' AS table_name, '{d}' AS count_date, "
-        f"CAST(0 AS BIGINT) AS bda_count, CAST(0 AS BIGINT) AS vap_count, 'F' AS matched, CAST(0 AS BIGINT) AS count_diff, "
-        f"'{c}' AS date_column_name, '{INSERTED_AT}' AS inserted_date, "
-        f"'{_count_text(t.lower(), c, d)} has failed in {APP_ID}' AS runtime_sql"
-        for i, t, c, d, _ in bad)
+
+def stored_sql() -> str:
+    """Requests with stored queries: the count of the day, or F where the query is bad or the id is missing."""
+    text = lambda v: "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+    rows = ",\n  ".join(f"({'NULL' if i is None else i}, {text(t)}, {text(c)}, {'NULL' if d is None else d}, {text(q)})"
+                        for i, t, c, d, q in STORED)
     return f"""WITH {FIXTURE_CTES},
-req(id, table_name, date_column_name, count_date, runtime_sql) AS (VALUES
-    {req_rows}),
-own AS (
-  {own}),
-{latest_audit_cte('req')}
-SELECT {CONSTANTS}, CAST(r.id AS BIGINT) AS id, r.table_name, CAST(r.count_date AS VARCHAR) AS count_date,
-  CAST(COALESCE(o.n, 0) AS BIGINT) AS bda_count, CAST({vap_col} AS BIGINT) AS vap_count,
-  CASE WHEN COALESCE(o.n, 0) = COALESCE(v.record_count, 0) THEN 'Y' ELSE 'N' END AS matched,
-  CAST(COALESCE(o.n, 0) - COALESCE(v.record_count, 0) AS BIGINT) AS count_diff,
-  r.date_column_name, '{INSERTED_AT}' AS inserted_date, r.runtime_sql
-FROM req r LEFT JOIN own o ON o.table_name = r.table_name
-LEFT JOIN audit_latest v ON v.table_name = r.table_name AND v.target_date = r.count_date
-UNION ALL
-{failed}"""
+{_COUNTED},
+control(id, t, date_column_name, num_days, sql) AS (VALUES
+  {rows}),
+asked AS (
+  SELECT *, DATE '{RUN_DATE}' - coalesce(num_days, 0) AS day, id IS NULL OR sql LIKE '%no_such_column%' AS bad FROM control)
+SELECT {CONSTANTS}, CAST(a.id AS BIGINT) AS id, CASE WHEN a.id IS NULL THEN a.t ELSE upper(a.t) END AS table_name,
+  CASE WHEN a.id IS NOT NULL THEN CAST(day AS VARCHAR) END AS count_date,
+  CAST(CASE WHEN bad THEN 0 ELSE coalesce(c.n, 0) END AS BIGINT) AS bda_count,
+  CAST(CASE WHEN bad THEN 0 ELSE coalesce(v.told, 0) END AS BIGINT) AS vap_count,
+  CASE WHEN bad THEN 'F' WHEN coalesce(c.n, 0) = coalesce(v.told, 0) THEN 'Y' ELSE 'N' END AS matched,
+  CAST(CASE WHEN bad THEN 0 ELSE coalesce(c.n, 0) - coalesce(v.told, 0) END AS BIGINT) AS count_diff,
+  date_column_name, '{INSERTED_AT}' AS inserted_date,
+  CASE WHEN a.id IS NULL THEN 'table_id is NULL' ELSE replace(sql, '{{var1}}', concat(chr(39), CAST(day AS VARCHAR), chr(39))) END
+    || CASE WHEN bad THEN ' has failed in {APP_ID}' ELSE '' END AS runtime_sql
+FROM asked a LEFT JOIN per_day c ON c.t = upper(a.t) AND c.d = day
+LEFT JOIN (
+  SELECT table_name AS whose, target_date, arg_max(record_count, struct_pack(e := extract_date, i := inserted_date)) AS told
+  FROM fx_audit WHERE extract_date BETWEEN target_date AND DATE '{AS_OF}' GROUP BY ALL) v
+  ON v.whose = upper(a.t) AND v.target_date = day"""
 
 
 def table_counts_sql() -> str:
-    ok = [r for r in PART1 if r[4]]
-    return "\nUNION ALL\n".join(
-        f"SELECT CAST({i} AS BIGINT) AS id, '{t}' AS table_name, '{d}' AS count_date, "
-        f"CAST(COUNT(*) AS BIGINT) AS bda_count FROM {tb} WHERE CAST({c} AS DATE) = DATE '{d}'"
-        for i, t, c, d, tb in ok)
+    return f"""WITH {FIXTURE_CTES},
+{_COUNTED},
+{_PART1}
+SELECT CAST(table_id AS BIGINT) AS id, name AS table_name, CAST(day AS VARCHAR) AS count_date,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS bda_count
+FROM asked LEFT JOIN per_day c ON c.t = name AND c.d = day WHERE name IN (SELECT t FROM existing)"""
+
+
+def _replayed(only_failed: bool) -> str:
+    wanted = "WHERE last.matched = 'N' AND last.vap_count <> 0" if only_failed else ""
+    return f"""newest AS (
+  SELECT upper(table_name) AS name, count_date, arg_max(
+           struct_pack(matched := matched, vap_count := vap_count, runtime_sql := runtime_sql),
+           struct_pack(e := extract_date, i := inserted_date)) AS last
+  FROM fx_history
+  WHERE date_diff('day', extract_date, DATE '{RUN_DATE}') BETWEEN 1 AND {REPLAY_DAYS} GROUP BY 1, 2),
+replayed AS (
+  SELECT k.table_id, name, k.date_column_name, count_date, k.sql, last.runtime_sql AS runtime_sql
+  FROM newest JOIN fx_control k ON upper(k.table_name) = name AND k.failed_rerun = 'Y' {wanted})"""
 
 
 def replay_candidates_sql(only_failed: bool = True) -> str:
-    lo = RUN_DATE - dt.timedelta(days=REPLAY_DAYS)
-    hi = RUN_DATE - dt.timedelta(days=1)
-    status = "AND matched = 'N' AND vap_count <> 0" if only_failed else ""
     return f"""WITH {FIXTURE_CTES},
-latest_unmatched AS (
-  SELECT table_name, count_date, runtime_sql FROM (
-    SELECT UPPER(table_name) AS table_name, count_date, matched, vap_count, runtime_sql,
-           ROW_NUMBER() OVER (PARTITION BY UPPER(table_name), count_date ORDER BY extract_date DESC, inserted_date DESC) AS rn
-    FROM fx_history WHERE extract_date BETWEEN DATE '{lo}' AND DATE '{hi}') a
-  WHERE a.rn = 1 {status}),
-replay_conf AS (SELECT table_id, UPPER(table_name) AS table_name, date_column_name, sql FROM fx_control WHERE failed_rerun = 'Y')
-SELECT rc.table_id, lu.table_name, rc.date_column_name, lu.count_date, rc.sql, lu.runtime_sql
-FROM latest_unmatched lu JOIN replay_conf rc ON lu.table_name = rc.table_name"""
+{_replayed(only_failed)}
+SELECT table_id, name AS table_name, date_column_name, count_date, sql, runtime_sql FROM replayed"""
 
 
 def replay_counts_sql() -> str:
-    cand = replay_candidates_sql(True).split("\nSELECT rc.table_id", 1)
-    return f"""{cand[0]},
-cand AS (SELECT rc.table_id{cand[1]}),
-req AS (SELECT table_id AS id, table_name, date_column_name, CAST(count_date AS DATE) AS count_date,
-               CONCAT('SELECT COUNT(*) FROM ', LOWER(table_name), ' WHERE CAST(', date_column_name,
-                      ' AS DATE) = ''', count_date, '''') AS runtime_sql FROM cand),
-{latest_audit_cte('req')}
-SELECT {CONSTANTS}, CAST(r.id AS BIGINT) AS id, r.table_name, CAST(r.count_date AS VARCHAR) AS count_date,
-  CAST(COALESCE(o.n, 0) AS BIGINT) AS bda_count, CAST(COALESCE(v.record_count, 0) AS BIGINT) AS vap_count,
-  CASE WHEN COALESCE(o.n, 0) = COALESCE(v.record_count, 0) THEN 'Y' ELSE 'N' END AS matched,
-  CAST(COALESCE(o.n, 0) - COALESCE(v.record_count, 0) AS BIGINT) AS count_diff,
-  r.date_column_name, '{INSERTED_AT}' AS inserted_date, r.runtime_sql
-FROM req r LEFT JOIN fx_daily o ON o.t = r.table_name AND o.d = r.count_date
-LEFT JOIN audit_latest v ON v.table_name = r.table_name AND v.target_date = r.count_date"""
+    return f"""WITH {FIXTURE_CTES},
+{_COUNTED},
+{_replayed(True)},
+asked AS (SELECT table_id, name, date_column_name, CAST(count_date AS DATE) AS day FROM replayed)
+{_verdicts()}"""
