@@ -36,7 +36,7 @@ from settlekit.llm import blocks as B
 
 BUCKETS, WIDTH = 1 << 15, 16
 GRAMS = (2, 3, 4)               # bytes
-PER_LANGUAGE, MAX_LANGUAGES, MAX_BYTES = 1000, 256, 20_000
+PER_LANGUAGE, MAX_LANGUAGES, MAX_BYTES = 600, 256, 10_000
 UNDETERMINED = "und"
 OUTPUTS = ("lang_pred", "score", "accepted")
 
