@@ -164,9 +164,14 @@ def fit_language_model(labelled: DataFrame, id_col: str = "doc_id", text_col: st
     max_languages ids are broadcast, and as many such texts reach the driver)."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"))
-    frequent = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
-    per = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    ids = rows.where(F.col("lang").isin(frequent)).withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= per_language)
+    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    # a hash threshold keeps about twice the wanted ids of each language before they meet in one task
+    share = [(r[0], min(1 << 20, int((2 * per_language + 100) / r[1] * (1 << 20)) + 1)) for r in frequent]
+    shares = labelled.sparkSession.createDataFrame(share, "lang string, share int")
+    key = F.xxhash64(F.col("id").cast("string"))
+    near = rows.join(F.broadcast(shares), "lang").withColumn("key", key).where(F.pmod("key", F.lit(1 << 20)) < F.col("share"))
+    per = Window.partitionBy("lang").orderBy("key", "id")
+    ids = near.withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= per_language)
     texts = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                             F.col(text_col).cast("string").alias("text")).where(F.octet_length("text") <= max_bytes)
     chosen = texts.join(F.broadcast(ids.select("id", "lang")), ["id", "lang"]).select("text", "lang").collect()
