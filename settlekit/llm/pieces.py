@@ -20,6 +20,7 @@ output column are replaced by it.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from settlekit.llm import blocks as B
 from settlekit.llm.piece_model import BPE, CONTROL, NORMAL, SPACE, PieceModel
 from settlekit.llm.token_counts import CHUNK
 
-REMEMBERED = 400_000
+REMEMBERED = 800_000    # chunks held per task
 UNKNOWN_PENALTY = 10.0
 
 
@@ -44,7 +45,7 @@ class Encoder:
 
     def _reset(self):
         self.codes: dict[str, int] = {}
-        self.found: list[list[int]] = []
+        self.flat, self.first = array("i"), array("q", [0])     # ids of the chunks seen, and where each starts
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """Best path over one chunk (written with the space mark)."""
@@ -104,13 +105,14 @@ class Encoder:
     def code(self, chunk: str) -> int:
         known = self.codes.get(chunk)
         if known is None:
-            known = self.codes[chunk] = len(self.found)
-            self.found.append(self.encode_chunk(chunk.replace(" ", SPACE)))
+            known = self.codes[chunk] = len(self.first) - 1
+            self.flat.extend(self.encode_chunk(chunk.replace(" ", SPACE)))
+            self.first.append(len(self.flat))
         return known
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each)."""
-        if len(self.found) >= REMEMBERED:
+        if len(self.codes) >= REMEMBERED:
             self._reset()
         lead = " " if self.model.dummy_prefix else ""
         code, codes, per_text = self.code, [], []
@@ -119,15 +121,12 @@ class Encoder:
             cut = (CHUNK.findall(lead + t) if self.model.splits else [lead + t]) if t else []
             per_text.append(len(cut))
             codes += [code(c) for c in cut]
-        codes = np.array(codes, dtype=np.int64)
-        used, local = np.unique(codes, return_inverse=True)
-        found = [self.found[i] for i in used.tolist()]
-        length = np.array([len(f) for f in found], dtype=np.int64)
-        flat = np.array([i for f in found for i in f], dtype=np.int32)
-        first = np.cumsum(length) - length
-        ids = flat[B.ranges(first[local], length[local])] if len(codes) else flat
-        by_text = np.concatenate(([0], np.cumsum(length[local]))) if len(codes) else np.zeros(1, np.int64)
-        return ids, by_text[np.concatenate(([0], np.cumsum(per_text, dtype=np.int64)))]
+        at = np.array(codes, dtype=np.int64)
+        first, flat = np.array(self.first), np.array(self.flat)
+        length = first[at + 1] - first[at]
+        by_text = np.concatenate(([0], np.cumsum(length)))
+        return flat[B.ranges(first[at], length)].astype(np.int32), by_text[
+            np.concatenate(([0], np.cumsum(per_text, dtype=np.int64)))]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0].tolist()
