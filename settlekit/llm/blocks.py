@@ -69,12 +69,20 @@ class SpanHash:
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of all texts and the rows' offsets; null counts as empty."""
+    """The UTF-8 bytes of all texts and the rows' offsets; null counts as empty.
+    Both are views of the Arrow buffers (no copy of the texts)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    raw = texts.buffers()[2]
+    if not (pa.types.is_string(texts.type) or pa.types.is_large_string(texts.type)):
+        texts = texts.cast(pa.string())
+    for _ in range(2):
+        width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+        raw_offsets, raw = texts.buffers()[1:]
+        offsets = np.zeros(1, np.int64) if raw_offsets is None or not len(texts) else np.frombuffer(
+            raw_offsets, dtype=width)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        if not texts.null_count or not np.diff(offsets)[texts.is_null().to_numpy(zero_copy_only=False)].any():
+            break
+        texts = texts.fill_null("")     # null slots that hold bytes
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 

@@ -32,7 +32,7 @@ from settlekit.llm import blocks as B
 from settlekit.llm.piece_model import BPE, CONTROL, NORMAL, SPACE, PieceModel
 from settlekit.llm.token_counts import CHUNK
 
-REMEMBERED = 800_000    # chunks held per task
+REMEMBERED = 400_000    # chunks held per task
 UNKNOWN_PENALTY = 10.0
 
 
