@@ -8,7 +8,8 @@ How it runs
    lie on the same sides of random planes (a few independent groupings).
 3. NN-descent: each round joins a point's neighbours and reverse neighbours with
    their vectors, compares them with one another, and keeps each point's best.
-   Candidates that would not enter a list are dropped before the shuffle.
+   Candidates that would not enter a list are dropped before the shuffle. Rounds
+   go on until at most ``SETTLED`` of the edges are new.
 4. Search: every query keeps a beam of the best points found; a round expands the
    best unexpanded ones through the graph, until all of the beam is expanded.
 5. The beam's classes are expanded to their least ids and scored again on the
@@ -27,6 +28,7 @@ than k candidates are all returned if found. Ties go to the smaller id.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +40,7 @@ from settlekit.llm import blocks as B
 
 DEGREE, SAMPLE = 32, 48         # neighbours kept; neighbours and reverse neighbours compared per round
 GROUPINGS, GROUP = 14, 2048
-ROUNDS, BEAM, WIDTH, HOPS = 4, 160, 40, 8
+SETTLED, BEAM, WIDTH = 0.001, 160, 40
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -134,8 +136,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _top_edges(edges: DataFrame) -> DataFrame:
-    """The best DEGREE distinct edges of each point."""
-    once = edges.groupBy("a", "b").agg(F.max("score").alias("score"))
+    """The best DEGREE distinct edges of each point; an edge is fresh if all its copies are."""
+    once = edges.groupBy("a", "b").agg(F.max("score").alias("score"), F.min("fresh").alias("fresh"))
     order = Window.partitionBy("a").orderBy(F.desc("score"), "b")
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= DEGREE).drop("rank")
 
@@ -148,16 +150,16 @@ def _both_ways(edges: DataFrame, turn: int, n: int) -> DataFrame:
     return some(edges).unionByName(some(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))).distinct()
 
 
-def neighbour_graph(points: DataFrame, count: int, rounds: int = ROUNDS) -> DataFrame:
-    """``(a, b, score)`` edges of the NN-descent graph over ``points(id, h)``."""
+def neighbour_graph(points: DataFrame, count: int) -> DataFrame:
+    """``(a, b, score, fresh)`` edges of the NN-descent graph over ``points(id, h)``."""
     spark = points.sparkSession
     bits = max(0, (count // GROUP).bit_length())
     coded = points.mapInArrow(lambda it: _codes(it, bits), "id bigint, h binary, code bigint")
     sizes = coded.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
     start = coded.join(sizes, "code").withColumn("part", F.pmod(F.xxhash64("id", "code"), F.col("parts"))).select(
         "code", "part", "id", "h").groupBy("code", "part").applyInArrow(lambda t: _group_edges(t), _EDGES)
-    edges = B.shared_table(spark, _top_edges(start), "graph")
-    for turn in range(rounds):
+    edges = B.shared_table(spark, _top_edges(start.withColumn("fresh", F.lit(1))), "graph")
+    for turn in itertools.count():
         worst = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst")).select(
             F.col("a").alias("id"), F.when(F.col("n") >= DEGREE, F.col("worst")).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"))
         side = points.join(worst, "id", "left").select(
@@ -165,8 +167,11 @@ def neighbour_graph(points: DataFrame, count: int, rounds: int = ROUNDS) -> Data
         lists = _both_ways(edges, turn, SAMPLE // 2).join(side, "b").groupBy("a").agg(
             F.collect_list(F.struct("b", "worst", "h")).alias("x"))
         better = lists.select("x.b", "x.worst", "x.h").mapInArrow(_compare, _EDGES)
-        edges = B.shared_table(spark, _top_edges(edges.unionByName(better)), "graph")
-    return edges
+        both = edges.withColumn("fresh", F.lit(0)).unionByName(better.withColumn("fresh", F.lit(1)))
+        edges = B.shared_table(spark, _top_edges(both), "graph")
+        held, fresh = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum("fresh"), F.lit(0))).first()
+        if fresh <= SETTLED * held:     # lists only get better, so this comes
+            return edges
 
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +188,7 @@ def _search(queries: DataFrame, points: DataFrame, graph: DataFrame) -> DataFram
     p_side = points.toDF("b", "bh")
     order = Window.partitionBy("q").orderBy(F.desc("score"), "b")
     beam = queries.select("q", F.col("q").alias("b"), F.lit(float("inf")).cast("float").alias("score"), F.lit(False).alias("done"))
-    for _ in range(HOPS):
+    while True:     # a beam only gets better and no entry of it is expanded twice, so this ends
         open_order = Window.partitionBy("q").orderBy(F.col("done"), F.desc("score"), "b")
         marked = beam.withColumn("now", ~F.col("done") & (F.row_number().over(open_order) <= WIDTH))
         near = marked.where("now").select("q", F.col("b").alias("a")).join(links, "a").select("q", "b").distinct()
@@ -194,12 +199,10 @@ def _search(queries: DataFrame, points: DataFrame, graph: DataFrame) -> DataFram
         beam = B.shared_table(spark, beam.withColumn("rank", F.row_number().over(order)).where(
             F.col("rank") <= BEAM).drop("rank"), "beam")
         if not beam.where("NOT done").limit(1).collect():
-            break
-    return beam
+            return beam
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-            rounds: int = ROUNDS) -> DataFrame:
+def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for the ids in ``queries(id)``, all of them rows of ``rows``."""
     spark = rows.sparkSession
     good = B.shared_table(spark, usable(rows, id_col, vec_col), "vectors")
@@ -207,7 +210,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec
     classes = good.groupBy("v").agg(F.min("id").alias("point"))
     points = B.shared_table(spark, classes.select(F.col("point").alias("id"), "v").mapInArrow(
         lambda it: _shrink(it, scale or 1.0), "id bigint, h binary"), "points")
-    graph = neighbour_graph(points, count, rounds)
+    graph = neighbour_graph(points, count)
     asked = good.join(queries.select(F.col("id").cast("bigint").alias("id")).distinct(), "id").join(classes, "v").select(
         F.col("id").alias("query_id"), F.col("point").alias("q"), F.col("v").alias("qv"))
     asked = B.shared_table(spark, asked, "queries")

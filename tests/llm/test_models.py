@@ -82,6 +82,22 @@ def test_neighbours_recall(sc):
     assert np.mean([len(set(got[q]) & set(want[q])) / len(want[q]) for q in want]) > 0.9
 
 
+def test_neighbours_search_ends_with_no_open_entry(sc, monkeypatch):
+    monkeypatch.setattr(neighbours, "GROUP", 100)       # many small groups: the start is far from exact
+    monkeypatch.setattr(neighbours, "WIDTH", 8)
+    open_left, search = [], neighbours._search
+    monkeypatch.setattr(neighbours, "_search", lambda *a: [beam := search(*a), open_left.append(beam.where("NOT done").count())][0])
+    x = np.random.default_rng(3).normal(size=(3000, 24))
+    rows = [(i, v.tolist()) for i, v in enumerate(x / np.linalg.norm(x, axis=1, keepdims=True))]
+    df = sc.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute_nearest(rows, range(0, 3000, 50), 20)
+    got = {}
+    for r in neighbours.nearest(df, df.where("vec_id % 50 = 0").select("vec_id").toDF("id"), k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert open_left == [0]
+    assert np.mean([len(got[q] & set(want[q])) / 20 for q in want]) > 0.95
+
+
 def test_neighbours_edges(sc):
     nan, inf = float("nan"), float("inf")
     bad = [(None, [1.0, 0.0]), (100, None), (101, []), (102, [0.0, 0.0]), (103, [nan, 1.0]), (104, [inf, 1.0]),
