@@ -12,11 +12,12 @@ How it runs
    go on until at most ``SETTLED`` of the edges are new.
 4. Search: every query keeps a beam of the best points found; a round expands the
    best unexpanded ones through the graph, until all of the beam is expanded.
-5. The beam's classes are expanded to their least ids and scored again on the
-   original vectors in double precision.
+5. The whole beam is scored again on the original vectors in double precision;
+   the best classes are expanded to their least ids.
 
-Points travel as one-byte components, scaled by the largest; they only steer the
-search. The graph holds every point; reverse neighbours are
+Points travel as one-byte components, each vector scaled by its own largest, which
+goes with them as a float (relative to the table's largest); they only steer the
+search. A score leaves out the owner's scale, which all its candidates share. The graph holds every point; reverse neighbours are
 sampled by a hash, as NN-descent does (the graph is approximate by nature,
 recall is measured in the tests).
 
@@ -54,23 +55,28 @@ def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(F.size("v") == (length[0][0] if length else 0)).groupBy("id").agg(F.min("v").alias("v"))
 
 
-def _matrix(column) -> np.ndarray:
+def _matrix(column) -> tuple[np.ndarray, np.ndarray]:
+    """(one-byte components, scale) of each vector."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, np.int8).reshape(len(column), -1).astype(np.float32) if len(column) else np.zeros((0, 0), np.float32)
+    if not len(column):
+        return np.zeros((0, 0), np.float32), np.zeros(0, np.float32)
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(len(column), -1)
+    return raw[:, 4:].astype(np.float32), np.ascontiguousarray(raw[:, :4]).view(np.float32)[:, 0]
 
 
 def _shrink(batches: Iterator[pa.RecordBatch], scale: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x = np.rint(batch.column(1).flatten().to_numpy(zero_copy_only=False) * (127 / scale)).astype(np.int8).reshape(batch.num_rows, -1)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["id", "h"])
+        x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1))
+        own = np.abs(x).max(axis=1, keepdims=True)
+        raw = np.hstack([(own / scale).astype(np.float32).view(np.int8), np.rint(x / own * 127).astype(np.int8)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in raw], pa.binary())], names=["id", "h"])
 
 
 def _codes(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Each point once per grouping, with the side of ``bits`` random planes it lies on."""
     for batch in batches:
-        x = _matrix(batch.column(1))
+        x, _ = _matrix(batch.column(1))
         for g in range(GROUPINGS):
             planes = np.random.default_rng(100 + g).normal(size=(x.shape[1], max(1, bits))).astype(np.float32)
             code = (x @ planes > 0) @ (1 << np.arange(max(1, bits), dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
@@ -100,11 +106,11 @@ def _edge_table(a, b, score) -> pa.Table:
 
 
 def _group_edges(table: pa.Table) -> pa.Table:
-    ids, x = table["id"].to_numpy(), _matrix(table["h"])
+    ids, (x, scale) = table["id"].to_numpy(), _matrix(table["h"])
     k = min(DEGREE, len(ids) - 1)
     if k < 1:
         return _edge_table(ids[:0], ids[:0], np.zeros(0))
-    s = x @ x.T
+    s = (x @ x.T) * scale
     np.fill_diagonal(s, -np.inf)
     top = np.argpartition(-s, k - 1, axis=1)[:, :k]
     return _edge_table(np.repeat(ids, k), ids[top.ravel()], np.take_along_axis(s, top, 1).ravel())
@@ -118,14 +124,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = part.column(0).value_lengths().to_numpy(zero_copy_only=False)
             ids = part.column(0).flatten().to_numpy(zero_copy_only=False)
             worst = part.column(1).flatten().to_numpy(zero_copy_only=False)
-            x = _matrix(part.column(2).flatten())
+            x, scale = _matrix(part.column(2).flatten())
             m = int(size.max(initial=0))
             if m < 2:
                 continue
             at = np.full((len(size), m), -1, np.int64)
             at[np.repeat(np.arange(len(size)), size), B.ranges(np.zeros(len(size), np.int64), size)] = np.arange(len(ids))
             padded = x[at]
-            s = np.einsum("gid,gjd->gij", padded, padded, optimize=True)
+            s = np.einsum("gid,gjd->gij", padded, padded, optimize=True) * scale[at][:, None, :]
             s[at < 0, :] = -np.inf
             s.transpose(0, 2, 1)[at < 0, :] = -np.inf
             s[:, np.arange(m), np.arange(m)] = -np.inf
@@ -176,7 +182,8 @@ def neighbour_graph(points: DataFrame, count: int) -> DataFrame:
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        s = np.einsum("ij,ij->i", _matrix(batch.column(2)), _matrix(batch.column(3))) if batch.num_rows else np.zeros(0)
+        (x, _), (y, scale) = _matrix(batch.column(2)), _matrix(batch.column(3))
+        s = np.einsum("ij,ij->i", x, y) * scale
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s.astype(np.float32))], names=["q", "b", "score"])
 
 
@@ -215,13 +222,17 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec
         F.col("id").alias("query_id"), F.col("point").alias("q"), F.col("v").alias("qv"))
     asked = B.shared_table(spark, asked, "queries")
     beam = _search(asked.select("q").distinct(), points, graph)
-    least = Window.partitionBy("v").orderBy("id")
-    members = good.withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= k + 1).join(classes, "v").select(
-        F.col("point").alias("b"), F.col("id").alias("vec_id"), F.col("v").alias("bv"))
+    # score of whole classes first: k + 1 of them, one perhaps the query's own, hold the k best ids
     score = F.aggregate(F.zip_with("qv", "bv", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    wanted = beam.select("q", "b").join(classes.select(F.col("point").alias("b"), F.col("v").alias("bv")), "b").join(
+        asked.select("q", "qv").dropDuplicates(["q"]), "q").select("q", "b", score.alias("score"))
     near = Window.partitionBy("q").orderBy(F.desc("score"), "b")
-    beam = beam.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= 2 * k).select("q", "b")
-    found = asked.join(beam, "q").join(members, "b").where("vec_id != query_id").select("query_id", "vec_id", score.alias("score"))
+    wanted = wanted.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= k + 1).drop("rank")
+    least = Window.partitionBy("v").orderBy("id")
+    members = good.withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= k + 1).join(classes, "v").select(
+        F.col("point").alias("b"), F.col("id").alias("vec_id"))
+    found = asked.select("query_id", "q").join(wanted, "q").join(members, "b").where("vec_id != query_id").select(
+        "query_id", "vec_id", "score")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -98,6 +98,20 @@ def test_neighbours_search_ends_with_no_open_entry(sc, monkeypatch):
     assert np.mean([len(got[q] & set(want[q])) / 20 for q in want]) > 0.95
 
 
+def test_neighbours_of_very_unequal_norms(sc):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(1200, 16)) * r.lognormal(0, 0.5, size=(1200, 1))
+    x[7] *= 3000
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = sc.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = list(range(0, 1200, 40))
+    want = brute_nearest(rows, asked, 20)
+    got = {}
+    for r in neighbours.nearest(df, df.where("vec_id % 40 = 0").select("vec_id").toDF("id"), k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert np.mean([len(got[q] & set(want[q])) / 20 for q in want]) > 0.95
+
+
 def test_neighbours_edges(sc):
     nan, inf = float("nan"), float("inf")
     bad = [(None, [1.0, 0.0]), (100, None), (101, []), (102, [0.0, 0.0]), (103, [nan, 1.0]), (104, [inf, 1.0]),
