@@ -1,9 +1,10 @@
 """Toxicity by compression distance: two zstandard dictionaries, one per class.
 
 Training (bounded sample, documented limits): half of the labelled sample trains
-the dictionaries. Only words whose first ``STEM`` letters the other class never
-uses are given to the dictionary trainer, so a small dictionary holds what sets
-its class apart. A text is scored in windows of ``WINDOW`` words: each window is
+the dictionaries, once on whole texts and once per ratio in ``RATIOS`` on the words
+whose first ``STEM`` letters are so many times as frequent (in texts) as in the
+other class; sizes are ``DICTIONARY_BYTES``. The calibration half chooses size and
+ratio by F1. A text is scored in windows of ``WINDOW`` words: each window is
 compressed with both dictionaries, and its distance is the length with the
 ordinary dictionary less the length with the toxic one. The other half of the
 sample calibrates: the window limit is the distance that at most ``STRAY`` of
@@ -21,7 +22,9 @@ output column are replaced by it.
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +36,8 @@ from pyspark.sql import functions as F
 
 from settlekit.llm import blocks as B
 
-DICTIONARY_BYTES, SEGMENT, DMER = (300, 360, 450, 540), 16, 6    # sizes tried in training
+DICTIONARY_BYTES, SEGMENT, DMER = (4 << 10, 64 << 10), 16, 6      # sizes tried in training
+RATIOS = (0, 3, 10, 30, 100)    # frequencies against the other class tried in training; 0: whole texts
 STEM, WINDOW, STRAY = 4, 6, 0.002
 PER_CLASS, MAX_BYTES = (1500, 4000), 20_000     # toxic, ordinary
 OUTPUTS = ("score", "predicted")
@@ -51,10 +55,19 @@ def _view(some: list[str]) -> bytes:
     return f" {' '.join(some)} ".encode()
 
 
-def class_dictionary(samples: list[list[str]], other: list[list[str]], size: int) -> bytes:
-    """Dictionary content trained on the words that set ``samples`` apart from ``other``."""
-    known = {w[:STEM] for d in other for w in d}
-    views = [_view(own) for d in samples if (own := [w for w in d if w[:STEM] not in known])]
+def _uses(samples: list[list[str]]) -> Counter:
+    """Number of texts that use each word stem."""
+    return Counter(stem for d in samples for stem in {w[:STEM] for w in d})
+
+
+def class_dictionary(samples: list[list[str]], other: list[list[str]], size: int, ratio: float = 0) -> bytes:
+    """Dictionary content trained on ``samples``; with ``ratio`` on their words whose stems are in at
+    least so many times the share of texts as in ``other`` (where one more text counts as using each)."""
+    if ratio:
+        own, theirs = _uses(samples), _uses(other)
+        least = ratio * len(samples) / len(other)
+        samples = [[w for w in d if own[w[:STEM]] >= least * (theirs[w[:STEM]] + 1)] for d in samples]
+    views = [_view(d) for d in samples if d]
     try:
         trained = zstandard.train_dictionary(size, views, k=SEGMENT, d=DMER).as_bytes()
     except zstandard.ZstdError:         # too few samples to train on: their bytes themselves
@@ -64,8 +77,9 @@ def class_dictionary(samples: list[list[str]], other: list[list[str]], size: int
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    log = max(13, len(content).bit_length() + 1)      # the table has room for every place of the dictionary
     settings = zstandard.ZstdCompressionParameters(
-        compression_level=1, min_match=5, strategy=zstandard.STRATEGY_FAST, target_length=1, window_log=12, hash_log=13,
+        compression_level=1, min_match=5, strategy=zstandard.STRATEGY_FAST, target_length=1, window_log=max(12, log), hash_log=log,
         chain_log=12, write_checksum=0, write_content_size=0)
     return zstandard.ZstdCompressor(
         dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=settings)
@@ -117,13 +131,14 @@ def train(toxic_texts: list[str], ordinary_texts: list[str]) -> ToxicityModel:
     if not toxic_texts or not ordinary_texts:
         raise ValueError("both classes are needed to learn from")
     t, o = [words(x) for x in sorted(toxic_texts)], [words(x) for x in sorted(ordinary_texts)]
-    return max((_calibrated(t, o, size) for size in DICTIONARY_BYTES), key=lambda found: found[0])[1]
+    tried = itertools.product(RATIOS, DICTIONARY_BYTES)
+    return max((_calibrated(t, o, size, ratio) for ratio, size in tried), key=lambda found: found[0])[1]
 
 
-def _calibrated(t: list[list[str]], o: list[list[str]], size: int) -> tuple[float, ToxicityModel]:
-    """(F1 on the calibration half, model) for dictionaries of one size."""
+def _calibrated(t: list[list[str]], o: list[list[str]], size: int, ratio: float) -> tuple[float, ToxicityModel]:
+    """(F1 on the calibration half, model) for dictionaries of one size and word ratio."""
     fit_t, fit_o = t[::2], o[::2]
-    model = ToxicityModel(class_dictionary(fit_t, fit_o, size), class_dictionary(fit_o, fit_t, size), 1.0, np.zeros(4), 0.0)
+    model = ToxicityModel(class_dictionary(fit_t, fit_o, size, ratio), class_dictionary(fit_o, fit_t, size, ratio), 1.0, np.zeros(4), 0.0)
     distances = Distances(model.toxic, model.ordinary)
     d_t = [distances.of(" ".join(d)) for d in (t[1::2] or t)]
     d_o = [distances.of(" ".join(d)) for d in (o[1::2] or o)]

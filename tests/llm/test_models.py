@@ -60,6 +60,24 @@ def test_classifier_edges(sc):
         assert f(docs.limit(0)).count() == 0
 
 
+def test_toxicity_of_many_words_some_quoted():
+    r = np.random.default_rng(6)
+    made = sorted({"".join(r.choice(list("bdfgklmnprstvz")) + r.choice(list("aeiou")) for _ in range(4)) for _ in range(700)})
+    r.shuffle(made)
+    bad, plain = made[:300], made[300:600]
+
+    def text(n_bad):
+        some = [*r.choice(plain, 60), *r.choice(bad, n_bad)]
+        r.shuffle(some)
+        return " ".join(some)
+
+    toxic, ordinary = [text(5) for _ in range(1000)], [text(0) for _ in range(1000)]
+    model = toxicity.train(toxic, [*ordinary, *(" ".join(bad[i:i + 20]) for i in range(0, 300, 20))])
+    distances = toxicity.Distances(model.toxic, model.ordinary)
+    assert np.mean([model.score(distances.of(text(5))) >= 0.5 for _ in range(300)]) > 0.9
+    assert np.mean([model.score(distances.of(text(0))) >= 0.5 for _ in range(300)]) < 0.1
+
+
 def brute_nearest(rows, asked, k):
     ids = np.array([i for i, _ in rows])
     x = np.array([v for _, v in rows], dtype=np.float64)
