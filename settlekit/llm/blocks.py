@@ -183,16 +183,22 @@ def ship(spark: SparkSession) -> None:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_label: dict, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", max_bytes: int | None = None) -> DataFrame:
     """``(text, label, key)`` of at most ``per_label[label]`` labelled ids per label, the
-    least by a hash of the id. Only the chosen ids are broadcast, so their number is
+    least by a hash of the id; with ``max_bytes`` ids of texts up to that length come
+    first, longer ones only fill up. Only the chosen ids are broadcast, so their number is
     bounded, and the documents are not shuffled."""
     key = F.xxhash64(F.col(id_col).cast("string"))
+    long = F.lit(False).alias("long")
+    if max_bytes is not None:
+        sized = docs.where(F.col(text_col).isNotNull()).groupBy(F.col(id_col).alias(id_col)).agg(
+            F.min(F.octet_length(F.col(text_col).cast("string")) > max_bytes).alias("long"))
+        labels, long = labels.where(F.col(label_col).isin(*per_label)).select(id_col, label_col).join(sized, id_col), F.col("long")
     chosen = None
     for label, n in per_label.items():
         some = labels.where(F.col(label_col) == label).select(F.col(id_col).alias("__id"), F.lit(label).alias("label"),
-                                                              key.alias("key")).where("__id IS NOT NULL")
-        some = some.orderBy("key", "__id").limit(n)
+                                                              key.alias("key"), long).where("__id IS NOT NULL")
+        some = some.orderBy("long", "key", "__id").limit(n).drop("long")
         chosen = some if chosen is None else chosen.unionByName(some)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
     return texts.join(F.broadcast(chosen), "__id").select("text", "label", "key")

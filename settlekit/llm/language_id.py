@@ -3,8 +3,9 @@
 A text's features are the hashed character n-grams of its lower-cased words
 (with word marks). The model is the mean of their embeddings times a linear
 layer, trained with stochastic gradient descent in numpy on a bounded sample
-(``per_language`` texts of at most ``max_bytes`` each, the least by a hash of the
-id). A tenth of the sample is held back for calibration: a temperature for the
+(``per_language`` texts, the least by a hash of the id; first those of at most
+``max_bytes``, then longer ones, whose n-grams are counted over the whole text in
+Spark, so the driver gets one number per bucket at most). A tenth of the sample is held back for calibration: a temperature for the
 probabilities, and the rejection limit.
 
 Prediction folds embeddings and layer into one table of scores per n-gram bucket,
@@ -24,7 +25,7 @@ gives an empty result. Input columns named like an output column are replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -104,13 +105,16 @@ class LanguageModel:
 
 
 def train(texts: list[str], labels: list[str], buckets: int = BUCKETS, width: int = WIDTH, epochs: int = 6,
-          batch: int = 64, rate: float = 16.0, alpha: float = 0.001, seed: int = 5) -> LanguageModel:
-    """Fits the model on texts with labels (in any order; the result does not depend on it)."""
+          batch: int = 64, rate: float = 16.0, alpha: float = 0.001, seed: int = 5,
+          counted: Sequence[tuple[str, np.ndarray, np.ndarray]] = ()) -> LanguageModel:
+    """Fits the model on texts with labels (in any order; the result does not depend on it),
+    and on ``counted`` texts: (label, buckets, shares) as from ``_features``."""
     order = sorted(range(len(texts)), key=lambda i: (labels[i], texts[i]))
     texts, labels = [texts[i] for i in order], [labels[i] for i in order]
-    languages = sorted(set(labels))
-    y = np.array([languages.index(x) for x in labels])
-    features = [_features(t, buckets) for t in texts]
+    counted = sorted(counted, key=lambda c: (c[0], c[1].tobytes(), c[2].tobytes()))
+    languages = sorted({*labels, *(c[0] for c in counted)})
+    y = np.array([languages.index(x) for x in [*labels, *(c[0] for c in counted)]])
+    features = [_features(t, buckets) for t in texts] + [(used, share) for _, used, share in counted]
     rng = np.random.default_rng(seed)
     known = np.array([i for i, f in enumerate(features) if len(f[0])], dtype=np.int64)
     shuffled = rng.permutation(known)
@@ -141,7 +145,13 @@ def train(texts: list[str], labels: list[str], buckets: int = BUCKETS, width: in
             step += 1
     model = LanguageModel(languages, np.ascontiguousarray((embed @ layer).T, dtype=np.float64), bias.astype(np.float64), 1.0, 0.0)
     if len(cal):
-        logits = np.log(np.maximum(model.probabilities([texts[i] for i in cal])[0], 1e-300))
+        is_text = cal < len(texts)
+        p = np.zeros((len(cal), len(languages)))
+        p[is_text] = model.probabilities([texts[i] for i in cal[is_text]])[0]
+        for k in np.flatnonzero(~is_text):
+            used, share = features[cal[k]]
+            p[k] = model.softmax((model.table[:, used] @ share + model.bias)[None, :])[0]
+        logits = np.log(np.maximum(p, 1e-300))
         best = None
         for t in np.geomspace(0.1, 10, 41):
             model.temperature = float(t)
@@ -156,28 +166,57 @@ def train(texts: list[str], labels: list[str], buckets: int = BUCKETS, width: in
     return model
 
 
+def _counted(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Long texts as the counts of their n-grams, others as they are."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            lang, text, long = (c[k].as_py() for c in batch.columns)
+            used, share = (x.tobytes() for x in _features(text, buckets)) if long else (None, None)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang], pa.string()), pa.array([None if long else text], pa.string()),
+                 pa.array([used], pa.binary()), pa.array([share], pa.binary())], names=["lang", "text", "used", "share"])
+
+
 def fit_language_model(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                        per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES,
                        max_bytes: int = MAX_BYTES, **options) -> LanguageModel:
     """Trains on at most ``per_language`` texts of each of the ``max_languages`` most
-    frequent languages, without those over ``max_bytes`` (so at most per_language *
-    max_languages ids are broadcast, and as many such texts reach the driver)."""
+    frequent languages, those over ``max_bytes`` only where shorter ones are too few
+    (so at most per_language * max_languages ids are broadcast, and as many texts of
+    ``max_bytes`` or bucket counts reach the driver)."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"))
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+        F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"),
+        (F.octet_length(F.col(text_col).cast("string")) > max_bytes).alias("long"))
+    frequent = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.count_if("long").alias("n_long")).orderBy(
+        F.desc("count"), "lang").limit(max_languages).collect()
     # a hash threshold keeps about twice the wanted ids of each language before they meet in one task
-    share = [(r[0], min(1 << 20, int((2 * per_language + 100) / r[1] * (1 << 20)) + 1)) for r in frequent]
-    shares = labelled.sparkSession.createDataFrame(share, "lang string, share int")
+    def share_of(wanted, n):
+        return min(1 << 20, int((2 * wanted + 100) / n * (1 << 20)) + 1)
+
+    share = []
+    for lang, n, n_long in frequent:
+        n_short = n - n_long
+        if n_short:
+            share.append((lang, False, share_of(per_language, n_short)))
+        if n_short < per_language:
+            share.append((lang, True, share_of(per_language - n_short, n_long or 1)))
+    shares = labelled.sparkSession.createDataFrame(share, "lang string, long boolean, share int")
     key = F.xxhash64(F.col("id").cast("string"))
-    near = rows.join(F.broadcast(shares), "lang").withColumn("key", key).where(F.pmod("key", F.lit(1 << 20)) < F.col("share"))
-    per = Window.partitionBy("lang").orderBy("key", "id")
+    near = rows.join(F.broadcast(shares), ["lang", "long"]).withColumn("key", key).where(F.pmod("key", F.lit(1 << 20)) < F.col("share"))
+    per = Window.partitionBy("lang").orderBy("long", "key", "id")
     ids = near.withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= per_language)
     texts = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
-                            F.col(text_col).cast("string").alias("text")).where(F.octet_length("text") <= max_bytes)
-    chosen = texts.join(F.broadcast(ids.select("id", "lang")), ["id", "lang"]).select("text", "lang").collect()
+                            F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL").withColumn(
+                                "long", F.octet_length("text") > max_bytes)
+    picked = texts.join(F.broadcast(ids.select("id", "lang", "long")), ["id", "lang", "long"])
+    buckets = options.get("buckets", BUCKETS)
+    chosen = picked.select("lang", "text", "long").mapInArrow(
+        lambda it: _counted(it, buckets), "lang string, text string, used binary, share binary").collect()
     if not chosen:
         raise ValueError("no labelled text to learn from")
-    return train([r[0] for r in chosen], [r[1] for r in chosen], **options)
+    short = [r for r in chosen if r.text is not None]
+    counted = [(r.lang, np.frombuffer(r.used, np.int32), np.frombuffer(r.share, np.float32)) for r in chosen if r.text is None]
+    return train([r.text for r in short], [r.lang for r in short], counted=counted, **options)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

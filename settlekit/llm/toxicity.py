@@ -154,11 +154,25 @@ def _calibrated(t: list[list[str]], o: list[list[str]], size: int, ratio: float)
     return float(f1), model
 
 
+def _spread(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Texts over ``max_bytes`` as every n-th of their windows, so that about ``max_bytes`` remain."""
+    for batch in batches:
+        texts = []
+        for t in batch.column(1).to_pylist():
+            n = -(-len(t.encode()) // max_bytes)
+            if n > 1:
+                w = words(t)
+                t = " ".join(" ".join(w[i:i + WINDOW]) for i in range(0, len(w), n * WINDOW))
+            texts.append(t)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["label", "text"])
+
+
 def fit_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        label_col: str = "toxic", per_class: tuple[int, int] = PER_CLASS, max_bytes: int = MAX_BYTES) -> ToxicityModel:
-    """Trains on the documents of at most ``per_class`` labels of each class, without those over ``max_bytes``."""
-    rows = B.labelled_sample(docs, labels, label_col, {1: per_class[0], 0: per_class[1]}, id_col, text_col).where(
-        F.octet_length("text") <= max_bytes).select("label", "text").collect()
+    """Trains on the documents of at most ``per_class`` labels of each class. Those over ``max_bytes``
+    come in only where shorter ones are too few, as windows spread evenly over the whole text."""
+    rows = B.labelled_sample(docs, labels, label_col, {1: per_class[0], 0: per_class[1]}, id_col, text_col, max_bytes).select(
+        "label", "text").mapInArrow(lambda it: _spread(it, max_bytes), "label int, text string").collect()
     return train([r[1] for r in rows if r[0] == 1], [r[1] for r in rows if r[0] == 0])
 
 

@@ -42,6 +42,23 @@ def test_classifiers(sc, query, label, least):
     assert auc(got.score.to_numpy(), got[label].to_numpy()) > least
 
 
+def test_long_texts_are_learned_from(sc):
+    long = [(i, "le chien et le chat sont ici " * 500, "fr", 1) for i in range(40)]
+    short = [(100 + i, "the dog and the cat are here", "en", 0) for i in range(40)]
+    mixed = [(200 + i, "der hund und die katze sind hier " * (500 if i % 4 else 1), "de", 0) for i in range(40)]
+    df = sc.createDataFrame(long + short + mixed, "doc_id long, text string, lang string, toxic int")
+    model = language_id.fit_language_model(df, per_language=20)
+    assert model.languages == ["de", "en", "fr"]
+    p, _ = model.probabilities(["le chat et le chien", "the cat", "die katze"])
+    assert [model.languages[k] for k in p.argmax(axis=1)] == ["fr", "en", "de"]
+    labels = df.select("doc_id", "toxic")
+    model = toxicity.fit_toxicity_model(df.select("doc_id", "text"), labels, max_bytes=5000)
+    got = toxicity.score_toxicity(df.select("doc_id", "text"), model).join(labels, "doc_id").toPandas()
+    assert (got.predicted == got.toxic).all()
+    picked = B.labelled_sample(df.select("doc_id", "text"), labels, "toxic", {0: 50}, max_bytes=5000).collect()
+    assert len(picked) == 50 and sum(len(r.text) <= 5000 for r in picked) == 50
+
+
 def test_classifier_edges(sc):
     docs = sc.createDataFrame([(i, t) for i, t in enumerate([None, "", "??", "nasty words " * 3000, "fine words", "fine words"])],
                               "doc_id long, text string").withColumn("score", F.lit("x"))
