@@ -47,9 +47,9 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as SentencePiece ids."""
+    """The documents as SentencePiece ids, with the flag whether the ids decode to the text again."""
     ship(spark)
-    return encode(docs, piece_model())
+    return encode(docs, piece_model(), check=True)
 
 
 STAGES = [("language_id", language), ("near_dedup", near_duplicates), ("suffix_dedup", repeated_passages),

@@ -36,3 +36,8 @@ def test_stages(sc, tmp_path):
     assert set(kept["sentencepiece"]) == set(kept["decontamination"])
     assert all(r.n_tokens == len(r.ids) > 0 for r in kept["sentencepiece"].values())
     assert {r.doc_id for r in P.run(sc, sf).collect()} == set(kept["sentencepiece"])
+
+
+def test_last_stage_decodes(sc):
+    docs = sc.createDataFrame([(1, "a text  with \n spaces"), (2, "")], "doc_id long, text string")
+    assert [r.round_trip for r in P.token_ids(sc, docs, "").collect()] == [True, True]
