@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settlekit.llm.blocks import crc_mod, ship
+from settlekit.llm.blocks import crc_mod, shared_table, ship
+from settlekit.llm.chat_format import format_conversations, formatted_digests
 from settlekit.llm.decontaminate import benchmark_hits
 from settlekit.llm.language_id import fit_language_model, identify
 from settlekit.llm.license_scan import TEMPLATES, scan_licenses
@@ -13,10 +14,12 @@ from settlekit.llm.near_dedup import near_duplicate_classes
 from settlekit.llm.neighbours import nearest
 from settlekit.llm.piece_model import PieceModel
 from settlekit.llm.pieces import encode
+from settlekit.llm.prefix_trie import keyed_turns, prefix_trie, rebuilt_turns, sequences
 from settlekit.llm.quality import fit_quality_model, score_quality
 from settlekit.llm.suffix_dedup import suffix_dedup
 from settlekit.llm.token_counts import count_tokens
 from settlekit.llm.toxicity import fit_toxicity_model, score_toxicity
+from settlekit.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +89,27 @@ def q_decontaminate(spark, sf_dir):
     return benchmark_hits(docs, _table(spark, sf_dir, "benchmark"), window=13, coverage=20)
 
 
+def q_whitening(spark, sf_dir):
+    made = whiten(_table(spark, sf_dir, "embeddings"), components=8)
+    return made.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+#: Fixed value: a text of control strings that every template has to escape.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def q_chat_format(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    return formatted_digests(format_conversations(turns.unionByName(planted)))
+
+
+def q_prefix_trie(spark, sf_dir):
+    keyed = shared_table(spark, keyed_turns(_table(spark, sf_dir, "conversations")), "turn-keys")
+    return prefix_trie(sequences(rebuilt_turns(keyed)))
+
+
 def queries():
     return {
         "op1_language_id": q_language_id,
@@ -98,6 +122,9 @@ def queries():
         "op8_sentencepiece": q_sentencepiece,
         "op9_nearest_neighbours": q_neighbours,
         "op10_decontamination": q_decontaminate,
+        "op11_embedding_whitening": q_whitening,
+        "op12_chat_format": q_chat_format,
+        "op13_conversation_trie": q_prefix_trie,
     }
 
 
@@ -200,8 +227,69 @@ FROM windows w JOIN t_sizes z ON z.license = w.license WHERE 100 * w.shared >= 8
 GROUP BY w.doc_id, w.license"""
 
 
+_CONTROLS = "'<\\\\*/?s>|\\[\\\\*(/?INST|SYS|/?ROLE)\\]'"
+CHAT_FORMAT_SQL = f"""WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'),
+made AS (
+  SELECT *, 7 + length(text) + len(regexp_extract_all(text, {_CONTROLS}))
+         + CASE role WHEN 'user' THEN 6 WHEN 'assistant' THEN 7 WHEN 'system' THEN 5
+           ELSE 13 + length(role) + len(regexp_extract_all(role, {_CONTROLS})) END AS chars
+  FROM turns),
+loss AS (
+  SELECT conv_id, string_agg(text, '' ORDER BY turn NULLS FIRST, text) AS said FROM turns WHERE role = 'assistant' GROUP BY conv_id)
+SELECT m.conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(m.role || chr(10) || m.text || chr(10), '' ORDER BY m.turn NULLS FIRST, m.role, m.text)) AS turns_sha256,
+       CAST(coalesce(length(any_value(l.said)), 0) AS BIGINT) AS loss_chars, sha256(coalesce(any_value(l.said), '')) AS loss_sha256,
+       CAST(sum(m.chars) AS BIGINT) AS formatted_chars
+FROM made m LEFT JOIN loss l ON l.conv_id IS NOT DISTINCT FROM m.conv_id GROUP BY m.conv_id"""
+
+#: crc32 of the id's decimal text, bit by bit (fixed value: the reflected polynomial).
+_CRC = """xor(4294967295, list_reduce(flatten(list_transform(range(1, length(s) + 1),
+    lambda i: list_transform(range(8), lambda k: (ascii(s[i]) >> k) & 1))),
+    lambda crc, b: xor(crc >> 1, 3988292384 * (xor(crc, b) & 1)), CAST(4294967295 AS BIGINT)))"""
+PREFIX_TRIE_SQL = f"""WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS pos, k, size
+  FROM (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+               strlen(coalesce(text, '')) AS size FROM conversations WHERE conv_id IS NOT NULL)),
+heads AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC} % 9 AS h
+  FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM conversations WHERE conv_id IS NOT NULL)),
+rebuilt AS (
+  SELECT h.conv_id, 0 AS part, t.pos, t.k, t.size FROM heads h JOIN turns t ON t.conv_id = h.base AND t.pos <= h.h
+  UNION ALL
+  SELECT h.conv_id, 1, t.pos, t.k, t.size FROM heads h JOIN turns t ON t.conv_id = h.conv_id AND t.pos > h.h),
+placed AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth, k, size FROM rebuilt),
+paths AS (
+  SELECT conv_id, depth, size, string_agg(k, '/') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM placed
+  UNION ALL SELECT conv_id, 0, 0, '' FROM heads),
+ended AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT p.depth, p.path, min(p.conv_id) AS conv_id, count(*) AS n, any_value(p.size) AS size,
+         sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (WHERE p.depth = e.depth), '')) AS ends
+  FROM paths p JOIN ended e ON e.conv_id = p.conv_id GROUP BY p.depth, p.path),
+up AS (
+  SELECT n.path, n.depth, p.path AS above FROM nodes n
+  JOIN paths x ON x.conv_id = n.conv_id AND x.depth = n.depth AND x.path = n.path
+  JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+kids AS (SELECT above, depth - 1 AS depth, count(*) AS n FROM up GROUP BY ALL),
+below AS (
+  SELECT p.path AS above, p.depth, n.n, n.size, k.n IS NULL AS leaf
+  FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+  LEFT JOIN kids k ON k.above = n.path AND k.depth = n.depth),
+sums AS (SELECT above, depth, sum((n - 1) * size) AS saved, count(*) FILTER (WHERE leaf) AS leaves FROM below GROUP BY ALL)
+SELECT n.conv_id, n.depth, a.conv_id AS parent_conv_id, CAST(n.n AS BIGINT) AS n_convs, CAST(coalesce(k.n, 0) AS BIGINT) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN sums s ON s.above = n.path AND s.depth = n.depth
+LEFT JOIN kids k ON k.above = n.path AND k.depth = n.depth
+LEFT JOIN up u ON u.path = n.path AND u.depth = n.depth
+LEFT JOIN nodes a ON a.path = u.above AND a.depth = n.depth - 1"""
+
+
 def oracle_sql():
     return {
+        "op12_chat_format": CHAT_FORMAT_SQL,
+        "op13_conversation_trie": PREFIX_TRIE_SQL,
         "op6_license_scan": LICENSE_SQL,
         "op10_decontamination": DECONTAMINATION_SQL,
         "op2_minhash_near_dedup": NEAR_DEDUP_SQL,
