@@ -93,53 +93,48 @@ def rebuilt_turns(keyed: DataFrame, group: int = 5, shared: int = 9) -> DataFram
     return taken.unionByName(own)
 
 
-def _ends(members: DataFrame) -> DataFrame:
-    """``(keys_id, ends)`` for sequences of several conversations: the digest of their ids."""
-    chunks = members.groupBy("keys_id", F.floor(F.col("conv_id") / ID_BLOCK).alias("block")).agg(
-        F.sort_array(F.collect_list("conv_id")).alias("ids")).select(
-        "keys_id", "block", F.concat_ws(",", F.transform("ids", lambda i: i.cast("string"))).alias("chunk"))
-    return chunks.repartition("keys_id").sortWithinPartitions("keys_id", "block").mapInArrow(_digests, "keys_id string, ends string")
-
-
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """SHA-256 of each key's chunks, comma-joined, as they come in order."""
-    at, state = None, None
-    keys: list[str] = []
-    out: list[str] = []
+def distinct_sequences(convs: DataFrame) -> DataFrame:
+    """``(keys binary, sizes, n, least, ends)`` of each distinct sequence of ``sequences``."""
+    # per sequence and block of ids first, so that copies shrink before they meet
+    chunks = convs.groupBy(F.sha2("keys", 256).alias("keys_id"), F.floor(F.col("conv_id") / ID_BLOCK).alias("block")).agg(
+        F.unhex(F.any_value("keys")).alias("keys"), F.any_value("sizes").alias("sizes"), F.count(F.lit(1)).alias("n"),
+        F.min("conv_id").alias("least"), F.sort_array(F.collect_list("conv_id")).alias("ids")).select(
+        "keys_id", "block", "keys", "sizes", "n", "least", F.concat_ws(",", F.transform("ids", lambda i: i.cast("string"))).alias("chunk"))
+    return chunks.repartition("keys_id").sortWithinPartitions("keys_id", "block").mapInArrow(
+        _merged, "keys binary, sizes array<bigint>, n bigint, least bigint, ends string")
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per sequence from its chunks in order; their text streams through SHA-256."""
+    names = ("keys", "sizes", "n", "least")
+    kinds = (pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.string())
+    at, row, state = None, None, None
+    done: list[list] = []
 
     def flush():
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(out, pa.string())], names=["keys_id", "ends"])
+        columns = zip(*done) if done else [[]] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=[*names, "ends"])
 
     for batch in batches:
-        for key, chunk in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-            if key != at:
-                if state is not None:
-                    keys.append(at)
-                    out.append(state.hexdigest())
-                at, state = key, hashlib.sha256(chunk.encode())
-            else:
-                state.update(b"," + chunk.encode())
-        if len(keys) >= 10_000:
+        columns = batch.to_pydict()
+        for i, key in enumerate(columns["keys_id"]):
+            chunk = columns["chunk"][i].encode()
+            if key == at:
+                row[2] += columns["n"][i]
+                row[3] = min(row[3], columns["least"][i])
+                state.update(b"," + chunk)
+                continue
+            if row is not None:
+                done.append([*row, state.hexdigest()])
+            at, row, state = key, [columns[c][i] for c in names], hashlib.sha256(chunk)
+        if len(done) >= 10_000:
             yield flush()
-            keys.clear()
-            out.clear()
-    if state is not None:
-        keys.append(at)
-        out.append(state.hexdigest())
+            done.clear()
+    if row is not None:
+        done.append([*row, state.hexdigest()])
     yield flush()
 
 
-def distinct_sequences(convs: DataFrame) -> DataFrame:
-    """``(keys binary, sizes, n, least, ends)`` of each distinct sequence of ``sequences``."""
-    convs = convs.withColumn("keys_id", F.sha2("keys", 256))
-    once = convs.groupBy("keys_id").agg(F.any_value("keys").alias("keys"), F.any_value("sizes").alias("sizes"),
-                                        F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("least"))
-    many = convs.join(once.where("n > 1").select("keys_id"), "keys_id", "left_semi").select("keys_id", "conv_id")
-    return once.join(_ends(many), "keys_id", "left").select(
-        F.unhex("keys").alias("keys"), "sizes", "n", "least",
-        F.coalesce("ends", F.sha2(F.col("least").cast("string"), 256)).alias("ends"))
-
-
 # ---------------------------------------------------------------- one shard
 
 class SparseTable:
