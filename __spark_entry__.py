@@ -29,7 +29,7 @@ from settlekit.operators.summaries import (  # noqa: E402
     chargeback_summary, deposit_refund_summary, refund_match_summary, refunds_by_deposit,
 )
 from settlekit.plans.reconciliation import run_reconciliation  # noqa: E402
-from settlekit.plans.report import monthly_exception_report  # noqa: E402
+from settlekit.plans.report import monthly_exception_report, publish_monthly_report  # noqa: E402
 from settlekit.sources.fixtures import settlement_inputs  # noqa: E402
 from settlekit.sources.scans import chargebacks_in_window, payments_in_range  # noqa: E402
 from settlekit.sources.sinks import append_results, scratch_path, write_report  # noqa: E402
@@ -53,8 +53,8 @@ def _std(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def _views(spark: SparkSession, sf_dir: str, period: int = 12):
-    inp = settlement_inputs(spark, sf_dir)
+def _views(spark: SparkSession, sf_dir: str, period: int = 12, shared_references: bool = False):
+    inp = settlement_inputs(spark, sf_dir, shared_references)
     w = report_window(RUN_DATE, period)
     rng = payments_in_range(inp.payments, w)
     return inp, w, deposits(rng), refunds(rng), chargebacks_in_window(inp.chargebacks, w)
@@ -79,11 +79,13 @@ def q_report_window(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-def q_minor_to_major(spark, sf_dir):
-    p = settlement_inputs(spark, sf_dir).payments
-    return p.select("payment_id", "action_type", "settlement_amount", "settlement_rpt_precision",
-                    minor_to_major("settlement_amount", "settlement_rpt_precision")
-                    .cast("decimal(38,18)").alias("major_amount"))
+def _major_amounts(shared_references=False):
+    def run(spark, sf_dir):
+        p = settlement_inputs(spark, sf_dir, shared_references).payments
+        return p.select("payment_id", "action_type", "settlement_amount", "settlement_rpt_precision",
+                        minor_to_major("settlement_amount", "settlement_rpt_precision", p.schema["settlement_amount"].dataType)
+                        .alias("major_amount"))
+    return run
 
 
 def q_payments_in_range(spark, sf_dir):
@@ -131,9 +133,9 @@ def q_advice_detail(spark, sf_dir):
     return _std(A.advice_detail(inp.advice, dep, ref, cbk, w))
 
 
-def _advice(families, row_counts=False, period=12):
+def _advice(families, row_counts=False, period=12, shared_references=False):
     def run(spark, sf_dir):
-        inp, w, dep, ref, cbk = _views(spark, sf_dir, period)
+        inp, w, dep, ref, cbk = _views(spark, sf_dir, period, shared_references)
         return _std(A.advice_metrics(inp.advice, dep, ref, cbk, w, families=families, row_counts=row_counts))
     return run
 
@@ -143,6 +145,11 @@ def q_report_p12(spark, sf_dir):
     return monthly_exception_report(inp.payments, inp.chargebacks, inp.advice, RUN_DATE, 12)
 
 
+def q_report_shared_references(spark, sf_dir):
+    inp = settlement_inputs(spark, sf_dir, shared_references=True)
+    return monthly_exception_report(inp.payments, inp.chargebacks, inp.advice, RUN_DATE, 12)
+
+
 def q_report_p3(spark, sf_dir):
     inp = settlement_inputs(spark, sf_dir)
     return monthly_exception_report(inp.payments, inp.chargebacks, inp.advice, RUN_DATE, 3)
@@ -154,11 +161,10 @@ def q_report_roundtrip(spark, sf_dir):
     base = scratch_path(spark, "report")
     inp = settlement_inputs(spark, sf_dir)
     for period in (12, 3, 12):
-        w = report_window(RUN_DATE, period)
-        rep = monthly_exception_report(inp.payments, inp.chargebacks, inp.advice, RUN_DATE, period)
-        write_report(rep, base, w.month, period)
-        write_report(rep, base, "1998-08", period)
-        write_report(rep.limit(0), base, "1998-08", period)     # an empty rerun clears its partition
+        w = publish_monthly_report(inp.payments, inp.chargebacks, inp.advice, RUN_DATE, period, base)
+        done = spark.read.parquet(f"{base}/reporting_month={w.month}/reporting_period={period}")
+        write_report(done, base, "1998-08", period)
+        write_report(done.limit(0), base, "1998-08", period)     # an empty rerun clears its partition
     return spark.read.parquet(base)
 
 
@@ -265,7 +271,8 @@ def q_reconciliation_job(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "report_window": q_report_window,
-        "minor_to_major": q_minor_to_major,
+        "minor_to_major": _major_amounts(),
+        "minor_to_major_wide": _major_amounts(shared_references=True),
         "payments_in_range": q_payments_in_range,
         "deposits": q_deposits,
         "refunds_completed": q_refunds,
@@ -280,7 +287,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "advice_day_buckets": _advice(("day",)),
         "advice_day_buckets_row_counts": _advice(("day",), row_counts=True),
         "advice_metrics_p3": _advice(("all", "class", "day"), period=3),
+        "advice_metrics_shared_references": _advice(("all", "class", "day"), shared_references=True),
         "monthly_exception_report_p12": q_report_p12,
+        "monthly_exception_report_shared_references": q_report_shared_references,
         "monthly_exception_report_p3": q_report_p3,
         "report_roundtrip": q_report_roundtrip,
         "latest_history": q_latest_history,
@@ -344,6 +353,7 @@ FROM m"""
         "minor_to_major": f"WITH {O.FIXTURE_CTES}\nSELECT payment_id, action_type, settlement_amount, "
                           f"settlement_rpt_precision, CAST({O.major('settlement_amount', 'settlement_rpt_precision')} "
                           f"AS DECIMAL(38,18)) AS major_amount FROM fx_payments",
+        "minor_to_major_wide": O.wide_amounts_sql(),
         "payments_in_range": _summary("pay_win", range_cols),
         "deposits": _summary("dep_win", "*"),
         "refunds_completed": _summary("ref_win", "*"),
@@ -370,7 +380,9 @@ FROM m"""
         "advice_day_buckets": O.advice_metrics_sql(12, O.day_measures()),
         "advice_day_buckets_row_counts": O.advice_metrics_sql(12, O.day_measures(row_counts=True)),
         "advice_metrics_p3": O.advice_metrics_sql(3, O.all_measures() + O.class_measures() + O.day_measures()),
+        "advice_metrics_shared_references": O.on_shared(O.advice_metrics_sql(12, O.all_measures() + O.class_measures() + O.day_measures())),
         "monthly_exception_report_p12": report12,
+        "monthly_exception_report_shared_references": O.on_shared(report12),
         "monthly_exception_report_p3": report3,
         "report_roundtrip": roundtrip,
         "latest_history": f"""{lo_h}

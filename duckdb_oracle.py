@@ -124,6 +124,45 @@ def major(amount: str, precision: str) -> str:
     return f"(CAST({amount} AS DECIMAL(20,0)) * (CAST([{powers}] AS DECIMAL(7,6)[]))[{precision} + 1])"
 
 
+#: The awkward inputs of FIXTURES.md B8 beside the plain ones; ``units`` is the major amount in 10^-18.
+_REFERENCE = "CASE WHEN {0} % 3 = 0 THEN '0' ELSE concat('ARN', {0} - {0} % 2) END".format
+_TENS = "CAST([" + ", ".join(str(10 ** n) for n in range(19)) + "] AS HUGEINT[])"
+SHARED_CTES = f"""
+hx_keyed AS (
+  SELECT *, CASE WHEN action_type IN ('R', 'T') THEN (payment_id - 10000000) // 10 + 1 ELSE payment_id END AS k FROM fx_payments),
+hx_payments AS (
+  SELECT * EXCLUDE k REPLACE (
+      CAST(k % 20 - 1 AS INTEGER) AS settlement_rpt_precision,
+      CASE WHEN k % 20 - 1 <= 16 THEN CAST(CAST(amount AS DECIMAL(18,0)) * 0.01 AS DECIMAL(38,18))
+           ELSE CAST(amount AS DECIMAL(38,18)) END AS settlement_amount,
+      CASE WHEN settlement_currency_code IS NULL AND k % 2 = 1 THEN '' ELSE settlement_currency_code END AS settlement_currency_code,
+      CASE WHEN k % 5 = 0 THEN settlement_currency_desc || ' (old)' ELSE settlement_currency_desc END AS settlement_currency_desc,
+      CASE WHEN txn_reference_number IS NOT NULL THEN {_REFERENCE('k')} END AS txn_reference_number),
+    CASE WHEN k % 20 - 1 = -1 THEN CAST(amount AS HUGEINT) * CAST(100000000000000000 AS HUGEINT)
+         WHEN k % 20 - 1 <= 16 THEN CAST(amount AS HUGEINT) * {_TENS}[18 - k % 20]
+         ELSE CAST(amount AS HUGEINT) * {_TENS}[20 - k % 20] END AS units
+  FROM hx_keyed),
+hx_chargeback AS (SELECT * REPLACE (CAST(chargeback_amount AS DECIMAL(38,18)) AS chargeback_amount) FROM fx_chargeback),
+hx_advice AS (
+  SELECT {_REFERENCE('k')} AS acquirer_ref_number, create_date, create_date_ts
+  FROM (SELECT *, CAST(substr(acquirer_ref_number, 4) AS BIGINT) + 1 AS k FROM fx_advice) WHERE k % 3 <> 0 OR k % 300 = 0)"""
+_UNITS_AS_MAJOR = ("CAST(CAST(units // 1000000000000000000 AS VARCHAR) || '.' || "
+                   "lpad(CAST(units % 1000000000000000000 AS VARCHAR), 18, '0') AS DECIMAL(38,18))")
+
+
+def on_shared(sql: str) -> str:
+    """A query over the settlement inputs, moved to the awkward ones."""
+    usd = major("settlement_amount", "settlement_rpt_precision")
+    moved = sql.replace("FROM fx_payments p", "FROM hx_payments p").replace("FROM fx_chargeback c", "FROM hx_chargeback c")
+    return moved.replace("FROM fx_advice a", "FROM hx_advice a").replace(usd, _UNITS_AS_MAJOR).replace(
+        FIXTURE_CTES, FIXTURE_CTES + "," + SHARED_CTES)
+
+
+def wide_amounts_sql() -> str:
+    return f"""WITH {FIXTURE_CTES},{SHARED_CTES}
+SELECT payment_id, action_type, settlement_amount, settlement_rpt_precision, {_UNITS_AS_MAJOR} AS major_amount FROM hx_payments"""
+
+
 def amt(expr: str) -> str:
     return f"CAST({expr} AS DECIMAL(38,18))"
 

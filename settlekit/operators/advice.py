@@ -2,26 +2,33 @@
 
 ``advice_detail`` is the reference's detail view: one row per advice x
 deposit x full refund x chargeback. Its size is the product of those counts
-per deposit, so the metrics never build it. ``advice_metrics`` computes the
-same 126 measures from per-block factors instead:
-
-A *block* is one (advice group, deposit) pair, where an advice group is the
-set of advice rows with the same reference number and dates (``m`` rows). The
-detail rows of a block are C' x F', with C' the deposit's chargebacks (or one
-NULL row) and F' its full refunds (or one NULL row). Every measure is
-
-    SUM over C' x F' of CASE WHEN P(chargeback) AND Q(refund) THEN value ELSE 0 END
-
-with P depending only on the chargeback (and the advice dates) and Q only on
-the refund, so per block it equals ``m * |P| * |Q| * value`` (value from the
-deposit) or ``m * sum_P(value) * |Q|`` (value from the chargeback), and
-symmetrically for refund values. ``|P|`` and ``sum_P`` relative to the advice
-dates come from ``attach_date_profile``: window frames over events
-pre-aggregated by (deposit, date), so no key ever pairs its events with its
-advice rows.
-
-A block value is NULL exactly when every detail row of the block satisfies
-the predicate and carries a NULL value, which keeps SUM's NULL semantics.
+per deposit, so the metrics never build it. ``advice_metrics`` computes the same
+126 measures from one row per advised deposit:
+
+* Chargebacks are totalled per (deposit, dates) and refunds per (deposit, amount,
+  dates), combined on the map side, and kept as one short list per key: as long as
+  the key has distinct dates, however many events it has. Advice becomes one list
+  of dates per reference the same way.
+* A deposit without events needs no dates. Every detail row of it falls into the
+  totals alone, so it stays one row weighted by its advice rows.
+* A deposit with events becomes one row per advice date. The detail rows of such a
+  row are C x F, with C the chargebacks (or one NULL row) and F the full refunds (or
+  one NULL row). Every measure is
+
+      SUM over C x F of CASE WHEN P(chargeback) AND Q(refund) THEN value ELSE 0 END
+
+  with P on the chargeback and Q on the refund alone, so it is a product of two
+  counts, or of a count and a sum. Day buckets ask for one side only (the other
+  gives its number of rows), so each dated total falls into one bucket.
+* What a row adds goes out as (slot, count, amount) and is summed per merchant group
+  and slot: 63 slots, each a count and an amount, make the 126 measures. One pass over
+  each input, no window, no join of events with advice, nothing written in between.
+
+SUM's NULL semantics: an amount is NULL exactly when every detail row of the group
+satisfies the predicate and carries a NULL value, so slots also count those rows.
+
+A reference that many deposits share (a placeholder such as ``'0'``) is split: its
+deposits are dealt by a hash over several copies of its one row of advice dates.
 """
 
 from __future__ import annotations
@@ -30,13 +37,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from settlekit.functions.fraud import fraud_flag
-from settlekit.functions.money import from_units, minor_to_major, units
+from settlekit.functions.money import REPORT_AMOUNT, WHOLE, from_parts, major_parts, minor_to_major
 from settlekit.functions.periods import ReportWindow
-from settlekit.operators.payments import GROUP4, amount_units
-from settlekit.operators.profile import ProfileSpec, attach_date_profile
-from settlekit.session import shared_dir
+from settlekit.operators.payments import GROUP4, amount_parts
 from settlekit.sources.scans import advice_in_window
 
 # Fixed values (must equal the reference): exact day buckets 0..21 after the advice.
@@ -125,10 +131,10 @@ def advice_detail(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFr
     return j.select(
         F.col("d.merchant_id"), F.col("d.payment_id"), F.col("d.settlement_currency_code"),
         F.col("d.settlement_currency_desc"), F.col("d.method_of_payment_code"),
-        minor_to_major("d.settlement_amount", "d.settlement_rpt_precision").alias("frd_deposit_settlement_amount"),
+        minor_to_major("d.settlement_amount", "d.settlement_rpt_precision", dep.schema["settlement_amount"].dataType).alias("frd_deposit_settlement_amount"),
         F.to_date("a.create_date").alias("frd_advice_date"),
         F.to_date("r.ot_start_ts").alias("frd_refund_date"),
-        minor_to_major("r.settlement_amount", "r.settlement_rpt_precision").alias("frd_refund_settlement_amount"),
+        minor_to_major("r.settlement_amount", "r.settlement_rpt_precision", ref.schema["settlement_amount"].dataType).alias("frd_refund_settlement_amount"),
         F.to_date("c.issuing_bank_day").alias("frd_cbk_date"),
         F.col("c.chargeback_amount").alias("frd_cbk_amount"),
         fraud_flag("c.method_of_payment_code", "c.reason_code").alias("is_fraud_cbk"),
@@ -139,31 +145,24 @@ def advice_detail(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFr
     )
 
 
-def _detail_predicate(kind: str, side: str) -> Column | None:
-    """Predicate of one side on detail rows (None = always true)."""
+def _detail_predicate(kind: str, side: str) -> str | None:
+    """SQL predicate of one side on detail rows (None = always true)."""
     if kind == "all":
         return None
-    if side == "c":
-        c, a = F.col("frd_cbk_date"), F.col("frd_advice_date")
-        fraud = F.col("is_fraud_cbk") == 1
-        base = {"nn": c.isNotNull(), "lt": c < a, "ge": ~(c < a)}
-        if kind.startswith("day"):
-            return _day_pred(F.col("cbk_days_after_cps_reported"), kind[3:])
-        if kind.endswith("f"):
-            return base[kind[:-1]] & fraud
-        return base[kind]
-    r, a = F.col("frd_refund_date"), F.col("frd_advice_date")
     if kind.startswith("day"):
-        return _day_pred(F.col("ref_days_after_cps_reported"), kind[3:])
-    return {"lt": r < a, "ge": r >= a, "null": r.isNull()}[kind]
+        return _day_pred("cbk_days_after_cps_reported" if side == "c" else "ref_days_after_cps_reported", kind[3:])
+    if side == "c":
+        base = {"nn": "frd_cbk_date IS NOT NULL", "lt": "frd_cbk_date < frd_advice_date", "ge": "NOT (frd_cbk_date < frd_advice_date)"}
+        return f"({base[kind[:-1]]} AND is_fraud_cbk = 1)" if kind.endswith("f") else base[kind]
+    return {"lt": "frd_refund_date < frd_advice_date", "ge": "frd_refund_date >= frd_advice_date", "null": "frd_refund_date IS NULL"}[kind]
 
 
-def _day_pred(d: Column, bucket: str) -> Column:
+def _day_pred(days: str, bucket: str) -> str:
     if bucket == "prior":
-        return d <= -1
+        return f"{days} <= -1"
     if bucket == "above_21":
-        return d > DAY_OFFSETS[-1]
-    return d == int(bucket)
+        return f"{days} > {DAY_OFFSETS[-1]}"
+    return f"{days} = {int(bucket)}"
 
 
 def advice_metrics_from_detail(detail: DataFrame, families=("all", "class", "day"),
@@ -173,182 +172,189 @@ def advice_metrics_from_detail(detail: DataFrame, families=("all", "class", "day
     aggs = []
     for m in select_measures(families, row_counts):
         preds = [p for p in (_detail_predicate(m.p, "c"), _detail_predicate(m.q, "r")) if p is not None]
-        cond = None
-        for p in preds:
-            cond = p if cond is None else (cond & p)
+        value = {"count": str(m.weight), "dep": "frd_deposit_settlement_amount", "cbk": "frd_cbk_amount",
+                 "ref": "frd_refund_settlement_amount"}[m.kind]
         if m.name == "cnt_all_total":
-            aggs.append(F.count("payment_id").alias(m.name))
-            continue
-        if m.name == "amnt_all_total":
-            aggs.append(F.sum("frd_deposit_settlement_amount").alias(m.name))
-            continue
-        value = {"count": F.lit(m.weight), "dep": F.col("frd_deposit_settlement_amount"),
-                 "cbk": F.col("frd_cbk_amount"), "ref": F.col("frd_refund_settlement_amount")}[m.kind]
-        zero = F.lit(0)
-        expr = F.sum(F.when(cond, value).otherwise(zero))
-        aggs.append((expr.cast("bigint") if m.kind == "count" else expr).alias(m.name))
+            expr = "COUNT(payment_id)"
+        elif not preds:
+            expr = f"SUM({value})"
+        else:
+            expr = f"SUM(CASE WHEN {' AND '.join(preds)} THEN {value} ELSE 0 END)"
+        aggs.append(F.expr(f"{f'CAST({expr} AS BIGINT)' if m.kind == 'count' else expr} AS {m.name}"))
     return detail.groupBy(*GROUP4).agg(*aggs)
 
 
-# ---------------------------------------------------------------- factorized metrics
+# ---------------------------------------------------------------- metrics without pairs
+
+# Slots of what a row adds; day buckets follow from their first slot.
+_TOTAL, _NO_ID, _CBKS, _FRAUD, _CLASS, _DAY_CBKS, _DAY_REFUNDS = 0, 1, 2, 3, 10, 100, 200
+_CLASS_SIDES = {"cbk_prior": ("lt", "all"), "ref_full_prior": ("ge", "lt"), "ref_full_after": ("ge", "ge"),
+                "not_ref_full": ("ge", "null")}
+
+#: A reference on more deposits than this is split, into at most HOT_COPIES parts. The
+#: most frequent HOT_REFERENCES are looked at; splitting changes no result.
+HOT_ROWS, HOT_COPIES, HOT_REFERENCES = 100_000, 1_000, 1_000
+
+
+def advice_dates(advice: DataFrame, w: ReportWindow) -> DataFrame:
+    """``(acquirer_ref_number, told, told_rows)``: the distinct advice dates of a
+    reference with their rows, and all its rows. The list is bounded by the calendar."""
+    dated = (advice_in_window(advice, w).where(F.col("acquirer_ref_number").isNotNull())
+             .groupBy("acquirer_ref_number", F.to_date("create_date").alias("adv_date"),
+                      F.to_date("create_date_ts").alias("adv_day"))
+             .agg(F.count(F.lit(1)).alias("m")))
+    return dated.groupBy("acquirer_ref_number").agg(
+        F.collect_list(F.struct("adv_date", "adv_day", "m")).alias("told"), F.sum("m").alias("told_rows"))
+
+
+def _dated_totals(events: DataFrame, keys: list[str], sums: list[str], name: str) -> DataFrame:
+    """One row per key: ``name`` = list of (date, day, sums) per distinct dates, ``name_rows`` = events."""
+    per_date = events.groupBy(*keys, "date", "day").agg(
+        *[F.sum(c).cast(T.LongType() if c in ("n", "none", "fraud_n", "fraud_none") else WHOLE).alias(c) for c in sums])
+    return per_date.groupBy(*keys).agg(F.collect_list(F.struct("date", "day", *sums)).alias(name),
+                                       F.sum("n").alias(f"{name}_rows"))
+
+
+def chargebacks_by_deposit(cbk: DataFrame) -> DataFrame:
+    """Dated chargeback totals per deposit."""
+    fraud = fraud_flag("method_of_payment_code", "reason_code") == 1
+    amount = major_parts("chargeback_amount", cbk.schema["chargeback_amount"].dataType)
+    none = F.col("chargeback_amount").isNull()
+    events = cbk.where(F.col("deposit_id").isNotNull()).select(
+        F.col("deposit_id").alias("cbk_deposit_id"), F.to_date("issuing_bank_day").alias("date"),
+        F.to_date("issuing_bank_day_ts").alias("day"), F.lit(1).alias("n"), amount.whole.alias("whole"),
+        amount.rest.alias("rest"), none.cast("int").alias("none"), fraud.cast("int").alias("fraud_n"),
+        F.when(fraud, amount.whole).alias("fraud_whole"), F.when(fraud, amount.rest).alias("fraud_rest"),
+        (fraud & none).cast("int").alias("fraud_none"))
+    return _dated_totals(events, ["cbk_deposit_id"], ["n", "whole", "rest", "none", "fraud_n", "fraud_whole", "fraud_rest", "fraud_none"], "cbks")
+
+
+def full_refunds_by_deposit(ref: DataFrame) -> DataFrame:
+    """Dated refund totals per (parent deposit, amount): those of a deposit's own amount are its full refunds."""
+    amount = amount_parts(ref)
+    events = ref.where(F.col("parent_id").isNotNull() & F.col("amount").isNotNull()).select(
+        F.col("parent_id").alias("ref_parent_id"), F.col("amount").alias("ref_amount"), F.to_date("ot_start_ts").alias("date"),
+        F.to_date("ot_start_ts_ts").alias("day"), F.lit(1).alias("n"), amount.whole.alias("whole"), amount.rest.alias("rest"),
+        amount.whole.isNull().cast("int").alias("none"))
+    return _dated_totals(events, ["ref_parent_id", "ref_amount"], ["n", "whole", "rest", "none"], "refs")
+
+
+def join_on_reference(dep: DataFrame, told: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Deposits with the advice dates of their reference, a frequent reference in several parts.
+
+    The frequent references come from a sketch of bounded size over the deposits (no
+    shuffle of references), so the list that is broadcast has at most HOT_REFERENCES rows."""
+    top = dep.agg(F.expr(f"approx_top_k(txn_reference_number, {HOT_REFERENCES}, {10 * HOT_REFERENCES})").alias("top"))
+    hot = top.select(F.explode("top").alias("t")).where((F.col("t.count") > hot_rows) & F.col("t.item").isNotNull()).select(
+        F.col("t.item").alias("__ref"), F.least(F.ceil(F.col("t.count") / hot_rows), F.lit(HOT_COPIES)).cast("int").alias("__copies"))
+    parts = F.coalesce("__copies", F.lit(1))
+    d = dep.join(F.broadcast(hot), F.col("txn_reference_number") == F.col("__ref"), "left").select(
+        *dep.columns, F.pmod(F.xxhash64(*dep.columns), parts).cast("int").alias("__part"))
+    t = told.join(F.broadcast(hot), F.col("acquirer_ref_number") == F.col("__ref"), "left").select(
+        *told.columns, F.explode(F.sequence(F.lit(0), parts - 1)).alias("__copy"))
+    return d.join(t, (F.col("txn_reference_number") == F.col("acquirer_ref_number")) & (F.col("__part") == F.col("__copy"))).drop(
+        "__part", "__copy", "acquirer_ref_number")
+
+
+def advised_deposits(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFrame, w: ReportWindow,
+                     hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row per completed deposit with advice: its advice dates and its dated events."""
+    amount = amount_parts(dep)
+    d = (dep.where(F.col("complete_date").isNotNull() & F.col("txn_reference_number").isNotNull())
+         .select(*GROUP4, "payment_id", "amount", "txn_reference_number", amount.whole.alias("whole"), amount.rest.alias("rest")))
+    j = join_on_reference(d, advice_dates(advice, w), hot_rows).drop("txn_reference_number")
+    c, r = chargebacks_by_deposit(cbk), full_refunds_by_deposit(ref)
+    j = j.join(c, F.col("payment_id") == F.col("cbk_deposit_id"), "left")
+    return j.join(r, (F.col("payment_id") == F.col("ref_parent_id")) & (F.col("amount") == F.col("ref_amount")), "left").drop(
+        "cbk_deposit_id", "ref_parent_id", "ref_amount")
 
-def advice_blocks(advice: DataFrame, dep: DataFrame, w: ReportWindow) -> DataFrame:
-    """(advice group, completed deposit) blocks joined on the reference number.
 
-    Advice rows are first collapsed per (reference, advice date, advice day),
-    so a reference shared by many deposits is paired with at most its distinct
-    advice dates inside the window -- a bound set by the calendar, not by
-    the number of advice rows. Identical blocks are then collapsed again."""
-    groups = (advice_in_window(advice, w)
-              .where(F.col("acquirer_ref_number").isNotNull())
-              .groupBy("acquirer_ref_number", F.to_date("create_date").alias("adv_date"),
-                       F.to_date("create_date_ts").alias("adv_day"))
-              .agg(F.count(F.lit(1)).alias("m")))
-    d = (dep.where(F.col("complete_date").isNotNull() & F.col("txn_reference_number").isNotNull())
-         .select(*GROUP4, "payment_id", "amount", "txn_reference_number", amount_units().alias("dep")))
-    pairs = d.join(groups, d["txn_reference_number"] == groups["acquirer_ref_number"])
-    # identical blocks add up: every block contribution is linear in m
-    return (pairs.groupBy(*GROUP4, "payment_id", "amount", "dep", "adv_date", "adv_day")
-            .agg(F.sum("m").alias("m")))
-
-
-def _chargeback_events(cbk: DataFrame) -> DataFrame:
-    fraud = fraud_flag("method_of_payment_code", "reason_code")
-    amt = units("chargeback_amount")
-    return cbk.select(
-        F.col("deposit_id").alias("payment_id"),
-        F.to_date("issuing_bank_day").alias("c_date"),
-        F.to_date("issuing_bank_day_ts").alias("c_day"),
-        F.lit(1).cast("bigint").alias("n"),
-        fraud.cast("bigint").alias("f"),
-        F.coalesce(amt, F.lit(0)).alias("s"),
-        F.when(fraud == 1, F.coalesce(amt, F.lit(0))).otherwise(F.lit(0)).alias("sf"),
-        amt.isNotNull().cast("bigint").alias("nn"),
-        ((fraud == 1) & amt.isNotNull()).cast("bigint").alias("nnf"),
-    )
+def _totals(events: str, rel: str, sums: tuple[str, ...]) -> str:
+    """SQL: the sums of the events dated ``rel`` (``<`` or ``>=``) the advice date."""
+    zero = ", ".join(f"'{c}', CAST(0 AS {'BIGINT' if c.endswith(('n', 'none')) else WHOLE})" for c in sums)
+    add = ", ".join(f"'{c}', " + (f"a.{c} + x.{c}" if c.endswith(("n", "none")) else f"CAST(a.{c} + COALESCE(x.{c}, 0) AS {WHOLE})")
+                    for c in sums)
+    return f"aggregate(filter({events}, x -> x.date {rel} t.adv_date), named_struct({zero}), (a, x) -> named_struct({add}))"
 
 
-def _refund_events(ref: DataFrame) -> DataFrame:
-    amt = amount_units()
-    return ref.select(
-        F.col("parent_id").alias("payment_id"),
-        F.col("amount"),
-        F.to_date("ot_start_ts").alias("r_date"),
-        F.to_date("ot_start_ts_ts").alias("r_day"),
-        F.lit(1).cast("bigint").alias("n"),
-        F.coalesce(amt, F.lit(0)).alias("s"),
-        amt.isNotNull().cast("bigint").alias("nn"),
-    )
+def _adds(slot: str, count: str, whole: str = "0", rest: str = "0", none: str = "0") -> str:
+    return (f"named_struct('slot', {slot}, 'cnt', CAST({count} AS BIGINT), 'whole', CAST({whole} AS {WHOLE}), "
+            f"'rest', CAST({rest} AS {WHOLE}), 'none', CAST({none} AS BIGINT))")
+
+
+def _of_deposit(slot: str, count: str) -> str:
+    """``count`` detail rows with the deposit's amount."""
+    return _adds(slot, count, f"COALESCE({count} * whole, 0)", f"COALESCE({count} * rest, 0)", f"CASE WHEN whole IS NULL THEN {count} ELSE 0 END")
+
+
+def _of_events(slot: str, times: str, totals: str, prefix: str = "") -> str:
+    """The event totals ``totals``, each paired with ``times`` detail rows."""
+    return _adds(slot, f"{times} * {totals}.{prefix}n", f"COALESCE({times} * {totals}.{prefix}whole, 0)",
+                 f"COALESCE({times} * {totals}.{prefix}rest, 0)", f"{times} * {totals}.{prefix}none")
+
+
+def _dated_adds(first: int, events: str, day: str, times: str) -> str:
+    days = f"datediff(x.day, {day})"
+    slot = f"{first} + CASE WHEN {days} < 0 THEN 0 WHEN {days} > {LAST_DAY} THEN {LAST_DAY + 2} ELSE {days} + 1 END"
+    return f"transform(filter({events}, x -> {days} IS NOT NULL), x -> {_of_events(slot, times, 'x')})"
 
 
 LAST_DAY = DAY_OFFSETS[-1]
 
-CHARGEBACK_SPECS = [
-    ProfileSpec("ccls", "c_date", "adv_date", ("n", "f", "s", "sf", "nn", "nnf")),
-    ProfileSpec("cday", "c_day", "adv_day", ("n", "s", "nn"), horizon=LAST_DAY, exact=True),
-]
-REFUND_SPECS = [
-    ProfileSpec("fcls", "r_date", "adv_date", ("n",)),
-    ProfileSpec("fday", "r_day", "adv_day", ("n", "s", "nn"), horizon=LAST_DAY, exact=True),
-]
-
-
-# Factor columns of a block (see the module doc), computed once per block.
-_DAY_PARTS = ("lt", "gt") + tuple(f"eq{k}" for k in DAY_OFFSETS)
-FACTOR_COLUMNS = {
-    "nc": "GREATEST(c_rows, 1)",
-    "nf": "GREATEST(f_rows, 1)",
-    **{f"c_{v}_{r}": f"ccls_{v}_{r}" for v in ("n", "f", "s", "sf", "nn", "nnf") for r in ("lt", "ge")},
-    **{f"cd_{v}_{r}": f"cday_{v}_{r}" for v in ("n", "s", "nn") for r in _DAY_PARTS},
-    "f_n_lt": "fcls_n_lt",
-    "f_n_ge": "fcls_n_ge",
-    "f_n_null": "f_rows - fcls_n_lt - fcls_n_ge + CASE WHEN f_rows = 0 THEN 1 ELSE 0 END",
-    **{f"fd_{v}_{r}": f"fday_{v}_{r}" for v in ("n", "s", "nn") for r in _DAY_PARTS},
-}
-_FRAUD = {"n": "f", "s": "sf", "nn": "nnf"}
-
-
-def _day_part(bucket: str) -> str:
-    return {"prior": "lt", "above_21": "gt"}.get(bucket, f"eq{bucket}")
-
-
-def _c_factor(v: str, pred: str) -> str:
-    """Count (v='n'), amount sum (v='s') or non-null count (v='nn') of the
-    chargebacks satisfying ``pred``."""
-    if pred.startswith("day"):
-        return f"cd_{v}_{_day_part(pred[3:])}"
-    base, fv = (pred[:-1], _FRAUD[v]) if pred.endswith("f") else (pred, v)
-    if base == "nn":
-        return f"(c_{fv}_lt + c_{fv}_ge)"
-    return f"c_{fv}_{base}"
-
-
-def _f_count(pred: str) -> str:
-    if pred == "all":
-        return "nf"
-    if pred.startswith("day"):
-        return f"fd_n_{_day_part(pred[3:])}"
-    return f"f_n_{pred}"
-
-
-def block_value(m: Measure) -> str:
-    """SQL for the measure's contribution of one block (factor columns in scope)."""
-    p = "nc" if m.p == "all" else _c_factor("n", m.p)
-    q = _f_count(m.q)
-    if m.kind == "count":
-        base = "CAST(payment_id IS NOT NULL AS BIGINT)" if m.name == "cnt_all_total" else str(m.weight)
-        return f"m * {base} * {p} * {q}"
-    all_rows = f"({p} = nc AND {q} = nf)"
-    if m.kind == "dep":
-        return f"CASE WHEN dep IS NULL AND NOT {all_rows} THEN 0 ELSE m * {p} * {q} * dep END"
-    if m.kind == "cbk":
-        # integer factors first: one decimal multiplication per block value
-        return f"CASE WHEN {_c_factor('nn', m.p)} = 0 AND {all_rows} THEN NULL ELSE m * {q} * {_c_factor('s', m.p)} END"
-    part = _day_part(m.q[3:])
-    return f"CASE WHEN fd_nn_{part} = 0 AND {all_rows} THEN NULL ELSE m * {p} * fd_s_{part} END"
-
-
-def _attach(blocks: DataFrame, prof: DataFrame, keys: list[str], prefix: str) -> DataFrame:
-    """Left-join a profile to the blocks on null-safe ``keys``."""
-    b, p = blocks.alias("b"), prof.alias(prefix)
-    cond = None
-    for k in keys:
-        term = F.col(f"b.{k}").eqNullSafe(F.col(f"{prefix}.{k}"))
-        cond = term if cond is None else cond & term
-    return b.join(p, cond, "left").select("b.*", *[F.col(f"{prefix}.{c}") for c in prof.columns if c not in keys])
-
-
-def advice_block_factors(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFrame,
-                         w: ReportWindow) -> DataFrame:
-    """Blocks with their chargeback and full-refund factor columns.
-
-    Chargeback factors depend only on (deposit, advice dates) and full-refund
-    factors on (deposit, amount, advice dates), so each profile is computed
-    for those distinct query keys -- a window partition then holds at most one
-    query row per advice date pair, however many blocks share a deposit -- and
-    joined back to the blocks. The blocks feed several consumers, so they are
-    computed once and checkpointed to the shared checkpoint folder (reliable:
-    survives executor loss) instead of rescanning deposits for each."""
-    shared_dir(dep.sparkSession)
-    blocks = advice_blocks(advice, dep, w).checkpoint(eager=True)
-    c_keys = ["payment_id", "adv_date", "adv_day"]
-    f_keys = ["payment_id", "amount", "adv_date", "adv_day"]
-    cprof = attach_date_profile(blocks.select(*c_keys).distinct(), _chargeback_events(cbk), ["payment_id"],
-                                CHARGEBACK_SPECS, totals={"n": "c_rows"})
-    fprof = attach_date_profile(blocks.select(*f_keys).distinct(), _refund_events(ref), ["payment_id", "amount"],
-                                REFUND_SPECS, totals={"n": "f_rows"})
-    both = _attach(_attach(blocks, cprof, c_keys, "cp"), fprof, f_keys, "fp")
-    return both.selectExpr(*GROUP4, "payment_id", "amount", "adv_date", "adv_day", "m", "dep",
-                           *[f"{expr} AS {name}" for name, expr in FACTOR_COLUMNS.items()])
+
+def slot_sums(advised: DataFrame, families=("all", "class", "day")) -> DataFrame:
+    """``GROUP4, slot, cnt, whole, rest, none``: what all rows add to each slot."""
+    dates = F.when(F.col("cbks").isNull() & F.col("refs").isNull(), F.array(F.struct(
+        F.lit(None).cast("date").alias("adv_date"), F.lit(None).cast("date").alias("adv_day"), F.col("told_rows").alias("m")))).otherwise(F.col("told"))
+    rows = advised.select("*", F.explode(dates).alias("t")).selectExpr(
+        *GROUP4, "payment_id", "whole", "rest", "t", "t.m AS m", "cbks", "refs", "GREATEST(COALESCE(cbks_rows, 0), 1) AS nc",
+        "GREATEST(COALESCE(refs_rows, 0), 1) AS nf", "COALESCE(refs_rows, 0) AS n_refs")
+    charge = ("n", "whole", "rest", "none", "fraud_n", "fraud_whole", "fraud_rest", "fraud_none")
+    rows = rows.selectExpr("*", f"{_totals('cbks', '<', charge)} AS lt", f"{_totals('cbks', '>=', charge)} AS ge",
+                           f"{_totals('refs', '<', ('n',))}.n AS f_lt", f"{_totals('refs', '>=', ('n',))}.n AS f_ge")
+    rows = rows.selectExpr("*", "COALESCE(f_lt, 0) AS q_lt", "COALESCE(f_ge, 0) AS q_ge",
+                           "n_refs - COALESCE(f_lt, 0) - COALESCE(f_ge, 0) + CASE WHEN n_refs = 0 THEN 1 ELSE 0 END AS q_null", "nf AS q_all")
+    adds = [_of_deposit(str(_TOTAL), "m * nc * nf"), _adds(str(_NO_ID), "CASE WHEN payment_id IS NULL THEN m * nc * nf ELSE 0 END")]
+    if "all" in families:
+        for side in ("lt", "ge"):
+            adds += [_of_events(str(_CBKS), "m * nf", side), _of_events(str(_FRAUD), "m * nf", side, "fraud_")]
+    if "class" in families:
+        for i, (p, q) in enumerate(_CLASS_SIDES[c] for c in CLASSES):
+            adds += [_of_deposit(str(_CLASS + 3 * i), f"m * {p}.n * q_{q}"), _of_events(str(_CLASS + 3 * i + 1), f"m * q_{q}", p),
+                     _of_events(str(_CLASS + 3 * i + 2), f"m * q_{q}", p, "fraud_")]
+    lists = [f"array({', '.join(adds)})"]
+    if "day" in families:
+        lists += [_dated_adds(_DAY_CBKS, "cbks", "t.adv_day", "m * nf"), _dated_adds(_DAY_REFUNDS, "refs", "t.adv_day", "m * nc")]
+    found = [f"filter(COALESCE({a}, array()), x -> x.cnt > 0)" for a in lists]
+    return (rows.selectExpr(*GROUP4, f"explode(concat({', '.join(found)})) AS x").selectExpr(*GROUP4, "x.*")
+            .groupBy(*GROUP4, "slot").agg(*[F.sum(c).alias(c) for c in ("cnt", "whole", "rest", "none")]))
+
+
+def _slot_of(m: Measure) -> int:
+    if m.name.startswith("excptn_"):
+        bucket = (m.p if m.p.startswith("day") else m.q)[3:]
+        at = {"prior": 0, "above_21": LAST_DAY + 2}.get(bucket)
+        return (_DAY_CBKS if m.p.startswith("day") else _DAY_REFUNDS) + (int(bucket) + 1 if at is None else at)
+    kind = 0 if m.name.endswith("_total") else 2 if m.name.endswith("_frd_cbks") else 1
+    if "_all_" in m.name:
+        return (_TOTAL, _CBKS, _FRAUD)[kind]
+    return _CLASS + 3 * next(i for i, c in enumerate(CLASSES) if f"_{c}_" in m.name) + kind
 
 
 def advice_metrics(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFrame, w: ReportWindow,
-                   families=("all", "class", "day"), row_counts: bool = False) -> DataFrame:
+                   families=("all", "class", "day"), row_counts: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Fraud-advice measures per merchant, currency code and description, and
-    method -- equal to ``advice_metrics_from_detail(advice_detail(...))``."""
-    factors = advice_block_factors(advice, dep, ref, cbk, w)
-    measures = select_measures(families, row_counts)
-    values = factors.selectExpr(*GROUP4, *[f"{block_value(m)} AS {m.name}" for m in measures])
-    aggs = [(F.sum(m.name).cast("bigint") if m.kind == "count" else from_units(F.sum(m.name))).alias(m.name)
-            for m in measures]
-    return values.groupBy(*GROUP4).agg(*aggs)
+    method -- equal to ``advice_metrics_from_detail(advice_detail(...))``. Lazy: no job
+    runs while it is built."""
+    sums = slot_sums(advised_deposits(advice, dep, ref, cbk, w, hot_rows), families)
+    by_slot = sums.select(*GROUP4, "slot", "cnt", "none", from_parts("whole", "rest").alias("amount")).groupBy(*GROUP4).agg(
+        F.map_from_entries(F.collect_list(F.struct("slot", F.struct("cnt", "none", "amount")))).alias("v"))
+    out = []
+    for m in select_measures(families, row_counts):
+        at = f"v[{_slot_of(m)}]"
+        if m.kind == "count":
+            less = f" - COALESCE(v[{_NO_ID}].cnt, 0)" if m.name == "cnt_all_total" else ""
+            out.append(f"COALESCE({at}.cnt, 0) * CAST({m.weight} AS BIGINT){less} AS {m.name}")
+        else:
+            out.append(f"CASE WHEN COALESCE({at}.none, 0) < v[{_TOTAL}].cnt THEN COALESCE({at}.amount, CAST(0 AS {REPORT_AMOUNT})) END AS {m.name}")
+    return by_slot.selectExpr(*GROUP4, *out)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settlekit.functions.money import from_units, minor_units
+from settlekit.functions.money import Parts, minor_parts, parts_sum
 
 # Fixed values (must equal the reference): action types.
 DEPOSIT_ACTIONS = ("D", "S")
@@ -27,13 +27,9 @@ def refunds(in_range: DataFrame) -> DataFrame:
     return in_range.where(F.col("action_type").isin(*REFUND_ACTIONS) & F.col("complete_date").isNotNull())
 
 
-def amount_units() -> "F.Column":
-    return minor_units("settlement_amount", "settlement_rpt_precision")
-
-
-def major_sum(units: "F.Column") -> "F.Column":
-    """Exact total of an amount in units, as a major amount."""
-    return from_units(F.sum(units))
+def amount_parts(payments: DataFrame) -> Parts:
+    """The settlement amount in exact parts, by the type of its column."""
+    return minor_parts("settlement_amount", "settlement_rpt_precision", payments.schema["settlement_amount"].dataType)
 
 
 def deposit_volume(dep: DataFrame) -> DataFrame:
@@ -42,4 +38,4 @@ def deposit_volume(dep: DataFrame) -> DataFrame:
     return (dep.where(F.col("complete_date").isNotNull())
             .groupBy(*GROUP7)
             .agg(F.count("payment_id").alias("vol_deposit_count"),
-                 major_sum(amount_units()).alias("vol_deposit_settlement_amount")))
+                 parts_sum(amount_parts(dep)).alias("vol_deposit_settlement_amount")))

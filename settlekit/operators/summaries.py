@@ -10,6 +10,7 @@ so pre-aggregation gives exactly the per-row results, NULLs included.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,15 +18,17 @@ from pyspark.sql import functions as F
 
 from settlekit.functions.fraud import fraud_flag
 from settlekit.functions.keys import null_as_empty_join
-from settlekit.operators.payments import GROUP3, GROUP4, GROUP7, amount_units, deposit_volume, major_sum
-from settlekit.session import shared_dir
+from settlekit.functions.money import from_parts, parts_sum
+from settlekit.operators.payments import GROUP3, GROUP4, GROUP7, amount_parts, deposit_volume
 
 
 def refund_totals_by_parent(ref: DataFrame) -> DataFrame:
-    """(ref_parent_id, ref_n, ref_s): refunds counted and summed per parent deposit."""
+    """(ref_parent_id, ref_n, ref_whole, ref_rest): refunds counted and summed, in exact parts, per parent deposit."""
+    amount = amount_parts(ref)
     return (ref.where(F.col("parent_id").isNotNull())
             .groupBy(F.col("parent_id").alias("ref_parent_id"))
-            .agg(F.count("payment_id").alias("ref_n"), F.sum(amount_units()).alias("ref_s")))
+            .agg(F.count("payment_id").alias("ref_n"), F.sum(amount.whole).alias("ref_whole"),
+                 F.sum(amount.rest).alias("ref_rest")))
 
 
 def chargeback_totals_by_deposit(cbk: DataFrame) -> DataFrame:
@@ -47,7 +50,7 @@ def refunds_by_deposit(dep: DataFrame, ref: DataFrame) -> DataFrame:
               .join(per_parent, F.col("payment_id") == F.col("ref_parent_id"), "left"))
     return (joined.groupBy(*GROUP3)
             .agg(F.coalesce(F.sum("ref_n"), F.lit(0)).cast("bigint").alias("excptn_refund_count"),
-                 major_sum(F.col("ref_s")).alias("excptn_refund_settlement_amount")))
+                 from_parts(F.sum("ref_whole"), F.sum("ref_rest")).alias("excptn_refund_settlement_amount")))
 
 
 def deposit_refund_summary(dep: DataFrame, ref: DataFrame) -> DataFrame:
@@ -72,14 +75,14 @@ def chargeback_summary(dep: DataFrame, cbk: DataFrame) -> DataFrame:
 def refund_match_summary(ref: DataFrame) -> DataFrame:
     """Completed refunds per merchant, currency and method: all, and those
     matched to a deposit (``parent_id > 0``)."""
-    major = amount_units()
+    amount = amount_parts(ref)
     matched = F.col("parent_id") > 0
     return (ref.groupBy(*GROUP4)
             .agg(F.count(F.lit(1)).alias("excptn_refund_mtch_count"),
                  F.sum(F.when(matched, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
                  .alias("excptn_refund_mtch_count_mtchd"),
-                 major_sum(major).alias("excptn_refund_mtch_amount"),
-                 major_sum(F.when(matched, major).otherwise(F.lit(0))).alias("excptn_refund_mtch_amount_mtchd")))
+                 parts_sum(amount).alias("excptn_refund_mtch_amount"),
+                 parts_sum(amount.map(lambda x: F.when(matched, x).otherwise(F.lit(0)))).alias("excptn_refund_mtch_amount_mtchd")))
 
 
 @dataclass
@@ -88,7 +91,8 @@ class DepositSummaries:
     chargebacks: DataFrame      # 4 keys + chargeback measures
 
 
-def deposit_summaries(dep: DataFrame, ref: DataFrame, cbk: DataFrame, materialize: bool = False) -> DepositSummaries:
+def deposit_summaries(dep: DataFrame, ref: DataFrame, cbk: DataFrame,
+                      keep: Callable[[DataFrame], DataFrame] | None = None) -> DepositSummaries:
     """Volume, refund and chargeback summaries from one pass over the deposits.
 
     Deposits meet refund and chargeback totals in two left joins on the same
@@ -99,33 +103,34 @@ def deposit_summaries(dep: DataFrame, ref: DataFrame, cbk: DataFrame, materializ
 
     Each consumer of the aggregate is optimized on its own, and Spark prunes
     the join whose columns that consumer does not need, so three consumers
-    would re-read and re-shuffle the deposits. With ``materialize`` the
-    aggregate (one row per merchant key group) is checkpointed once to the
-    shared checkpoint folder and every consumer reads that.
+    would re-read and re-shuffle the deposits. ``keep`` (``Intermediates.table`` of
+    a job) writes the aggregate, one row per merchant key group, once and every
+    consumer reads that; without it the result is a lazy plan and nothing runs here.
     """
     per_parent = refund_totals_by_parent(ref)
     per_deposit = chargeback_totals_by_deposit(cbk)
     completed = F.col("complete_date").isNotNull()
+    amount = amount_parts(dep)
     act = (dep.join(per_parent, F.col("payment_id") == F.col("ref_parent_id"), "left")
               .join(per_deposit, F.col("payment_id") == F.col("cbk_deposit_id"), "left"))
     agg7 = (act.groupBy(*GROUP7)
             .agg(F.count(F.when(completed, F.lit(1))).alias("n_completed"),
                  F.count(F.when(completed, F.col("payment_id"))).alias("vol_deposit_count"),
-                 major_sum(F.when(completed, amount_units())).alias("vol_deposit_settlement_amount"),
+                 parts_sum(amount.map(lambda x: F.when(completed, x))).alias("vol_deposit_settlement_amount"),
                  F.sum(F.when(completed, F.col("ref_n"))).alias("ref_n"),
-                 F.sum(F.when(completed, F.col("ref_s"))).alias("ref_s"),
+                 F.sum(F.when(completed, F.col("ref_whole"))).alias("ref_whole"),
+                 F.sum(F.when(completed, F.col("ref_rest"))).alias("ref_rest"),
                  F.sum("cbk_n").alias("cbk_n"),
                  F.sum("cbk_s").alias("cbk_s"),
                  F.sum("cbk_fn").alias("cbk_fn"),
                  F.sum("cbk_fs").alias("cbk_fs")))
-    if materialize:
-        shared_dir(dep.sparkSession)
-        agg7 = agg7.checkpoint(eager=True)
+    if keep is not None:
+        agg7 = keep(agg7)
     with_completed = agg7.where(F.col("n_completed") > 0)
     volume = with_completed.select(*GROUP7, "vol_deposit_count", "vol_deposit_settlement_amount")
     refunds3 = (with_completed.groupBy(*GROUP3)
                 .agg(F.coalesce(F.sum("ref_n"), F.lit(0)).cast("bigint").alias("excptn_refund_count"),
-                     major_sum(F.col("ref_s")).alias("excptn_refund_settlement_amount")))
+                     from_parts(F.sum("ref_whole"), F.sum("ref_rest")).alias("excptn_refund_settlement_amount")))
     volume_refunds = null_as_empty_join(volume, refunds3, ["merchant_id", "method_of_payment_code"],
                                         ["settlement_currency_code"])
     chargebacks = (agg7.where(F.col("cbk_n") > 0).groupBy(*GROUP4)

@@ -4,6 +4,8 @@ columns), plus its publication as one idempotent partition."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from settlekit.functions.keys import null_as_empty
 from settlekit.functions.money import REPORT_AMOUNT
 from settlekit.functions.periods import ReportWindow, report_window
+from settlekit.intermediates import Intermediates
 from settlekit.operators.advice import advice_metrics, select_measures
 from settlekit.operators.payments import deposits, refunds
 from settlekit.operators.summaries import deposit_summaries, refund_match_summary
@@ -64,7 +67,8 @@ def monthly_exception_report(payments: DataFrame, chargebacks: DataFrame, advice
 
     Row multiplication of the reference is kept: several currency
     descriptions or NULL and '' currency codes under one key fan out, exactly
-    as the reference's joins do. Amounts are exact decimals.
+    as the reference's joins do. Amounts are exact decimals. Lazy: no job runs and
+    nothing is written while the report is built.
     """
     w = report_window(run_date, period)
     rng = payments_in_range(payments, w)
@@ -72,8 +76,8 @@ def monthly_exception_report(payments: DataFrame, chargebacks: DataFrame, advice
 
 
 def _report(dep: DataFrame, ref: DataFrame, cbk: DataFrame, advice: DataFrame, w: ReportWindow,
-            row_counts: bool = False) -> DataFrame:
-    sums = deposit_summaries(dep, ref, cbk, materialize=True)
+            row_counts: bool = False, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    sums = deposit_summaries(dep, ref, cbk, keep)
     report = _assemble(sums.volume_refunds, sums.chargebacks, "c_")
     report = _assemble(report, refund_match_summary(ref), "m_")
     report = _assemble(report, advice_metrics(advice, dep, ref, cbk, w, row_counts=row_counts), "a_")
@@ -94,14 +98,17 @@ def publish_monthly_report(payments: DataFrame, chargebacks: DataFrame, advice:
                            base: str, persist_payments: bool = True) -> ReportWindow:
     """Build the report and overwrite its (month, period) partition under
     ``base``. The filtered payments are cached for the duration of the write
-    (five branches read them); lost cache blocks are recomputed from the scan."""
+    (four branches read them); lost cache blocks are recomputed from the scan. The
+    deposit aggregate, which three branches read, is written once to the shared
+    folder and removed when the job ends, also by an error."""
     w = report_window(run_date, period)
     rng = payments_in_range(payments, w)
     if persist_payments:
         rng = rng.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        report = _report(deposits(rng), refunds(rng), chargebacks_in_window(chargebacks, w), advice, w)
-        write_report(report, base, w.month, period)
+        with Intermediates(payments.sparkSession) as own:
+            report = _report(deposits(rng), refunds(rng), chargebacks_in_window(chargebacks, w), advice, w, keep=own.table)
+            write_report(report, base, w.month, period)
     finally:
         if persist_payments:
             rng.unpersist()

@@ -222,5 +222,49 @@ class SettlementInputs:
         return {name.upper(): self.table(name) for name in COUNTABLE_TABLES}
 
 
-def settlement_inputs(spark: SparkSession, sf_dir: str) -> SettlementInputs:
-    return SettlementInputs(spark, sf_dir.rstrip("/"))
+class SharedReferenceInputs(SettlementInputs):
+    """The same inputs made awkward (FIXTURES.md B8): one placeholder reference on a third
+    of the deposits, two deposits and several advice rows per other reference, two
+    descriptions per currency code, '' beside NULL codes, fractional amounts as
+    decimal(38,18) with precisions from -1 to 18."""
+
+    @property
+    def _order_key(self) -> Column:
+        own = F.col("payment_id")
+        return F.when(F.col("action_type").isin("R", "T"), F.floor((own - 10000000) / 10) + 1).otherwise(own)
+
+    @staticmethod
+    def _reference(k: Column) -> Column:
+        return F.when(k % 3 == 0, F.lit("0")).otherwise(F.concat(F.lit("ARN"), (k - k % 2).cast("string")))
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        base = super().payments.withColumn("k", self._order_key)
+        k = F.col("k")
+        precision = (k % 20 - 1).cast("int")
+        cents = F.col("amount").cast("decimal(18,0)")
+        made = {
+            "settlement_rpt_precision": precision,
+            "settlement_amount": F.when(precision <= 16, cents * F.lit("0.01").cast("decimal(3,2)")).otherwise(cents).cast("decimal(38,18)"),
+            "settlement_currency_code": F.when(F.col("settlement_currency_code").isNull() & (k % 2 == 1), F.lit("")).otherwise(
+                F.col("settlement_currency_code")),
+            "settlement_currency_desc": F.when(k % 5 == 0, F.concat("settlement_currency_desc", F.lit(" (old)"))).otherwise(
+                F.col("settlement_currency_desc")),
+            "txn_reference_number": F.when(F.col("txn_reference_number").isNotNull(), self._reference(k)),
+        }
+        return base.select(*[made[c].alias(c) if c in made else F.col(c) for c in PAYMENT_COLUMNS])
+
+    @cached_property
+    def chargebacks(self) -> DataFrame:
+        return super().chargebacks.withColumn("chargeback_amount", F.col("chargeback_amount").cast("decimal(38,18)"))
+
+    @cached_property
+    def advice(self) -> DataFrame:
+        base = super().advice
+        k = F.substring("acquirer_ref_number", 4, 20).cast("bigint") + 1
+        return base.where((k % 3 != 0) | (k % 300 == 0)).withColumn("acquirer_ref_number", self._reference(k))
+
+
+def settlement_inputs(spark: SparkSession, sf_dir: str, shared_references: bool = False) -> SettlementInputs:
+    kind = SharedReferenceInputs if shared_references else SettlementInputs
+    return kind(spark, sf_dir.rstrip("/"))

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import (ADVICE_SCHEMA, CHARGEBACK_SCHEMA, PAYMENT_SCHEMA, D, advice, at, chargeback, deposit, frame,
+from settlement_data import (ADVICE_SCHEMA, CHARGEBACK_SCHEMA, PAYMENT_SCHEMA, D, advice, at, chargeback, deposit, frame,
                       refund)
 from settlekit.functions.periods import report_window
 from settlekit.operators import advice as A
@@ -211,3 +211,44 @@ def test_hot_deposit_at_scale_matches_closed_form(spark):
     assert r["excptn_amnt_above_21_cbks"] == Decimal(sum(n * sum((c - a).days > 21 for c in cbk_days)
                                                          for a in adv_days))
     assert r["amnt_all_total"] == Decimal(100) * 4 * n * n
+
+
+def test_one_reference_on_a_third_of_the_deposits(spark):
+    """A placeholder reference: right measures, its deposits dealt over many tasks, and deposits
+    without events never paired with advice dates."""
+    rnd = random.Random(4)
+    base = D(2019, 8, 1)
+    pays = [deposit(i, base + dt.timedelta(days=i % 30), merchant_id=i % 3, txn_reference_number="0" if i % 3 == 0 else f"ARN{i}")
+            for i in range(1, 601)]
+    pays += [refund(10_000 + i, i, base + dt.timedelta(days=rnd.randint(0, 50))) for i in range(1, 601) if i % 7 == 0]
+    cbks = [chargeback(i, base + dt.timedelta(days=rnd.randint(0, 50))) for i in range(1, 601) if i % 5 == 0]
+    advs = [advice("0", base + dt.timedelta(days=d)) for d in (0, 3, 3, 9, 20)] + [advice(f"ARN{i}", base) for i in range(1, 200)]
+    rng = payments_in_range(frame(spark, pays, PAYMENT_SCHEMA), W)
+    dep, ref = deposits(rng), refunds(rng)
+    cbk, adv = chargebacks_in_window(frame(spark, cbks, CHARGEBACK_SCHEMA), W), frame(spark, advs, ADVICE_SCHEMA)
+    fast = A.advice_metrics(adv, dep, ref, cbk, W, hot_rows=10)
+    slow = A.advice_metrics_from_detail(A.advice_detail(adv, dep, ref, cbk, W))
+    cols = slow.columns
+    assert sorted((tuple(r[c] for c in cols) for r in fast.collect()), key=repr) == \
+        sorted((tuple(r[c] for c in cols) for r in slow.collect()), key=repr)
+
+    from pyspark.sql import functions as F
+    told = A.advice_dates(adv, W)
+    narrow = dep.select("payment_id", "amount", "txn_reference_number")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = {n: sorted(r["count"] for r in A.join_on_reference(narrow, told, n).groupBy(F.spark_partition_id()).count().collect())
+                 for n in (10, 10 ** 6)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes[10]) == sum(sizes[10 ** 6]) == 200 + 133
+    assert max(sizes[10]) <= 3 * sizes[10][len(sizes[10]) // 2] < max(sizes[10 ** 6])
+
+    advised = A.advised_deposits(adv, dep, ref, cbk, W)
+    rows = A.slot_sums(advised)
+    assert "Window" not in rows._jdf.queryExecution().executedPlan().toString()
+    plain = advised.where("cbks IS NULL AND refs IS NULL")
+    paired = advised.select(F.when(F.col("cbks").isNull() & F.col("refs").isNull(), 1).otherwise(F.size("told")).alias("n"))
+    assert plain.count() > 150 and paired.agg(F.sum("n")).first()[0] < 200 * 4 + 133

@@ -1,17 +1,56 @@
 import datetime as dt
-from decimal import Decimal
+from decimal import Context, Decimal
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from settlekit.functions import fraud_flag, minor_to_major, null_as_empty, report_window, report_window_columns
+from settlekit.functions import (fraud_flag, from_parts, major_parts, minor_parts, minor_to_major, null_as_empty, parts_sum, report_window,
+                                 report_window_columns)
 
 
 def test_minor_to_major_is_exact(spark):
     # C1
-    df = spark.createDataFrame([(1234, 2), (1234, 0), (1234, 3), (1234, 7), (None, 2)], "a bigint, p int")
-    got = [r[0] for r in df.select(minor_to_major("a", "p")).collect()]
-    assert got == [Decimal("12.340000"), Decimal("1234.000000"), Decimal("1.234000"), None, None]
-    assert df.select(minor_to_major("a", "p")).schema[0].dataType.simpleString() == "decimal(28,6)"
+    df = spark.createDataFrame([(1234, 2), (1234, 0), (1234, 3), (1234, 7), (None, 2), (5, None), (0, 40), (3, -2)], "a bigint, p int")
+    want = [Decimal("12.34"), Decimal(1234), Decimal("1.234"), Decimal("0.0001234"), None, None, Decimal(0), Decimal(300)]
+    for kind in (None, T.LongType()):
+        out = df.select(minor_to_major("a", "p", kind))
+        assert [r[0] for r in out.collect()] == want
+        assert out.schema[0].dataType.simpleString() == "decimal(38,18)"
+
+
+def test_what_has_no_exact_value_is_an_error_that_names_it(spark):
+    for amount, precision in ((7, 19), (100_000, -18), (1, -20)):
+        df = spark.createDataFrame([(1, 2), (amount, precision)], "a bigint, p int")
+        for kind in (None, T.LongType()):
+            with pytest.raises(Exception, match=f"amount {amount} with precision {precision} has no exact value"):
+                df.select(minor_to_major("a", "p", kind)).collect()
+    df = spark.createDataFrame([(Decimal("0.25"), 17)], "a decimal(10,2), p int")
+    with pytest.raises(Exception, match="amount 0.25 with precision 17"):
+        df.select(parts_sum(minor_parts("a", "p", df.schema["a"].dataType))).collect()
+
+
+def test_sums_run_over_neither_part(spark):
+    """Large whole parts that cancel out, and rests that add up to whole units."""
+    rows = [(9 * 10 ** 18, -17), (-9 * 10 ** 18, -17), (10 ** 18 - 1, 18), (10 ** 18 - 1, 18), (2, 18), (-5, 1), (None, 1)]
+    df = spark.createDataFrame(rows, "a bigint, p int")
+    for kind in (None, T.LongType()):
+        assert df.select(parts_sum(minor_parts("a", "p", kind))).first()[0] == Decimal("1.5")
+    with pytest.raises(Exception, match="the total 900000000000000000000 is beyond"):
+        spark.createDataFrame([(9, -20 + 1)] * 10, "a bigint, p int").select(parts_sum(minor_parts("a", "p", T.LongType()))).collect()
+    empty = spark.createDataFrame([], "a bigint, p int")
+    assert empty.select(parts_sum(minor_parts("a", "p", T.LongType()))).first()[0] is None
+
+
+def test_fractional_amounts_are_exact(spark):
+    rows = [("12.345", 2), ("-0.000000000000000001", 0), ("99999999999999999999.5", 1), ("0.0", 18), ("7", 18), (None, 2)]
+    wide, want = Context(prec=60), Decimal(0)
+    for a, precision in rows:
+        want = wide.add(want, Decimal(a or 0).scaleb(-precision, wide))
+    df = spark.createDataFrame([(None if a is None else Decimal(a), p) for a, p in rows], "a decimal(38,18), p int")
+    assert df.select(parts_sum(minor_parts("a", "p", df.schema["a"].dataType))).first()[0] == want
+    major = spark.createDataFrame([(Decimal("-1.25"),), (Decimal("3.50"),), (None,)], "a decimal(18,2)")
+    assert major.select(parts_sum(major_parts("a", major.schema["a"].dataType))).first()[0] == Decimal("2.25")
 
 
 def test_fraud_classifier(spark):
@@ -64,12 +103,14 @@ def test_minor_to_major_matches_decimal_arithmetic(spark):
     rows = []
 
     @settings(max_examples=200, deadline=None, derandomize=True)
-    @given(st.integers(min_value=-(2 ** 63), max_value=2 ** 63 - 1), st.integers(min_value=-1, max_value=8))
+    @given(st.integers(min_value=-(2 ** 63), max_value=2 ** 63 - 1), st.integers(min_value=-1, max_value=18))
     def collect(amount, precision):
         rows.append((amount, precision))
 
     collect()
     df = spark.createDataFrame(rows, "a bigint, p int")
-    got = [r[0] for r in df.select(minor_to_major("a", "p")).collect()]
-    want = [Decimal(a).scaleb(-p) if 0 <= p <= 6 else None for a, p in rows]
-    assert got == want
+    want = [Decimal(a).scaleb(-p, Context(prec=60)) for a, p in rows]
+    for kind in (None, T.LongType()):
+        assert [r[0] for r in df.select(minor_to_major("a", "p", kind)).collect()] == want
+        parts = minor_parts("a", "p", kind)
+        assert [r[0] for r in df.select(from_parts(*parts)).collect()] == want

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import types as T
 
-from conftest import ADVICE_SCHEMA, CHARGEBACK_SCHEMA, PAYMENT_SCHEMA, D, advice, chargeback, deposit, frame
+from settlement_data import ADVICE_SCHEMA, CHARGEBACK_SCHEMA, PAYMENT_SCHEMA, D, advice, chargeback, deposit, frame
 from settlekit.plans.report import monthly_exception_report, report_columns
 
 
@@ -59,3 +59,40 @@ def test_report_equals_reference_composition(spark, seed):
     assert fast.count() > 0
     assert sorted((tuple(r[x] for x in cols) for r in fast.collect()), key=repr) == \
         sorted((tuple(r[x] for x in cols) for r in slow.collect()), key=repr)
+
+
+def _jobs(spark, run):
+    """What ``run`` returns, and the number of jobs it started."""
+    group = f"count-jobs-{run.__name__}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_runs_no_job_and_publishing_leaves_nothing(spark, tmp_path):
+    from settlekit.plans.report import publish_monthly_report
+    from settlekit.session import shared_dir
+
+    inputs = (frame(spark, [deposit(1)], PAYMENT_SCHEMA), frame(spark, [chargeback(1, D(2019, 9, 11))], CHARGEBACK_SCHEMA),
+              frame(spark, [advice("ARN1", D(2019, 9, 10))], ADVICE_SCHEMA))
+
+    def build():
+        return monthly_exception_report(*inputs, "2019-10-05", 12)
+
+    report, jobs = _jobs(spark, build)
+    assert jobs == 0
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = lambda: sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().startswith("settlekit-job-"))
+    before = held()
+    publish_monthly_report(*inputs, "2019-10-05", 12, str(tmp_path / "r"))
+    assert held() == before
+    got = spark.read.parquet(str(tmp_path / "r")).drop("reporting_month", "reporting_period")
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in report.collect()]
+    # an error while publishing clears up too
+    with pytest.raises(Exception):
+        publish_monthly_report(*inputs, "2019-10-05", 12, "nosuchscheme://x/y")
+    assert held() == before

@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from conftest import CHARGEBACK_SCHEMA, PAYMENT_SCHEMA, D, chargeback, deposit, frame, refund
+from settlement_data import CHARGEBACK_SCHEMA, PAYMENT_SCHEMA, D, chargeback, deposit, frame, refund
 from settlekit.functions.periods import report_window
 from settlekit.operators.payments import deposit_volume, deposits, refunds
 from settlekit.operators.summaries import (chargeback_summary, deposit_refund_summary, deposit_summaries,
