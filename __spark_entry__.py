@@ -8,6 +8,7 @@ period 12 (period 3 as a second case), reconciliation ``as_of`` 1998-10-31,
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -233,6 +234,31 @@ def q_reconcile_stored_sql(spark, sf_dir):
     return R.reconcile(spark, reqs, inp.audit, AS_OF, tables, inserted_at=INSERTED_AT, app_id=APP_ID)
 
 
+def q_templates_many_days(spark, sf_dir):
+    """Stored queries asked for the last 30 days: one plan and one scan per query; a bad query ends as F for each day."""
+    inp, tables = _recon_inputs(spark, sf_dir)
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"counted_{name.lower()}")
+    reqs = [R.CountRequest(i, t.upper(), c, RUN_DATE - dt.timedelta(days=k), sql)
+            for i, t, c, sql in O.TEMPLATES for k in range(1, O.TEMPLATE_DAYS + 1)]
+    return R.reconcile(spark, reqs, inp.audit, AS_OF, tables, inserted_at=INSERTED_AT, app_id=APP_ID)
+
+
+def q_replay_recorded_history(spark, sf_dir):
+    """History written by the job on three days, then replayed whole through its recorded queries, failed rows included."""
+    inp, tables = _recon_inputs(spark, sf_dir)
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"counted_{name.lower()}")
+    control = spark.createDataFrame([(*r[:4], "Y", "Y", "TRAN", r[4]) for r in O.RECORDED], inp.control.schema)
+    history, base = scratch_path(spark, "recorded"), scratch_path(spark, "recorded-replay")
+    none = spark.createDataFrame([], R.RESULT_SCHEMA).withColumn("extract_date", F.lit(None).cast("date"))
+    job = dict(tables=tables, inserted_at=INSERTED_AT, app_id=APP_ID, only_failed=False)
+    for back in O.RECORDED_RUNS:
+        run_reconciliation(spark, control, inp.audit, none, RUN_DATE - dt.timedelta(days=back), AS_OF, 0, history, **job)
+    run_reconciliation(spark, control, inp.audit, spark.read.parquet(history), RUN_DATE, AS_OF, REPLAY_DAYS, base, **job)
+    return spark.read.parquet(base).drop("extract_date")
+
+
 def q_replay_counts_history_sql(spark, sf_dir):
     """Replay of every latest day of the library's own history through its recorded queries (first column)."""
     inp, tables = _recon_inputs(spark, sf_dir)
@@ -268,6 +294,29 @@ def q_reconciliation_job(spark, sf_dir):
     return spark.read.parquet(base)
 
 
+def q_reconciliation_job_selected(spark, sf_dir):
+    """The daily job with Part I taken from the selected control rows."""
+    inp, tables = _recon_inputs(spark, sf_dir)
+    base = scratch_path(spark, "recon-selected")
+    run_reconciliation(spark, inp.control, inp.audit, inp.history, RUN_DATE, AS_OF, REPLAY_DAYS, base, tables,
+                       inserted_at=INSERTED_AT, app_id=APP_ID, selected_control=True)
+    return spark.read.parquet(base)
+
+
+def q_results_in_catalog(spark, sf_dir):
+    """The job appends to a partitioned catalog table, registers its partition, refreshes and
+    prints; SQL reads the registered partition and not the one whose folder only exists."""
+    inp, tables = _recon_inputs(spark, sf_dir)
+    base = scratch_path(spark, "recon-catalog")
+    name = "settlekit_" + base.rsplit("-", 1)[1]
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in R.RESULT_SCHEMA.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}, extract_date DATE) USING parquet PARTITIONED BY (extract_date) LOCATION '{base}'")
+    rows = run_reconciliation(spark, inp.control, inp.audit, inp.history, RUN_DATE, AS_OF, REPLAY_DAYS, base, tables, table=name,
+                              inserted_at=INSERTED_AT, app_id=APP_ID, show=True)
+    append_results(rows, base, RUN_DATE + dt.timedelta(days=1))
+    return spark.sql(f"SELECT * FROM {name}")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "report_window": q_report_window,
@@ -301,10 +350,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replay_candidates_all": _replay_candidates(only_failed=False),
         "replay_counts": q_replay_counts,
         "reconcile_counts_stored_sql": q_reconcile_stored_sql,
+        "reconcile_templates_many_days": q_templates_many_days,
+        "replay_recorded_history": q_replay_recorded_history,
         "replay_counts_history_sql": q_replay_counts_history_sql,
         "select_control": q_select_control,
         "results_append_roundtrip": q_results_append_roundtrip,
         "reconciliation_job": q_reconciliation_job,
+        "reconciliation_job_selected_control": q_reconciliation_job_selected,
+        "results_in_catalog": q_results_in_catalog,
         **(training_data.queries() if training_data else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
@@ -402,11 +455,12 @@ SELECT table_name, target_date, record_count, extract_date, inserted_date FROM (
         "replay_counts": O.replay_counts_sql(),
         "reconcile_counts_stored_sql": O.stored_sql(),
         "replay_counts_history_sql": O.replay_counts_sql(),
-        "select_control": f"""{lo_h}
-SELECT * FROM fx_control WHERE count_ind = 'Y' AND table_type = 'TRAN'
-UNION ALL
-SELECT * FROM fx_control c WHERE count_ind = 'Y' AND table_type = 'DIM'
-  AND EXISTS (SELECT 1 FROM fx_audit a WHERE a.table_name = c.table_name AND a.extract_date = DATE '{RUN_DATE}')""",
+        "select_control": O.select_control_sql(),
+        "reconcile_templates_many_days": O.templates_sql(),
+        "replay_recorded_history": O.recorded_replay_sql(),
+        "reconciliation_job_selected_control": O.selected_job_sql(),
+        "results_in_catalog": f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({recon}) r\nUNION ALL\n"
+                              f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({O.replay_counts_sql()}) p",
         "results_append_roundtrip": f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({recon}) r\nUNION ALL\n"
                                     f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({recon}) r",
         "reconciliation_job": f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({recon}) r\nUNION ALL\n"

@@ -106,7 +106,8 @@ fx_control AS (
     (2, 'lineitem', 'l_shipdate', NULL, 'Y', 'Y', 'TRAN', CAST(NULL AS VARCHAR)),
     (3, 'events', 'ts', 2, 'Y', 'N', 'DIM', CAST(NULL AS VARCHAR)),
     (4, 'customer', NULL, 0, 'N', 'N', 'DIM', CAST(NULL AS VARCHAR)),
-    (5, 'no_such_table', 'd', 0, 'Y', 'N', 'TRAN', CAST(NULL AS VARCHAR))
+    (5, 'no_such_table', 'd', 0, 'Y', 'N', 'TRAN', CAST(NULL AS VARCHAR)),
+    (6, 'Lineitem', 'l_shipdate', 1, 'Y', 'N', 'DIM', CAST(NULL AS VARCHAR))
   ) t(table_id, table_name, date_column_name, num_days, count_ind, failed_rerun, table_type, sql))
 """
 
@@ -444,3 +445,92 @@ def replay_counts_sql() -> str:
 {_replayed(True)},
 asked AS (SELECT table_id, name, date_column_name, CAST(count_date AS DATE) AS day FROM replayed)
 {_verdicts()}"""
+
+
+# ---------------------------------------------------------------- reconciliation: selection, templates, recorded queries
+
+_SELECTED = f"""selected AS (
+  SELECT * FROM fx_control c WHERE count_ind = 'Y' AND (table_type = 'TRAN' OR table_type = 'DIM' AND EXISTS (
+    SELECT 1 FROM fx_audit a WHERE upper(a.table_name) = upper(c.table_name) AND a.extract_date = DATE '{RUN_DATE}')))"""
+
+
+def select_control_sql() -> str:
+    return f"WITH {FIXTURE_CTES},\n{_SELECTED}\nSELECT * FROM selected"
+
+
+def selected_job_sql() -> str:
+    """The daily job over the selected control rows, and the replay of unmatched days."""
+    part1 = _PART1.replace("FROM fx_control WHERE count_ind = 'Y'", "FROM selected")
+    today = f"WITH {FIXTURE_CTES},\n{_COUNTED},\n{_SELECTED},\n{part1}\n{_verdicts()}"
+    return (f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({today}) r\nUNION ALL\n"
+            f"SELECT *, DATE '{RUN_DATE}' AS extract_date FROM ({replay_counts_sql()}) p")
+
+
+def _judged() -> str:
+    """Verdict rows of ``asked(id, name, date_column_name, day, text, bad)``."""
+    return f"""SELECT {CONSTANTS}, CAST(a.id AS BIGINT) AS id, a.name AS table_name, CAST(a.day AS VARCHAR) AS count_date,
+  CAST(CASE WHEN a.bad THEN 0 ELSE coalesce(c.n, 0) END AS BIGINT) AS bda_count,
+  CAST(CASE WHEN a.bad THEN 0 ELSE coalesce(v.told, 0) END AS BIGINT) AS vap_count,
+  CASE WHEN a.bad THEN 'F' WHEN coalesce(c.n, 0) = coalesce(v.told, 0) THEN 'Y' ELSE 'N' END AS matched,
+  CAST(CASE WHEN a.bad THEN 0 ELSE coalesce(c.n, 0) - coalesce(v.told, 0) END AS BIGINT) AS count_diff,
+  a.date_column_name, '{INSERTED_AT}' AS inserted_date,
+  a.text || CASE WHEN a.bad THEN ' has failed in {APP_ID}' ELSE '' END AS runtime_sql
+FROM asked a LEFT JOIN per_day c ON c.t = a.name AND c.d = a.day
+LEFT JOIN (
+  SELECT table_name AS whose, target_date, arg_max(record_count, struct_pack(e := extract_date, i := inserted_date)) AS told
+  FROM fx_audit WHERE extract_date BETWEEN target_date AND DATE '{AS_OF}' GROUP BY ALL) v
+  ON v.whose = a.name AND v.target_date = a.day"""
+
+
+#: Stored queries asked for many days: id, table, column, query.
+TEMPLATES = [(1, "orders", "o_orderdate", stored_query("orders", "o_orderdate")),
+             (2, "lineitem", "l_shipdate", stored_query("lineitem", "l_shipdate")),
+             (3, "events", "ts", stored_query("events", "ts")),
+             (4, "orders", "o_orderdate", "SELECT o_orderpriority AS t, no_such AS n FROM counted_orders WHERE o_orderdate = {var1}")]
+TEMPLATE_DAYS = 30
+
+
+def _text(v) -> str:
+    return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+def _on_day(sql: str, day: str) -> str:
+    return f"replace({sql}, '{{var1}}', concat(chr(39), CAST({day} AS VARCHAR), chr(39)))"
+
+
+def templates_sql() -> str:
+    rows = ",\n  ".join(f"({i}, {_text(t.upper())}, {_text(c)}, {_text(q)})" for i, t, c, q in TEMPLATES)
+    return f"""WITH {FIXTURE_CTES},
+{_COUNTED},
+stored(id, name, date_column_name, sql) AS (VALUES
+  {rows}),
+asked AS (
+  SELECT id, name, date_column_name, day, {_on_day('sql', 'day')} AS text, sql LIKE '%no_such%' AS bad
+  FROM stored, (SELECT DATE '{RUN_DATE}' - CAST(k AS INTEGER) AS day FROM range(1, {TEMPLATE_DAYS + 1}) r(k)))
+{_judged()}"""
+
+
+#: Control rows whose recorded queries are replayed: id, table, column, days back, query (None: the library's own count).
+RECORDED = [(1, "orders", "o_orderdate", 1, None), (2, "lineitem", "l_shipdate", 2, None),
+            (4, "orders", "o_orderdate", 10, "SELECT COUNT(*) AS n FROM counted_orders WHERE CAST(o_orderdate AS DATE) = {var1}"),
+            (5, "no_such_table", "d", 1, None)]
+RECORDED_RUNS = (3, 2, 1)       # days before the run date on which the history was written
+
+
+def recorded_replay_sql() -> str:
+    """Today's counts, and every recorded day again through its own query; failed ones fail again, named once."""
+    rows = ",\n  ".join(f"({i}, {_text(t)}, {_text(c)}, {d}, {_text(q)})" for i, t, c, d, q in RECORDED)
+    runs = ", ".join(f"({k})" for k in (0, *RECORDED_RUNS))
+    plain = _QUERY.replace("name", "t", 1).replace("date_column_name", "c")
+    return f"""WITH {FIXTURE_CTES},
+{_COUNTED},
+control(id, t, c, back, sql) AS (VALUES
+  {rows}),
+counted AS (
+  SELECT k, id, upper(t) AS name, c, day, CASE WHEN sql IS NULL THEN {plain} ELSE {_on_day('sql', 'day')} END AS text
+  FROM (SELECT *, DATE '{RUN_DATE}' - k - back AS day FROM control, (VALUES {runs}) r(k))),
+asked AS (
+  SELECT id, name, c AS date_column_name, day, text, name = 'NO_SUCH_TABLE' AS bad FROM counted WHERE k = 0
+  UNION ALL
+  SELECT o.id, h.name, o.c, h.day, h.text, h.name = 'NO_SUCH_TABLE' FROM counted h JOIN control o ON upper(o.t) = h.name WHERE h.k > 0)
+{_judged()}"""

@@ -15,8 +15,9 @@ build that plan: they hold one row per table and requested day (at most
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -81,6 +82,12 @@ def count_sql(table: str, date_column: str | None, day: dt.date) -> str:
     return f"SELECT COUNT(*) FROM {table.lower()} WHERE CAST({date_column} AS DATE) = '{day.isoformat()}'"
 
 
+def recorded_query(runtime_sql: Column, matched: Column) -> Column:
+    """The query of a result row: a failed row's text without the failure behind it."""
+    last = F.regexp_replace(runtime_sql, f"(?s){FAILED_SUFFIX}((?!{FAILED_SUFFIX}).)*$", "")
+    return F.when(matched == FAILED, last).otherwise(runtime_sql)
+
+
 def _message(exc: Exception) -> str:
     return str(exc).splitlines()[0] if str(exc) else type(exc).__name__
 
@@ -122,9 +129,13 @@ def _request(row, day, name, sql) -> CountRequest:
 
 
 def requests_from_candidates(candidates: DataFrame, use_history_sql: bool = False) -> list[CountRequest]:
-    """Part II: one request per replay candidate row."""
-    return [_request(r, lambda r: as_date(r["count_date"]), str, lambda r: r["runtime_sql"] if use_history_sql else r["sql"])
+    """Part II: one request per replay candidate row. A recorded query that is the
+    library's own count of that table and day becomes such a count again, so that
+    all days of a table share one scan."""
+    made = [_request(r, lambda r: as_date(r["count_date"]), str, lambda r: r["runtime_sql"] if use_history_sql else r["sql"])
             for r in candidates.collect()]
+    return [dataclasses.replace(r, sql=None) if r.error is None and r.sql is not None and r.date_column is not None
+            and r.sql == count_sql(r.table_name, r.date_column, r.count_date) else r for r in made]
 
 
 # ---------------------------------------------------------------- own counts
@@ -179,33 +190,91 @@ def _sql_branch(spark: SparkSession, key: str, req: CountRequest, count_column:
     return value.select(F.lit(key).alias("branch"), F.lit(req.count_date).alias("day"), "n")
 
 
+def _template_branch(spark: SparkSession, key: str, template: str, days: Sequence[dt.date], count_column: int | str) -> DataFrame | None:
+    """One stored query for many days as one plan: the query becomes a lateral
+    subquery of the table of days, from which Catalyst lifts the day predicate to a
+    join key. None where that does not give the same result for sure or no single scan:
+    a query that may return several rows, or a day that is no join key."""
+    first = spark.sql(template.replace(TEMPLATE_MARKER, ":var1"), args={"var1": days[0].isoformat()})
+    col = first.columns[count_column] if isinstance(count_column, int) else count_column
+    at = [c.lower() for c in first.columns].index(col.lower())
+    one_row = first._jdf.queryExecution().optimizedPlan().maxRows()
+    if first.columns.count(col) != 1 or not one_row.isDefined() or one_row.get() > 1:
+        return None
+    names = ", ".join(f"__c{i}" for i in range(len(first.columns)))
+    values = ", ".join(f"('{d.isoformat()}')" for d in days)
+    body = template.replace(TEMPLATE_MARKER, "__days.__day")
+    try:
+        every = spark.sql(f"SELECT __days.__day, __q.__c{at} AS n FROM VALUES {values} AS __days(__day), LATERAL ({body}) AS __q({names})")
+        plan = every._jdf.queryExecution().executedPlan().toString()
+    except Exception:       # a query that cannot be correlated is counted day by day
+        return None
+    if "NestedLoop" in plan or "Cartesian" in plan:
+        return None
+    return every.select(F.lit(key).alias("branch"), F.col("__day").cast("date").alias("day"), F.col("n").cast("bigint").alias("n"))
+
+
 @dataclass
 class CountBranch:
     request_ids: list[int]
     frame: DataFrame          # (branch, day, n)
+    #: Its days one by one, should they fail together: branches, and {request_id: error}.
+    alone: Callable[[], tuple[list["CountBranch"], dict[int, str]]] | None = None
 
 
 def _branch_key(i: int, req: CountRequest) -> str:
-    return f"query {i}" if req.sql is not None else f"table {req.table_name} by {req.date_column}"
+    return f"query {req.sql}" if req.sql is not None else f"table {req.table_name} by {req.date_column}"
+
+
+def _daily_branches(spark: SparkSession, key: str, requests: Mapping[int, CountRequest],
+                    count_column: int | str) -> tuple[list[CountBranch], dict[int, str]]:
+    """A stored query day by day, and {request_id: error} for days whose query failed to build."""
+    by_day: dict[dt.date, list[int]] = {}
+    for i, req in requests.items():
+        by_day.setdefault(req.count_date, []).append(i)
+    branches, failed = [], {}
+    for ids in by_day.values():
+        try:
+            branches.append(CountBranch(ids, _sql_branch(spark, key, requests[ids[0]], count_column)))
+        except Exception as exc:
+            failed.update(dict.fromkeys(ids, _message(exc)))
+    return branches, failed
 
 
 def count_branches(spark: SparkSession, requests: Sequence[CountRequest], tables: Mapping[str, DataFrame] | None = None,
                    count_column: int | str = 1) -> tuple[list[CountBranch], dict[int, str]]:
-    """One branch per table (all its requested days) or per stored query, and
-    {request_id: error} for requests whose query failed to build."""
+    """One branch per table or stored query (all its requested days), and
+    {request_id: error} for requests whose query failed to build. A stored query that
+    does not take a table of days is counted day by day."""
     failed: dict[int, str] = {}
     branches: list[CountBranch] = []
     by_table: dict[str, list[int]] = {}
+    by_query: dict[str, list[int]] = {}
     for i, req in enumerate(requests):
         if req.error is not None:
             failed[i] = req.error
         elif req.sql is None:
             by_table.setdefault(_branch_key(i, req), []).append(i)
         else:
+            by_query.setdefault(_branch_key(i, req), []).append(i)
+    for key, ids in by_query.items():
+        def each_day(key=key, ids=ids):
+            return _daily_branches(spark, key, {i: requests[i] for i in ids}, count_column)
+
+        days, template = sorted({requests[i].count_date for i in ids}), requests[ids[0]].sql
+        together = None
+        if len(days) > 1 and TEMPLATE_MARKER in template:
             try:
-                branches.append(CountBranch([i], _sql_branch(spark, _branch_key(i, req), req, count_column)))
+                together = _template_branch(spark, key, template, days, count_column)
             except Exception as exc:  # analysis errors: unknown table, column, syntax
-                failed[i] = _message(exc)
+                failed.update(dict.fromkeys(ids, _message(exc)))
+                continue
+        if together is not None:
+            branches.append(CountBranch(ids, together, each_day))
+        else:
+            daily, bad = each_day()
+            branches += daily
+            failed.update(bad)
     for key, ids in by_table.items():
         req = requests[ids[0]]
         try:
@@ -327,7 +396,8 @@ def replay_candidates(history: DataFrame, control: DataFrame, run_date, days: in
     for replay. Table names are upper-cased *before* picking the latest row,
     so 'Abc' and 'ABC' are one table. ``F`` rows are never replayed (their
     audit count is 0). With ``only_failed=False`` every latest row is listed
-    and its own stored query kept (the earlier draft's behaviour)."""
+    and its own recorded query kept (the earlier draft's behaviour), of a failed row
+    without the failure text."""
     run = as_date(run_date)
     h = (history.where(F.col("extract_date").between(F.lit(run - dt.timedelta(days=days)),
                                                      F.lit(run - dt.timedelta(days=1))))
@@ -338,6 +408,7 @@ def replay_candidates(history: DataFrame, control: DataFrame, run_date, days: in
     conf = (control.where(F.col("failed_rerun") == "Y")
             .select("table_id", F.upper("table_name").alias("table_name"), "date_column_name",
                     (F.col("sql") if "sql" in control.columns else F.lit(None).cast("string")).alias("sql")))
+    latest = latest.withColumn("runtime_sql", recorded_query(F.col("runtime_sql"), F.col("matched")))
     return (latest.select("table_name", "count_date", "runtime_sql")
             .join(conf, "table_name")
             .select("table_id", "table_name", "date_column_name", "count_date", "sql", "runtime_sql"))

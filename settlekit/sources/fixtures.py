@@ -42,6 +42,7 @@ CONTROL_ROWS = [
     (3, "events", "ts", 2, "Y", "N", "DIM", None),
     (4, "customer", None, 0, "N", "N", "DIM", None),
     (5, "no_such_table", "d", 0, "Y", "N", "TRAN", None),
+    (6, "Lineitem", "l_shipdate", 1, "Y", "N", "DIM", None),
 ]
 
 # Tables of the driver that the control rows may name.

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "MapInArrow", "PythonMapInArrow")
 PAIR_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
-SINKS = {"report_roundtrip", "results_append_roundtrip"}
+SINKS = {"report_roundtrip", "results_append_roundtrip", "results_in_catalog", "replay_recorded_history"}
 
 
 def plan_text(df) -> str:

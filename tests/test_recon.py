@@ -148,3 +148,73 @@ def test_one_scan_per_table_for_all_days(spark):
     assert plan.count("FileScan parquet") == 1
     assert "GreaterThanOrEqual(ts,2019-10-01T00:00)" in plan and "LessThan(ts,2019-10-06T00:00)" in plan
     assert sorted(tuple(r) for r in counts.collect()) == [(0, 5), (1, 3), (2, 1)]
+
+
+def _templates(spark, template, n=30):
+    base = scratch_path(spark, "test-templates")
+    spark.createDataFrame([(dt.datetime(2019, 9, 1) + dt.timedelta(days=i % 40, hours=i % 24), i) for i in range(500)],
+                          "ts timestamp_ntz, v int").write.parquet(base)
+    spark.read.parquet(base).createOrReplaceTempView("template_rows")
+    days = [dt.date(2019, 9, 1) + dt.timedelta(days=i) for i in range(n)]
+    reqs = [R.CountRequest(1, "T", "ts", d, template) for d in days]
+    branches, failed = R.count_branches(spark, reqs)
+    want = {d: spark.sql(template.replace("{var1}", f"'{d}'")).collect()[0][1] for d in days}
+    got = {}
+    for b in branches:
+        got.update({r["day"]: r["n"] for r in b.frame.collect()})
+    assert not failed and got == want
+    return branches
+
+
+def test_thirty_days_of_a_template_are_one_scan(spark):
+    (branch,) = _templates(spark, "SELECT 'T' AS t, COUNT(*) AS n FROM template_rows WHERE CAST(ts AS DATE) = {var1}")
+    plan = branch.frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "NestedLoop" not in plan and "Cartesian" not in plan
+    daily, bad = branch.alone()
+    assert len(daily) == 30 and not bad
+
+
+def test_templates_that_take_no_table_of_days_are_counted_daily(spark):
+    assert len(_templates(spark, "SELECT 'T', COUNT(*) AS n FROM template_rows WHERE ts >= {var1} AND ts < date_add({var1}, 1)", 4)) == 4
+    assert len(_templates(spark, "SELECT v, 7 AS n FROM template_rows WHERE CAST(ts AS DATE) = {var1}", 4)) == 4      # several rows
+
+
+def test_template_that_fails_at_run_time_fails_by_day(spark, tables):
+    spark.createDataFrame([("2019-10-05", "x"), ("2019-10-03", "1")], "d string, v string").createOrReplaceTempView("some_bad")
+    sql = "SELECT 'B' AS t, SUM(CAST(v AS INT)) AS n FROM some_bad WHERE d = {var1}"
+    ctl = control(spark, [(1, "b", "d", 0, sql), (2, "b", "d", 2, sql), (3, "b", "d", 1, sql)])
+    out = run_reconciliation(spark, ctl, spark.createDataFrame([], AUDIT), spark.createDataFrame([], HISTORY), "2019-10-05", "2019-10-31",
+                             10, scratch_path(spark, "test-bad-day"), tables, inserted_at="x", app_id="app")
+    assert {r["id"]: (r["matched"], r["bda_count"]) for r in out.collect()} == {1: ("F", 0), 2: ("N", 1), 3: ("Y", 0)}
+
+
+def test_only_query_errors_mark_a_table(spark, tables):
+    from settlekit.plans import reconciliation as P
+
+    class Lost:
+        def collect(self):
+            raise RuntimeError("an executor is lost")
+
+        unionByName = None
+
+    with pytest.raises(RuntimeError):
+        P._counted([R.CountBranch([0], Lost())], {})
+
+
+def test_recorded_query_loses_one_failure(spark):
+    from pyspark.sql import functions as F
+    rows = [("SELECT 1 has failed in app-1", "F", "SELECT 1"), ("a has failed in b has failed in app", "F", "a has failed in b"),
+            ("x has failed in y", "N", "x has failed in y"), (None, "F", None), ("line\ntwo has failed in z", "F", "line\ntwo")]
+    got = spark.createDataFrame(rows, "q string, m string, want string").select(R.recorded_query(F.col("q"), F.col("m")), "want").collect()
+    assert all(r[0] == r[1] for r in got)
+
+
+def test_selected_control_in_the_job(spark, tables):
+    ctl = spark.createDataFrame([(1, "t1", "d", 0, "Y", "N", "TRAN", None), (2, "T1", "d", 3, "Y", "N", "DIM", None),
+                                 (3, "ts", "ts", 0, "Y", "N", "DIM", None)], CONTROL_SCHEMA)
+    audit = spark.createDataFrame([("T1", dt.date(2019, 10, 2), 3, dt.date(2019, 10, 5), "x")], AUDIT)
+    none = spark.createDataFrame([], HISTORY)
+    for selected, want in ((True, {1, 2}), (False, {1, 2, 3})):
+        out = run_reconciliation(spark, ctl, audit, none, "2019-10-05", "2019-10-31", 10, scratch_path(spark, "test-selected"), tables,
+                                 inserted_at="x", app_id="app", selected_control=selected)
+        assert {r["id"] for r in out.collect()} == want
