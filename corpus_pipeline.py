@@ -19,31 +19,44 @@ from settlekit.llm.queries import piece_model
 from settlekit.llm.suffix_dedup import suffix_dedup
 
 
+def _riding(docs: DataFrame, step) -> DataFrame:
+    """``step`` over ``docs``, with the columns it does not read under names that no operator
+    gives, so that columns of any name come through as they were."""
+    names = {c: f"rides{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "lang")}
+    out = step(docs.withColumnsRenamed(names))
+    return out.select(*[F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; the model learns from two thirds of the labelled ones."""
     ship(spark)
     model = fit_language_model(docs.where(crc_mod("doc_id", 3) != 1))
-    return identify(docs, model).where("accepted").select(docs.columns)
+    return _riding(docs, lambda d: identify(d, model).where("accepted"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, 0.8)."""
     ship(spark)
-    return drop_near_duplicates(docs)
+    return _riding(docs, drop_near_duplicates)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document holds; a document of which nothing is left goes."""
     ship(spark)
-    cut = suffix_dedup(docs).where("n_removed = 0 OR length(kept_text) > 0")
-    made = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("bigint")}
-    return cut.select([made[c].alias(c) if c in made else F.col(c) for c in docs.columns])
+
+    def cut(d: DataFrame) -> DataFrame:
+        left = suffix_dedup(d).where("n_removed = 0 OR length(kept_text) > 0")
+        return left.withColumn("text", F.col("kept_text"))
+
+    out = _riding(docs, cut)
+    return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else out
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark, unchanged."""
     ship(spark)
-    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _riding(docs, lambda d: drop_contaminated(d, benchmark))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
