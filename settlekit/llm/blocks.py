@@ -7,7 +7,7 @@ numpy temporaries stay small whatever the batch size is.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,18 @@ _BYTE_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np
 _BASE = int(_rng.integers(1 << 61, 1 << 62)) * 2 + 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
+_KEPT_POWERS = 1 << 20          # longer tables are made for their block and dropped
+
+_holders: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, release: Callable[[], None] = lambda: None) -> None:
+    """Says that operator ``name`` works in this Python worker now. What other operators
+    keep in it is released: workers are reused, and the next stage needs the memory."""
+    for other in [k for k in _holders if k != name]:
+        _holders.pop(other)()
+        pa.default_memory_pool().release_unused()
+    _holders[name] = release
 
 
 def _power_table(base: int, n: int) -> np.ndarray:
@@ -36,7 +48,7 @@ def _power_table(base: int, n: int) -> np.ndarray:
             step = min(done, size - done)
             have[done:done + step] = have[:step] * np.uint64(pow(base, done, 1 << 64))
             done += step
-        if size <= 1 << 24:
+        if size <= _KEPT_POWERS:
             _powers[base] = have
     return have[:n]
 

@@ -226,6 +226,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     column = rest.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        B.hold("language_id")
         m = shared.value
         for batch in batches:
             names, scores, kept = [], [], []

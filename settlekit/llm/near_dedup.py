@@ -93,6 +93,7 @@ def matches_for(percent: int, coordinates: int, missed: float) -> int:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], width: int, coordinates: int) -> Iterator[pa.RecordBatch]:
+    B.hold("near_dedup")
     for batch in batches:
         n_rows = batch.num_rows
         size = np.zeros(n_rows, np.int64)
@@ -123,6 +124,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int, coordinates: int)
 
 
 def _zip_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    B.hold("near_dedup")
     zip_text = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         blobs = []
@@ -140,6 +142,7 @@ def _unzipped(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int, step: int = 256) -> Iterator[pa.RecordBatch]:
     """Keeps the pairs (a, b, za, zb) whose full sets are similar enough."""
+    B.hold("near_dedup")
     for batch in batches:
         for lo in range(0, batch.num_rows, step):
             part = batch.slice(lo, step)
@@ -156,6 +159,7 @@ def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int, step:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int, step: int = 256) -> Iterator[pa.RecordBatch]:
+    B.hold("near_dedup")
     for batch in batches:
         for lo in range(0, batch.num_rows, step):
             part = batch.slice(lo, step)

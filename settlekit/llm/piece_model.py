@@ -17,6 +17,7 @@ SPACE = "▁"
 #: Piece kinds and model types of the file format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+PAIRS = 300_000         # judged pairs of pieces remembered per process (about 30 MB)
 
 
 def _fields(raw: bytes):
@@ -140,6 +141,35 @@ class PieceModel:
                 joint[at] = score(parts[at] + parts[at + 1], none)
         return parts
 
+    @cached_property
+    def _space_period(self) -> tuple[int, list[list[str]]] | None:
+        """(longest piece of spaces, parts of all shorter runs), where longer runs are such
+        pieces and the rest. Runs merge from the left as their pieces score alike, so what
+        stands before a longest piece never changes again; checked on runs of four."""
+        longest = max((len(p) for p in self.ids if not p.strip(SPACE)), default=1)
+        parts = [self.merged(SPACE * n) for n in range(4 * longest)]
+        fine = all(parts[n] == [SPACE * longest] * (n // longest) + parts[n % longest] for n in range(len(parts)))
+        return (longest, parts[:longest]) if fine else None
+
+    def space_run(self, n: int) -> list[str]:
+        """The parts of ``n`` spaces."""
+        if self._space_period is None:
+            return self.merged(SPACE * n)
+        longest, rest = self._space_period
+        return [SPACE * longest] * (n // longest) + rest[n % longest]
+
+    def space_count(self, n: int) -> int:
+        """How many parts ``n`` spaces have."""
+        if self._space_period is None:
+            return len(self.merged(SPACE * n))
+        longest, rest = self._space_period
+        return n // longest + len(rest[n % longest])
+
+    def forget(self) -> None:
+        """Lets go of what encoding has derived; it is made again when needed."""
+        self._pairs.clear()
+        self.__dict__.pop("automaton", None)
+
     def compatible(self, a: int, b: int) -> bool:
         """Do pieces a and b stay as they are when they stand side by side?
         (``a`` = -1: is b alone kept whole?) Remembered per process."""
@@ -148,8 +178,10 @@ class PieceModel:
         if known is None:
             left, right = self.pieces[a] if a >= 0 else "", self.pieces[b]
             known = self.merged(left + right) == ([left, right] if left else [right])
+            if len(self._pairs) >= PAIRS:
+                self._pairs.clear()
             self._pairs[key] = known
         return known
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("automaton", "ids", "score_of", "byte_ids", "splits")} | {"_pairs": {}}
+        return {k: v for k, v in self.__dict__.items() if k not in ("automaton", "ids", "score_of", "byte_ids", "splits", "_space_period")} | {"_pairs": {}}

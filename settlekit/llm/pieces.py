@@ -32,7 +32,8 @@ from settlekit.llm import blocks as B
 from settlekit.llm.piece_model import BPE, CONTROL, NORMAL, SPACE, PieceModel
 from settlekit.llm.token_counts import CHUNK
 
-REMEMBERED = 400_000    # chunks held per task
+REMEMBERED_BYTES = 32 << 20     # of remembered chunks per worker, about
+_ENTRY_BYTES = 180              # of a remembered chunk besides its characters and ids
 UNKNOWN_PENALTY = 10.0
 
 
@@ -46,6 +47,7 @@ class Encoder:
     def _reset(self):
         self.codes: dict[str, int] = {}
         self.flat, self.first = array("i"), array("q", [0])     # ids of the chunks seen, and where each starts
+        self.held = 0
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """Best path over one chunk (written with the space mark)."""
@@ -53,7 +55,7 @@ class Encoder:
         bpe, scores, compatible = model.model_type == BPE, model.scores, model.compatible
         known, width = model._pairs.get, len(model.pieces)
         if bpe and chunk[:2] == SPACE * 2:      # equal scores: merged by position, as it stands
-            return self._ids(model.merged(chunk))
+            return self._spaced(chunk)
         best: list[float | None] = [None] * (n + 1)
         back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
         best[0] = 0.0
@@ -99,6 +101,17 @@ class Encoder:
             flat += ids
         return flat
 
+    def _spaced(self, chunk: str) -> list[int]:
+        """Ids of two and more spaces and what follows them: it takes the last space, if a
+        piece holds both, and the other spaces are a run of their own."""
+        run = len(chunk) - len(chunk.lstrip(SPACE))
+        if run == len(chunk):
+            return self._ids(self.model.space_run(run))
+        joined = self.encode_chunk(chunk[run - 1:])
+        if joined[0] in self.model.byte_ids or len(self.model.pieces[joined[0]]) < 2:
+            return self._ids(self.model.space_run(run)) + self.encode_chunk(chunk[run:])
+        return self._ids(self.model.space_run(run - 1)) + joined
+
     def _ids(self, parts: list[str]) -> list[int]:
         return [i for p in parts for i in ([self.model.ids[p]] if p in self.model.ids else self.model.unknown(p))]
 
@@ -108,11 +121,12 @@ class Encoder:
             known = self.codes[chunk] = len(self.first) - 1
             self.flat.extend(self.encode_chunk(chunk.replace(" ", SPACE)))
             self.first.append(len(self.flat))
+            self.held += _ENTRY_BYTES + 4 * (len(chunk) + self.first[-1] - self.first[-2])
         return known
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each)."""
-        if len(self.codes) >= REMEMBERED:
+        if self.held >= REMEMBERED_BYTES:
             self._reset()
         lead = " " if self.model.dummy_prefix else ""
         code, codes, per_text = self.code, [], []
@@ -158,9 +172,16 @@ class Decoder:
 _kept: dict[int, tuple[Encoder, Decoder]] = {}
 
 
+def _let_go() -> None:
+    for encoder, _ in _kept.values():
+        encoder.model.forget()
+    _kept.clear()
+
+
 def _coders(model: PieceModel) -> tuple[Encoder, Decoder]:
+    B.hold("pieces", _let_go)
     if id(model) not in _kept:
-        _kept.clear()
+        _let_go()
         _kept[id(model)] = (Encoder(model), Decoder(model))
     return _kept[id(model)]
 

@@ -291,6 +291,7 @@ def _fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _pack_runs(batches: Iterator[pa.RecordBatch], length: int, seed: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    B.hold("suffix_dedup")
     out_schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
 
     def flush(got):
@@ -375,6 +376,7 @@ def _rows_table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 def _pack_texts(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
     """Each row with its slot, text fingerprint and compressed text."""
+    B.hold("suffix_dedup")
     zip_text = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         ids = batch.column(0).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settlekit.llm.blocks import text_bytes
+from settlekit.llm.blocks import hold, text_bytes
 from settlekit.llm.piece_model import BPE, SPACE, PieceModel
 
 REMEMBERED = 1_000_000    # chunks held per task
@@ -45,9 +45,11 @@ class PrefixCounts:
 
     def chunk_table(self, chunk: str) -> list[int]:
         """count[0..len] of a chunk written with the space mark."""
+        return self._spaced_table(chunk) if chunk[:2] == SPACE * 2 else self._walk(chunk)[0]
+
+    def _walk(self, chunk: str) -> tuple[list[int], list[int | None]]:
+        """count[0..len], and the last piece of each prefix (-1: none)."""
         model, n = self.model, len(chunk)
-        if chunk[:2] == SPACE * 2:
-            return self._spaced_table(chunk)
         count, last = [0] * (n + 1), [None] * (n + 1)
         last[0] = -1
         known, compatible, width = model._pairs.get, model.compatible, len(model.pieces)
@@ -72,7 +74,19 @@ class PrefixCounts:
                 if kept:
                     count[end], last[end] = count[start] + 1, piece
         fill(n)
-        return count
+        return count, last
+
+    def _spaced_total(self, chunk: str) -> int:
+        """The last entry of ``_spaced_table``, without the others."""
+        run = len(chunk) - len(chunk.lstrip(SPACE))
+        if run == len(chunk):
+            return self._spaces(run)
+        count, last = self._walk(chunk[run - 1:])
+        at = first = len(count) - 1
+        while at > 0:
+            first = len(self.model.pieces[last[at]]) if last[at] >= 0 else 1
+            at -= first
+        return self._spaces(run - 1) + count[-1] if first > 1 else self._spaces(run) + self._walk(chunk[run:])[0][-1]
 
     def _spaced_table(self, chunk: str) -> list[int]:
         """Runs of spaces merge by position, as their pieces score alike: each
@@ -95,7 +109,7 @@ class PrefixCounts:
         return len(self.model.merged(text)[0]) > 1
 
     def _spaces(self, n: int) -> int:
-        return len(self.model.merged(SPACE * n)) if n else 0
+        return self.model.space_count(n)
 
     def chunks(self, text: str) -> list[str]:
         return CHUNK.findall(" " + text.replace(SPACE, " ")) if text else []
@@ -103,7 +117,8 @@ class PrefixCounts:
     def total(self, chunk: str) -> int:
         known = self.totals.get(chunk)
         if known is None:
-            known = self.chunk_table(chunk.replace(" ", SPACE))[-1]
+            marked = chunk.replace(" ", SPACE)
+            known = self._spaced_total(marked) if marked[:2] == SPACE * 2 else self._walk(marked)[0][-1]
             if len(self.totals) >= REMEMBERED:
                 self.totals.clear()
             self.totals[chunk] = known
@@ -140,6 +155,7 @@ _counters: dict[int, PrefixCounts] = {}
 
 def counter_of(model: PieceModel) -> PrefixCounts:
     """One counter per model and Python worker."""
+    hold("tokens", _counters.clear)
     if id(model) not in _counters:
         _counters.clear()
         _counters[id(model)] = PrefixCounts(model)

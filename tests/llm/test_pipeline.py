@@ -41,3 +41,21 @@ def test_stages(sc, tmp_path):
 def test_last_stage_decodes(sc):
     docs = sc.createDataFrame([(1, "a text  with \n spaces"), (2, "")], "doc_id long, text string")
     assert [r.round_trip for r in P.token_ids(sc, docs, "").collect()] == [True, True]
+
+
+def test_columns_of_any_name_come_through(sc, tmp_path):
+    """Input columns named like what the operators make are kept as they were."""
+    sf = str(tmp_path)
+    sc.createDataFrame([(1, "an item of the test")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    extra = ["score", "accepted", "lang_pred", "n_removed", "n_bytes", "kept_text", "__x", "component_id", "n_words", "id"]
+    rows = [(i, f"the dog and the cat number {i} went home with hat {i * 7} and sat by fire {i * 3}", "en", 1, *[f"{c}-{i}" for c in extra])
+            for i in range(30)]
+    schema = "doc_id long, text string, lang string, n_chars long, " + ", ".join(f"`{c}` string" for c in extra)
+    docs = sc.createDataFrame(rows, schema)
+    for name, stage in P.STAGES[:-1]:
+        docs = stage(sc, docs, sf)
+        docs.write.parquet(f"{sf}/{name}")
+        docs = sc.read.parquet(f"{sf}/{name}")
+        assert docs.columns[:4] == ["doc_id", "text", "lang", "n_chars"] and docs.columns[4:] == extra, name
+        for r in docs.collect():
+            assert all(r[c] == f"{c}-{r.doc_id}" for c in extra), name

@@ -95,3 +95,38 @@ def test_frames(sc, raw):
         assert coded[i].ids == want and coded[i].round_trip
         assert back[i] == (t or "").replace("▁", " ")
     assert count_tokens(df.limit(0), model).count() == 0 and encode(df.limit(0), model).count() == 0
+
+
+def test_runs_of_spaces(raw):
+    """Runs of spaces of any length, alone and before words, as the library has them."""
+    lib, model = sentencepiece.SentencePieceProcessor(model_proto=raw), PieceModel.parse(raw)
+    counts, encoder = PrefixCounts(model), Encoder(model)
+    runs = [" " * n for n in (*range(1, 70), 333, 1000, 5000)]
+    texts = [r + w for r in runs for w in ("", "the", "the end", "é", "\n", "日本", "<", "▁x", "zzzzqqq")]
+    texts += ["a" + t + "  b" for t in texts]
+    assert [counts.count(t) for t in texts] == [len(x) for x in lib.encode(texts)]
+    ids, cuts = encoder.encode_all(texts)
+    assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == lib.encode(texts)
+
+
+def test_a_million_spaces(raw):
+    import time
+    model = PieceModel.parse(raw)
+    text = "x" + " " * 1_000_000 + "y"
+    start = time.time()
+    counts, encoder = PrefixCounts(model), Encoder(model)
+    n = counts.count(text)
+    assert n == len(encoder.encode(text)) == 1_000_000 // 16 + n - 1_000_000 // 16 and counts.fitting(text, 10) > 100
+    assert time.time() - start < 60
+
+
+def test_remembered_chunks_are_bounded_and_released(raw):
+    from settlekit.llm import blocks, pieces
+    model = PieceModel.parse(raw)
+    encoder, _ = pieces._coders(model)
+    want = encoder.encode("some words here")
+    encoder.held = pieces.REMEMBERED_BYTES
+    assert encoder.encode("some words here") == want and encoder.held < pieces.REMEMBERED_BYTES
+    blocks.hold("another operator")
+    assert not pieces._kept and not model._pairs and "automaton" not in model.__dict__
+    assert pieces._coders(model)[0].encode("some words here") == want
