@@ -7,6 +7,9 @@ numpy temporaries stay small whatever the batch size is.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,12 +31,31 @@ _KEPT_POWERS = 1 << 20          # longer tables are made for their block and dro
 _holders: dict[str, Callable[[], None]] = {}
 
 
+def _trim() -> None:
+    """Gives freed memory back to the system: Arrow's pool and, where it exists, the C heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(task):
+    """A task function (an iterator of batches to one of batches) that leaves its Python
+    worker, which Spark reuses, without freed memory."""
+    @functools.wraps(task)
+    def run(*args, **kw):
+        try:
+            yield from task(*args, **kw)
+        finally:
+            _trim()
+    return run
+
+
 def hold(name: str, release: Callable[[], None] = lambda: None) -> None:
     """Says that operator ``name`` works in this Python worker now. What other operators
     keep in it is released: workers are reused, and the next stage needs the memory."""
     for other in [k for k in _holders if k != name]:
         _holders.pop(other)()
-        pa.default_memory_pool().release_unused()
+        _trim()
     _holders[name] = release
 
 

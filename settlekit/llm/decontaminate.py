@@ -150,6 +150,7 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+@B.tidy
 def _scan(batches: Iterator[pa.RecordBatch], automaton, names: list[str], keep_text: bool) -> Iterator[pa.RecordBatch]:
     """Adds one block's spans and items to the columns n_words, spans, items (at 1, 2, 3; text at 0)."""
     B.hold("decontaminate")

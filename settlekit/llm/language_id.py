@@ -225,6 +225,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     rest = [c for c in docs.columns if c not in OUTPUTS]
     column = rest.index(text_col)
 
+    @B.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         B.hold("language_id")
         m = shared.value

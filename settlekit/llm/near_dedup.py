@@ -92,6 +92,7 @@ def matches_for(percent: int, coordinates: int, missed: float) -> int:
     return 1
 
 
+@B.tidy
 def _signatures(batches: Iterator[pa.RecordBatch], width: int, coordinates: int) -> Iterator[pa.RecordBatch]:
     B.hold("near_dedup")
     for batch in batches:
@@ -123,6 +124,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int, coordinates: int)
              pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))], names=["id", "n", "d1", "d2", "tokens"])
 
 
+@B.tidy
 def _zip_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     B.hold("near_dedup")
     zip_text = zstandard.ZstdCompressor(level=1).compress
@@ -140,6 +142,7 @@ def _unzipped(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw])))
 
 
+@B.tidy
 def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int, step: int = 256) -> Iterator[pa.RecordBatch]:
     """Keeps the pairs (a, b, za, zb) whose full sets are similar enough."""
     B.hold("near_dedup")
@@ -158,6 +161,7 @@ def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int, step:
             yield pa.RecordBatch.from_arrays([part.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["a", "b"])
 
 
+@B.tidy
 def _sets(batches: Iterator[pa.RecordBatch], width: int, step: int = 256) -> Iterator[pa.RecordBatch]:
     B.hold("near_dedup")
     for batch in batches:

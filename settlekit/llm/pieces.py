@@ -194,6 +194,7 @@ def encode(docs: DataFrame, model: PieceModel, text_col: str = "text", check: bo
     made = ["ids", "n_tokens", *(["round_trip"] if check else [])]
     rest = [c for c in docs.columns if c != text_col and c not in made]
 
+    @B.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _coders(shared.value)
         for batch in batches:
@@ -220,6 +221,7 @@ def decode(docs: DataFrame, model: PieceModel, ids_col: str = "ids", out_col: st
     shared = spark.sparkContext.broadcast(model)
     rest = [c for c in docs.columns if c not in (ids_col, out_col)]
 
+    @B.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, decoder = _coders(shared.value)
         for batch in batches:

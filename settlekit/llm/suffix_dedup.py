@@ -290,6 +290,7 @@ def _fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return (B.SpanHash(data).of(offsets[:-1], offsets[1:]) >> np.uint64(32)).astype(np.uint32)
 
 
+@B.tidy
 def _pack_runs(batches: Iterator[pa.RecordBatch], length: int, seed: int, buckets: int) -> Iterator[pa.RecordBatch]:
     B.hold("suffix_dedup")
     out_schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
@@ -374,6 +375,7 @@ def _rows_table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+@B.tidy
 def _pack_texts(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
     """Each row with its slot, text fingerprint and compressed text."""
     B.hold("suffix_dedup")
