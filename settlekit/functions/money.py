@@ -11,8 +11,9 @@ result that ``decimal(38,18)`` cannot hold -- is an error that names the amount
 and its precision, or the total. Nothing is rounded and no row drops out. A NULL
 amount or precision gives NULL.
 
-``kind`` is the amount column's type. It chooses between integer arithmetic and the
-exact decimal path once, when the plan is built; None means any type.
+``kind`` is the amount column's type. For columns given by name it chooses between
+integer arithmetic and the exact decimal path once, when the plan is built; None
+means any type.
 """
 
 from __future__ import annotations
@@ -45,9 +46,30 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _powers_text(exponents, kind: str) -> str:
+    return f"array({', '.join(f'CAST({Decimal(10) ** k:f} AS {kind})' for k in exponents)})"
+
+
 def _powers(exponents, kind: str) -> Column:
     """10 to the given exponents, as a literal array."""
-    return F.expr(f"array({', '.join(f'CAST({Decimal(10) ** k:f} AS {kind})' for k in exponents)})")
+    return F.expr(_powers_text(exponents, kind))
+
+
+def _integer_parts(amount: str, precision: str) -> Parts:
+    """Parts of an integer column by integer arithmetic; SQL text, so one parse a part."""
+    a, p = f"CAST({amount} AS BIGINT)", f"CAST({precision} AS INT)"
+    inside = f"{p} BETWEEN 0 AND {UNIT_DIGITS}"
+    tens = _powers_text(range(UNIT_DIGITS + 1), "BIGINT")
+    above = _powers_text(range(1, 1 - LEAST_PRECISION), WHOLE)
+    unfit = (f"CAST(raise_error(concat('amount ', CAST({amount} AS STRING), ' with precision ', CAST({precision} AS STRING), "
+             f"' has no exact value as {REPORT_AMOUNT}')) AS {WHOLE})")
+    whole = (f"CASE WHEN {inside} THEN CAST({a} div get({tens}, {p}) AS {WHOLE}) "
+             f"WHEN {amount} IS NULL OR {precision} IS NULL THEN CAST(NULL AS {WHOLE}) "
+             f"WHEN {p} BETWEEN {LEAST_PRECISION} AND -1 THEN CAST(CAST({a} AS DECIMAL(19,0)) * get({above}, -{p} - 1) AS {WHOLE}) "
+             f"WHEN {a} = 0 THEN CAST(0 AS {WHOLE}) ELSE {unfit} END")
+    rest = (f"CASE WHEN {inside} THEN CAST(({a} % get({tens}, {p})) * get({tens}, {UNIT_DIGITS} - {p}) AS {REST}) "
+            f"WHEN {amount} IS NULL OR {precision} IS NULL THEN CAST(NULL AS {REST}) ELSE CAST(0 AS {REST}) END")
+    return Parts(F.expr(whole), F.expr(rest))
 
 
 def _unfit(amount: Column, precision: Column, kind: str) -> Column:
@@ -73,19 +95,10 @@ def _shifted(amount: Column, precision: Column) -> Column:
 
 def minor_parts(amount: Column | str, precision: Column | str, kind: T.DataType | None = None) -> Parts:
     """``amount * 10^-precision`` in parts."""
+    if isinstance(kind, _INTEGERS) and isinstance(amount, str) and isinstance(precision, str):
+        return _integer_parts(amount, precision)
     amount, precision = _column(amount), _column(precision)
     missing = amount.isNull() | precision.isNull()
-    if isinstance(kind, _INTEGERS):
-        a, p = amount.cast("bigint"), precision.cast("int")
-        inside = p.between(0, UNIT_DIGITS)
-        scale = F.get(_powers(range(UNIT_DIGITS + 1), "bigint"), p)
-        above = F.get(_powers(range(1, 1 - LEAST_PRECISION), WHOLE), -p - 1)
-        whole = (F.when(inside, F.call_function("div", a, scale).cast(WHOLE)).when(missing, F.lit(None).cast(WHOLE))
-                 .when(p.between(LEAST_PRECISION, -1), (a.cast("decimal(19,0)") * above).cast(WHOLE))
-                 .when(a == 0, F.lit(0).cast(WHOLE)).otherwise(_unfit(amount, precision, WHOLE)))
-        rest = (F.when(inside, ((a % scale) * F.get(_powers(range(UNIT_DIGITS + 1), "bigint"), UNIT_DIGITS - p)).cast(REST))
-                .when(missing, F.lit(None).cast(REST)).otherwise(F.lit(0).cast(REST)))
-        return Parts(whole, rest)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         amount = amount.cast(REPORT_AMOUNT)
     text = _shifted(amount, precision)
