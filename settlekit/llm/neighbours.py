@@ -5,11 +5,14 @@ How it runs
    with equal values form a class; one of each, the point, enters the graph. So
    a vector with many copies costs one point.
 2. Every point starts with its best neighbours among small groups of points that
-   lie on the same sides of random planes (a few independent groupings).
-3. NN-descent: each round joins a point's neighbours and reverse neighbours with
-   their vectors, compares them with one another, and keeps each point's best.
-   Candidates that would not enter a list are dropped before the shuffle. Rounds
-   go on until at most ``SETTLED`` of the edges are new.
+   lie on the same sides of random planes (``GROUPINGS`` independent groupings into
+   groups of about ``GROUP``, whatever the size of the table).
+3. NN-descent: each round joins a point, its neighbours and its reverse neighbours
+   with their vectors and compares those pairs of which one side is a fresh edge
+   (new in the last round). A point offers each of them its ``OFFERS`` best others
+   that its list does not hold and would take; the rest comes up again through
+   nearer points. Each point keeps its best. Rounds go on until at most
+   ``SETTLED`` of the edges are new.
 4. Search: every query keeps a beam of the best points found; a round expands the
    best unexpanded ones through the graph, until all of the beam is expanded.
 5. The whole beam is scored again on the original vectors in double precision;
@@ -37,10 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from settlekit.intermediates import Intermediates
 from settlekit.llm import blocks as B
 
-DEGREE, SAMPLE = 32, 48         # neighbours kept; neighbours and reverse neighbours compared per round
-GROUPINGS, GROUP = 14, 2048
+DEGREE, REVERSE = 32, 24        # neighbours kept; reverse neighbours compared per round
+GROUPINGS, GROUP = 4, 256
+OFFERS = 3                      # new edges that one comparison of a point's neighbours gives each of them
 SETTLED, BEAM, WIDTH = 0.001, 160, 40
 
 
@@ -116,29 +121,50 @@ def _group_edges(table: pa.Table) -> pa.Table:
     return _edge_table(np.repeat(ids, k), ids[top.ravel()], np.take_along_axis(s, top, 1).ravel())
 
 
+def _short(ids: np.ndarray) -> np.ndarray:
+    """32 bits of each id's hash: enough to leave a known edge out of an offer."""
+    return (B.mix(ids.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each list of neighbours as the short hashes of DEGREE ids (its owner's in free places)."""
+    for batch in batches:
+        n = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
+        short = np.repeat(_short(batch.column(0).to_numpy(zero_copy_only=False))[:, None], DEGREE, axis=1)
+        short[np.repeat(np.arange(len(n)), n), B.ranges(np.zeros(len(n), np.int64), n)] = _short(
+            batch.column(2).flatten().to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in short], pa.binary())],
+                                         names=["id", "worst", "held"])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbours of one point against one another: better edges than their lists hold."""
+    """Neighbours of one point against one another: the best edges that their lists lack."""
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1024):
-            part = batch.slice(lo, 1024)
+        for lo in range(0, batch.num_rows, 128):
+            part = batch.slice(lo, 128)
             size = part.column(0).value_lengths().to_numpy(zero_copy_only=False)
-            ids = part.column(0).flatten().to_numpy(zero_copy_only=False)
-            worst = part.column(1).flatten().to_numpy(zero_copy_only=False)
-            x, scale = _matrix(part.column(2).flatten())
             m = int(size.max(initial=0))
             if m < 2:
                 continue
+            ids, fresh, worst = (part.column(i).flatten().to_numpy(zero_copy_only=False) for i in range(3))
+            held = np.frombuffer(b"".join(part.column(3).flatten().to_pylist()), np.int32).reshape(len(ids), DEGREE)
+            x, scale = _matrix(part.column(4).flatten())
             at = np.full((len(size), m), -1, np.int64)
             at[np.repeat(np.arange(len(size)), size), B.ranges(np.zeros(len(size), np.int64), size)] = np.arange(len(ids))
-            padded = x[at]
-            s = np.einsum("gid,gjd->gij", padded, padded, optimize=True) * scale[at][:, None, :]
+            s = np.matmul(x[at], x[at].transpose(0, 2, 1)) * scale[at][:, None, :]
+            new = (fresh[at] > 0) & (at >= 0)
+            s[~(new[:, :, None] | new[:, None, :])] = -np.inf
             s[at < 0, :] = -np.inf
             s.transpose(0, 2, 1)[at < 0, :] = -np.inf
             s[:, np.arange(m), np.arange(m)] = -np.inf
-            g, i, j = np.nonzero(s > worst[at][:, :, None])
-            a, b, score = ids[at[g, i]], ids[at[g, j]], s[g, i, j]
-            keep = _best(a, b, score, DEGREE)
-            yield from _edge_table(a[keep], b[keep], score[keep]).to_batches()
+            s[s <= worst[at][:, :, None]] = -np.inf
+            short = _short(ids)[at]
+            for k in range(DEGREE):
+                s[held[at, k][:, :, None] == short[:, None, :]] = -np.inf
+            top = np.argpartition(-s, min(OFFERS, m) - 1, axis=2)[:, :, :OFFERS]
+            score = np.take_along_axis(s, top, 2)
+            g, i, k = np.nonzero(score > -np.inf)
+            yield from _edge_table(ids[at[g, i]], ids[at[g, top[g, i, k]]], score[g, i, k]).to_batches()
 
 
 def _top_edges(edges: DataFrame) -> DataFrame:
@@ -149,11 +175,12 @@ def _top_edges(edges: DataFrame) -> DataFrame:
 
 
 def _both_ways(edges: DataFrame, turn: int, n: int) -> DataFrame:
-    """(a, b): neighbours and reverse neighbours of a, at most n of each, chosen by a hash."""
-    def some(e):
-        order = Window.partitionBy("a").orderBy(F.xxhash64("a", "b", F.lit(turn)))
-        return e.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).select("a", "b")
-    return some(edges).unionByName(some(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))).distinct()
+    """``(a, b, fresh)``: the neighbours of a and at most n of its reverse neighbours, fresh
+    ones first, chosen by a hash."""
+    order = Window.partitionBy("a").orderBy(F.desc("fresh"), F.xxhash64("a", "b", F.lit(turn)), "b")
+    back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "fresh").withColumn("rank", F.row_number().over(order))
+    both = edges.select("a", "b", "fresh").unionByName(back.where(F.col("rank") <= n).drop("rank"))
+    return both.groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
 
 
 def neighbour_graph(points: DataFrame, count: int) -> DataFrame:
@@ -164,17 +191,23 @@ def neighbour_graph(points: DataFrame, count: int) -> DataFrame:
     sizes = coded.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
     start = coded.join(sizes, "code").withColumn("part", F.pmod(F.xxhash64("id", "code"), F.col("parts"))).select(
         "code", "part", "id", "h").groupBy("code", "part").applyInArrow(lambda t: _group_edges(t), _EDGES)
-    edges = B.shared_table(spark, _top_edges(start.withColumn("fresh", F.lit(1))), "graph")
+    made = Intermediates(spark)
+    edges = made.table(_top_edges(start.withColumn("fresh", F.lit(1))))
     for turn in itertools.count():
-        worst = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst")).select(
-            F.col("a").alias("id"), F.when(F.col("n") >= DEGREE, F.col("worst")).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"))
-        side = points.join(worst, "id", "left").select(
-            F.col("id").alias("b"), F.coalesce("worst", F.lit(float("-inf"))).cast("float").alias("worst"), "h")
-        lists = _both_ways(edges, turn, SAMPLE // 2).join(side, "b").groupBy("a").agg(
-            F.collect_list(F.struct("b", "worst", "h")).alias("x"))
-        better = lists.select("x.b", "x.worst", "x.h").mapInArrow(_compare, _EDGES)
+        lists = points.select("id").join(edges.groupBy(F.col("a").alias("id")).agg(
+            F.collect_list("b").alias("b"), F.min("score").alias("worst")), "id", "left").select(
+            "id", F.when(F.size("b") >= DEGREE, F.col("worst")).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"),
+            F.coalesce("b", F.array().cast("array<bigint>")).alias("b"))
+        side = points.join(lists.mapInArrow(_held, "id bigint, worst float, held binary"), "id").withColumnRenamed("id", "b")
+        own = points.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0).alias("fresh"))
+        near = _both_ways(edges, turn, REVERSE)
+        near = near.unionByName(own).join(near.where("fresh = 1").select("a").distinct(), "a", "left_semi")
+        groups = near.join(side, "b").groupBy("a").agg(F.collect_list(F.struct("b", "fresh", "worst", "held", "h")).alias("x"))
+        better = groups.select("x.b", "x.fresh", "x.worst", "x.held", "x.h").mapInArrow(_compare, _EDGES)
         both = edges.withColumn("fresh", F.lit(0)).unionByName(better.withColumn("fresh", F.lit(1)))
-        edges = B.shared_table(spark, _top_edges(both), "graph")
+        done, made = made, Intermediates(spark)
+        edges = made.table(_top_edges(both))
+        done.close()
         held, fresh = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum("fresh"), F.lit(0))).first()
         if fresh <= SETTLED * held:     # lists only get better, so this comes
             return edges
@@ -190,11 +223,12 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _search(queries: DataFrame, points: DataFrame, graph: DataFrame) -> DataFrame:
     """``(q, b, score)``: the beam of every query point ``(q)`` after greedy search from itself."""
     spark = points.sparkSession
-    links = B.shared_table(spark, _both_ways(graph, -1, DEGREE), "links")
+    links = B.shared_table(spark, _both_ways(graph.withColumn("fresh", F.lit(0)), -1, DEGREE).select("a", "b"), "links")
     q_side = queries.join(points.toDF("q", "qh"), "q")
     p_side = points.toDF("b", "bh")
     order = Window.partitionBy("q").orderBy(F.desc("score"), "b")
     beam = queries.select("q", F.col("q").alias("b"), F.lit(float("inf")).cast("float").alias("score"), F.lit(False).alias("done"))
+    made = Intermediates(spark)
     while True:     # a beam only gets better and no entry of it is expanded twice, so this ends
         open_order = Window.partitionBy("q").orderBy(F.col("done"), F.desc("score"), "b")
         marked = beam.withColumn("now", ~F.col("done") & (F.row_number().over(open_order) <= WIDTH))
@@ -203,8 +237,9 @@ def _search(queries: DataFrame, points: DataFrame, graph: DataFrame) -> DataFram
         found = near.join(q_side, "q").join(p_side, "b").select("q", "b", "qh", "bh").mapInArrow(
             _score, "q bigint, b bigint, score float").withColumn("done", F.lit(False))
         beam = marked.select("q", "b", "score", (F.col("done") | F.col("now")).alias("done")).unionByName(found)
-        beam = B.shared_table(spark, beam.withColumn("rank", F.row_number().over(order)).where(
-            F.col("rank") <= BEAM).drop("rank"), "beam")
+        done, made = made, Intermediates(spark)
+        beam = made.table(beam.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= BEAM).drop("rank"))
+        done.close()
         if not beam.where("NOT done").limit(1).collect():
             return beam
 
