@@ -220,7 +220,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_labe
                     text_col: str = "text", max_bytes: int | None = None) -> DataFrame:
     """``(text, label, key)`` of at most ``per_label[label]`` labelled ids per label, the
     least by a hash of the id; with ``max_bytes`` ids of texts up to that length come
-    first, longer ones only fill up. Only the chosen ids are broadcast, so their number is
+    first, longer ones only fill up. Of rows with one id the least text counts. Only the chosen ids are broadcast, so their number is
     bounded, and the documents are not shuffled."""
     key = F.xxhash64(F.col(id_col).cast("string"))
     long = F.lit(False).alias("long")
@@ -235,4 +235,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_labe
         some = some.orderBy("long", "key", "__id").limit(n).drop("long")
         chosen = some if chosen is None else chosen.unionByName(some)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "__id").select("text", "label", "key")
+    return texts.join(F.broadcast(chosen), "__id").groupBy("__id", "label", "key").agg(F.min("text").alias("text")).select(
+        "text", "label", "key")

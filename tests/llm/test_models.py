@@ -42,6 +42,13 @@ def test_classifiers(sc, query, label, least):
     assert auc(got.score.to_numpy(), got[label].to_numpy()) > least
 
 
+def test_sample_of_repeated_ids_is_bounded(sc):
+    df = sc.createDataFrame([(i % 3, f"text {i:03}") for i in range(600)] + [(7, None)], "doc_id long, text string")
+    labels = sc.createDataFrame([(0, 1), (0, 1), (1, 1), (2, 0), (7, 0), (None, 0)], "doc_id long, toxic int")
+    got = B.labelled_sample(df, labels, "toxic", {1: 5, 0: 5}).collect()
+    assert sorted((r.text, r.label) for r in got) == [("text 000", 1), ("text 001", 1), ("text 002", 0)]
+
+
 def test_long_texts_are_learned_from(sc):
     long = [(i, "le chien et le chat sont ici " * 500, "fr", 1) for i in range(40)]
     short = [(100 + i, "the dog and the cat are here", "en", 0) for i in range(40)]
