@@ -1,15 +1,17 @@
 """Toxicity by compression distance: two zstandard dictionaries, one per class.
 
-Training (bounded sample, documented limits): half of the labelled sample trains
-the dictionaries, once on whole texts and once per ratio in ``RATIOS`` on the words
-whose first ``STEM`` letters are so many times as frequent (in texts) as in the
-other class; sizes are ``DICTIONARY_BYTES``. The calibration half chooses size and
-ratio by F1. A text is scored in windows of ``WINDOW`` words: each window is
-compressed with both dictionaries, and its distance is the length with the
-ordinary dictionary less the length with the toxic one. The other half of the
-sample calibrates: the window limit is the distance that at most ``STRAY`` of
-ordinary windows reach, and a logistic fit over the document's window statistics
-gives the score; its 0.5 lies where F1 is best.
+Training (bounded sample, documented limits): three quarters of the labelled sample train
+the dictionaries, the other quarter calibrates. A class dictionary holds the class's
+telling words, those whose first ``STEM`` letters are ``ratio`` times as frequent (in
+texts) as in the other class (ratio 0: its whole texts). Before them both may hold one
+background, trained on whole ordinary texts: what any text shares with it then costs both
+compressors alike, so parts of telling words that occur everywhere make no distance. The
+calibration texts choose among ``TRIED`` by the mean of best F1 and area under the ROC
+curve. A text is scored in windows of ``WINDOW`` words: each window is compressed with both
+dictionaries, and its distance is the length with the ordinary dictionary less the length
+with the toxic one. The window limit is the distance that at most ``STRAY`` of ordinary
+calibration windows reach, and a logistic fit over the document's window statistics gives
+the score; its 0.5 lies where F1 is best.
 
 Windows are compressed without literal coding and behind a fixed run of bytes, so
 their lengths differ by matches only and short windows are not stored raw.
@@ -22,7 +24,6 @@ output column are replaced by it.
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -36,8 +37,10 @@ from pyspark.sql import functions as F
 
 from settlekit.llm import blocks as B
 
-DICTIONARY_BYTES, SEGMENT, DMER = (4 << 10, 64 << 10), 16, 6      # sizes tried in training
-RATIOS = (0, 3, 10, 30, 100)    # frequencies against the other class tried in training; 0: whole texts
+SEGMENT, DMER = 16, 6
+#: (ratio, bytes of the class's part, bytes of the background, least match) tried in training.
+TRIED = ((0, 64 << 10, 0, 5), *((ratio, size, *form) for ratio in (3, 10, 30) for size in (8 << 10, 64 << 10)
+                                for form in ((0, 5), (64 << 10, 7))))
 STEM, WINDOW, STRAY = 4, 6, 0.002
 PER_CLASS, MAX_BYTES = (1500, 4000), 20_000     # toxic, ordinary
 OUTPUTS = ("score", "predicted")
@@ -76,18 +79,18 @@ def class_dictionary(samples: list[list[str]], other: list[list[str]], size: int
     return trained[at + len(_OFFSETS):] if at >= 0 else trained
 
 
-def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+def _compressor(content: bytes, match: int) -> zstandard.ZstdCompressor:
     log = max(13, len(content).bit_length() + 1)      # the table has room for every place of the dictionary
     settings = zstandard.ZstdCompressionParameters(
-        compression_level=1, min_match=5, strategy=zstandard.STRATEGY_FAST, target_length=1, window_log=max(12, log), hash_log=log,
+        compression_level=1, min_match=match, strategy=zstandard.STRATEGY_FAST, target_length=1, window_log=max(12, log), hash_log=log,
         chain_log=12, write_checksum=0, write_content_size=0)
     return zstandard.ZstdCompressor(
         dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=settings)
 
 
 class Distances:
-    def __init__(self, toxic: bytes, ordinary: bytes):
-        self.toxic, self.ordinary = _compressor(toxic).compress, _compressor(ordinary).compress
+    def __init__(self, toxic: bytes, ordinary: bytes, match: int = 5):
+        self.toxic, self.ordinary = _compressor(toxic, match).compress, _compressor(ordinary, match).compress
 
     def of(self, text: str) -> np.ndarray:
         """Distance of each window of a text."""
@@ -100,14 +103,18 @@ class Distances:
 class ToxicityModel:
     toxic: bytes
     ordinary: bytes
+    match: int
     limit: float
     weights: np.ndarray
     bias: float
 
+    def distances(self) -> Distances:
+        return Distances(self.toxic, self.ordinary, self.match)
+
     def statistics(self, d: np.ndarray) -> np.ndarray:
         near = d >= self.limit
-        return np.array([min(near.sum(), 8) / 8, near.mean(), min(d.max(), 12) / 12,
-                         np.minimum(np.maximum(d - 1, 0), 12).mean() / 3])
+        return np.array([min(near.sum(), 8) / 8, near.mean(), min(d.max(), 24) / 24, d.mean() / 3,
+                         np.sqrt((np.maximum(d, 0.0) ** 2).mean()) / 3])
 
     def score(self, d: np.ndarray) -> float:
         z = float(self.statistics(d) @ self.weights + self.bias)
@@ -131,17 +138,38 @@ def train(toxic_texts: list[str], ordinary_texts: list[str]) -> ToxicityModel:
     if not toxic_texts or not ordinary_texts:
         raise ValueError("both classes are needed to learn from")
     t, o = [words(x) for x in sorted(toxic_texts)], [words(x) for x in sorted(ordinary_texts)]
-    tried = itertools.product(RATIOS, DICTIONARY_BYTES)
-    return max((_calibrated(t, o, size, ratio) for ratio, size in tried), key=lambda found: found[0])[1]
-
-
-def _calibrated(t: list[list[str]], o: list[list[str]], size: int, ratio: float) -> tuple[float, ToxicityModel]:
-    """(F1 on the calibration half, model) for dictionaries of one size and word ratio."""
-    fit_t, fit_o = t[::2], o[::2]
-    model = ToxicityModel(class_dictionary(fit_t, fit_o, size, ratio), class_dictionary(fit_o, fit_t, size, ratio), 1.0, np.zeros(4), 0.0)
-    distances = Distances(model.toxic, model.ordinary)
-    d_t = [distances.of(" ".join(d)) for d in (t[1::2] or t)]
-    d_o = [distances.of(" ".join(d)) for d in (o[1::2] or o)]
+    (fit_t, test_t), (fit_o, test_o) = _parted(t), _parted(o)
+    backgrounds = {n: class_dictionary(fit_o, fit_t, n) if n else b"" for *_, n, _ in TRIED}
+    parts, seen, best = {}, set(), None
+    for ratio, size, background, match in TRIED:
+        if (ratio, size) not in parts:
+            parts[ratio, size] = class_dictionary(fit_t, fit_o, size, ratio), class_dictionary(fit_o, fit_t, size, ratio)
+        form = *(backgrounds[background] + part for part in parts[ratio, size]), match
+        if form not in seen:        # a larger limit need not give a larger dictionary
+            seen.add(form)
+            found = _calibrated(*form, test_t, test_o)
+            best = found if best is None or found[0] > best[0] else best
+    return best[1]
+
+
+def _parted(texts: list[list[str]]) -> tuple[list[list[str]], list[list[str]]]:
+    """(texts that train the dictionaries, every fourth that calibrates; a few texts do both)."""
+    return ([x for i, x in enumerate(texts) if i % 4], texts[::4]) if len(texts) > 3 else (texts, texts)
+
+
+def _auc(score: np.ndarray, y: np.ndarray) -> float:
+    """Share of pairs of a toxic and an ordinary text in which the toxic one scores higher (ties: half)."""
+    other = np.sort(score[y == 0])
+    below = np.searchsorted(other, score[y == 1]) + np.searchsorted(other, score[y == 1], side="right")
+    return float(below.mean() / 2 / len(other))
+
+
+def _calibrated(toxic: bytes, ordinary: bytes, match: int, t: list[list[str]], o: list[list[str]]) -> tuple[float, ToxicityModel]:
+    """(mean of F1 and area under the ROC curve of the calibration texts, model) for two dictionaries."""
+    model = ToxicityModel(toxic, ordinary, match, 1.0, np.zeros(5), 0.0)
+    distances = model.distances()
+    d_t = [distances.of(" ".join(d)) for d in t]
+    d_o = [distances.of(" ".join(d)) for d in o]
     flat = np.sort(np.concatenate(d_o))
     model.limit = float(max(1, flat[min(len(flat) - 1, int(len(flat) * (1 - STRAY)))] + 1))
     x = np.array([model.statistics(d) for d in d_t + d_o])
@@ -151,7 +179,7 @@ def _calibrated(t: list[list[str]], o: list[list[str]], size: int, ratio: float)
     f1, best = max((2 * ((z >= c) & (y == 1)).sum() / ((z >= c).sum() + y.sum()), c) for c in np.unique(z))
     below = z[z < best]
     model.bias -= float(best + (below.max() if len(below) else best - 1)) / 2
-    return float(f1), model
+    return (float(f1) + _auc(z, y)) / 2, model
 
 
 def _spread(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -178,12 +206,12 @@ def fit_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, with ``score`` and ``predicted`` (score >= 0.5)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)    # two dictionaries of DICTIONARY_BYTES
+    shared = docs.sparkSession.sparkContext.broadcast(model)    # two dictionaries of at most 128 KB (TRIED)
     rest = [c for c in docs.columns if c != text_col and c not in OUTPUTS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        distances = Distances(m.toxic, m.ordinary)
+        distances = m.distances()
         for batch in batches:
             scores = np.array([m.score(distances.of(t.as_py() or "")) for t in batch.column(0)], dtype=np.float64)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],

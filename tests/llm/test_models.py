@@ -97,7 +97,7 @@ def test_toxicity_of_many_words_some_quoted():
 
     toxic, ordinary = [text(5) for _ in range(1000)], [text(0) for _ in range(1000)]
     model = toxicity.train(toxic, [*ordinary, *(" ".join(bad[i:i + 20]) for i in range(0, 300, 20))])
-    distances = toxicity.Distances(model.toxic, model.ordinary)
+    distances = model.distances()
     assert np.mean([model.score(distances.of(text(5))) >= 0.5 for _ in range(300)]) > 0.9
     assert np.mean([model.score(distances.of(text(0))) >= 0.5 for _ in range(300)]) < 0.1
 
