@@ -219,7 +219,7 @@ hits AS (
   JOIN t_shingles s ON s.k = x.k AND s.s = x.s),
 windows AS (
   SELECT doc_id, license, p, count(DISTINCT s) AS shared
-  FROM (SELECT *, unnest(range(greatest(1, i - places + 1), least(i, n_places - places + 1) + 1)) AS p FROM hits)
+  FROM (SELECT *, unnest(range(greatest(1, i - least(places, n_places) + 1), least(i, n_places - least(places, n_places) + 1) + 1)) AS p FROM hits)
   GROUP BY doc_id, license, p)
 SELECT w.doc_id, w.license, count(*) AS n_windows, max(w.shared) / CAST(max(z.n) AS DOUBLE) AS containment,
        min(w.p) - 1 AS first_word

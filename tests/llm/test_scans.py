@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from settlekit.llm import decontaminate as D
 from settlekit.llm.license_scan import scan_licenses
 
@@ -64,11 +66,12 @@ def test_licenses(sc):
                  "none": "?!"}
     vocabulary = templates["long"].split() + ["all", "Rights", "reserved", "zz"]
     docs = []
-    for i in range(80):
+    for i in range(240):
         w = templates["long"].split()
         for _ in range(r.randint(0, 3)):
             w[r.choice((0, 1, 5, 11))] = r.choice(vocabulary)
-        docs.append((i, r.choice((None, "", " ".join(r.choice(vocabulary) for _ in range(40)), "x y " + " ".join(w) + " all rights, reserved"))))
+        docs.append((i, r.choice((None, "", " ".join(r.choice(vocabulary) for _ in range(40)), "x y " + " ".join(w) + " all rights, reserved",
+                               " ".join(w[:r.randint(3, 12)])))))
     df = sc.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, license int")
     want = []
     for i, t in docs:
@@ -79,8 +82,9 @@ def test_licenses(sc):
             places = len(v) - k + 1
             own = {tuple(v[j:j + k]) for j in range(places)} if v else set()
             found = []
-            for p in range(len(w) - len(v) + 1 if v else 0):
-                both = len(own & {tuple(w[j:j + k]) for j in range(p, p + places)})
+            window = min(places, len(w) - k + 1)      # a shorter text is one window
+            for p in range(len(w) - k + 1 - window + 1 if v and window > 0 else 0):
+                both = len(own & {tuple(w[j:j + k]) for j in range(p, p + window)})
                 if 100 * both >= 80 * len(own):
                     found.append((p, both))
             if found:
@@ -88,3 +92,35 @@ def test_licenses(sc):
     got = [(x.doc_id, x.license, x.n_windows, x.containment, x.first_word) for x in scan_licenses(df, templates).collect()]
     assert sorted(got) == sorted(want) and len(want) > 30
     assert scan_licenses(df.limit(0), templates).count() == 0 and scan_licenses(df, {}).count() == 0
+
+
+def test_license_bodies_from_a_table(sc, monkeypatch):
+    from settlekit.llm import license_scan as L
+    monkeypatch.setattr(L, "_CELLS", 4096)
+    r = random.Random(8)
+    body = {n: [f"{n}{r.randint(0, 400)}" for _ in range(900)] for n in "ab"}
+    body["c"] = body["a"][:600] + ["other"] * 5         # shares most of its text with a
+    docs, want = [], []
+    for i in range(12):
+        w = list(body["abc"[i % 3]])
+        for _ in range((0, 10, 400)[i // 4]):
+            w[r.randrange(len(w))] = "zz"
+        docs.append((i, " ".join(["x"] * r.randint(0, 40) + w + ["y"] * r.randint(0, 2000))))
+    docs.append((12, " ".join(body["b"][:800])))        # shorter than its template
+    for i, t in docs:
+        w = t.split()
+        for name, v in sorted(body.items()):
+            own = {tuple(v[j:j + 5]) for j in range(len(v) - 4)}
+            size = min(len(v) - 4, len(w) - 4)
+            sets = [own & {tuple(w[j:j + 5]) for j in range(p, p + size)} for p in range(len(w) - 4 - size + 1)]
+            hit = [(p, len(x)) for p, x in enumerate(sets) if 100 * len(x) >= 80 * len(own)]
+            if hit:
+                want.append((i, name, len(hit), max(n for _, n in hit) / len(own), hit[0][0]))
+    table = sc.createDataFrame([(n, " ".join(v)) for n, v in body.items()] + [("none", None), (None, "x"), ("a", "zzz")],
+                               "license string, text string")
+    df = sc.createDataFrame(docs, "doc_id long, text string")
+    got = [(x.doc_id, x.license, x.n_windows, x.containment, x.first_word) for x in scan_licenses(df, table).collect()]
+    assert sorted(got) == sorted(want) and {x[1] for x in want} == {"a", "b", "c"} and (12, "b") in {x[:2] for x in want}
+    monkeypatch.setattr(L, "MAX_TEMPLATE_BYTES", 100)
+    with pytest.raises(ValueError):
+        scan_licenses(df, table)
