@@ -175,3 +175,59 @@ def test_sample_is_bounded(sc):
     labels = sc.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
     got = B.labelled_sample(docs, labels, "toxic", {0: 5, 1: 7}).groupBy("label").count().collect()
     assert {r.label: r["count"] for r in got} == {0: 5, 1: 7}
+
+
+def test_language_scores_by_a_plain_loop(sc):
+    model = language_id.train(["der hund und die katze"] * 12 + ["the dog and the cat"] * 12 + ["le chien et le chat"] * 12,
+                              ["de"] * 12 + ["en"] * 12 + ["fr"] * 12)
+    texts = ["the cat", "Die KATZE ist 12 da!", "é", "a", "x y", "le chat, the dog. und " * 300, "no", "no"]
+    want = []
+    for text in texts:
+        letters = "".join(c.lower() if c.isalpha() else " " for c in text).split()
+        raw = f" {' '.join(letters)} ".encode()
+        found = []
+        for n in (2, 3, 4):
+            for i in range(len(raw) - n + 1):
+                h = n * 0x9E3779B9 % 2 ** 32
+                for byte in raw[i:i + n]:
+                    h = (h ^ byte) * 0x01000193 % 2 ** 32
+                found.append(((h ^ h >> 15) * 0x2C1B3C6D % 2 ** 32 >> 8) % model.table.shape[1])
+        logit = [(sum(float(row[h]) for h in found) / len(found) + float(b)) / model.temperature
+                 for row, b in zip(model.table, model.bias, strict=True)]
+        e = [np.exp(x - max(logit)) for x in logit]
+        want.append((model.languages[int(np.argmax(e))], max(e) / sum(e)))
+    df = sc.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(df, model).collect()}
+    for i, (lang, score) in enumerate(want):
+        assert got[i][0] == lang and abs(got[i][1] - score) < 1e-4
+
+
+def test_toxicity_scores_by_plain_window_lengths(sc):
+    import zstandard
+    model = toxicity.train(["nasty awful words here", "some awful text"] * 9, ["fine words here", "more of the same"] * 9)
+
+    def size(content, raw):
+        log = max(13, len(content).bit_length() + 1)
+        settings = zstandard.ZstdCompressionParameters(
+            compression_level=1, min_match=model.match, strategy=zstandard.STRATEGY_FAST, target_length=1, window_log=max(12, log),
+            hash_log=log, chain_log=12, write_checksum=0, write_content_size=0)
+        known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=known, compression_params=settings).compress(raw))
+
+    texts = [None, "", "fine nasty words", "Awful, AWFUL words 3 here " * 50, "more of the same text", "one two three four five six nasty"]
+    want = []
+    for text in texts:
+        letters = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        d = []
+        for i in range(0, len(letters), 6):
+            raw = b"#" * 64 + f" {' '.join(letters[i:i + 6])} ".encode()
+            d.append(size(model.ordinary, raw) - size(model.toxic, raw))
+        d = d or [0]
+        near = sum(x >= model.limit for x in d)
+        parts = [min(near, 8) / 8, near / len(d), min(max(d), 24) / 24, sum(d) / len(d) / 3,
+                 (sum(max(x, 0) ** 2 for x in d) / len(d)) ** 0.5 / 3]
+        want.append(1 / (1 + np.exp(-(sum(p * w for p, w in zip(parts, model.weights, strict=True)) + model.bias))))
+    df = sc.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.score, r.predicted) for r in toxicity.score_toxicity(df, model).collect()}
+    for i, score in enumerate(want):
+        assert abs(got[i][0] - score) < 1e-9 and got[i][1] == (score >= 0.5)
