@@ -11,15 +11,18 @@ per deposit, so the metrics never build it. ``advice_metrics`` computes the same
   of dates per reference the same way.
 * A deposit without events needs no dates. Every detail row of it falls into the
   totals alone, so it stays one row weighted by its advice rows.
-* A deposit with events becomes one row per advice date. The detail rows of such a
-  row are C x F, with C the chargebacks (or one NULL row) and F the full refunds (or
-  one NULL row). Every measure is
+* A deposit with events becomes one row per span of advice dates between its event
+  dates, weighted by the advice rows of that span: dates of one span are before and after
+  the same events. However many dates its reference has, a deposit has at most one row
+  more than its events have dates. The detail rows of such a row are C x F, with C the
+  chargebacks (or one NULL row) and F the full refunds (or one NULL row). Every measure is
 
       SUM over C x F of CASE WHEN P(chargeback) AND Q(refund) THEN value ELSE 0 END
 
   with P on the chargeback and Q on the refund alone, so it is a product of two
   counts, or of a count and a sum. Day buckets ask for one side only (the other
-  gives its number of rows), so each dated total falls into one bucket.
+  gives its number of rows): each dated total adds once per bucket, for the advice rows
+  that put it there.
 * What a row adds goes out as (slot, count, amount) and is summed per merchant group
   and slot: 63 slots, each a count and an amount, make the 126 measures. One pass over
   each input, no window, no join of events with advice, nothing written in between.
@@ -239,17 +242,19 @@ def full_refunds_by_deposit(ref: DataFrame) -> DataFrame:
     return _dated_totals(events, ["ref_parent_id", "ref_amount"], ["n", "whole", "rest", "none"], "refs")
 
 
-def join_on_reference(dep: DataFrame, told: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def join_on_reference(dep: DataFrame, told: DataFrame, hot_rows: int = HOT_ROWS, plain: DataFrame | None = None) -> DataFrame:
     """Deposits with the advice dates of their reference, a frequent reference in several parts.
+    ``plain``: the same deposits before more columns were joined, if any were.
 
     The frequent references come from a sketch of bounded size over the deposits (no
     shuffle of references), so the list that is broadcast has at most HOT_REFERENCES rows."""
-    top = dep.agg(F.expr(f"approx_top_k(txn_reference_number, {HOT_REFERENCES}, {10 * HOT_REFERENCES})").alias("top"))
+    plain = dep if plain is None else plain
+    top = plain.agg(F.expr(f"approx_top_k(txn_reference_number, {HOT_REFERENCES}, {10 * HOT_REFERENCES})").alias("top"))
     hot = top.select(F.explode("top").alias("t")).where((F.col("t.count") > hot_rows) & F.col("t.item").isNotNull()).select(
         F.col("t.item").alias("__ref"), F.least(F.ceil(F.col("t.count") / hot_rows), F.lit(HOT_COPIES)).cast("int").alias("__copies"))
     parts = F.coalesce("__copies", F.lit(1))
     d = dep.join(F.broadcast(hot), F.col("txn_reference_number") == F.col("__ref"), "left").select(
-        *dep.columns, F.pmod(F.xxhash64(*dep.columns), parts).cast("int").alias("__part"))
+        *dep.columns, F.pmod(F.xxhash64(*plain.columns), parts).cast("int").alias("__part"))
     t = told.join(F.broadcast(hot), F.col("acquirer_ref_number") == F.col("__ref"), "left").select(
         *told.columns, F.explode(F.sequence(F.lit(0), parts - 1)).alias("__copy"))
     return d.join(t, (F.col("txn_reference_number") == F.col("acquirer_ref_number")) & (F.col("__part") == F.col("__copy"))).drop(
@@ -258,15 +263,16 @@ def join_on_reference(dep: DataFrame, told: DataFrame, hot_rows: int = HOT_ROWS)
 
 def advised_deposits(advice: DataFrame, dep: DataFrame, ref: DataFrame, cbk: DataFrame, w: ReportWindow,
                      hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per completed deposit with advice: its advice dates and its dated events."""
+    """One row per completed deposit with advice: its advice dates and its dated events.
+    The dates, a long list where the reference is shared, come last and are not shuffled again."""
     amount = amount_parts(dep)
     d = (dep.where(F.col("complete_date").isNotNull() & F.col("txn_reference_number").isNotNull())
          .select(*GROUP4, "payment_id", "amount", "txn_reference_number", amount.whole.alias("whole"), amount.rest.alias("rest")))
-    j = join_on_reference(d, advice_dates(advice, w), hot_rows).drop("txn_reference_number")
     c, r = chargebacks_by_deposit(cbk), full_refunds_by_deposit(ref)
-    j = j.join(c, F.col("payment_id") == F.col("cbk_deposit_id"), "left")
-    return j.join(r, (F.col("payment_id") == F.col("ref_parent_id")) & (F.col("amount") == F.col("ref_amount")), "left").drop(
+    j = d.join(c, F.col("payment_id") == F.col("cbk_deposit_id"), "left")
+    j = j.join(r, (F.col("payment_id") == F.col("ref_parent_id")) & (F.col("amount") == F.col("ref_amount")), "left").drop(
         "cbk_deposit_id", "ref_parent_id", "ref_amount")
+    return join_on_reference(j, advice_dates(advice, w), hot_rows, plain=d).drop("txn_reference_number")
 
 
 def _totals(events: str, rel: str, sums: tuple[str, ...]) -> str:
@@ -293,21 +299,41 @@ def _of_events(slot: str, times: str, totals: str, prefix: str = "") -> str:
                  f"COALESCE({times} * {totals}.{prefix}rest, 0)", f"{times} * {totals}.{prefix}none")
 
 
-def _dated_adds(first: int, events: str, day: str, times: str) -> str:
-    days = f"datediff(x.day, {day})"
-    slot = f"{first} + CASE WHEN {days} < 0 THEN 0 WHEN {days} > {LAST_DAY} THEN {LAST_DAY + 2} ELSE {days} + 1 END"
-    return f"transform(filter({events}, x -> {days} IS NOT NULL), x -> {_of_events(slot, times, 'x')})"
+def _told_rows(keep: str) -> str:
+    """SQL: the advice rows of the dates ``t`` that ``keep`` names."""
+    return f"aggregate(filter(told, t -> {keep}), CAST(0 AS BIGINT), (a, t) -> a + t.m)"
+
+
+#: The event dates of a deposit, in order.
+_EVENT_DATES = ("array_sort(array_distinct(filter(concat(COALESCE(transform(cbks, x -> x.date), array()), "
+                "COALESCE(transform(refs, x -> x.date), array())), d -> d IS NOT NULL)))")
+#: Per span of advice dates up to and with the next event date: one date that stands for it, and its advice rows.
+_SPANS = ("filter(transform(sequence(0, size(dates)), i -> named_struct("
+          "'adv_date', COALESCE(get(dates, i), array_max(told.adv_date)), 'm', "
+          + _told_rows("(i = 0 OR t.adv_date > get(dates, i - 1)) AND (i = size(dates) OR t.adv_date <= get(dates, i))")
+          + ")), s -> s.m > 0)")
+
+
+def _dated_adds(first: int, events: str, times: str) -> str:
+    """What the dated events add to their day buckets, each once per bucket that advice rows put it in."""
+    days = "datediff(x.day, t.adv_day)"
+    buckets = (f"concat(transform(filter(told, t -> {days} BETWEEN 0 AND {LAST_DAY}), t -> named_struct('k', {days} + 1, 'm', t.m)), "
+               f"array(named_struct('k', 0, 'm', {_told_rows(f'{days} < 0')}), "
+               f"named_struct('k', {LAST_DAY + 2}, 'm', {_told_rows(f'{days} > {LAST_DAY}')})))")
+    return (f"flatten(transform(filter({events}, x -> x.day IS NOT NULL), x -> "
+            f"transform({buckets}, b -> {_of_events(f'{first} + b.k', f'b.m * {times}', 'x')})))")
 
 
 LAST_DAY = DAY_OFFSETS[-1]
 
 
-def slot_sums(advised: DataFrame, families=("all", "class", "day")) -> DataFrame:
-    """``GROUP4, slot, cnt, whole, rest, none``: what all rows add to each slot."""
-    dates = F.when(F.col("cbks").isNull() & F.col("refs").isNull(), F.array(F.struct(
-        F.lit(None).cast("date").alias("adv_date"), F.lit(None).cast("date").alias("adv_day"), F.col("told_rows").alias("m")))).otherwise(F.col("told"))
-    rows = advised.select("*", F.explode(dates).alias("t")).selectExpr(
-        *GROUP4, "payment_id", "whole", "rest", "t", "t.m AS m", "cbks", "refs", "GREATEST(COALESCE(cbks_rows, 0), 1) AS nc",
+def slot_rows(advised: DataFrame, families=("all", "class", "day")) -> DataFrame:
+    """``GROUP4, slot, cnt, whole, rest, none``: what each deposit adds to the slots. Their number
+    follows the deposit's events, not the advice dates of its reference."""
+    spans = (f"CASE WHEN cbks IS NULL AND refs IS NULL THEN array(named_struct('adv_date', CAST(NULL AS DATE), 'm', told_rows)) "
+             f"ELSE {_SPANS} END")
+    rows = advised.selectExpr("*", f"{_EVENT_DATES} AS dates").selectExpr("*", f"posexplode({spans}) AS (at, t)").selectExpr(
+        *GROUP4, "payment_id", "whole", "rest", "at", "t", "t.m AS m", "told", "cbks", "refs", "GREATEST(COALESCE(cbks_rows, 0), 1) AS nc",
         "GREATEST(COALESCE(refs_rows, 0), 1) AS nf", "COALESCE(refs_rows, 0) AS n_refs")
     charge = ("n", "whole", "rest", "none", "fraud_n", "fraud_whole", "fraud_rest", "fraud_none")
     rows = rows.selectExpr("*", f"{_totals('cbks', '<', charge)} AS lt", f"{_totals('cbks', '>=', charge)} AS ge",
@@ -324,10 +350,15 @@ def slot_sums(advised: DataFrame, families=("all", "class", "day")) -> DataFrame
                      _of_events(str(_CLASS + 3 * i + 2), f"m * q_{q}", p, "fraud_")]
     lists = [f"array({', '.join(adds)})"]
     if "day" in families:
-        lists += [_dated_adds(_DAY_CBKS, "cbks", "t.adv_day", "m * nf"), _dated_adds(_DAY_REFUNDS, "refs", "t.adv_day", "m * nc")]
+        lists += [f"CASE WHEN at = 0 THEN {adds} END"
+                  for adds in (_dated_adds(_DAY_CBKS, "cbks", "nf"), _dated_adds(_DAY_REFUNDS, "refs", "nc"))]
     found = [f"filter(COALESCE({a}, array()), x -> x.cnt > 0)" for a in lists]
-    return (rows.selectExpr(*GROUP4, f"explode(concat({', '.join(found)})) AS x").selectExpr(*GROUP4, "x.*")
-            .groupBy(*GROUP4, "slot").agg(*[F.sum(c).alias(c) for c in ("cnt", "whole", "rest", "none")]))
+    return rows.selectExpr(*GROUP4, f"explode(concat({', '.join(found)})) AS x").selectExpr(*GROUP4, "x.*")
+
+
+def slot_sums(advised: DataFrame, families=("all", "class", "day")) -> DataFrame:
+    """``GROUP4, slot, cnt, whole, rest, none``: what all rows add to each slot."""
+    return (slot_rows(advised, families).groupBy(*GROUP4, "slot").agg(*[F.sum(c).alias(c) for c in ("cnt", "whole", "rest", "none")]))
 
 
 def _slot_of(m: Measure) -> int:

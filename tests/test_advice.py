@@ -252,3 +252,27 @@ def test_one_reference_on_a_third_of_the_deposits(spark):
     plain = advised.where("cbks IS NULL AND refs IS NULL")
     paired = advised.select(F.when(F.col("cbks").isNull() & F.col("refs").isNull(), 1).otherwise(F.size("told")).alias("n"))
     assert plain.count() > 150 and paired.agg(F.sum("n")).first()[0] < 200 * 4 + 133
+
+
+def test_advice_on_every_day_adds_rows_by_event(spark):
+    """A reference advised on 300 days: right measures, and a deposit adds at most 24 day buckets
+    an event date and 16 slots per span between its event dates (300 dates times that before)."""
+    rnd = random.Random(9)
+    base = D(2018, 10, 1)
+    pays = [deposit(i, base + dt.timedelta(days=rnd.randint(0, 300)), merchant_id=i % 2, txn_reference_number="0") for i in range(1, 25)]
+    pays += [refund(1000 + 10 * i + k, i, base + dt.timedelta(days=rnd.randint(0, 330))) for i in range(1, 25) for k in range(i % 3)]
+    cbks = [chargeback(i, base + dt.timedelta(days=rnd.randint(0, 330))) for i in range(1, 25) for _ in range(i % 4)]
+    advs = [advice("0", base + dt.timedelta(days=d)) for d in range(300) for _ in range(1 + d % 2)]
+    rng = payments_in_range(frame(spark, pays, PAYMENT_SCHEMA), W)
+    dep, ref = deposits(rng), refunds(rng)
+    cbk, adv = chargebacks_in_window(frame(spark, cbks, CHARGEBACK_SCHEMA), W), frame(spark, advs, ADVICE_SCHEMA)
+    fast = A.advice_metrics(adv, dep, ref, cbk, W)
+    slow = A.advice_metrics_from_detail(A.advice_detail(adv, dep, ref, cbk, W))
+    assert sorted((tuple(r[c] for c in slow.columns) for r in fast.collect()), key=repr) == \
+        sorted((tuple(r) for r in slow.collect()), key=repr)
+
+    advised = A.advised_deposits(adv, dep, ref, cbk, W)
+    dates = "COALESCE(size(cbks), 0) + COALESCE(size(refs), 0)"
+    advised = advised.selectExpr("*", f"{dates} AS n_dates").localCheckpoint()
+    most = advised.selectExpr("SUM(24 * n_dates + 16 * (n_dates + 1))").first()[0]
+    assert advised.count() == 24 and 0 < A.slot_rows(advised).count() <= most
