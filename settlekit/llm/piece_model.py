@@ -100,6 +100,11 @@ class PieceModel:
     def score_of(self) -> dict[str, float]:
         return {p: self.scores[i] for p, i in self.ids.items()}
 
+    @cached_property
+    def lengths(self) -> list[int]:
+        """Characters of each piece."""
+        return [len(p) for p in self.pieces]
+
     @cached_property
     def byte_ids(self) -> list[int]:
         at = {p: i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
@@ -184,4 +189,4 @@ class PieceModel:
         return known
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("automaton", "ids", "score_of", "byte_ids", "splits", "_space_period")} | {"_pairs": {}}
+        return {k: v for k, v in self.__dict__.items() if k not in ("automaton", "ids", "score_of", "byte_ids", "lengths", "splits", "_space_period")} | {"_pairs": {}}

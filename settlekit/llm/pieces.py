@@ -37,6 +37,17 @@ _ENTRY_BYTES = 180              # of a remembered chunk besides its characters a
 UNKNOWN_PENALTY = 10.0
 
 
+class _Codes(dict):
+    """Chunk to its code; a new chunk is encoded when it is looked up."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+
+    def __missing__(self, chunk: str) -> int:
+        known = self[chunk] = self.encoder.take(chunk)
+        return known
+
+
 class Encoder:
     def __init__(self, model: PieceModel):
         self.model = model
@@ -45,29 +56,94 @@ class Encoder:
         self._reset()
 
     def _reset(self):
-        self.codes: dict[str, int] = {}
+        self.codes = _Codes(self)
         self.flat, self.first = array("i"), array("q", [0])     # ids of the chunks seen, and where each starts
+        self.uses = np.zeros(0, np.int64)       # of each remembered chunk
         self.held = 0
 
+    def _forget_rare(self):
+        """Keeps what was used again, the most used up to half the bound; the rest, mostly
+        chunks seen once, goes."""
+        first, flat, chunks = np.array(self.first), np.array(self.flat, np.int32), list(self.codes)
+        held = _ENTRY_BYTES + 4 * (np.fromiter(map(len, chunks), np.int64, len(chunks)) + np.diff(first))
+        order = np.argsort(-self.uses, kind="stable")
+        order = order[(self.uses[order] > 1) & (np.cumsum(held[order]) <= REMEMBERED_BYTES // 2)]
+        length = np.diff(first)[order]
+        self._reset()
+        self.codes.update((chunks[i], k) for k, i in enumerate(order.tolist()))
+        self.flat.frombytes(flat[B.ranges(first[order], length)].tobytes())
+        self.first.extend(np.cumsum(length).tolist())
+        self.uses = np.zeros(len(order), np.int64)
+        self.held = int(held[order].sum())
+
     def encode_chunk(self, chunk: str) -> list[int]:
         """Best path over one chunk (written with the space mark)."""
-        model, n = self.model, len(chunk)
-        bpe, scores, compatible = model.model_type == BPE, model.scores, model.compatible
-        known, width = model._pairs.get, len(model.pieces)
-        if bpe and chunk[:2] == SPACE * 2:      # equal scores: merged by position, as it stands
+        if self.model.model_type != BPE:
+            return self._best_path(chunk)
+        if chunk[:2] == SPACE * 2:      # equal scores: merged by position, as it stands
             return self._spaced(chunk)
+        return self._kept_path(chunk)
+
+    def _kept_path(self, chunk: str) -> list[int]:
+        """BPE: the one path of score 0. A position has its last piece, -1 for a character that
+        no piece covers, or None as long as no path of it was asked for."""
+        model, n = self.model, len(chunk)
+        known, compatible, width = model._pairs.get, model.compatible, len(model.pieces)
+        last: list[int | None] = [None] * (n + 1)
+        last[0] = -1
+        for end, (piece, length) in model.automaton.iter(chunk):
+            end += 1
+            if last[end] is None:
+                start = end - length
+                before = last[start]
+                if before is None:
+                    before = self._uncovered(last, start)
+                kept = known(before * width + piece)
+                if kept is None:
+                    kept = compatible(before, piece)
+                if kept:
+                    last[end] = piece
+        if last[n] is None:
+            self._uncovered(last, n)
+        flat: list[int] = []
+        lengths, at = model.lengths, n
+        while at:
+            piece = last[at]
+            if piece >= 0:
+                flat.append(piece)
+                at -= lengths[piece]
+            else:
+                at -= 1
+                ids = model.unknown(chunk[at])
+                if model.byte_fallback or flat[-1:] != ids:     # neighbouring unknowns form one piece
+                    flat += reversed(ids)
+        flat.reverse()
+        return flat
+
+    @staticmethod
+    def _uncovered(last: list[int | None], upto: int) -> int:
+        """Marks the positions up to ``upto`` that no piece reached."""
+        while last[upto] is None:
+            last[upto] = -1
+            upto -= 1
+        return -1
+
+    def _best_path(self, chunk: str) -> list[int]:
+        """Unigram: the path with the best sum of scores."""
+        model, n = self.model, len(chunk)
+        scores = model.scores
         best: list[float | None] = [None] * (n + 1)
         back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
         best[0] = 0.0
         ready = 0
 
         def settle(upto):
-            """Positions that no piece reached, and in unigram models a one-character
-            step where no one-character piece exists."""
+            """Positions that no piece reached, and a one-character step where no
+            one-character piece exists."""
             nonlocal ready
             for i in range(ready + 1, upto + 1):
-                step = best[i - 1] + (0.0 if bpe else self.unknown_score)
-                if best[i] is None or (not bpe and chunk[i - 1] not in model.ids and step > best[i]):
+                step = best[i - 1] + self.unknown_score
+                if best[i] is None or (chunk[i - 1] not in model.ids and step > best[i]):
                     best[i], back[i] = step, (i - 1, -1)
             ready = max(ready, upto)
 
@@ -75,19 +151,9 @@ class Encoder:
             start, end = end + 1 - length, end + 1
             if ready < end - 1:
                 settle(end - 1)
-            if bpe:
-                if best[end] is not None:
-                    continue
-                before = back[start][1]
-                kept = known(before * width + piece)
-                if kept is None:
-                    kept = compatible(before, piece)
-                if kept:
-                    best[end], back[end] = 0.0, (start, piece)
-            else:
-                score = best[start] + scores[piece]
-                if best[end] is None or score > best[end]:
-                    best[end], back[end] = score, (start, piece)
+            score = best[start] + scores[piece]
+            if best[end] is None or score > best[end]:
+                best[end], back[end] = score, (start, piece)
         settle(n)
         out, at = [], n
         while at:
@@ -115,27 +181,29 @@ class Encoder:
     def _ids(self, parts: list[str]) -> list[int]:
         return [i for p in parts for i in ([self.model.ids[p]] if p in self.model.ids else self.model.unknown(p))]
 
-    def code(self, chunk: str) -> int:
-        known = self.codes.get(chunk)
-        if known is None:
-            known = self.codes[chunk] = len(self.first) - 1
-            self.flat.extend(self.encode_chunk(chunk.replace(" ", SPACE)))
-            self.first.append(len(self.flat))
-            self.held += _ENTRY_BYTES + 4 * (len(chunk) + self.first[-1] - self.first[-2])
-        return known
+    def take(self, chunk: str) -> int:
+        """The code of a chunk seen for the first time."""
+        ids = self.encode_chunk(chunk.replace(" ", SPACE))
+        self.flat.extend(ids)
+        self.first.append(len(self.flat))
+        self.held += _ENTRY_BYTES + 4 * (len(chunk) + len(ids))
+        return len(self.first) - 2
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each)."""
         if self.held >= REMEMBERED_BYTES:
-            self._reset()
+            self._forget_rare()
         lead = " " if self.model.dummy_prefix else ""
-        code, codes, per_text = self.code, [], []
+        code, codes, per_text = self.codes.__getitem__, [], []
         for t in texts:
             t = t.replace(SPACE, " ")
             cut = (CHUNK.findall(lead + t) if self.model.splits else [lead + t]) if t else []
             per_text.append(len(cut))
-            codes += [code(c) for c in cut]
+            codes += map(code, cut)
         at = np.array(codes, dtype=np.int64)
+        uses = np.bincount(at, minlength=len(self.codes))
+        uses[:len(self.uses)] += self.uses
+        self.uses = uses
         first, flat = np.array(self.first), np.array(self.flat)
         length = first[at + 1] - first[at]
         by_text = np.concatenate(([0], np.cumsum(length)))

@@ -130,3 +130,28 @@ def test_remembered_chunks_are_bounded_and_released(raw):
     blocks.hold("another operator")
     assert not pieces._kept and not model._pairs and "automaton" not in model.__dict__
     assert pieces._coders(model)[0].encode("some words here") == want
+
+
+def test_chunks_used_again_outlive_the_bound(raw, monkeypatch):
+    """At the bound only what was seen once is forgotten; the ids stay those of the library."""
+    from settlekit.llm import pieces
+    monkeypatch.setattr(pieces, "REMEMBERED_BYTES", 20_000)
+    lib, encoder = sentencepiece.SentencePieceProcessor(model_proto=raw), Encoder(PieceModel.parse(raw))
+    r, encoded = random.Random(6), []
+    plain = encoder.encode_chunk
+    encoder.encode_chunk = lambda chunk: encoded.append(chunk) or plain(chunk)
+    for k in range(30):
+        texts = [f"the house  and\n the house  and {r.randint(0, 10**9)} zq{r.randint(0, 10**9)}日é" for _ in range(20)]
+        ids, cuts = encoder.encode_all(texts)
+        assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == lib.encode(texts)
+    assert len(encoded) > 1000 and sum(c == "▁house" for c in encoded) == 1
+    assert encoder.held < 2 * 20_000 and len(encoder.codes) == len(encoder.first) - 1 == len(encoder.uses)
+
+
+def test_encoder_covers_unknown_characters_as_the_merges_do(raw):
+    """Random strings, among them characters no piece covers: the merged parts, by definition."""
+    model = PieceModel.parse(raw)
+    encoder, r = Encoder(model), random.Random(8)
+    for _ in range(2000):
+        chunk = "▁" * r.randint(0, 1) + "".join(r.choice("abcdeinorst.%&日é😀\x00") for _ in range(r.randint(1, 12)))
+        assert encoder.encode_chunk(chunk) == encoder._ids(model.merged(chunk))
