@@ -11,8 +11,7 @@ from settlekit.llm.blocks import shared_table
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .where("a != b").distinct())
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -22,20 +21,33 @@ def _small_star(e: DataFrame) -> DataFrame:
     return lifted.unionByName(least.select("a", F.col("m").alias("b"))).where("a != b").distinct()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """``(node, component)`` for every node of ``edges(a, b)``; component = its least node.
+def _are_stars(e: DataFrame) -> bool:
+    """Does every edge lead from a node that has no other edge to a root that leads nowhere?"""
+    ends = e.select(F.col("a").alias("node"), F.lit(1).alias("leads")).unionByName(
+        e.select(F.col("b").alias("node"), F.lit(0).alias("leads")))
+    per_node = ends.groupBy("node").agg(F.sum("leads").alias("leads"), F.count(F.lit(1)).alias("n"))
+    return per_node.where("leads > 1 OR (leads = 1 AND n > 1)").isEmpty()
+
 
-    Each round is written to the shared folder; the loop ends when a round
-    leaves the edges unchanged (then they form stars around the least nodes).
+def stars(edges: DataFrame) -> DataFrame:
+    """``(a, b)`` for every node ``a`` but the least of each component, ``b``.
+
+    Each round is written to the shared folder. Further edges may be added to a
+    result: the stars and they have the components of all edges together.
     """
-    spark = edges.sparkSession
-    e = shared_table(spark, edges.select("a", "b").where("a != b").distinct(), "edges")
-    mark = None
+    e = edges.select("a", "b").where("a != b")
     while True:
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
-        e = shared_table(spark, _small_star(_large_star(e)), "edges")
-    roots = e.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
-    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+        e = shared_table(edges.sparkSession, _small_star(_large_star(e)), "edges")
+        if _are_stars(e):
+            return e
+
+
+def members(star: DataFrame) -> DataFrame:
+    """``(node, component)`` of the nodes of ``stars``."""
+    roots = star.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
+    return star.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """``(node, component)`` for every node of ``edges(a, b)``; component = its least node."""
+    return members(stars(edges))

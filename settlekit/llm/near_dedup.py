@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from settlekit.llm import blocks as B
-from settlekit.llm.components import connected_components
+from settlekit.llm.components import members, stars
 
 WIDTH, PERCENT = 5, 80
 COORDINATES, MISSED = 48, 1e-8
@@ -208,7 +208,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     def similar_size(x: str, y: str):
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
 
-    links, tested, groups = [], [], None
+    tested, star, groups = None, None, None
 
     def labelled() -> DataFrame:
         if groups is None:
@@ -226,15 +226,16 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
             "token", F.col("rep").alias("b"), F.col("group").alias("b_group"), F.col("n").alias("b_n"))
         pairs = now.join(pivots, "token").where((F.col("group") != F.col("b_group")) & similar_size("n", "b_n"))
         pairs = pairs.groupBy(F.col("rep").alias("a"), "b").agg(F.count(F.lit(1)).alias("hits"))
-        for old in tested:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         nearest = Window.partitionBy("a").orderBy(F.desc("hits"), "b")
         best = pairs.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= TRIES).select("a", "b")
         best = B.shared_table(spark, best, "pairs")
-        tested.append(best)
-        links.append(B.shared_table(spark, confirmed(best), "links"))
-        groups = connected_components(_all(links))
-        if links[-1].count() * WORTH < best.count():
+        tested = best if tested is None else tested.unionByName(best)
+        links = B.shared_table(spark, confirmed(best), "links")
+        star = stars(links if star is None else star.unionByName(links))
+        groups = members(star)
+        if links.count() * WORTH < best.count():
             break
 
     # what is left: classes that still share a list with another component
@@ -255,14 +256,12 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     y = front.toDF("shingle", "b", "b_n", "b_group", "b_left")
     overlap = F.least("a_left", "b_left") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
     pairs = x.join(y, "shingle").where((F.col("a_group") < F.col("b_group")) & overlap).select("a", "b").distinct()
-    for old in tested:
-        pairs = pairs.join(old, ["a", "b"], "left_anti").join(
-            old.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+    pairs = pairs.join(tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
     tokens = active.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
     pairs = (pairs.join(tokens, "a").join(tokens.toDF("b", "tb"), "b")
              .where(F.size(F.array_intersect("ta", "tb")) >= matches).select("a", "b"))
-    links.append(B.shared_table(spark, confirmed(B.shared_table(spark, pairs, "pairs")), "links"))
-    groups = B.shared_table(spark, connected_components(_all(links)), "groups")
+    links = B.shared_table(spark, confirmed(B.shared_table(spark, pairs, "pairs")), "links")
+    groups = members(stars(star.unionByName(links)))
 
     labels = classes.join(groups, classes["rep"] == groups["node"], "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
@@ -273,13 +272,6 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         (~known | (F.coalesce("component_id", "id") == F.col("id"))).alias("kept"))
 
 
-def _all(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` of which one document per component stays, its least id."""
     found = near_duplicate_classes(docs, id_col, text_col, **options)

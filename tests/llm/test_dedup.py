@@ -104,6 +104,20 @@ def test_components(sc):
     assert connected_components(sc.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_stars_are_extended_in_few_rounds(sc, monkeypatch):
+    """Known stars with new links: the components of all edges together, and no round where nothing
+    is left to do (a second one and a count of it, every time, before)."""
+    from settlekit.llm import components as C
+    made, plain = [], C.shared_table
+    monkeypatch.setattr(C, "shared_table", lambda *a: made.append(a[2]) or plain(*a))
+    star = C.stars(sc.createDataFrame([(i, 0) for i in range(1, 9)] + [(i, 20) for i in range(21, 26)], "a long, b long"))
+    assert len(made) == 1 and sorted(map(tuple, star.collect())) == [(i, 0) for i in range(1, 9)] + [(i, 20) for i in range(21, 26)]
+    links = [(23, 7), (40, 23), (50, 51)]
+    both = C.stars(star.unionByName(sc.createDataFrame(links, "a long, b long")))
+    assert {x.node: x.component for x in C.members(both).collect()} == {
+        **{i: 0 for i in (*range(9), *range(20, 26), 40)}, 50: 50, 51: 50}
+
+
 def brute_cut(rows, length):
     first = {}
     for i, t in rows:
