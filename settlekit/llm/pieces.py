@@ -20,6 +20,7 @@ output column are replaced by it.
 
 from __future__ import annotations
 
+import weakref
 from array import array
 from collections.abc import Iterator
 
@@ -38,10 +39,11 @@ UNKNOWN_PENALTY = 10.0
 
 
 class _Codes(dict):
-    """Chunk to its code; a new chunk is encoded when it is looked up."""
+    """Chunk to its code; a new chunk is encoded when it is looked up. Holds its encoder
+    weakly, so that both go as soon as the encoder is let go."""
 
     def __init__(self, encoder: Encoder):
-        self.encoder = encoder
+        self.encoder = weakref.proxy(encoder)
 
     def __missing__(self, chunk: str) -> int:
         known = self[chunk] = self.encoder.take(chunk)

@@ -155,3 +155,20 @@ def test_encoder_covers_unknown_characters_as_the_merges_do(raw):
     for _ in range(2000):
         chunk = "▁" * r.randint(0, 1) + "".join(r.choice("abcdeinorst.%&日é😀\x00") for _ in range(r.randint(1, 12)))
         assert encoder.encode_chunk(chunk) == encoder._ids(model.merged(chunk))
+
+
+def test_a_released_encoder_is_gone_at_once(raw):
+    """Not only when Python happens to collect cycles: the next stage needs the memory."""
+    import gc
+    import weakref
+    from settlekit.llm import blocks, pieces
+    gc.disable()
+    try:
+        coders = pieces._coders(PieceModel.parse(raw))
+        coders[0].encode("some words here")
+        encoder, codes = weakref.ref(coders[0]), weakref.ref(coders[0].codes)
+        del coders
+        blocks.hold("another operator")
+        assert encoder() is None and codes() is None
+    finally:
+        gc.enable()
