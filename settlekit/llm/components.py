@@ -9,30 +9,33 @@ from settlekit.llm.blocks import shared_table
 
 
 def _large_star(e: DataFrame) -> DataFrame:
-    both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = e.select(F.inline(ways))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    lifted = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return lifted.unionByName(least.select("a", F.col("m").alias("b"))).where("a != b").distinct()
+    """Of edges that lead to a smaller node; one edge for each, so repeats need no removal."""
+    least = e.groupBy("a").agg(F.min("b").alias("m"))
+    return e.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
+                                     F.col("m").alias("b"))
 
 
 def _are_stars(e: DataFrame) -> bool:
-    """Does every edge lead from a node that has no other edge to a root that leads nowhere?"""
-    ends = e.select(F.col("a").alias("node"), F.lit(1).alias("leads")).unionByName(
-        e.select(F.col("b").alias("node"), F.lit(0).alias("leads")))
-    per_node = ends.groupBy("node").agg(F.sum("leads").alias("leads"), F.count(F.lit(1)).alias("n"))
-    return per_node.where("leads > 1 OR (leads = 1 AND n > 1)").isEmpty()
+    """Does every edge lead from a node that has no other edge, but repeats, to a root that leads nowhere?"""
+    none = F.lit(None).cast(e.schema["b"].dataType)
+    ends = e.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("to")),
+                                     F.struct(F.col("b").alias("node"), none.alias("to")))))
+    per_node = ends.groupBy("node").agg(F.min("to").alias("low"), F.max("to").alias("high"),
+                                        F.count("to").alias("leads"), F.count(F.lit(1)).alias("n"))
+    return per_node.where("low != high OR (leads > 0 AND n > leads)").isEmpty()
 
 
 def stars(edges: DataFrame) -> DataFrame:
-    """``(a, b)`` for every node ``a`` but the least of each component, ``b``.
+    """``(a, b)`` for every node ``a`` but the least of each component, ``b``; rows may repeat.
 
-    Each round is written to the shared folder. Further edges may be added to a
+    Each round is written to the shared folder and has no more rows than ``edges``. Further edges may be added to a
     result: the stars and they have the components of all edges together.
     """
     e = edges.select("a", "b").where("a != b")
@@ -42,10 +45,15 @@ def stars(edges: DataFrame) -> DataFrame:
             return e
 
 
+def parents(star: DataFrame) -> DataFrame:
+    """``(node, component)`` of the nodes of ``stars`` but the roots, once each."""
+    return star.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+
+
 def members(star: DataFrame) -> DataFrame:
-    """``(node, component)`` of the nodes of ``stars``."""
+    """``(node, component)`` of the nodes of ``stars``, roots included, once each."""
     roots = star.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
-    return star.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    return parents(star).unionByName(roots)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from settlekit.llm import blocks as B
-from settlekit.llm.components import members, stars
+from settlekit.llm.components import parents, stars
 
 WIDTH, PERCENT = 5, 80
 COORDINATES, MISSED = 48, 1e-8
@@ -163,6 +163,7 @@ def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int, step:
 
 @B.tidy
 def _sets(batches: Iterator[pa.RecordBatch], width: int, step: int = 256) -> Iterator[pa.RecordBatch]:
+    """The full sets of rows (rep, z, n, group)."""
     B.hold("near_dedup")
     for batch in batches:
         for lo in range(0, batch.num_rows, step):
@@ -170,8 +171,8 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int, step: int = 256) -> Ite
             rows, h = shingle_sets(*_unzipped(part.column(1).to_pylist()), width)
             cuts = np.searchsorted(rows, np.arange(part.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(h.view(np.int64)))],
-                names=["rep", "shingles"])
+                [part.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(h.view(np.int64))), *part.columns[2:]],
+                names=["rep", "shingles", "n", "group"])
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -208,11 +209,12 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     def similar_size(x: str, y: str):
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
 
-    tested, star, groups = None, None, None
+    tested, star = None, None
 
     def labelled() -> DataFrame:
-        if groups is None:
+        if star is None:
             return lists.withColumn("group", F.col("rep"))
+        groups = parents(star)
         return lists.join(groups, lists["rep"] == groups["node"], "left").select(
             "token", "rep", "n", "mass", F.coalesce("component", "rep").alias("group"))
 
@@ -233,18 +235,20 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         best = B.shared_table(spark, best, "pairs")
         tested = best if tested is None else tested.unionByName(best)
         links = B.shared_table(spark, confirmed(best), "links")
-        star = stars(links if star is None else star.unionByName(links))
-        groups = members(star)
-        if links.count() * WORTH < best.count():
+        n_pairs, n_links = best.select(F.lit(0).alias("linked")).unionByName(links.select(F.lit(1).alias("linked"))).agg(
+            F.count_if(F.col("linked") == 0), F.count_if(F.col("linked") == 1)).first()
+        if n_links:
+            star = stars(links if star is None else star.unionByName(links))
+        if not n_pairs or n_links * WORTH < n_pairs:
             break
 
     # what is left: classes that still share a list with another component
     now = labelled()
     mixed = now.groupBy("token").agg(F.min("group").alias("g0"), F.max("group").alias("g1")).where("g0 != g1")
     rest = now.join(mixed.select("token"), "token").select("rep", "n", "group").distinct()
-    sets = rest.join(bodies, rest["rep"] == bodies["id"]).select("rep", "z").mapInArrow(
-        lambda it: _sets(it, width), "rep bigint, shingles array<bigint>")
-    post = B.shared_table(spark, sets.join(rest, "rep").select("rep", "n", "group", F.explode("shingles").alias("shingle")), "rest")
+    sets = rest.join(bodies, rest["rep"] == bodies["id"]).select("rep", "z", "n", "group").mapInArrow(
+        lambda it: _sets(it, width), "rep bigint, shingles array<bigint>, n bigint, group bigint")
+    post = B.shared_table(spark, sets.select("rep", "n", "group", F.explode("shingles").alias("shingle")), "rest")
     common = post.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("group").alias("g0"),
                                          F.max("group").alias("g1")).where("df > 1")
     by_rep = Window.partitionBy("rep")
@@ -255,13 +259,14 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     x = front.toDF("shingle", "a", "a_n", "a_group", "a_left")
     y = front.toDF("shingle", "b", "b_n", "b_group", "b_left")
     overlap = F.least("a_left", "b_left") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
-    pairs = x.join(y, "shingle").where((F.col("a_group") < F.col("b_group")) & overlap).select("a", "b").distinct()
-    pairs = pairs.join(tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+    ordered = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    pairs = x.join(y, "shingle").where((F.col("a_group") < F.col("b_group")) & overlap).select(*ordered).distinct()
+    pairs = pairs.join(tested.select(*ordered), ["a", "b"], "left_anti")
     tokens = active.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
     pairs = (pairs.join(tokens, "a").join(tokens.toDF("b", "tb"), "b")
              .where(F.size(F.array_intersect("ta", "tb")) >= matches).select("a", "b"))
     links = B.shared_table(spark, confirmed(B.shared_table(spark, pairs, "pairs")), "links")
-    groups = members(stars(star.unionByName(links)))
+    groups = parents(stars(links if star is None else star.unionByName(links)))
 
     labels = classes.join(groups, classes["rep"] == groups["node"], "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))

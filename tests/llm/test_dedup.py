@@ -118,6 +118,40 @@ def test_stars_are_extended_in_few_rounds(sc, monkeypatch):
         **{i: 0 for i in (*range(9), *range(20, 26), 40)}, 50: 50, 51: 50}
 
 
+def test_stars_take_repeated_edges_and_few_exchanges(sc):
+    from settlekit.llm import components as C
+    edges = [(1, 2), (2, 1), (3, 2), (3, 2), (7, 5), (5, 7), (9, 5), (9, 7), (4, 4)] * 2
+    df = sc.createDataFrame(edges, "a long, b long")
+    star = C.stars(df)
+    want = {1: 1, 2: 1, 3: 1, 5: 5, 7: 5, 9: 5}
+    assert star.count() <= len(edges)
+    assert sorted(map(tuple, C.members(star).collect())) == sorted(want.items())
+    assert sorted(map(tuple, C.parents(star).collect())) == sorted((n, c) for n, c in want.items() if n != c)
+    plan = C._small_star(C._large_star(df))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("LocalTableScan") + plan.count("Scan ExistingRDD") <= 4      # 12 reads of the edges before
+
+
+@pytest.mark.parametrize("copies,step,most", [(2, 0, 60), (40, 1, 84)])
+def test_near_duplicates_use_few_jobs(sc, copies, step, most):
+    """The driver holds something for each job. Before: 117 for two copies, in rounds without a pair to try,
+    and 91 for groups of near copies."""
+    r = random.Random(11)
+    rows = []
+    for i in range(4 if step else 1):
+        words = [f"w{r.randint(0, 10**6)}" for _ in range(60)]
+        rows += [(copies * i + k, " ".join(words[:60 - step * k] + [f"v{i}x{k}y{j}" for j in range(step * k)]))
+                 for k in range(copies)]
+    df = sc.createDataFrame(rows, "doc_id long, text string")
+    sc.sparkContext.setJobGroup(f"near-dedup-{copies}", "")
+    try:
+        got = {x.doc_id: (x.n_shingles, x.component_id, x.kept)
+               for x in N.near_duplicate_classes(df, width=3, percent=85).collect()}
+    finally:
+        sc.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == brute_components(rows, 3, 85)
+    assert len(sc.sparkContext.statusTracker().getJobIdsForGroup(f"near-dedup-{copies}")) <= most
+
+
 def brute_cut(rows, length):
     first = {}
     for i, t in rows:
