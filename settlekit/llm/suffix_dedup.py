@@ -51,6 +51,11 @@ OUTPUTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 # ------------------------------------------------------------ suffix arrays
 
+def _position(n: int) -> type:
+    """The integer type of positions in ``n`` bytes: half the memory wherever that is enough."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
 def suffix_array(text: np.ndarray, sigma: int) -> np.ndarray:
     """Suffix array of ``text`` (values 1..sigma-1 with one final 0) by induced sorting.
 
@@ -61,14 +66,16 @@ def suffix_array(text: np.ndarray, sigma: int) -> np.ndarray:
     are ranked by doubling, as their buckets would be too small for that.
     """
     n = len(text)
+    position = _position(n)
     if n == 1:
-        return np.zeros(1, dtype=np.int64)
+        return np.zeros(1, dtype=position)
     step = np.zeros(n, dtype=np.int8)
-    step[:-1] = np.sign(text[1:].astype(np.int64) - text[:-1])
+    step[:-1] = (text[1:] > text[:-1]).view(np.int8) - (text[1:] < text[:-1]).view(np.int8)
     step[-1] = 1
-    nxt = np.where(step != 0, np.arange(n), n)
-    nxt = np.minimum.accumulate(nxt[::-1])[::-1]
+    nxt = np.where(step != 0, np.arange(n, dtype=position), position(n - 1))
+    np.minimum.accumulate(nxt[::-1], out=nxt[::-1])
     is_s = step[nxt] > 0
+    del step, nxt
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     sizes = np.bincount(text, minlength=sigma)
     tails = np.cumsum(sizes)
@@ -79,7 +86,7 @@ def suffix_array(text: np.ndarray, sigma: int) -> np.ndarray:
         return np.arange(len(sorted_chars)) - first[sorted_chars]
 
     def induce(lms_order):
-        sa = np.full(n, -1, dtype=np.int64)
+        sa = np.full(n, -1, dtype=position)
         chars = text[lms_order]
         by = np.argsort(chars, kind="stable")
         counts = np.bincount(chars, minlength=sigma)
@@ -136,9 +143,10 @@ def suffix_array(text: np.ndarray, sigma: int) -> np.ndarray:
     if len(lms) <= 1:
         return induce(lms)
     sa = induce(lms)
-    at = np.full(n, -1, dtype=np.int64)
+    at = np.full(n, -1, dtype=position)
     at[lms] = np.arange(len(lms))
     order = at[sa[at[sa] >= 0]]
+    del sa, at
     length = np.append(np.diff(lms) + 1, 1)
     same = np.zeros(len(order), dtype=bool)
     left, right = order[:-1], order[1:]
@@ -182,9 +190,10 @@ def permuted_reach(data: np.ndarray, sa: np.ndarray, starts: np.ndarray, length:
     """For each text position in ``starts``: does its common prefix with the
     suffix before it in ``sa`` reach ``length``? (Permuted order; both suffixes
     must have ``length`` bytes left.)"""
-    before = np.full(len(sa), -1, dtype=np.int64)
+    before = np.full(len(sa), -1, dtype=sa.dtype)
     before[sa[1:]] = sa[:-1]
     prev = before[starts]
+    del before
     ok = (prev >= 0) & (prev + length <= len(data))
     words = np.ndarray((max(0, len(data) - 7),), dtype="<u8", buffer=np.ascontiguousarray(data), strides=(1,)) \
         if len(data) >= 8 else np.zeros(0, np.uint64)
@@ -204,14 +213,15 @@ def covered_windows(data: np.ndarray, run_start: np.ndarray, run_len: np.ndarray
 
     ``data`` holds the runs, each followed by one separator byte.
     """
-    text = data.astype(np.int64) + 2
+    text = np.zeros(len(data) + 1, dtype=np.uint16)
+    np.add(data, 2, out=text[:-1], dtype=np.uint16)
     text[run_start + run_len] = 1
-    sa = suffix_array(np.append(text, 0).astype(np.uint16), 258)[1:]
+    sa = suffix_array(text, 258)[1:]
+    del text
     n_windows = np.maximum(run_len - length + 1, 0)
     starts = B.ranges(run_start, n_windows)
-    owner = np.repeat(np.arange(len(run_len)), n_windows)
-    run_of = np.full(len(data), -1, dtype=np.int64)
-    run_of[starts] = owner
+    run_of = np.full(len(data), -1, dtype=sa.dtype)
+    run_of[starts] = np.repeat(np.arange(len(run_len), dtype=sa.dtype), n_windows)
     joined = np.zeros(len(data), dtype=bool)
     joined[starts] = permuted_reach(data, sa, starts, length)
     windows = sa[run_of[sa] >= 0]

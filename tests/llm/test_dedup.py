@@ -194,3 +194,30 @@ def test_suffix_array():
     t = np.append(rng.integers(1, 200, 4000), 0)
     t = np.concatenate([t[:1500], t[:1500], t]).astype(np.uint16)
     assert S.suffix_array(t, 201).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+
+
+def test_shard_memory():
+    """Peak of a shard's arrays by byte of it: 80.8 before, 40.9 when this was written."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    run_len = rng.integers(50, 200, 4000)
+    start = np.cumsum(run_len + 1) - run_len - 1
+    word = rng.integers(97, 123, 300).astype(np.uint8)
+    data = np.zeros(int(run_len.sum()) + len(run_len), np.uint8)
+    for a, n in zip(start.tolist(), run_len.tolist(), strict=True):
+        k = int(rng.integers(0, 100))
+        data[a:a + n] = word[k:k + n]
+    doc = rng.integers(0, 900, len(run_len))
+    tracemalloc.start()
+    run, offset = S.covered_windows(data, start, run_len, doc, 50)
+    peak = tracemalloc.get_traced_memory()[1] / len(data)
+    tracemalloc.stop()
+    first = {}
+    for r, (a, n) in enumerate(zip(start.tolist(), run_len.tolist(), strict=True)):
+        for o in range(n - 49):
+            w = data[a + o:a + o + 50].tobytes()
+            first[w] = min(first.get(w, 10**9), int(doc[r]))
+    want = [(r, o) for r, (a, n) in enumerate(zip(start.tolist(), run_len.tolist(), strict=True)) for o in range(n - 49)
+            if first[data[a + o:a + o + 50].tobytes()] < doc[r]]
+    assert list(zip(run.tolist(), offset.tolist(), strict=True)) == want
+    assert peak < 60, peak
