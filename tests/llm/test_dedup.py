@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from settlekit.llm import near_dedup as N
@@ -221,3 +222,15 @@ def test_shard_memory():
             if first[data[a + o:a + o + 50].tobytes()] < doc[r]]
     assert list(zip(run.tolist(), offset.tolist(), strict=True)) == want
     assert peak < 60, peak
+
+
+def test_groups_leave_no_freed_memory(monkeypatch):
+    """Every function of a group gives freed memory back, before its work and after it (none did before)."""
+    from settlekit.llm import blocks as B
+    calls = []
+    monkeypatch.setattr(B, "_trim", lambda: calls.append(1))
+    blob = S._pack(doc=np.zeros(0, np.int64), fp=np.zeros(0, np.uint32), s=np.zeros(0, np.uint32), n=np.zeros(0, np.uint16),
+                   data=np.zeros(0, np.uint8))
+    assert S._judge_shard(pa.table({"blob": pa.array([blob], pa.binary())}), 50, 8).num_rows == 0
+    assert len(calls) == 2
+    assert all(hasattr(f, "__wrapped__") for f in (S._judge_bucket, S._extract, S._finish))
