@@ -170,6 +170,33 @@ def test_neighbours_edges(sc):
     assert neighbours.nearest(df.limit(0), asked).count() == 0
 
 
+def test_neighbours_rounds_move_blocks_not_edges(sc, monkeypatch):
+    written, table = [], neighbours.Intermediates.table
+    monkeypatch.setattr(neighbours.Intermediates, "table", lambda self, df: [made := table(self, df), written.append(made.count())][0])
+    x = np.random.default_rng(6).normal(size=(2000, 24))
+    rows = [(i, v.tolist()) for i, v in enumerate(x / np.linalg.norm(x, axis=1, keepdims=True))]
+    df = sc.createDataFrame(rows, "vec_id long, embedding array<float>")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    want = brute_nearest(rows, range(0, 2000, 100), 20)
+    got = {}
+    for r in neighbours.nearest(df, df.where("vec_id % 100 = 0").select("vec_id").toDF("id"), k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert np.mean([len(got[q] & set(want[q])) / 20 for q in want]) > 0.95
+    # vectors and beams are written once, a round's table is a few rows for each block
+    assert sum(written) < 2 * 2000 + 20 * neighbours.BEAM + 3000
+
+
+def test_neighbours_among_copies_and_ties(sc):
+    vectors = [[1.0, 0.0], [0.5, 0.5], [0.5, -0.5], [0.5, 0.25], [-1.0, 0.0], [-1.0, -0.0], [0.25, 1.0]]
+    rows = [(i, vectors[i * 5 % 7 if i % 3 else i % 4]) for i in range(150)] + [(1000 + i, vectors[4 + i % 2]) for i in range(30)]
+    df = sc.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for k in (1, 7, 20, 200):
+        got = {}
+        for r in neighbours.nearest(df, df.select(F.col("vec_id").alias("id")), k=k).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert got == brute_nearest(rows, [i for i, _ in rows], k)
+
+
 def test_sample_is_bounded(sc):
     docs = sc.createDataFrame([(i, f"t{i}") for i in range(50)], "doc_id long, text string")
     labels = sc.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
